@@ -140,3 +140,285 @@ SELECT weather_sk, max(weather_zone_id) AS weather_zone_id, max(weather) AS weat
        max(humidity) AS humidity, max(visibility) AS visibility, max(rain) AS rain,
        max(snow) AS snow, {AS_OF} AS ingest_timestamp
 FROM weather w JOIN z ON w.zone = z.weather_zone GROUP BY weather_sk"""
+
+WEATHER_MAIN = ("CASE event_type WHEN 'click' THEN 'Clear' WHEN 'view' THEN 'light snow' "
+                "WHEN 'purchase' THEN 'Rain' WHEN 'error' THEN 'Thunderstorm' WHEN 'signup' THEN 'Snow' "
+                "ELSE event_type END")
+
+JSON_PATH_PROJECT = """
+SELECT event_id, json_extract_string(props, '$.k') AS k,
+       json_extract_string(props, '$.missing.x') AS missing_x,
+       TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_int
+FROM events"""
+
+JSON_ARRAY_EXPLODE = """
+SELECT o.o_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, l.l_returnflag, l.l_linestatus
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey"""
+
+_OBS_COLS = f"""
+  value AS lat, -value AS lon, {WEATHER_MAIN} AS weather, event_type AS description, value AS temp,
+  CAST(1000 + user_id % 50 AS INTEGER) AS pressure, CAST(event_id % 101 AS INTEGER) AS humidity,
+  10000 AS visibility,
+  CASE WHEN event_type = 'purchase' THEN value ELSE CAST(0 AS DOUBLE) END AS rain,
+  CASE WHEN event_type = 'signup' THEN value ELSE CAST(0 AS DOUBLE) END AS snow,
+  value / CAST(10 AS DOUBLE) AS wind_speed, CAST(event_id % 101 AS INTEGER) AS clouds"""
+
+OBSERVATION_FLATTEN = f"""
+SELECT event_id, {_OBS_COLS},
+  CAST(date_sub('second', TIMESTAMP '1970-01-01 00:00:00', ts) AS BIGINT) AS dt
+FROM events WHERE event_type NOT IN ('error', 'view')"""
+
+OBSERVATION_REJECTS = """
+SELECT event_id, CASE event_type WHEN 'error' THEN 'temp,pressure,humidity'
+                                 WHEN 'view' THEN 'weather,description' END AS missing_fields
+FROM events WHERE event_type IN ('error', 'view')"""
+
+WEATHER_STANDARDIZE = f"""
+SELECT event_id, {_round('value', 1)} AS lat, {_round('-value', 1)} AS lon,
+  {WEATHER_MAIN} AS weather, event_type AS description, value AS temp,
+  CAST(1000 + user_id % 50 AS INTEGER) AS pressure, CAST(event_id % 101 AS INTEGER) AS humidity,
+  10000 AS visibility,
+  CASE WHEN event_type = 'purchase' THEN value ELSE CAST(0 AS DOUBLE) END AS rain,
+  CASE WHEN event_type = 'signup' THEN value ELSE CAST(0 AS DOUBLE) END AS snow,
+  value / CAST(10 AS DOUBLE) AS wind_speed, CAST(event_id % 101 AS INTEGER) AS clouds,
+  TIMESTAMP '1970-01-01 00:00:00' + to_seconds(date_sub('second', TIMESTAMP '1970-01-01 00:00:00', ts)) AS dt_utc
+FROM events WHERE event_type NOT IN ('error', 'view')"""
+
+_POINTS = """
+pts AS (SELECT c_custkey, c_acctbal / CAST(100 AS DOUBLE) AS latitude,
+               CAST(c_nationkey AS DOUBLE) / CAST(10 AS DOUBLE) - CAST(74 AS DOUBLE) AS longitude
+        FROM customer)"""
+
+REQUEST_GRID = f"""
+WITH {_POINTS},
+b AS (SELECT min(latitude) AS a, min(longitude) AS b, max(latitude) AS c, max(longitude) AS d FROM pts),
+n AS (SELECT a, b, CAST(ceil((c - a) / CAST(0.1 AS DOUBLE)) AS BIGINT) AS nl,
+             CAST(ceil((d - b) / CAST(0.1 AS DOUBLE)) AS BIGINT) AS nm FROM b),
+t1 AS (SELECT a, b, nm, unnest(range(nl)) AS i FROM n),
+t2 AS (SELECT a, b, i, unnest(range(nm)) AS j FROM t1)
+SELECT a + CAST(i AS DOUBLE) * CAST(0.1 AS DOUBLE) AS lat, b + CAST(j AS DOUBLE) * CAST(0.1 AS DOUBLE) AS lon
+FROM t2"""
+
+STANDARDIZE_VALUES = """
+SELECT c_custkey,
+  CASE c_nationkey % 3 WHEN 0 THEN 'New Jersey' WHEN 1 THEN 'New York' ELSE 'PA' END AS state_or_province,
+  CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_acctbal END AS latitude
+FROM customer"""
+
+ZONE_ASSIGN = f"""
+WITH {_POINTS}
+SELECT c_custkey, latitude, longitude, {_round('latitude', 1)} AS weather_zone_lat,
+       {_round('longitude', 1)} AS weather_zone_lon
+FROM pts"""
+
+ZONE_DISTINCT = f"""
+SELECT DISTINCT weather_zone_lat, weather_zone_lon FROM ({ZONE_ASSIGN})"""
+
+INCREMENTAL_FILTER = f"SELECT event_id, ts, user_id FROM events WHERE ts > {CUTOFF}"
+
+WATERMARK_BUFFER = """
+SELECT user_id, max(ts) AS watermark, max(ts) - INTERVAL 15 MINUTE AS buffered_watermark
+FROM events GROUP BY user_id"""
+
+_REDELIVERED = """
+(SELECT * FROM events UNION ALL
+ SELECT * FROM events WHERE hour(ts) = 23 AND minute(ts) >= 45)"""
+
+DEDUP_ROWS = f"SELECT DISTINCT * FROM {_REDELIVERED} r"
+
+DEDUP_LATEST = f"""
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM {_REDELIVERED} r) WHERE rn = 1"""
+
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority", "o_refund_priority"]
+COLUMN_GATE = "WITH o AS (SELECT *, CASE WHEN o_totalprice < 0 THEN o_orderpriority END AS o_refund_priority FROM orders)\n" + \
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS non_null_count, count({c}) > 0 AS passed FROM o"
+        for c in _ORDER_COLS)
+
+QUARANTINE_SPLIT = """
+WITH c AS (
+  SELECT c_custkey, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS seg,
+         CASE WHEN c_nationkey <> 0 THEN c_acctbal END AS acct FROM customer)
+SELECT c_custkey,
+  (c_custkey IS NOT NULL AND seg IS NOT NULL AND acct IS NOT NULL AND acct >= 0) AS is_valid,
+  concat_ws(',', CASE WHEN c_custkey IS NULL THEN 'c_custkey:null' END,
+                 CASE WHEN seg IS NULL THEN 'c_mktsegment:null' END,
+                 CASE WHEN acct IS NULL THEN 'c_acctbal:null' WHEN acct < 0 THEN 'c_acctbal:negative' END)
+    AS reject_reasons
+FROM c"""
+
+
+def _history_sql(where: str) -> str:
+    return f"""
+h0 AS (SELECT user_id, event_type AS status, value, ts, event_id FROM events WHERE {where}),
+h1 AS (SELECT *, lag(status) OVER w AS p_status, lag(1) OVER w AS p_exists FROM h0
+       WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+h2 AS (SELECT user_id, status, value, ts, event_id FROM h1
+       WHERE p_exists IS NULL OR p_status IS DISTINCT FROM status),
+hist AS (SELECT user_id, status, value, ts AS valid_from,
+           coalesce(lead(ts) OVER w, {OPEN_END}) AS valid_to, lead(ts) OVER w IS NULL AS is_current
+         FROM h2 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"""
+
+
+SCD2_HISTORY = f"WITH {_history_sql('true')}\nSELECT * FROM hist"
+
+_SCD_BASE = f"""WITH {_history_sql(f'ts < {CUTOFF}')},
+stg AS (SELECT * FROM (
+  SELECT user_id, event_type AS status, value, ts,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events WHERE ts >= {CUTOFF}) WHERE rn = 1),
+cur AS (SELECT * FROM hist WHERE is_current),
+cls AS (
+  SELECT s.user_id, s.status, s.value, s.ts, c.valid_from AS cur_from,
+    CASE WHEN c.valid_from IS NULL THEN 'INSERT'
+         WHEN s.ts > c.valid_from AND s.status IS DISTINCT FROM c.status THEN 'UPDATE' END AS scd_action
+  FROM stg s LEFT JOIN cur c ON s.user_id = c.user_id),
+newv AS (SELECT user_id, status, value, ts AS valid_from, {OPEN_END} AS valid_to, true AS is_current
+         FROM cls WHERE scd_action IN ('INSERT', 'UPDATE'))"""
+
+SCD2_CLASSIFY = f"{_SCD_BASE}\nSELECT user_id, scd_action FROM cls"
+SCD2_NEW_VERSIONS = f"{_SCD_BASE}\nSELECT * FROM newv"
+SCD2_EXPIRE = f"{_SCD_BASE}\nSELECT user_id, cur_from AS valid_from, ts AS valid_to FROM cls WHERE scd_action = 'UPDATE'"
+SCD2_APPLY = f"""{_SCD_BASE}
+SELECT user_id, status, value, valid_from, valid_to, is_current FROM hist WHERE NOT is_current
+UNION ALL
+SELECT c.user_id, c.status, c.value, c.valid_from,
+       CASE WHEN a.scd_action = 'UPDATE' THEN a.ts ELSE c.valid_to END AS valid_to,
+       CASE WHEN a.scd_action = 'UPDATE' THEN false ELSE c.is_current END AS is_current
+FROM cur c LEFT JOIN cls a ON a.user_id = c.user_id
+UNION ALL
+SELECT * FROM newv"""
+
+_UPSERT_SRC = f"""
+src AS (SELECT event_id, ts, user_id, event_type, value + CAST(1 AS DOUBLE) AS value, props
+        FROM events WHERE ts >= {CUTOFF} - INTERVAL 1 DAY),
+tgt AS (SELECT * FROM events WHERE ts < {CUTOFF})"""
+
+UPSERT = f"""WITH {_UPSERT_SRC}
+SELECT * FROM tgt WHERE event_id NOT IN (SELECT event_id FROM src)
+UNION ALL SELECT * FROM src"""
+
+INSERT_COUNT = f"""WITH {_UPSERT_SRC}
+SELECT count(*) AS inserted FROM src WHERE event_id NOT IN (SELECT event_id FROM tgt)"""
+
+NEAREST_REGION = """
+WITH p AS (SELECT c_custkey, c_acctbal / CAST(1000 AS DOUBLE) AS x,
+                  CAST(c_custkey % 97 AS DOUBLE) / CAST(10 AS DOUBLE) AS y FROM customer),
+r AS (SELECT * FROM (VALUES ('North', 0.0, 6.0, 3.0, 9.0), ('East', 5.0, 4.0, 9.0, 8.0),
+                            ('South', 1.0, 0.0, 4.0, 3.0), ('West', -1.0, 3.0, 0.5, 5.0))
+      t(name, xmin, ymin, xmax, ymax)),
+d AS (SELECT p.c_custkey, r.name,
+        sqrt(pow(greatest(CAST(r.xmin AS DOUBLE) - x, 0, x - CAST(r.xmax AS DOUBLE)), 2)
+           + pow(greatest(CAST(r.ymin AS DOUBLE) - y, 0, y - CAST(r.ymax AS DOUBLE)), 2)) AS dist
+      FROM p, r),
+m AS (SELECT c_custkey, min(dist) AS md FROM d GROUP BY c_custkey)
+SELECT d.c_custkey, d.name AS region FROM d JOIN m ON d.c_custkey = m.c_custkey
+WHERE d.dist <= m.md + 1e-9"""
+
+_RUNS = """
+runs AS (SELECT event_type AS pipeline_name,
+           CASE user_id % 3 WHEN 0 THEN 'bronze' WHEN 1 THEN 'silver' ELSE 'gold' END AS layer,
+           CASE WHEN value >= 5 THEN ts END AS last_processed_timestamp,
+           CAST(event_id AS VARCHAR) AS batch_id,
+           CASE WHEN value <= 450 THEN ts END AS end_time
+         FROM events)"""
+
+WATERMARK_TOP1 = f"""WITH {_RUNS},
+g AS (SELECT DISTINCT pipeline_name, layer FROM runs),
+t AS (SELECT pipeline_name, layer, last_processed_timestamp,
+        row_number() OVER (PARTITION BY pipeline_name, layer
+                           ORDER BY end_time DESC NULLS LAST, batch_id DESC) AS rn
+      FROM runs WHERE last_processed_timestamp IS NOT NULL)
+SELECT g.pipeline_name, g.layer,
+       coalesce(t.last_processed_timestamp, TIMESTAMP '2011-01-01 00:00:00') AS watermark
+FROM g LEFT JOIN t ON g.pipeline_name = t.pipeline_name AND g.layer = t.layer AND t.rn = 1"""
+
+RUN_LOG = """
+SELECT 'events' AS pipeline_name, 'bronze' AS layer, max(ts) AS last_processed_timestamp,
+       'events/bronze/' || strftime(CAST(ts AS DATE), '%Y-%m-%d') AS batch_id, 'success' AS status,
+       CAST(count(*) AS INTEGER) AS records_processed,
+       CAST(count(*) FILTER (WHERE value < 1) AS INTEGER) AS records_failed,
+       min(ts) AS start_time, max(ts) AS end_time, CAST(NULL AS VARCHAR) AS error_message
+FROM events GROUP BY CAST(ts AS DATE)"""
+
+
+def _health(table, critical, ranges, key, ts):
+    parts = [f"SELECT '{table}' AS table_name, 'table_exists' AS check_name, 'pass' AS status, CAST(NULL AS DOUBLE) AS observed",
+             f"SELECT '{table}', 'not_empty', CASE WHEN count(*) = 0 THEN 'fail' ELSE 'pass' END, CAST(count(*) AS DOUBLE) FROM {table}"]
+    for c in critical:
+        parts.append(f"SELECT '{table}', 'nulls:{c}', CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 THEN 'fail' ELSE 'pass' END, "
+                     f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) FROM {table}")
+    if ts:
+        age = f"(CAST(date_sub('second', max({ts}), {AS_OF}) AS DOUBLE) / CAST(3600 AS DOUBLE))"
+        parts.append(f"SELECT '{table}', 'freshness', CASE WHEN {age} IS NULL THEN 'fail' WHEN {age} > 48 THEN 'warning' ELSE 'pass' END, "
+                     f"{_round(age, 2)} FROM {table}")
+    else:
+        parts.append(f"SELECT '{table}', 'freshness', 'warning', CAST(NULL AS DOUBLE)")
+    for c, (lo, hi) in ranges.items():
+        n = f"count(*) FILTER (WHERE {c} < {lo} OR {c} > {hi})"
+        parts.append(f"SELECT '{table}', 'range:{c}', CASE WHEN {n} > 0 THEN 'warning' ELSE 'pass' END, CAST({n} AS DOUBLE) FROM {table}")
+    n = f"(count(*) - count(DISTINCT {key}))"
+    parts.append(f"SELECT '{table}', 'unique:{key}', CASE WHEN {n} > 0 THEN 'fail' ELSE 'pass' END, CAST({n} AS DOUBLE) FROM {table}")
+    return "\nUNION ALL\n".join(parts)
+
+
+HEALTH_REPORT = (_health("orders", ["o_orderkey", "o_custkey", "o_orderdate"], {"o_totalprice": (0, 500000)},
+                         "o_orderkey", "o_orderdate")
+                 + "\nUNION ALL\n"
+                 + _health("customer", ["c_custkey", "c_name", "c_mktsegment"], {"c_acctbal": (-1000, 10000)},
+                           "c_custkey", None))
+
+
+def _zorder_sql(bits: int = 10) -> str:
+    top = (1 << bits) - 1
+    b0 = f"CAST(least(greatest(floor(CAST(l_orderkey - lo0 AS DOUBLE) / CAST(hi0 - lo0 AS DOUBLE) * {top}.0), 0), {top}) AS BIGINT)"
+    b1 = f"CAST(least(greatest(floor(CAST(l_partkey - lo1 AS DOUBLE) / CAST(hi1 - lo1 AS DOUBLE) * {top}.0), 0), {top}) AS BIGINT)"
+    terms = []
+    for b in range(bits):
+        terms.append(f"(((b0 >> {b}) & 1) << {2 * b})")
+        terms.append(f"(((b1 >> {b}) & 1) << {2 * b + 1})")
+    return f"""
+WITH s AS (SELECT min(l_orderkey) AS lo0, max(l_orderkey) AS hi0, min(l_partkey) AS lo1, max(l_partkey) AS hi1 FROM lineitem),
+b AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, {b0} AS b0, {b1} AS b1 FROM lineitem, s)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, CAST({' | '.join(terms)} AS BIGINT) AS z FROM b"""
+
+
+ZORDER_LAYOUT = _zorder_sql()
+
+ORACLES = {
+    "station_facts": station_facts_sql("parity"),
+    "station_facts_corrected": station_facts_sql("corrected"),
+    "station_dim": STATION_DIM,
+    "weather_dim": WEATHER_DIM,
+    "json_path_project": JSON_PATH_PROJECT,
+    "json_array_explode": JSON_ARRAY_EXPLODE,
+    "observation_flatten": OBSERVATION_FLATTEN,
+    "observation_rejects": OBSERVATION_REJECTS,
+    "weather_standardize": WEATHER_STANDARDIZE,
+    "request_grid": REQUEST_GRID,
+    "standardize_values": STANDARDIZE_VALUES,
+    "zone_assign": ZONE_ASSIGN,
+    "zone_distinct": ZONE_DISTINCT,
+    "incremental_filter": INCREMENTAL_FILTER,
+    "watermark_buffer": WATERMARK_BUFFER,
+    "dedup_rows": DEDUP_ROWS,
+    "dedup_latest": DEDUP_LATEST,
+    "column_gate": COLUMN_GATE,
+    "quarantine_split": QUARANTINE_SPLIT,
+    "scd2_classify": SCD2_CLASSIFY,
+    "scd2_new_versions": SCD2_NEW_VERSIONS,
+    "scd2_expire": SCD2_EXPIRE,
+    "scd2_apply": SCD2_APPLY,
+    "scd2_replay": SCD2_APPLY,
+    "scd2_history": SCD2_HISTORY,
+    "upsert": UPSERT,
+    "insert_count": INSERT_COUNT,
+    "nearest_region": NEAREST_REGION,
+    "watermark_top1": WATERMARK_TOP1,
+    "run_log": RUN_LOG,
+    "health_report": HEALTH_REPORT,
+    "zorder_layout": ZORDER_LAYOUT,
+}
