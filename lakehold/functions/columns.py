@@ -83,6 +83,19 @@ def string_schema(paths: Sequence[str]) -> StructType:
     return build(tree)
 
 
+def parse_strings(json_col: Column | str, paths: Sequence[str]) -> Column:
+    """One ``from_json`` of the document into an all-string struct covering ``paths``."""
+    c = F.col(json_col) if isinstance(json_col, str) else json_col
+    return F.from_json(c, string_schema(list(paths)), {"mode": "PERMISSIVE"})
+
+
+def get_path(struct_col: Column, path: str) -> Column:
+    e = struct_col
+    for part in path.split("."):
+        e = e.getField(part)
+    return e
+
+
 def json_fields(json_col: Column | str, fields: Mapping[str, str]) -> list[Column]:
     """Project JSON paths (``{"A.B": alias}``) with ONE parse per row.
 
