@@ -373,3 +373,43 @@ QUERIES = {
     "health_report": health_report,
     "zorder_layout": zorder_layout,
 }
+
+
+# ---------------------------------------------------------------- streaming
+
+
+def stream_dedup(spark, sf):
+    """Events plus their re-delivered overlap as two streaming sources, de-duplicated
+    within the 15-minute watermark; the sink's result is read back."""
+    from lakehold.session import shared_dir
+    from lakehold.streaming import ingest
+
+    first = ingest.read_table_stream(spark, sf, "events.parquet")
+    again = ingest.read_table_stream(spark, sf, "events.parquet").where(
+        (F.hour("ts") == 23) & (F.minute("ts") >= 45))
+    deduped = ingest.dedup_stream(first.unionByName(again), ["event_id"], "ts", "15 minutes")
+    root = shared_dir(spark, "stream-dedup")
+    ingest.run_to_parquet(deduped.select("event_id", "ts", "user_id", "event_type", "value"),
+                          f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+def stream_scd2(spark, sf):
+    """History before the cut-off as the initial state, later events as a stream
+    applied per micro-batch; the final published state is read back."""
+    from lakehold.session import shared_dir
+    from lakehold.streaming import ingest, scd2_stream
+
+    root = shared_dir(spark, "stream-scd2")
+    target, _ = _scd_state(spark, sf)
+    scd2_stream.init_state(spark, f"{root}/state", target)
+    events = ingest.read_table_stream(spark, sf, "events.parquet")
+    staged = events.where(F.col("ts") >= ts_ntz(EVENT_CUTOFF)).select(
+        "user_id", F.col("event_type").alias("status"), "value", "ts", "event_id")
+    scd2_stream.run_scd2_stream(staged, f"{root}/state", f"{root}/checkpoint", SCD_KEYS, SCD_ATTRS,
+                                SCD_TRACKED, "ts", ["event_id"])
+    return scd2_stream.latest_state(spark, f"{root}/state").select(*SCD_OUT)
+
+
+QUERIES["stream_dedup"] = stream_dedup
+QUERIES["stream_scd2"] = stream_scd2

@@ -422,3 +422,6 @@ ORACLES = {
     "health_report": HEALTH_REPORT,
     "zorder_layout": ZORDER_LAYOUT,
 }
+
+ORACLES["stream_dedup"] = "SELECT event_id, ts, user_id, event_type, value FROM events"
+ORACLES["stream_scd2"] = SCD2_APPLY
