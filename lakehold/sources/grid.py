@@ -1,7 +1,8 @@
 """Request grid: every (lat, lon) at ``step`` in a box, upper bound excluded.
 
-Cell values are ``min + i * step`` with ``n = ceil((max - min) / step)`` (the
-floating-point ``arange`` rule); the grid is a distributed ``range`` split into
+Cell values follow the floating-point ``arange`` rule: ``n = ceil((max - min) / step)``
+values ``min + i * delta`` where ``delta = (min + step) - min`` (the step as it comes
+out after one addition); the grid is a distributed ``range`` split into
 (i, j) by integer division, so no cross product is formed.
 """
 
@@ -23,9 +24,11 @@ def request_grid(spark: SparkSession, min_lat: float, min_lon: float, max_lat: f
     ids = spark.range(n_lat * n_lon)
     i = F.floor(F.col("id") / F.lit(n_lon)) if n_lon else F.lit(0)
     j = F.pmod(F.col("id"), F.lit(n_lon)) if n_lon else F.lit(0)
+    d_lat = (float(min_lat) + step) - float(min_lat)
+    d_lon = (float(min_lon) + step) - float(min_lon)
     return ids.select(
-        (F.lit(float(min_lat)) + i.cast("double") * F.lit(float(step))).alias("lat"),
-        (F.lit(float(min_lon)) + j.cast("double") * F.lit(float(step))).alias("lon"),
+        (F.lit(float(min_lat)) + i.cast("double") * F.lit(d_lat)).alias("lat"),
+        (F.lit(float(min_lon)) + j.cast("double") * F.lit(d_lon)).alias("lon"),
     )
 
 

@@ -196,7 +196,8 @@ n AS (SELECT a, b, CAST(ceil((c - a) / CAST(0.1 AS DOUBLE)) AS BIGINT) AS nl,
              CAST(ceil((d - b) / CAST(0.1 AS DOUBLE)) AS BIGINT) AS nm FROM b),
 t1 AS (SELECT a, b, nm, unnest(range(nl)) AS i FROM n),
 t2 AS (SELECT a, b, i, unnest(range(nm)) AS j FROM t1)
-SELECT a + CAST(i AS DOUBLE) * CAST(0.1 AS DOUBLE) AS lat, b + CAST(j AS DOUBLE) * CAST(0.1 AS DOUBLE) AS lon
+SELECT a + CAST(i AS DOUBLE) * ((a + CAST(0.1 AS DOUBLE)) - a) AS lat,
+       b + CAST(j AS DOUBLE) * ((b + CAST(0.1 AS DOUBLE)) - b) AS lon
 FROM t2"""
 
 STANDARDIZE_VALUES = """
