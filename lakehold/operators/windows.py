@@ -4,8 +4,10 @@ A plain ``Window.partitionBy(key)`` sends every row of a key to one task. With
 ``split`` (an expression that is monotone in the row order, e.g. a time bucket), rows
 are windowed per ``(key, split)`` instead; the first/last row of every split gets its
 neighbour from a per-split summary (one row per split), which is windowed per key.
-The summary is small (#keys x #splits), and the big side keeps its partitioning for
-the join back, so only the summary is shuffled again.
+The edge rows come from the windowed rows themselves (first/last flags of the same
+window), so the input is evaluated once; the edge set is small (#keys x #splits) and
+the big side keeps its (key, split) partitioning for the join back, so only the edge
+set is shuffled again.
 """
 
 from __future__ import annotations
@@ -38,26 +40,21 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     b = "__split"
     d = df.withColumn(b, split)
     w_in = Window.partitionBy(*keys, b).orderBy(*order_c)
-    w_all = Window.partitionBy(*keys, b)
-    d = d.withColumns({f"__in_{v}": shift(F.col(v)).over(w_in) for v in values})
     d = d.withColumns({
-        "__rn": F.row_number().over(w_in),
-        "__n": F.count(F.lit(1)).over(w_all),
+        **{f"__in_{v}": shift(F.col(v)).over(w_in) for v in values},
+        "__first": F.lag(F.lit(1)).over(w_in).isNull(),
+        "__last": F.lead(F.lit(1)).over(w_in).isNull(),
     })
-    edge = (F.col("__rn") == 1) if direction == "prev" else (F.col("__rn") == F.col("__n"))
-
-    pick = F.max_by if direction == "prev" else F.min_by
-    ordkey = F.struct(*order_c)
-    summary = (
-        df.withColumn(b, split)
-        .groupBy(*keys, b)
-        .agg(pick(F.struct(*[F.col(v) for v in values]), ordkey).alias("__edge"))
-    )
+    # the row that a neighbouring split needs: its last row (prev) or first row (next);
+    # taken from the windowed rows themselves, so the input is evaluated once
+    source = "__last" if direction == "prev" else "__first"
+    edge = "__first" if direction == "prev" else "__last"
+    summary = d.where(F.col(source)).select(*keys, b, F.struct(*[F.col(v) for v in values]).alias("__edge"))
     w_s = Window.partitionBy(*keys).orderBy(F.col(b))
     summary = summary.select(*keys, b, shift(F.col("__edge")).over(w_s).alias("__nb"))
     out = d.join(summary, on=[*keys, b], how="left")
     out = out.withColumns({
-        f"{prefix}{v}": F.when(edge, F.col("__nb").getField(v)).otherwise(F.col(f"__in_{v}"))
+        f"{prefix}{v}": F.when(F.col(edge), F.col("__nb").getField(v)).otherwise(F.col(f"__in_{v}"))
         for v in values
     })
-    return out.drop(b, "__rn", "__n", "__nb", *[f"__in_{v}" for v in values])
+    return out.drop(b, "__first", "__last", "__nb", *[f"__in_{v}" for v in values])

@@ -16,17 +16,31 @@ from lakehold.plans import health, marts, roles
 from lakehold.plans.roles import AS_OF, EVENT_CUTOFF, WEATHER_BY_EVENT, table
 from lakehold.sources import grid, observations
 
+# Hot-key splits for per-key neighbour windows: a station's versions are windowed per
+# (station, month) and a user's change log per (user, day); bucket edges are joined
+# from a one-row-per-bucket summary (see operators/windows.py).
+def VERSION_SPLIT():  # noqa: N802 - columns need a live session, so built on call
+    return F.date_trunc("month", F.col("valid_from"))
+
+
+def MART_SPLIT():  # noqa: N802
+    return F.date_trunc("month", F.col("date_last_status_update"))
+
+
+def LOG_SPLIT():  # noqa: N802
+    return F.date_trunc("day", F.col("ts"))
+
 # ---------------------------------------------------------------- marts
 
 
 def station_facts(spark, sf):
-    v, c, w = roles.mart_inputs(spark, sf)
-    return marts.station_facts(v, c, w, AS_OF, mode="parity", **roles.FACT_KW)
+    v, c, w = roles.mart_inputs(spark, sf, VERSION_SPLIT())
+    return marts.station_facts(v, c, w, AS_OF, mode="parity", split=MART_SPLIT(), **roles.FACT_KW)
 
 
 def station_facts_corrected(spark, sf):
-    v, c, w = roles.mart_inputs(spark, sf)
-    return marts.station_facts(v, c, w, AS_OF, mode="corrected", **roles.FACT_KW)
+    v, c, w = roles.mart_inputs(spark, sf, VERSION_SPLIT())
+    return marts.station_facts(v, c, w, AS_OF, mode="corrected", split=MART_SPLIT(), **roles.FACT_KW)
 
 
 def station_dim(spark, sf):
@@ -219,7 +233,7 @@ def _scd_state(spark, sf):
     log = _change_log(spark, sf)
     cut = ts_ntz(EVENT_CUTOFF)
     target = scd2.history(log.where(F.col("ts") < cut), SCD_KEYS, SCD_ATTRS, SCD_TRACKED,
-                          ts="ts", order=["event_id"])
+                          ts="ts", order=["event_id"], split=LOG_SPLIT())
     staged = log.where(F.col("ts") >= cut)
     return target, staged
 
@@ -255,7 +269,7 @@ def scd2_replay(spark, sf):
 
 def scd2_history(spark, sf):
     return scd2.history(_change_log(spark, sf), SCD_KEYS, SCD_ATTRS, SCD_TRACKED,
-                        ts="ts", order=["event_id"]).select(*SCD_OUT)
+                        ts="ts", order=["event_id"], split=LOG_SPLIT()).select(*SCD_OUT)
 
 
 # ---------------------------------------------------------------- upsert
