@@ -38,7 +38,8 @@ def with_validity(df: DataFrame, required: Sequence[str],
     for c in non_negative:
         reasons.append(F.when(F.col(c).isNull(), F.lit(f"{c}:null"))
                        .when(F.col(c) < 0, F.lit(f"{c}:negative")))
-    arr = F.filter(F.array(*reasons), lambda x: x.isNotNull()) if reasons else F.array().cast("array<string>")
+    arr = (F.array_distinct(F.filter(F.array(*reasons), lambda x: x.isNotNull())) if reasons
+           else F.array().cast("array<string>"))
     return df.withColumn("reject_reasons", arr).withColumn("is_valid", F.size("reject_reasons") == 0)
 
 

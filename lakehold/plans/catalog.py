@@ -427,3 +427,105 @@ def stream_scd2(spark, sf):
 
 QUERIES["stream_dedup"] = stream_dedup
 QUERIES["stream_scd2"] = stream_scd2
+
+
+# ---------------------------------------------------------------- bronze -> silver flow
+
+
+def station_documents(spark, sf) -> DataFrame:
+    """Station landing documents: one per order line (a station version with one
+    connector), or one per order without lines (empty connector list). Re-delivered
+    urgent orders give duplicate UUIDs; some documents lack a latitude (rejected) and
+    some connectors have negative power (rejected)."""
+    from lakehold.plans.roles import STATUS_BY_ORDERSTATUS, STATUS_TITLE, _case
+
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        "l_returnflag", "l_linestatus")
+    base = (o.join(c, o.o_custkey == c.c_custkey, "inner")
+            .join(li, o.o_orderkey == li.l_orderkey, "left"))
+    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    conn = F.struct(
+        F.col("l_linenumber").alias("ConnectionTypeID"),
+        F.struct(F.col("l_linestatus").alias("Title")).alias("ConnectionType"),
+        F.when(F.col("l_quantity") > 45, 3).when(F.col("l_quantity") > 20, 2).otherwise(1).alias("LevelID"),
+        F.pmod("l_partkey", F.lit(100)).cast("int").alias("Amps"),
+        F.col("l_extendedprice").alias("Voltage"),
+        (F.col("l_quantity") - F.lit(5.0)).alias("PowerKW"),
+        (F.lit(1) + F.col("l_linenumber") % 2).alias("Quantity"),
+        F.struct(F.col("l_returnflag").alias("Title")).alias("CurrentType"),
+    )
+    doc = F.struct(
+        F.col("o_custkey").alias("ID"),
+        F.concat_ws("-", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                    "l_extendedprice", "l_returnflag", "l_linestatus").alias("UUID"),
+        F.struct(
+            F.col("c_name").alias("Title"), F.col("o_orderpriority").alias("AddressLine1"),
+            F.col("c_mktsegment").alias("Town"),
+            F.when(F.col("c_nationkey") % 2 == 0, "NJ").otherwise("NY").alias("StateOrProvince"),
+            F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.col("c_acctbal") / F.lit(100.0)).alias("Latitude"),
+            (F.col("c_nationkey").cast("double") / F.lit(10.0) - F.lit(74.0)).alias("Longitude"),
+        ).alias("AddressInfo"),
+        F.when(F.col("l_orderkey").isNotNull(), F.array(conn)).alias("Connections"),
+        F.struct(_case("o_orderstatus", STATUS_TITLE).alias("Title"),
+                 _case("o_orderstatus", STATUS_BY_ORDERSTATUS).alias("ID")).alias("StatusType"),
+        F.date_format("o_orderdate", iso).alias("DateLastStatusUpdate"),
+        F.date_format(F.col("o_orderdate") - F.expr("INTERVAL 30 DAYS"), iso).alias("DateCreated"),
+        F.struct(F.concat(F.lit("https://example.org/"), F.col("c_mktsegment")).alias("WebsiteURL")).alias("DataProvider"),
+    )
+    docs = base.select(F.to_json(doc).alias("raw_text"), "o_orderpriority")
+    again = docs.where(F.col("o_orderpriority") == "1-URGENT")
+    return docs.unionByName(again).drop("o_orderpriority")
+
+
+STATION_OUT = ["station_id", "title", "address", "town", "state_or_province", "latitude", "longitude",
+               "status", "status_id", "date_last_status_update", "date_created", "weather_zone_lat",
+               "weather_zone_lon"]
+CONNECTOR_OUT = ["station_id", "connection_type_id", "connection_type", "level_id", "amps", "voltage",
+                 "power_kw", "quantity", "current_type", "date_last_status_update"]
+
+
+def _silver_rows(spark, sf):
+    from lakehold.plans import flows
+    from lakehold.session import INITIAL_WATERMARK
+
+    bronze = flows.bronze_stations(station_documents(spark, sf), "2024-01-31 00:00:00")
+    return flows.silver_station_rows(bronze, INITIAL_WATERMARK, AS_OF)
+
+
+def silver_stations(spark, sf):
+    ok, _ = _silver_rows(spark, sf)
+    return ok.select(*STATION_OUT)
+
+
+def silver_station_rejects(spark, sf):
+    _, bad = _silver_rows(spark, sf)
+    return bad.select("station_id", F.array_join("reject_reasons", ",").alias("reject_reasons"))
+
+
+def _connector_rows(spark, sf):
+    from lakehold.plans import flows
+
+    ok, _ = _silver_rows(spark, sf)
+    return flows.connector_rows(ok, AS_OF)
+
+
+def silver_connectors(spark, sf):
+    ok, _ = _connector_rows(spark, sf)
+    return ok.select(*CONNECTOR_OUT)
+
+
+def silver_connector_rejects(spark, sf):
+    _, bad = _connector_rows(spark, sf)
+    return bad.select("station_id", "date_last_status_update",
+                      F.array_join("reject_reasons", ",").alias("reject_reasons"))
+
+
+QUERIES.update({
+    "silver_stations": silver_stations,
+    "silver_station_rejects": silver_station_rejects,
+    "silver_connectors": silver_connectors,
+    "silver_connector_rejects": silver_connector_rejects,
+})

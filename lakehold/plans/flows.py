@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.functions.columns import grid_cell_id
+from lakehold.functions.columns import grid_cell_id, ts_ntz
 from lakehold.operators import geo, quality, scd2, transform, upsert
 from lakehold.plans import marts
 from lakehold.sources import landing
@@ -40,7 +40,10 @@ def bronze_stations(landing_docs: DataFrame, as_of: str) -> DataFrame:
 
 
 def _to_ts(c: str):
-    return F.col(c).try_cast("timestamp").cast("timestamp_ntz")
+    """ISO text (``...Z`` or with an offset) -> UTC wall time as ``timestamp_ntz``,
+    independent of the session time zone."""
+    instant = F.col(c).try_cast("timestamp")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), ts_ntz("1970-01-01 00:00:00"))
 
 
 def silver_station_rows(bronze: DataFrame, watermark: str, as_of: str,

@@ -426,3 +426,60 @@ ORACLES = {
 
 ORACLES["stream_dedup"] = "SELECT event_id, ts, user_id, event_type, value FROM events"
 ORACLES["stream_scd2"] = SCD2_APPLY
+
+_STATION_DOCS = """
+base AS (
+  SELECT DISTINCT o.o_custkey, o.o_orderkey, o.o_orderstatus, o.o_orderdate, o.o_orderpriority,
+         c.c_name, c.c_mktsegment, c.c_nationkey, c.c_acctbal,
+         l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
+         l.l_returnflag, l.l_linestatus
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey),
+srows AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS station_id, c_name AS title, o_orderpriority AS address,
+         c_mktsegment AS town,
+         CASE WHEN c_nationkey % 2 = 0 THEN 'New Jersey' ELSE 'New York' END AS state_or_province,
+         CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN c_acctbal / CAST(100 AS DOUBLE) END AS latitude,
+         CAST(c_nationkey AS DOUBLE) / CAST(10 AS DOUBLE) - CAST(74 AS DOUBLE) AS longitude,
+         CASE o_orderstatus WHEN 'F' THEN 'Operational' WHEN 'O' THEN 'Temporarily Unavailable'
+              WHEN 'P' THEN 'Planned' END AS status,
+         CAST(CASE o_orderstatus WHEN 'F' THEN 50 WHEN 'O' THEN 30 WHEN 'P' THEN 20 END AS INTEGER) AS status_id,
+         o_orderdate AS date_last_status_update, o_orderdate - INTERVAL 30 DAY AS date_created,
+         l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus
+  FROM base)"""
+
+SILVER_STATIONS = f"""WITH {_STATION_DOCS}
+SELECT station_id, title, address, town, state_or_province, latitude, longitude, status, status_id,
+       date_last_status_update, date_created, {_round('latitude', 1)} AS weather_zone_lat,
+       {_round('longitude', 1)} AS weather_zone_lon
+FROM srows WHERE latitude IS NOT NULL"""
+
+SILVER_STATION_REJECTS = f"""WITH {_STATION_DOCS}
+SELECT station_id, 'latitude:null' AS reject_reasons FROM srows WHERE latitude IS NULL"""
+
+_CONNECTORS = f"""WITH {_STATION_DOCS},
+conn AS (
+  SELECT station_id, l_orderkey, l_linenumber AS connection_type_id, l_linestatus AS connection_type,
+         CASE WHEN l_quantity > 45 THEN 3 WHEN l_quantity > 20 THEN 2 ELSE 1 END AS level_id,
+         CAST(l_partkey % 100 AS INTEGER) AS amps, l_extendedprice AS voltage,
+         l_quantity - CAST(5 AS DOUBLE) AS power_kw, 1 + l_linenumber % 2 AS quantity,
+         l_returnflag AS current_type, date_last_status_update
+  FROM srows WHERE latitude IS NOT NULL)"""
+
+SILVER_CONNECTORS = f"""{_CONNECTORS}
+SELECT station_id, connection_type_id, connection_type, level_id, amps, voltage, power_kw, quantity,
+       current_type, date_last_status_update
+FROM conn WHERE l_orderkey IS NOT NULL AND power_kw >= 0"""
+
+SILVER_CONNECTOR_REJECTS = f"""{_CONNECTORS}
+SELECT station_id, date_last_status_update,
+       CASE WHEN l_orderkey IS NULL THEN 'connection_type_id:null,level_id:null,quantity:null,power_kw:null'
+            ELSE 'power_kw:negative' END AS reject_reasons
+FROM conn WHERE l_orderkey IS NULL OR power_kw < 0"""
+
+ORACLES.update({
+    "silver_stations": SILVER_STATIONS,
+    "silver_station_rejects": SILVER_STATION_REJECTS,
+    "silver_connectors": SILVER_CONNECTORS,
+    "silver_connector_rejects": SILVER_CONNECTOR_REJECTS,
+})
