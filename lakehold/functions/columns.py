@@ -89,6 +89,16 @@ def parse_strings(json_col: Column | str, paths: Sequence[str]) -> Column:
     return F.from_json(c, string_schema(list(paths)), {"mode": "PERMISSIVE"})
 
 
+def evaluate_once(df, expr: Column, alias: str):
+    """Add ``expr`` as column ``alias`` behind a one-row generator.
+
+    A filter on columns derived from an expensive expression (a JSON parse) is
+    otherwise pushed below the projection, and Catalyst copies the expression into
+    every reference of the filter; a generator output cannot be pushed through.
+    """
+    return df.select("*", F.inline(F.array(F.struct(expr.alias(alias)))))
+
+
 def get_path(struct_col: Column, path: str) -> Column:
     e = struct_col
     for part in path.split("."):

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from lakehold.functions.columns import (get_path, grid_round, map_values, minus_minutes,
-                                       parse_strings, ts_ntz)
+from lakehold.functions.columns import (evaluate_once, get_path, grid_round, map_values,
+                                       minus_minutes, parse_strings, ts_ntz)
 
 # State codes written out in the cleaned station table.
 STATE_NAMES = {"NJ": "New Jersey", "NY": "New York"}
@@ -19,9 +19,8 @@ STATE_NAMES = {"NJ": "New Jersey", "NY": "New York"}
 def extract_json(df: DataFrame, json_col: str, fields: Mapping[str, str],
                  keep: Sequence[str] = ()) -> DataFrame:
     """Project JSON paths (dotted, ``{"AddressInfo.Town": "town"}``) to string columns
-    with a single parse per row (the parsed struct is one column; Catalyst keeps an
-    expensive expression that is referenced many times in its own projection)."""
-    parsed = df.select(*keep, parse_strings(json_col, list(fields)).alias("__doc"))
+    with a single parse per row (see ``evaluate_once``)."""
+    parsed = evaluate_once(df.select(*keep, json_col), parse_strings(json_col, list(fields)), "__doc")
     return parsed.select(*keep, *[get_path(F.col("__doc"), p).alias(a) for p, a in fields.items()])
 
 

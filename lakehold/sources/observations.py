@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakehold.functions.columns import evaluate_once
 from lakehold.sources.schemas import BRONZE_WEATHER, OBSERVATION
 
 
@@ -36,10 +37,8 @@ def _fields():
 def flatten_observations(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> DataFrame:
     """All rows, flattened, with ``missing_fields`` (array of required field names
     that are absent)."""
-    # Parse inside a one-row generator: a later filter on the derived columns cannot be
-    # pushed below it, so Catalyst does not copy the parse into every field reference.
     parsed = F.from_json(F.col(json_col), OBSERVATION, {"mode": "PERMISSIVE"})
-    d = df.select("*", F.inline(F.array(F.struct(parsed.alias("__obs")))))
+    d = evaluate_once(df, parsed, "__obs")  # one parse per row, whatever filters follow
     f = _fields()
     required = [c for c in f if c not in ("rain", "snow")]
     missing = F.filter(F.array(*[F.when(f[c].isNull(), F.lit(c)) for c in required]),

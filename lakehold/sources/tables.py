@@ -39,3 +39,26 @@ def publish(spark: SparkSession, name: str, df: DataFrame, new_location: str) ->
     else:
         spark.catalog.createTable(name, path=new_location, source="parquet")
     return n
+
+
+class GateFailed(RuntimeError):
+    pass
+
+
+def publish_gated(spark: SparkSession, name: str, df: DataFrame, new_location: str) -> int:
+    """Publish only when no column is entirely null. The non-null counts come from the
+    write pass itself (``Observation``); a failing state is written but never published."""
+    obs = Observation("gate")
+    counted = df.observe(obs, F.count(F.lit(1)).alias("__rows"),
+                         *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    counted.write.mode("errorifexists").format("parquet").save(new_location)
+    m = obs.get
+    empty = [c for c in df.columns if m[c] == 0]
+    if empty:
+        raise GateFailed(f"not published: column(s) {empty} are all NULL")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_location}'")
+        spark.sql(f"REFRESH TABLE {name}")
+    else:
+        spark.catalog.createTable(name, path=new_location, source="parquet")
+    return int(m["__rows"])

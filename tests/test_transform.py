@@ -115,3 +115,21 @@ def test_ingest_timestamp_is_one_constant(spark):
     assert df.select("ingest_timestamp").distinct().count() == 1
     assert df.schema["ingest_timestamp"].dataType.simpleString() == "timestamp_ntz"
     assert df.where(F.col("ingest_timestamp") == ts_ntz("2025-01-01 00:00:00")).count() == 5
+
+
+def test_publish_and_gated_publish(spark, tmp_path):
+    import pytest
+
+    from lakehold.sources import tables
+
+    name = f"pub_{abs(hash(str(tmp_path))) % 10**8}"
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, v string")
+    assert tables.publish_gated(spark, name, df, str(tmp_path / "v1")) == 2
+    assert spark.table(name).count() == 2
+    bad = spark.createDataFrame([(3, None)], "id int, v string")
+    with pytest.raises(tables.GateFailed):
+        tables.publish_gated(spark, name, bad, str(tmp_path / "v2"))
+    assert spark.table(name).count() == 2  # the failing state was never published
+    assert tables.publish(spark, name, bad, str(tmp_path / "v3")) == 1
+    assert spark.table(name).count() == 1
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
