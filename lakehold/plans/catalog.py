@@ -476,7 +476,9 @@ def station_documents(spark, sf) -> DataFrame:
         F.struct(F.concat(F.lit("https://example.org/"), F.col("c_mktsegment")).alias("WebsiteURL")).alias("DataProvider"),
     )
     copies = F.when(F.col("o_orderpriority") == "1-URGENT", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return base.select(F.to_json(doc).alias("raw_text"), F.explode(copies).alias("__copy")).drop("__copy")
+    # serialise first: a generator in the same projection strips the struct's field names
+    docs = base.select(F.to_json(doc).alias("raw_text"), copies.alias("__copies"))
+    return docs.select("raw_text", F.explode("__copies").alias("__copy")).drop("__copy")
 
 
 STATION_OUT = ["station_id", "title", "address", "town", "state_or_province", "latitude", "longitude",

@@ -19,3 +19,14 @@ def test_small_queries_run(spark):
     q = E.queries()
     for name in ["scd2_apply", "nearest_region", "health_report", "column_gate", "json_array_explode"]:
         assert q[name](spark, E.SMOKE_DIR).count() > 0
+
+
+def test_station_documents_keep_field_names(spark):
+    import json
+
+    from lakehold.plans import catalog
+
+    doc = json.loads(catalog.station_documents(spark, E.SMOKE_DIR).first().raw_text)
+    assert {"ID", "UUID", "AddressInfo", "StatusType", "DateLastStatusUpdate"} <= set(doc)
+    rows = catalog.silver_stations(spark, E.SMOKE_DIR)
+    assert rows.where("station_id IS NOT NULL").count() > 100
