@@ -120,3 +120,8 @@ def run_step(spark: SparkSession, table: str, pipeline_name: str, layer: str,
                          end_time=dt.datetime.now(), error_message=err)
         append_run(spark, table, rec)
     return status
+
+
+def new_watermark(df: DataFrame, column: str = "ingest_timestamp") -> DataFrame:
+    """The watermark a run hands on: max of the *source* stamp (one-row frame)."""
+    return df.agg(F.max(column).alias("last_processed_timestamp"))

@@ -15,18 +15,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scaled(c: str, lo, hi, bits: int) -> Column:
+def as_number(df: DataFrame, c: str) -> Column:
+    """An order-preserving number for a key column (timestamps -> epoch micros,
+    dates -> epoch days)."""
+    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+
+    t = df.schema[c].dataType
+    if isinstance(t, NumericType):
+        return F.col(c)
+    if isinstance(t, TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
+    if isinstance(t, TimestampType):
+        return F.unix_micros(F.col(c))
+    if isinstance(t, DateType):
+        return F.unix_date(F.col(c))
+    raise TypeError(f"cannot z-order on {c} of type {t.simpleString()}")
+
+
+def scaled(x: Column, lo, hi, bits: int) -> Column:
     top = (1 << bits) - 1
     if lo is None or hi is None or hi == lo:
         return F.lit(0).cast("long")
-    frac = (F.col(c) - F.lit(lo)) / F.lit(hi - lo)
+    frac = (x - F.lit(lo)) / F.lit(hi - lo)
     return F.least(F.greatest(F.floor(frac * F.lit(float(top))), F.lit(0)), F.lit(top)).cast("long")
 
 
 def z_value(df: DataFrame, cols: Sequence[str], bits: int = 10) -> Column:
-    stats = df.agg(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
-                   *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
-    parts = [scaled(c, stats[f"lo_{i}"], stats[f"hi_{i}"], bits) for i, c in enumerate(cols)]
+    nums = [as_number(df, c) for c in cols]
+    stats = df.agg(*[F.min(x).alias(f"lo_{i}") for i, x in enumerate(nums)],
+                   *[F.max(x).alias(f"hi_{i}") for i, x in enumerate(nums)]).first()
+    parts = [scaled(x, stats[f"lo_{i}"], stats[f"hi_{i}"], bits) for i, x in enumerate(nums)]
     k = len(cols)
     z = F.lit(0).cast("long")
     for b in range(bits):

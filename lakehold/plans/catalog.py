@@ -459,8 +459,10 @@ def station_documents(spark, sf) -> DataFrame:
     )
     doc = F.struct(
         F.col("o_custkey").alias("ID"),
-        F.concat_ws("-", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                    "l_extendedprice", "l_returnflag", "l_linestatus").alias("UUID"),
+        F.concat_ws("-", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    F.round(F.col("l_quantity") * 100).cast("long"),  # cents: exact, no double text
+                    F.round(F.col("l_extendedprice") * 100).cast("long"),
+                    "l_returnflag", "l_linestatus").alias("UUID"),
         F.struct(
             F.col("c_name").alias("Title"), F.col("o_orderpriority").alias("AddressLine1"),
             F.col("c_mktsegment").alias("Town"),
@@ -532,3 +534,18 @@ QUERIES.update({
     "silver_connectors": silver_connectors,
     "silver_connector_rejects": silver_connector_rejects,
 })
+
+
+def maintenance_report(spark, sf):
+    """Z-order rewrite of lineitem and orders into the shared folder; the per-table
+    status/duration report (durations vary, so it has no oracle)."""
+    from lakehold.session import shared_dir
+
+    base = sf.rstrip("/")
+    tables = {f"{base}/lineitem.parquet": ["l_orderkey", "l_partkey"],
+              f"{base}/orders.parquet": ["o_custkey", "o_orderdate"]}
+    rep = layout.optimize_tables(spark, tables, shared_dir(spark, "maintenance"))
+    return rep.select("table", "operation", "status")
+
+
+QUERIES["maintenance_report"] = maintenance_report

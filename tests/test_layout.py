@@ -20,3 +20,13 @@ def test_optimize_report_continues_after_failure(spark, tmp_path):
     st = {r.table.split("/")[-1]: r.status for r in rep.collect()}
     assert st == {"good": "success", "missing": "failed"}
     assert spark.read.parquet(str(tmp_path / "out" / "good")).count() == 100
+
+
+def test_zorder_on_timestamp_and_date(spark):
+    import datetime as dt
+
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), dt.date(2024, 1, 1) + dt.timedelta(days=i % 30))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, d date")
+    z = layout.zorder(df, ["ts", "d", "k"], bits=5, partitions=4)
+    assert z.count() == 200 and z.where("z IS NULL").count() == 0

@@ -133,3 +133,25 @@ def test_publish_and_gated_publish(spark, tmp_path):
     assert tables.publish(spark, name, bad, str(tmp_path / "v3")) == 1
     assert spark.table(name).count() == 1
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_create_if_absent_and_remove_nulls(spark, tmp_path):
+    from lakehold.sources import tables
+    from lakehold.sources.schemas import STATIONS_TABLE
+
+    name = f"stations_{abs(hash(str(tmp_path))) % 10**8}"
+    t = tables.create_if_absent(spark, name, STATIONS_TABLE, str(tmp_path / "st"))
+    assert t.count() == 0 and t.columns == STATIONS_TABLE.fieldNames()
+    assert tables.create_if_absent(spark, name, STATIONS_TABLE).count() == 0  # second call keeps it
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df = spark.createDataFrame([(1.0, 2.0), (None, 2.0), (1.0, None)], "latitude double, longitude double")
+    assert transform.remove_nulls(df, ["latitude", "longitude"]).count() == 1
+
+
+def test_new_watermark_from_source(spark):
+    import datetime as dt
+
+    from lakehold.operators import control
+
+    df = spark.createDataFrame([(dt.datetime(2025, 1, 1),), (dt.datetime(2025, 1, 3),)], "ingest_timestamp timestamp_ntz")
+    assert control.new_watermark(df).first()[0] == dt.datetime(2025, 1, 3)
