@@ -1,10 +1,18 @@
 """Nearest region for points (planar distance in the input units).
 
-The region set is reference data (boroughs, towns): its row count is checked
-against ``max_regions`` before it is packed into one broadcast row. Each point then
-evaluates every region inside one Catalyst expression (ray casting for inside,
-point-to-segment distance outside) - no pair rows are emitted. Equally near regions
-(within ``tie_tolerance``) all come back, one row each, as a nearest join does.
+Two exact strategies:
+
+* ``broadcast`` - the region set (boroughs, towns) is counted against
+  ``max_regions`` and packed into one broadcast row; each point evaluates every region
+  inside one Catalyst expression (ray casting for inside, point-to-segment distance
+  outside). No pair rows are emitted.
+* ``grid`` - used beyond that bound. Regions are registered in the grid cells their
+  bounding box covers; each point looks at its 3x3 cell neighbourhood. If the nearest
+  candidate is within one cell size, no region outside the neighbourhood can be
+  nearer, so the point is resolved; the others move to the next level with twice the
+  cell size. The number of levels is logarithmic in the extent of the data.
+
+Equally near regions (within ``tie_tolerance``) all come back, one row each.
 """
 
 from __future__ import annotations
@@ -58,9 +66,14 @@ def polygon_distance(px: Column, py: Column, verts: Column) -> Column:
 
 def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude", y: str = "latitude",
                    name_col: str = "name", out: str = "region", tie_tolerance: float = 1e-9,
-                   max_regions: int = DEFAULT_MAX_REGIONS) -> DataFrame:
+                   max_regions: int = DEFAULT_MAX_REGIONS, strategy: str = "auto",
+                   cell_size: float | None = None) -> DataFrame:
     """Left nearest join: every point keeps a row; ties give one row per region."""
+    if strategy not in ("auto", "broadcast", "grid"):
+        raise ValueError("strategy must be auto, broadcast or grid")
     n = regions.count()  # one-row metric: the size bound of the broadcast side
+    if strategy == "grid" or (strategy == "auto" and n > max_regions):
+        return nearest_region_grid(points, regions, x, y, name_col, out, tie_tolerance, cell_size)
     if n > max_regions:
         raise TooManyRegions(f"{n} regions exceed the broadcast bound {max_regions}")
     packed = regions.agg(
@@ -86,3 +99,66 @@ def boxes(spark, rows) -> DataFrame:
     pt = lambda a, b: F.struct(F.col(a).alias("x"), F.col(b).alias("y"))
     return df.select("name", F.array(pt("xmin", "ymin"), pt("xmax", "ymin"),
                                       pt("xmax", "ymax"), pt("xmin", "ymax")).alias("vertices"))
+
+
+def _bbox(verts: Column) -> list[Column]:
+    xs = F.transform(verts, lambda v: v["x"])
+    ys = F.transform(verts, lambda v: v["y"])
+    return [F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)]
+
+
+def nearest_region_grid(points: DataFrame, regions: DataFrame, x: str, y: str, name_col: str = "name",
+                        out: str = "region", tie_tolerance: float = 1e-9,
+                        cell_size: float | None = None) -> DataFrame:
+    """Exact multi-level grid nearest join (see module doc). One small aggregate fixes
+    the starting cell size (largest region box side) and the data extent; points get
+    ids behind a reliable checkpoint, so recomputation cannot renumber them."""
+    spark = points.sparkSession
+    from lakehold.session import shared_dir
+
+    shared_dir(spark, "geo")  # makes sure a checkpoint folder is set
+    reg = regions.select(F.col(name_col).alias("__name"), F.col("vertices").alias("__verts"))
+    bx = _bbox(F.col("__verts"))
+    reg = reg.select("__name", "__verts", *[b.alias(f"__b{i}") for i, b in enumerate(bx)])
+    rs = reg.agg(F.max(F.greatest(F.col("__b2") - F.col("__b0"), F.col("__b3") - F.col("__b1"))).alias("side"),
+                 F.min("__b0").alias("x0"), F.min("__b1").alias("y0"),
+                 F.max("__b2").alias("x1"), F.max("__b3").alias("y1")).first()
+    ps = points.agg(F.min(x).alias("x0"), F.min(y).alias("y0"), F.max(x).alias("x1"), F.max(y).alias("y1")).first()
+    if rs["x0"] is None:  # no regions: every point keeps one row without a region
+        return points.withColumn(out, F.lit(None).cast("string"))
+    xs = [v for v in (rs["x0"], rs["x1"], ps["x0"], ps["x1"]) if v is not None]
+    ys = [v for v in (rs["y0"], rs["y1"], ps["y0"], ps["y1"]) if v is not None]
+    extent = max(max(xs) - min(xs), max(ys) - min(ys), 1e-12)
+    size = cell_size or max(rs["side"] or 0.0, extent / 1024.0)
+
+    pts = points.withColumn("__pid", F.monotonically_increasing_id()).checkpoint()
+    todo = pts.select("__pid", F.col(x).alias("__x"), F.col(y).alias("__y"))
+    found = []
+    while True:
+        cell = lambda v: F.floor(v / F.lit(size)).cast("long")
+        rc = reg.select("__name", "__verts",
+                        F.explode(F.sequence(cell(F.col("__b0")), cell(F.col("__b2")))).alias("__cx"),
+                        cell(F.col("__b1")).alias("__cy0"), cell(F.col("__b3")).alias("__cy1"))
+        rc = rc.select("__name", "__verts", "__cx",
+                       F.explode(F.sequence("__cy0", "__cy1")).alias("__cy"))
+        near = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                         for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+        pc = todo.select("__pid", "__x", "__y", F.inline(near)).select(
+            "__pid", "__x", "__y", (cell(F.col("__x")) + F.col("dx")).alias("__cx"),
+            (cell(F.col("__y")) + F.col("dy")).alias("__cy"))
+        cand = (pc.join(rc, on=["__cx", "__cy"], how="inner")
+                .select("__pid", "__x", "__y", "__name", "__verts").dropDuplicates(["__pid", "__name"]))
+        cand = cand.withColumn("__d", polygon_distance(F.col("__x"), F.col("__y"), F.col("__verts")))
+        best = cand.groupBy("__pid").agg(F.min("__d").alias("__min"))
+        ok = best.where(F.col("__min") <= F.lit(size))
+        hits = (cand.join(ok, "__pid").where(F.col("__d") <= F.col("__min") + F.lit(tie_tolerance))
+                .select("__pid", F.col("__name").alias(out))).checkpoint()
+        found.append(hits)
+        todo = todo.join(ok.select("__pid"), "__pid", "left_anti").checkpoint()
+        if size >= 4 * extent or todo.isEmpty():
+            break
+        size *= 2.0
+    names = found[0]
+    for h in found[1:]:
+        names = names.unionByName(h)
+    return pts.join(names, "__pid", "left").drop("__pid")

@@ -301,11 +301,21 @@ REGION_BOXES = [("North", 0.0, 6.0, 3.0, 9.0), ("East", 5.0, 4.0, 9.0, 8.0),
                 ("South", 1.0, 0.0, 4.0, 3.0), ("West", -1.0, 3.0, 0.5, 5.0)]
 
 
-def nearest_region(spark, sf):
+def _region_points(spark, sf):
     c = table(spark, sf, "customer")
-    pts = c.select("c_custkey", (F.col("c_acctbal") / F.lit(1000.0)).alias("x"),
-                   (F.pmod("c_custkey", F.lit(97)).cast("double") / F.lit(10.0)).alias("y"))
-    out = geo.nearest_region(pts, geo.boxes(spark, REGION_BOXES), x="x", y="y")
+    return c.select("c_custkey", (F.col("c_acctbal") / F.lit(1000.0)).alias("x"),
+                    (F.pmod("c_custkey", F.lit(97)).cast("double") / F.lit(10.0)).alias("y"))
+
+
+def nearest_region(spark, sf):
+    out = geo.nearest_region(_region_points(spark, sf), geo.boxes(spark, REGION_BOXES), x="x", y="y")
+    return out.select("c_custkey", "region")
+
+
+def nearest_region_grid(spark, sf):
+    """The strategy used beyond the broadcast bound, forced on the same input."""
+    out = geo.nearest_region(_region_points(spark, sf), geo.boxes(spark, REGION_BOXES), x="x", y="y",
+                             strategy="grid")
     return out.select("c_custkey", "region")
 
 
@@ -382,6 +392,7 @@ QUERIES = {
     "upsert": upsert_rows,
     "insert_count": insert_count,
     "nearest_region": nearest_region,
+    "nearest_region_grid": nearest_region_grid,
     "watermark_top1": watermark_top1,
     "run_log": run_log,
     "health_report": health_report,

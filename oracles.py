@@ -483,3 +483,5 @@ ORACLES.update({
     "silver_connectors": SILVER_CONNECTORS,
     "silver_connector_rejects": SILVER_CONNECTOR_REJECTS,
 })
+
+ORACLES["nearest_region_grid"] = NEAREST_REGION

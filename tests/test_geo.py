@@ -39,4 +39,26 @@ def test_region_bound_checked(spark):
 
     pts = spark.createDataFrame([(1, 0.0, 0.0)], "id int, latitude double, longitude double")
     with pytest.raises(geo.TooManyRegions):
-        geo.nearest_region(pts, geo.boxes(spark, BOXES), max_regions=2)
+        geo.nearest_region(pts, geo.boxes(spark, BOXES), max_regions=2, strategy="broadcast")
+
+
+def test_grid_strategy_equals_broadcast(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(40):
+        x0, y0 = rnd.uniform(-50, 50), rnd.uniform(-50, 50)
+        rows.append((f"r{i}", x0, y0, x0 + rnd.uniform(0.1, 3), y0 + rnd.uniform(0.1, 3)))
+    regions = geo.boxes(spark, rows)
+    pts = spark.createDataFrame([(i, rnd.uniform(-80, 80), rnd.uniform(-80, 80)) for i in range(300)],
+                                "id int, latitude double, longitude double")
+    a = sorted((r.id, r.region) for r in geo.nearest_region(pts, regions, strategy="broadcast").collect())
+    b = sorted((r.id, r.region) for r in geo.nearest_region(pts, regions, strategy="grid").collect())
+    assert a == b and len({i for i, _ in b}) == 300
+
+
+def test_auto_switches_to_grid_beyond_bound(spark):
+    pts = spark.createDataFrame([(1, 40.77, -74.00), (2, 40.60, -74.00)], "id int, latitude double, longitude double")
+    out = {r.id: r.region for r in geo.nearest_region(pts, geo.boxes(spark, BOXES), max_regions=2).collect()}
+    assert out == {1: "Manhattan", 2: "Brooklyn"}
