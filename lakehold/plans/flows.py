@@ -102,12 +102,51 @@ def upsert_weather(target: DataFrame, new_rows: DataFrame) -> DataFrame:
 
 
 def gold(stations: DataFrame, connectors: DataFrame, weather: DataFrame, as_of: str,
-         mode: str = "parity") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(station facts, station dim, weather dim). Zones are joined on integer cell ids."""
+         mode: str = "parity", split_unit: str | None = "month") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(station facts, station dim, weather dim). Zones are joined on integer cell ids;
+    a station's versions are windowed per (station, ``split_unit``) (hot-key safe)."""
     zs = ("zone_lat_cell", "zone_lon_cell")
     s = stations.withColumns({zs[0]: grid_cell_id("weather_zone_lat"), zs[1]: grid_cell_id("weather_zone_lon")})
     w = weather.withColumns({zs[0]: grid_cell_id("lat"), zs[1]: grid_cell_id("lon")})
     kw = dict(station_zone=zs, weather_zone=zs)
-    facts = marts.station_facts(s, connectors, w, as_of, mode=mode, connector_order=("connection_sk",), **kw)
+    split = F.date_trunc(split_unit, F.col("date_last_status_update")) if split_unit else None
+    facts = marts.station_facts(s, connectors, w, as_of, mode=mode, connector_order=("connection_sk",),
+                                split=split, **kw)
     return (facts, marts.station_dim(s, connectors, w, as_of, mode=mode, **kw),
             marts.weather_dim(s, connectors, w, as_of, **kw))
+
+
+def run_station_batch(spark, control_table: str, bronze: DataFrame, state: DataFrame,
+                      state_location: str, quarantine_location: str, as_of: str,
+                      regions: DataFrame | None = None, pipeline: str = "stations") -> DataFrame:
+    """One scheduled silver run for stations, recorded in the control table.
+
+    Jobs: watermark top-1, quarantine append, new-state write (plus one tiny control
+    append). Counts and the new watermark are observed on the writes themselves; the
+    new watermark is the max *source* stamp of the rows taken. The new state is
+    written to ``state_location`` (a fresh folder) and returned.
+    """
+    from pyspark.sql import Observation
+
+    from lakehold.operators import control
+
+    holder = {}
+
+    def step():
+        wm = control.last_watermark(spark.table(control_table), pipeline, "silver")
+        rows, rejected = silver_station_rows(bronze, wm.strftime("%Y-%m-%d %H:%M:%S.%f"), as_of,
+                                             regions, gate=False)
+        bad = Observation("quarantine")
+        rejected.observe(bad, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(quarantine_location)
+        ok = Observation("rows")
+        rows = rows.observe(ok, F.count(F.lit(1)).alias("n"),
+                            F.max("source_ingest_timestamp").alias("wm"),
+                            *[F.count(F.col(c)).alias(f"nn_{c}") for c in STATION_REQUIRED])
+        new_state = apply_station_history(state, rows.drop("connections", "source_ingest_timestamp"))
+        new_state.write.mode("errorifexists").parquet(state_location)
+        m = ok.get
+        holder["state"] = spark.read.parquet(state_location)
+        return (m["wm"] or wm), int(m["n"]), int(bad.get["n"])
+
+    control.run_step(spark, control_table, pipeline, "silver", step)
+    return holder["state"]

@@ -64,3 +64,27 @@ def test_bronze_to_gold(spark):
     assert f["1"].is_operational is True and f["2"].is_operational is False
     assert f["2"].risk_score == 100 and f["1"].risk_score == 75
     assert sdim.count() == 2 and wdim.count() == 1
+
+
+def test_run_station_batch_records_and_advances(spark, tmp_path):
+    import datetime as dt
+
+    from lakehold.operators import control
+
+    name = f"ctl_{abs(hash(str(tmp_path))) % 10**8}"
+    control.create_control_table(spark, name, str(tmp_path / "ctl"))
+    docs = [station(1, 50, [CONN]), station(2, 30, [CONN], lat=None)]
+    landing = spark.createDataFrame([(json.dumps(d),) for d in docs], "raw_text string")
+    bronze = flows.bronze_stations(landing, "2025-01-02 00:00:00")
+    empty = spark.createDataFrame([], STATIONS_TABLE)
+    st = flows.run_station_batch(spark, name, bronze, empty, str(tmp_path / "s1"), str(tmp_path / "q"), AS_OF)
+    assert st.where("is_current").count() == 1
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 1
+    rec = spark.table(name).first()
+    assert (rec.status, rec.records_processed, rec.records_failed) == ("success", 1, 1)
+    assert rec.last_processed_timestamp == dt.datetime(2025, 1, 2)
+    # the same bronze again: nothing newer than the watermark, state unchanged
+    st2 = flows.run_station_batch(spark, name, bronze, st, str(tmp_path / "s2"), str(tmp_path / "q"), AS_OF)
+    assert sorted(map(repr, st2.collect())) == sorted(map(repr, st.collect()))
+    assert control.last_watermark(spark.table(name), "stations", "silver") == dt.datetime(2025, 1, 2)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
