@@ -5,7 +5,7 @@ Two exact strategies:
 * ``broadcast`` - the region set (boroughs, towns) is counted against
   ``max_regions`` and packed into one broadcast row; each point evaluates every region
   inside one Catalyst expression (ray casting for inside, point-to-segment distance
-  outside). No pair rows are emitted.
+  outside); the array is a scalar subquery, so there is no join and no pair rows.
 * ``grid`` - used beyond that bound. Regions are registered in the grid cells their
   bounding box covers; each point looks at its 3x3 cell neighbourhood. If the nearest
   candidate is within one cell size, no region outside the neighbourhood can be
@@ -79,11 +79,13 @@ def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude",
     packed = regions.agg(
         F.collect_list(F.struct(F.col(name_col).alias("name"), F.col("vertices").alias("vertices")))
         .alias("__regions")
-    ).withColumn("__k", F.lit(0))
-    p = points.withColumn("__k", F.lit(0)).join(F.broadcast(packed), on="__k", how="left").drop("__k")
+    )
+    # the count above bounds this array; a scalar subquery evaluates it once, no join
+    region_type = packed.schema["__regions"].dataType
+    p = points.withColumn("__regions", F.coalesce(packed.scalar(), F.array().cast(region_type)))
     px, py = F.col(x), F.col(y)
     dists = F.transform(
-        F.coalesce(F.col("__regions"), F.array().cast(packed.schema["__regions"].dataType)),
+        F.col("__regions"),
         lambda r: F.struct(r["name"].alias("name"), polygon_distance(px, py, r["vertices"]).alias("d")),
     )
     p = p.withColumn("__d", dists).withColumn("__min", F.array_min(F.transform("__d", lambda e: e["d"])))
