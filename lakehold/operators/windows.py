@@ -38,7 +38,9 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.withColumns({f"{prefix}{v}": shift(F.col(v)).over(w) for v in values})
 
     b = "__split"
-    d = df.withColumn(b, split)
+    # Explicit exchange on (keys, split): an input already partitioned by the keys alone
+    # would otherwise satisfy the window's distribution and keep a hot key in one task.
+    d = df.withColumn(b, split).repartition(*[F.col(k) for k in keys], F.col(b))
     w_in = Window.partitionBy(*keys, b).orderBy(*order_c)
     d = d.withColumns({
         **{f"__in_{v}": shift(F.col(v)).over(w_in) for v in values},
@@ -51,8 +53,13 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     edge = "__first" if direction == "prev" else "__last"
     summary = d.where(F.col(source)).select(*keys, b, F.struct(*[F.col(v) for v in values]).alias("__edge"))
     w_s = Window.partitionBy(*keys).orderBy(F.col(b))
-    summary = summary.select(*keys, b, shift(F.col("__edge")).over(w_s).alias("__nb"))
-    out = d.join(summary, on=[*keys, b], how="left")
+    jk = [*keys, b]
+    summary = summary.select(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(jk)],
+                             shift(F.col("__edge")).over(w_s).alias("__nb"))
+    # null-safe equality: null keys are a group too, and no not-null filter is inferred
+    # into the summary branch, so both branches share (reuse) the exchange above
+    cond = [F.col(c).eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(jk)]
+    out = d.join(summary, on=cond, how="left").drop(*[f"__s{i}" for i in range(len(jk))])
     out = out.withColumns({
         f"{prefix}{v}": F.when(F.col(edge), F.col("__nb").getField(v)).otherwise(F.col(f"__in_{v}"))
         for v in values

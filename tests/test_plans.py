@@ -30,3 +30,20 @@ def test_scan_prunes_columns(spark):
     plan = _plan(E.queries()["station_facts"](spark, E.SMOKE_DIR))
     # lineitem is read for three columns only
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in plan
+
+
+def test_split_window_shuffles_on_key_and_bucket(spark):
+    from pyspark.sql import functions as F
+
+    from lakehold.operators.windows import with_neighbor
+
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
+    pre = df.repartition("k")  # already partitioned by the key alone
+    out = with_neighbor(pre, ["k"], ["t"], ["v"], "prev", "p_", F.floor(F.col("t") / 100))
+    assert out.where("p_v IS NULL").count() == 3
+    out.collect()
+    plan = _plan(out)  # final adaptive plan
+    # the in-bucket window sits on an exchange over (k, split) even though the input was
+    # already partitioned by k, and the edge branch reuses that exchange (one evaluation)
+    assert "Exchange hashpartitioning(k#" in plan and "__split#" in plan
+    assert "ReusedExchange" in plan
