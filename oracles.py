@@ -485,3 +485,14 @@ ORACLES.update({
 })
 
 ORACLES["nearest_region_grid"] = NEAREST_REGION
+
+LANDING_INGEST = f"""WITH {_STATION_DOCS}
+SELECT DISTINCT
+  concat_ws('-', o_orderkey, l_linenumber, l_partkey, l_suppkey,
+            CAST(round(l_quantity * 100) AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT),
+            l_returnflag, l_linestatus) AS UUID,
+  'https://example.org/' || c_mktsegment AS source_file,
+  TIMESTAMP '2024-01-31 00:00:00' AS ingest_timestamp
+FROM base"""
+
+ORACLES["landing_ingest"] = LANDING_INGEST
