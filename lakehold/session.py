@@ -37,18 +37,23 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+_LOCAL_ROOTS: dict[int, str] = {}
 
-    The location comes from ``spark.checkpoint.dir``; only when the session has none
-    (local tests) a folder under the system temp dir is set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="lakehold-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``, else the
+    context's checkpoint dir). Only when neither is set (local tests) a folder under
+    the system temp dir is made and registered as the context's checkpoint dir."""
     sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:
+        root = _LOCAL_ROOTS.setdefault(id(sc), tempfile.mkdtemp(prefix="lakehold-ckpt-"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
-    path = os.path.join(root.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
-    return path
+    return root
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (see ``checkpoint_root``)."""
+    root = checkpoint_root(spark)
+    return os.path.join(root.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
