@@ -46,10 +46,16 @@ def connectors_per_station(connectors: DataFrame, order: Sequence[str], mode: st
     if mode == "corrected" and "is_current" in c.columns:
         c = c.where(F.col("is_current"))
     c = c.withColumn("total_power", F.col("power_kw") * F.col("quantity"))
-    first = F.min(F.struct(*[F.col(o) for o in order], F.col("total_power")))
+    from pyspark.sql.types import IntegralType
+
+    if len(order) == 1 and isinstance(c.schema[order[0]].dataType, IntegralType):
+        # one integral surrogate key: fixed-width buffers, so a hash aggregate
+        first = F.min_by("total_power", F.col(order[0]))
+    else:  # several order columns: struct buffer (sort-based aggregate)
+        first = F.min(F.struct(*[F.col(o) for o in order], F.col("total_power"))).getField("total_power")
     return c.groupBy("station_id").agg(
         F.max("level_id").alias("max_level"),
-        first.getField("total_power").alias("first_power"),
+        first.alias("first_power"),
         F.sum("total_power").alias("sum_power"),
     )
 

@@ -57,7 +57,9 @@ def random_inputs(spark, seed, n_st=40):
             vs.append([s, sk, rnd.choice([50, 30, 20]), t, t, None, D(2023, 6, 1), zone])
             sk += 1
         for k in range(rnd.randrange(0, 4)):
-            cs.append((s, rnd.randrange(1000), rnd.randrange(1, 4), float(rnd.randrange(1, 90)), rnd.randrange(1, 3)))
+            # connection_sk is a surrogate key: unique (a random, shuffled order)
+            cs.append((s, rnd.randrange(1000) * 1000 + len(cs), rnd.randrange(1, 4),
+                       float(rnd.randrange(1, 90)), rnd.randrange(1, 3)))
     vs.sort(key=lambda r: (r[0], r[3], r[1]))
     for i, r in enumerate(vs):
         nxt = vs[i + 1] if i + 1 < len(vs) and vs[i + 1][0] == r[0] else None
