@@ -46,18 +46,14 @@ def _to_ts(c: str):
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), ts_ntz("1970-01-01 00:00:00"))
 
 
-def silver_station_rows(bronze: DataFrame, watermark: str, as_of: str,
-                        regions: DataFrame | None = None, gate: bool = True) -> tuple[DataFrame, DataFrame]:
-    """New bronze rows -> (typed, standardised station rows, quarantined rows).
-
-    ``source_ingest_timestamp`` keeps the bronze stamp, so the next watermark is taken
-    from the source (not from this run's processing time)."""
+def _marked_station_rows(bronze: DataFrame, watermark: str, as_of: str, regions=None) -> DataFrame:
     df = transform.incremental_filter(bronze, watermark)
     df = transform.extract_json(df, "raw_text", STATION_FIELDS, keep=["ingest_timestamp"])
     df = df.withColumnRenamed("ingest_timestamp", "source_ingest_timestamp")
-    if gate:
-        quality.assert_columns_populated(df)
-    valid, rejected = quality.split_valid(df, STATION_REQUIRED)
+    return quality.with_validity(df, STATION_REQUIRED)
+
+
+def _typed_station_rows(valid: DataFrame, as_of: str, regions=None) -> DataFrame:
     valid = transform.cast_columns(valid, {"latitude": "double", "longitude": "double", "status_id": "int"})
     valid = valid.withColumns({"date_last_status_update": _to_ts("date_last_status_update"),
                                "date_created": _to_ts("date_created")})
@@ -65,7 +61,21 @@ def silver_station_rows(bronze: DataFrame, watermark: str, as_of: str,
     if regions is not None:
         valid = geo.nearest_region(valid.drop("town"), regions, x="longitude", y="latitude", out="town")
     valid = transform.assign_zone(valid)
-    return transform.add_ingest_timestamp(valid, as_of), rejected
+    return transform.add_ingest_timestamp(valid, as_of)
+
+
+def silver_station_rows(bronze: DataFrame, watermark: str, as_of: str,
+                        regions: DataFrame | None = None, gate: bool = True) -> tuple[DataFrame, DataFrame]:
+    """New bronze rows -> (typed, standardised station rows, quarantined rows).
+
+    ``source_ingest_timestamp`` keeps the bronze stamp, so the next watermark is taken
+    from the source (not from this run's processing time)."""
+    marked = _marked_station_rows(bronze, watermark, as_of, regions)
+    if gate:
+        quality.assert_columns_populated(marked.drop("is_valid", "reject_reasons"))
+    valid = marked.where(F.col("is_valid")).drop("is_valid", "reject_reasons")
+    rejected = marked.where(~F.col("is_valid")).drop("is_valid")
+    return _typed_station_rows(valid, as_of, regions), rejected
 
 
 def apply_station_history(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -118,35 +128,46 @@ def gold(stations: DataFrame, connectors: DataFrame, weather: DataFrame, as_of:
 
 def run_station_batch(spark, control_table: str, bronze: DataFrame, state: DataFrame,
                       state_location: str, quarantine_location: str, as_of: str,
-                      regions: DataFrame | None = None, pipeline: str = "stations") -> DataFrame:
+                      regions: DataFrame | None = None, pipeline: str = "stations",
+                      staging_location: str | None = None) -> DataFrame:
     """One scheduled silver run for stations, recorded in the control table.
 
-    Jobs: watermark top-1, quarantine append, new-state write (plus one tiny control
-    append). Counts and the new watermark are observed on the writes themselves; the
-    new watermark is the max *source* stamp of the rows taken. The new state is
-    written to ``state_location`` (a fresh folder) and returned.
+    The parsed rows are written ONCE, partitioned by validity, into a staging folder
+    (one pass over the documents, lineage cut); rejected rows are appended to the
+    quarantine and valid rows applied to the history from there. Counts and the new
+    watermark (max *source* stamp) are observed on that single write. Jobs: watermark
+    top-1, staging write, quarantine append, new-state write, control append.
     """
+    import uuid
+
     from pyspark.sql import Observation
 
     from lakehold.operators import control
 
     holder = {}
+    staging = staging_location or f"{state_location.rstrip('/')}-staging-{uuid.uuid4().hex[:8]}"
 
     def step():
         wm = control.last_watermark(spark.table(control_table), pipeline, "silver")
-        rows, rejected = silver_station_rows(bronze, wm.strftime("%Y-%m-%d %H:%M:%S.%f"), as_of,
-                                             regions, gate=False)
-        bad = Observation("quarantine")
-        rejected.observe(bad, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(quarantine_location)
-        ok = Observation("rows")
-        rows = rows.observe(ok, F.count(F.lit(1)).alias("n"),
-                            F.max("source_ingest_timestamp").alias("wm"),
-                            *[F.count(F.col(c)).alias(f"nn_{c}") for c in STATION_REQUIRED])
-        new_state = apply_station_history(state, rows.drop("connections", "source_ingest_timestamp"))
+        marked = _marked_station_rows(bronze, wm.strftime("%Y-%m-%d %H:%M:%S.%f"), as_of, regions)
+        obs = Observation("stage")
+        (marked.observe(obs, F.count_if("is_valid").alias("ok"), F.count_if(~F.col("is_valid")).alias("bad"),
+                        F.max(F.when(F.col("is_valid"), F.col("source_ingest_timestamp"))).alias("wm"))
+         .write.mode("overwrite").partitionBy("is_valid").parquet(staging))
+        m = obs.get
+        staged_schema = marked.drop("is_valid").schema  # known: no schema-inference jobs
+        if m["bad"]:
+            (spark.read.schema(staged_schema).parquet(f"{staging}/is_valid=false")
+             .write.mode("append").parquet(quarantine_location))
+        if m["ok"]:
+            rows = spark.read.schema(staged_schema).parquet(f"{staging}/is_valid=true").drop("reject_reasons")
+            rows = _typed_station_rows(rows, as_of, regions)
+            new_state = apply_station_history(state, rows.drop("connections", "source_ingest_timestamp"))
+        else:
+            new_state = state
         new_state.write.mode("errorifexists").parquet(state_location)
-        m = ok.get
-        holder["state"] = spark.read.parquet(state_location)
-        return (m["wm"] or wm), int(m["n"]), int(bad.get["n"])
+        holder["state"] = spark.read.schema(new_state.schema).parquet(state_location)
+        return (m["wm"] or wm), int(m["ok"]), int(m["bad"])
 
     control.run_step(spark, control_table, pipeline, "silver", step)
     return holder["state"]

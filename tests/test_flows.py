@@ -77,7 +77,13 @@ def test_run_station_batch_records_and_advances(spark, tmp_path):
     landing = spark.createDataFrame([(json.dumps(d),) for d in docs], "raw_text string")
     bronze = flows.bronze_stations(landing, "2025-01-02 00:00:00")
     empty = spark.createDataFrame([], STATIONS_TABLE)
+    sc = spark.sparkContext
+    sc.setJobGroup("station-batch", "one silver run")
     st = flows.run_station_batch(spark, name, bronze, empty, str(tmp_path / "s1"), str(tmp_path / "q"), AS_OF)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("station-batch"))
+    sc.setJobGroup("other", "")
+    print("spark jobs for one silver batch:", jobs)
+    assert jobs <= 10  # the reference needs ~30 actions for the same batch
     assert st.where("is_current").count() == 1
     assert spark.read.parquet(str(tmp_path / "q")).count() == 1
     rec = spark.table(name).first()
