@@ -171,3 +171,57 @@ def run_station_batch(spark, control_table: str, bronze: DataFrame, state: DataF
 
     control.run_step(spark, control_table, pipeline, "silver", step)
     return holder["state"]
+
+
+def run_weather_batch(spark, control_table: str, bronze_weather: DataFrame, target: DataFrame,
+                      target_location: str, as_of: str, pipeline: str = "weather") -> DataFrame:
+    """Silver weather run: new bronze rows -> standardised -> upserted by weather_sk.
+    The new watermark is the max bronze stamp of the rows taken."""
+    from pyspark.sql import Observation
+
+    from lakehold.operators import control
+
+    holder = {}
+
+    def step():
+        wm = control.last_watermark(spark.table(control_table), pipeline, "silver")
+        new = transform.incremental_filter(bronze_weather, wm.strftime("%Y-%m-%d %H:%M:%S.%f"))
+        obs = Observation("weather")
+        new = new.observe(obs, F.count(F.lit(1)).alias("n"), F.max("ingest_timestamp").alias("wm"))
+        rows = transform.standardize_weather(new, as_of)
+        out = upsert_weather(target, rows.select(*target.columns))
+        out.write.mode("errorifexists").parquet(target_location)
+        holder["t"] = spark.read.schema(out.schema).parquet(target_location)
+        m = obs.get
+        return (m["wm"] or wm), int(m["n"]), 0
+
+    control.run_step(spark, control_table, pipeline, "silver", step)
+    return holder["t"]
+
+
+def run_gold(spark, control_table: str, stations: DataFrame, connectors: DataFrame, weather: DataFrame,
+             out_root: str, as_of: str, mode: str = "parity", pipeline: str = "marts"):
+    """Gold run: facts and both dimensions written under ``out_root`` (three jobs, row
+    counts observed on the writes), then the health report over what was written."""
+    from pyspark.sql import Observation
+
+    from lakehold.operators import control
+    from lakehold.plans import health
+
+    holder = {}
+
+    def step():
+        outs = dict(zip(("station_facts", "station_dim", "weather_dim"),
+                        gold(stations, connectors, weather, as_of, mode)))
+        counts = {}
+        for name, df in outs.items():
+            obs = Observation(name)
+            df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(f"{out_root}/{name}")
+            counts[name] = int(obs.get["n"])
+        written = {n: spark.read.schema(df.schema).parquet(f"{out_root}/{n}") for n, df in outs.items()}
+        holder["tables"] = written
+        holder["health"] = health.health_report(spark, written, health.MART_RULES, as_of)
+        return None, counts["station_facts"], 0
+
+    control.run_step(spark, control_table, pipeline, "gold", step)
+    return holder["tables"], holder["health"]

@@ -58,6 +58,22 @@ def test_bronze_to_gold(spark):
     weather = flows.silver_weather(ok, "2025-01-01 00:00:00", AS_OF)
     weather = flows.upsert_weather(weather.limit(0), weather)
 
+    from lakehold.operators import control
+    from lakehold.plans import health
+
+    name = f"ctl_gold_{abs(hash(AS_OF)) % 10**6}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    import tempfile
+    root = tempfile.mkdtemp(prefix="gold-test-")
+    control.create_control_table(spark, name, f"{root}/ctl")
+    wt = flows.run_weather_batch(spark, name, ok, weather.limit(0), f"{root}/weather", AS_OF)
+    assert wt.count() == 1
+    tables, report = flows.run_gold(spark, name, st, ch, wt, f"{root}/gold", AS_OF)
+    assert tables["station_facts"].count() == 2
+    summary = health.health_summary(report).first()
+    assert summary.failed == 0, report.where("status = 'fail'").collect()
+    assert {r.layer for r in spark.table(name).collect()} == {"silver", "gold"}
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     facts, sdim, wdim = flows.gold(st, ch, weather, AS_OF)
     f = {x.station_id: x for x in facts.collect()}
     assert set(f) == {"1", "2"}
