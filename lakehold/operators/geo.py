@@ -112,13 +112,20 @@ def _bbox(verts: Column) -> list[Column]:
 def nearest_region_grid(points: DataFrame, regions: DataFrame, x: str, y: str, name_col: str = "name",
                         out: str = "region", tie_tolerance: float = 1e-9,
                         cell_size: float | None = None) -> DataFrame:
-    """Exact multi-level grid nearest join (see module doc). One small aggregate fixes
-    the starting cell size (largest region box side) and the data extent; points get
-    ids behind a reliable checkpoint, so recomputation cannot renumber them."""
-    spark = points.sparkSession
+    """Exact multi-level grid nearest join (see module doc).
+
+    One small aggregate fixes the starting cell size (largest region box side) and the
+    data extent. Points get ids in one write to the shared folder; each level is one
+    more write holding every open point with its nearest candidates and a resolved
+    flag (the number still open is observed on that write), so no level is computed
+    twice and lineage stays short.
+    """
+    from pyspark.sql import Observation, Window
+
     from lakehold.session import shared_dir
 
-    shared_dir(spark, "geo")  # makes sure a checkpoint folder is set
+    spark = points.sparkSession
+    root = shared_dir(spark, "nearest-grid")
     reg = regions.select(F.col(name_col).alias("__name"), F.col("vertices").alias("__verts"))
     bx = _bbox(F.col("__verts"))
     reg = reg.select("__name", "__verts", *[b.alias(f"__b{i}") for i, b in enumerate(bx)])
@@ -133,33 +140,40 @@ def nearest_region_grid(points: DataFrame, regions: DataFrame, x: str, y: str, n
     extent = max(max(xs) - min(xs), max(ys) - min(ys), 1e-12)
     size = cell_size or max(rs["side"] or 0.0, extent / 1024.0)
 
-    pts = points.withColumn("__pid", F.monotonically_increasing_id()).checkpoint()
+    with_id = points.withColumn("__pid", F.monotonically_increasing_id())
+    with_id.write.parquet(f"{root}/points")
+    pts = spark.read.schema(with_id.schema).parquet(f"{root}/points")
     todo = pts.select("__pid", F.col(x).alias("__x"), F.col(y).alias("__y"))
-    found = []
+    found, level = [], 0
+    near = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                     for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
     while True:
-        cell = lambda v: F.floor(v / F.lit(size)).cast("long")
+        cell = lambda v, sz=size: F.floor(v / F.lit(sz)).cast("long")
         rc = reg.select("__name", "__verts",
                         F.explode(F.sequence(cell(F.col("__b0")), cell(F.col("__b2")))).alias("__cx"),
                         cell(F.col("__b1")).alias("__cy0"), cell(F.col("__b3")).alias("__cy1"))
-        rc = rc.select("__name", "__verts", "__cx",
-                       F.explode(F.sequence("__cy0", "__cy1")).alias("__cy"))
-        near = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                         for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+        rc = rc.select("__name", "__verts", "__cx", F.explode(F.sequence("__cy0", "__cy1")).alias("__cy"))
         pc = todo.select("__pid", "__x", "__y", F.inline(near)).select(
             "__pid", "__x", "__y", (cell(F.col("__x")) + F.col("dx")).alias("__cx"),
             (cell(F.col("__y")) + F.col("dy")).alias("__cy"))
         cand = (pc.join(rc, on=["__cx", "__cy"], how="inner")
                 .select("__pid", "__x", "__y", "__name", "__verts").dropDuplicates(["__pid", "__name"]))
         cand = cand.withColumn("__d", polygon_distance(F.col("__x"), F.col("__y"), F.col("__verts")))
-        best = cand.groupBy("__pid").agg(F.min("__d").alias("__min"))
-        ok = best.where(F.col("__min") <= F.lit(size))
-        hits = (cand.join(ok, "__pid").where(F.col("__d") <= F.col("__min") + F.lit(tie_tolerance))
-                .select("__pid", F.col("__name").alias(out))).checkpoint()
-        found.append(hits)
-        todo = todo.join(ok.select("__pid"), "__pid", "left_anti").checkpoint()
-        if size >= 4 * extent or todo.isEmpty():
+        cand = cand.withColumn("__min", F.min("__d").over(Window.partitionBy("__pid")))
+        best = cand.where(F.col("__d") <= F.col("__min") + F.lit(tie_tolerance)).select("__pid", "__name", "__min")
+        last = size >= 4 * extent  # every region is within one cell of every point
+        lv = todo.join(best, "__pid", "left").withColumn(
+            "__ok", F.lit(True) if last else F.coalesce(F.col("__min") <= F.lit(size), F.lit(False)))
+        obs = Observation(f"level{level}")
+        path = f"{root}/level={level}"
+        lv.observe(obs, F.count_if(~F.col("__ok")).alias("open")).write.parquet(path)
+        lv = spark.read.schema(lv.schema).parquet(path)
+        found.append(lv.where(F.col("__ok")).select("__pid", F.col("__name").alias(out)))
+        if last or obs.get["open"] == 0:
             break
+        todo = lv.where(~F.col("__ok")).select("__pid", "__x", "__y").distinct()
         size *= 2.0
+        level += 1
     names = found[0]
     for h in found[1:]:
         names = names.unionByName(h)
