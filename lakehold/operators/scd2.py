@@ -35,6 +35,24 @@ def _changed(tracked: Sequence[str], null_safe: bool, left: str = "stg", right:
     return F.coalesce(out, F.lit(False))
 
 
+def _key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, left_alias: str) -> DataFrame:
+    """Join on the keys with null-safe equality (a null key is one group, as in the
+    per-key reduction), exposing each key once as a plain column."""
+    la, ra = left_alias, ("cur" if left_alias == "stg" else "stg")
+    cond = None
+    for k in keys:
+        c = F.col(f"{la}.{k}").eqNullSafe(F.col(f"{ra}.{k}"))
+        cond = c if cond is None else cond & c
+    j = left.join(right, on=cond, how=how)
+    merged = {k: F.coalesce(F.col(f"{la}.{k}"), F.col(f"{ra}.{k}")) for k in keys}
+    rest = [F.col(f"{a}.{c}").alias(f"__{a}__{c}") for a, df in ((la, left), (ra, right))
+            for c in df.columns if c not in keys]
+    out = j.select(*[e.alias(k) for k, e in merged.items()], *rest)
+    # re-expose the sides under their aliases for the callers' ``stg.x`` / ``cur.x``
+    side = lambda a, df: F.struct(*[F.col(f"__{a}__{c}").alias(c) for c in df.columns if c not in keys])
+    return out.select(*keys, side(la, left).alias(la), side(ra, right).alias(ra))
+
+
 def current_rows(target: DataFrame) -> DataFrame:
     return target.where(F.col("is_current"))
 
@@ -45,7 +63,7 @@ def classify(staged: DataFrame, target: DataFrame, keys: Sequence[str], tracked:
     INSERT (no current row), UPDATE (newer and a tracked attribute differs), NULL."""
     s = latest_per_key(staged, keys, [ts, *order]).alias("stg")
     cur = current_rows(target).alias("cur")
-    j = s.join(cur, on=list(keys), how="left")
+    j = _key_join(s, cur, keys, "left", "stg")
     action = (
         F.when(F.col("cur.valid_from").isNull(), F.lit(INSERT))
         .when((F.col(f"stg.{ts}") > F.col("cur.valid_from")) & _changed(tracked, null_safe), F.lit(UPDATE))
@@ -87,7 +105,7 @@ def apply_changes(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     keys = list(keys)
     s = latest_per_key(staged.select(*keys, *attrs, ts, *order), keys, [ts, *order]).alias("stg")
     cur = current_rows(target).alias("cur")
-    j = cur.join(s, on=keys, how="full_outer")
+    j = _key_join(cur, s, keys, "full_outer", "cur")
     has_cur = F.col("cur.valid_from").isNotNull()
     has_stg = F.col(f"stg.{ts}").isNotNull()
     is_update = has_cur & has_stg & (F.col(f"stg.{ts}") > F.col("cur.valid_from")) & _changed(tracked, null_safe)

@@ -110,3 +110,11 @@ def test_history_split_equals_plain(spark):
     a = scd2.history(log, ["id"], ["status"], ts="ts")
     b = scd2.history(log, ["id"], ["status"], ts="ts", split=F.date_trunc("day", "ts"))
     assert sorted(a.collect(), key=repr) == sorted(b.collect(), key=repr)
+
+
+def test_null_key_is_one_group(spark):
+    t = target(spark, [(None, "up", D(2025, 1, 1), END, True, 11)])
+    s = staged(spark, [(None, "down", D(2025, 2, 1)), (None, "down", D(2025, 2, 1))])
+    out = scd2.apply_changes(t, s, ["id"], ["status"], ts="ts").collect()
+    assert sum(1 for r in out if r.is_current) == 1 and len(out) == 2
+    assert actions(spark, t, s) == {None: "UPDATE"}
