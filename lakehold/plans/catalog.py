@@ -48,6 +48,11 @@ def station_dim(spark, sf):
     return marts.station_dim(v, c, w, AS_OF, **roles.MART_KW)
 
 
+def station_dim_corrected(spark, sf):
+    v, c, w = roles.mart_inputs(spark, sf)
+    return marts.station_dim(v, c, w, AS_OF, mode="corrected", **roles.MART_KW)
+
+
 def weather_dim(spark, sf):
     v, c, w = roles.mart_inputs(spark, sf)
     return marts.weather_dim(v, c, w, AS_OF, **roles.MART_KW)
@@ -367,6 +372,7 @@ QUERIES = {
     "station_facts": station_facts,
     "station_facts_corrected": station_facts_corrected,
     "station_dim": station_dim,
+    "station_dim_corrected": station_dim_corrected,
     "weather_dim": weather_dim,
     "json_path_project": json_path_project,
     "json_array_explode": json_array_explode,

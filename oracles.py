@@ -496,3 +496,17 @@ SELECT DISTINCT
 FROM base"""
 
 ORACLES["landing_ingest"] = LANDING_INGEST
+
+STATION_DIM_CORRECTED = f"""{ROLES},
+q AS (
+  SELECT v.* FROM versions v
+  WHERE v.status_id IN (50, 30)
+    AND EXISTS (SELECT 1 FROM weather w WHERE w.zone = v.weather_zone)
+    AND EXISTS (SELECT 1 FROM connectors c WHERE c.station_id = v.station_id)),
+l AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY date_last_status_update DESC, station_sk DESC) AS rn FROM q),
+p AS (SELECT station_id, max(power_kw) AS max_power_kw FROM connectors GROUP BY station_id)
+SELECT l.station_id, title, address, town, state_or_province, latitude, longitude, p.max_power_kw,
+       {AS_OF} AS ingest_timestamp
+FROM l JOIN p ON p.station_id = l.station_id WHERE rn = 1"""
+
+ORACLES["station_dim_corrected"] = STATION_DIM_CORRECTED
