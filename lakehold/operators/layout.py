@@ -58,7 +58,7 @@ def zorder(df: DataFrame, cols: Sequence[str], bits: int = 10, partitions: int |
            z_col: str = "z") -> DataFrame:
     """Rows clustered by the z value of ``cols`` (adds ``z_col``). A row hash is the
     second range key, so one heavily repeated z value still spreads over partitions."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
     return (df.withColumn(z_col, z_value(df, cols, bits))
             .repartitionByRange(n, F.col(z_col), tie)

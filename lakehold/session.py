@@ -44,11 +44,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``, else the
     context's checkpoint dir). Only when neither is set (local tests) a folder under
     the system temp dir is made and registered as the context's checkpoint dir."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
-        root = _LOCAL_ROOTS.setdefault(id(sc), tempfile.mkdtemp(prefix="lakehold-ckpt-"))
-    if sc.getCheckpointDir() is None:
+        root = _LOCAL_ROOTS.setdefault(id(spark), tempfile.mkdtemp(prefix="lakehold-ckpt-"))
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
 
