@@ -155,3 +155,9 @@ def test_new_watermark_from_source(spark):
 
     df = spark.createDataFrame([(dt.datetime(2025, 1, 1),), (dt.datetime(2025, 1, 3),)], "ingest_timestamp timestamp_ntz")
     assert control.new_watermark(df).first()[0] == dt.datetime(2025, 1, 3)
+
+
+def test_to_json_documents_round_trip(spark):
+    df = spark.createDataFrame([(1, "a", 2.5)], "ID int, UUID string, v double")
+    doc = json.loads(landing.to_json_documents(df).first().raw_text)
+    assert doc == {"ID": 1, "UUID": "a", "v": 2.5}
