@@ -153,3 +153,24 @@ def history(log: DataFrame, keys: Sequence[str], attrs: Sequence[str],
         F.col(f"__n_{ts}").isNull().alias("is_current"),
         surrogate_key(*[F.col(k) for k in keys], F.col(ts), *[F.col(a) for a in tracked]).alias("sk"),
     )
+
+
+def apply_all_versions(target: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
+                       tracked: Sequence[str] | None = None, ts: str = "ts", order: Sequence[str] = (),
+                       split: Column | None = None) -> DataFrame:
+    """History-keeping apply: every staged version newer than the key's current start
+    becomes a version (repeats of the previous version are dropped), instead of only
+    the latest. Closed history passes through; only current rows and the batch are
+    windowed, per key (and per ``split`` bucket for hot keys)."""
+    tracked = list(tracked or attrs)
+    keys = list(keys)
+    cur = current_rows(target).alias("cur")
+    s = staged.select(*keys, *attrs, ts, *order).alias("stg")
+    j = _key_join(s, cur.select(*keys, "valid_from"), keys, "left", "stg")
+    newer = j.where(F.col("cur.valid_from").isNull() | (F.col(f"stg.{ts}") > F.col("cur.valid_from")))
+    newer = newer.select(*keys, *[F.col(f"stg.{c}").alias(c) for c in [*attrs, ts, *order]])
+    seed = cur.select(*keys, *attrs, F.col("valid_from").alias(ts),
+                      *[F.lit(None).cast(staged.schema[o].dataType).alias(o) for o in order])
+    versions = history(seed.unionByName(newer), keys, attrs, tracked, ts=ts, order=order, split=split)
+    cols = [*keys, *attrs, "valid_from", "valid_to", "is_current", "sk"]
+    return target.where(~F.col("is_current")).select(*cols).unionByName(versions.select(*cols))

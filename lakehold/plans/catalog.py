@@ -272,6 +272,14 @@ def scd2_replay(spark, sf):
     return twice.select(*SCD_OUT)
 
 
+def scd2_apply_all_versions(spark, sf):
+    """Every later event applied as versions (not only the latest per user): must equal
+    the history of all events."""
+    t, s = _scd_state(spark, sf)
+    return scd2.apply_all_versions(t, s, SCD_KEYS, SCD_ATTRS, SCD_TRACKED, ts="ts", order=["event_id"],
+                                   split=LOG_SPLIT()).select(*SCD_OUT)
+
+
 def scd2_history(spark, sf):
     return scd2.history(_change_log(spark, sf), SCD_KEYS, SCD_ATTRS, SCD_TRACKED,
                         ts="ts", order=["event_id"], split=LOG_SPLIT()).select(*SCD_OUT)
@@ -395,6 +403,7 @@ QUERIES = {
     "scd2_apply": scd2_apply,
     "scd2_replay": scd2_replay,
     "scd2_history": scd2_history,
+    "scd2_apply_all_versions": scd2_apply_all_versions,
     "upsert": upsert_rows,
     "insert_count": insert_count,
     "nearest_region": nearest_region,

@@ -510,3 +510,5 @@ SELECT l.station_id, title, address, town, state_or_province, latitude, longitud
 FROM l JOIN p ON p.station_id = l.station_id WHERE rn = 1"""
 
 ORACLES["station_dim_corrected"] = STATION_DIM_CORRECTED
+
+ORACLES["scd2_apply_all_versions"] = SCD2_HISTORY

@@ -113,3 +113,14 @@ def test_null_key_is_one_group(spark):
     out = scd2.apply_changes(t, s, ["id"], ["status"], ts="ts").collect()
     assert sum(1 for r in out if r.is_current) == 1 and len(out) == 2
     assert actions(spark, t, s) == {None: "UPDATE"}
+
+
+def test_apply_all_versions_keeps_batch_versions(spark):
+    t = target(spark, [(1, "up", D(2025, 1, 5), END, True, 11)])
+    s = staged(spark, [(1, "down", D(2025, 1, 6)), (1, "up", D(2025, 1, 7)), (1, "up", D(2025, 1, 8)),
+                       (1, "down", D(2025, 1, 1)),  # late: older than the current version
+                       (2, "a", D(2025, 1, 6))])
+    out = scd2.apply_all_versions(t, s, ["id"], ["status"], ts="ts").orderBy("id", "valid_from").collect()
+    assert [(r.id, r.status, r.valid_from.day, r.is_current) for r in out] == [
+        (1, "up", 5, False), (1, "down", 6, False), (1, "up", 7, True), (2, "a", 6, True)]
+    _check_invariants(scd2.apply_all_versions(t, s, ["id"], ["status"], ts="ts"))
