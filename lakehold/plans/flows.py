@@ -112,14 +112,13 @@ def upsert_weather(target: DataFrame, new_rows: DataFrame) -> DataFrame:
 
 
 def gold(stations: DataFrame, connectors: DataFrame, weather: DataFrame, as_of: str,
-         mode: str = "parity", split_unit: str | None = "month") -> tuple[DataFrame, DataFrame, DataFrame]:
+         mode: str = "parity", split: str | None = "range") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(station facts, station dim, weather dim). Zones are joined on integer cell ids;
-    a station's versions are windowed per (station, ``split_unit``) (hot-key safe)."""
+    a station's versions are windowed per (station, range slice) (hot-key safe)."""
     zs = ("zone_lat_cell", "zone_lon_cell")
     s = stations.withColumns({zs[0]: grid_cell_id("weather_zone_lat"), zs[1]: grid_cell_id("weather_zone_lon")})
     w = weather.withColumns({zs[0]: grid_cell_id("lat"), zs[1]: grid_cell_id("lon")})
     kw = dict(station_zone=zs, weather_zone=zs)
-    split = F.date_trunc(split_unit, F.col("date_last_status_update")) if split_unit else None
     facts = marts.station_facts(s, connectors, w, as_of, mode=mode, connector_order=("connection_sk",),
                                 split=split, **kw)
     return (facts, marts.station_dim(s, connectors, w, as_of, mode=mode, **kw),
