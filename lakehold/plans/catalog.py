@@ -591,3 +591,30 @@ def landing_ingest(spark, sf):
 
 
 QUERIES["landing_ingest"] = landing_ingest
+
+
+def _scd_state_nullable(spark, sf):
+    """Same split as ``_scd_state`` but 'error' events carry a NULL status."""
+    e = table(spark, sf, "events")
+    log = e.select("user_id", F.when(F.col("event_type") != "error", F.col("event_type")).alias("status"),
+                   "value", "ts", "event_id")
+    cut = ts_ntz(EVENT_CUTOFF)
+    target = scd2.history(log.where(F.col("ts") < cut), SCD_KEYS, SCD_ATTRS, SCD_TRACKED,
+                          ts="ts", order=["event_id"], split=LOG_SPLIT())
+    return target, log.where(F.col("ts") >= cut)
+
+
+def scd2_classify_nullsafe(spark, sf):
+    t, s = _scd_state_nullable(spark, sf)
+    return scd2.classify(s, t, SCD_KEYS, SCD_TRACKED, ts="ts", order=["event_id"]).select("user_id", "scd_action")
+
+
+def scd2_classify_parity(spark, sf):
+    """The reference's ``!=`` comparison: a change from or to NULL is not an update."""
+    t, s = _scd_state_nullable(spark, sf)
+    return scd2.classify(s, t, SCD_KEYS, SCD_TRACKED, ts="ts", order=["event_id"],
+                         null_safe=False).select("user_id", "scd_action")
+
+
+QUERIES["scd2_classify_nullsafe"] = scd2_classify_nullsafe
+QUERIES["scd2_classify_parity"] = scd2_classify_parity

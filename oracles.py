@@ -512,3 +512,25 @@ FROM l JOIN p ON p.station_id = l.station_id WHERE rn = 1"""
 ORACLES["station_dim_corrected"] = STATION_DIM_CORRECTED
 
 ORACLES["scd2_apply_all_versions"] = SCD2_HISTORY
+
+
+def _classify_nullable(changed: str) -> str:
+    status = "CASE WHEN event_type <> 'error' THEN event_type END"
+    return f"""WITH
+h0 AS (SELECT user_id, {status} AS status, ts, event_id FROM events WHERE ts < {CUTOFF}),
+h1 AS (SELECT *, lag(status) OVER w AS p_status, lag(1) OVER w AS p_exists FROM h0
+       WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+h2 AS (SELECT * FROM h1 WHERE p_exists IS NULL OR p_status IS DISTINCT FROM status),
+cur AS (SELECT * FROM (SELECT user_id, status, ts AS valid_from,
+          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM h2) WHERE rn = 1),
+stg AS (SELECT * FROM (SELECT user_id, {status} AS status, ts,
+          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+        FROM events WHERE ts >= {CUTOFF}) WHERE rn = 1)
+SELECT s.user_id,
+  CASE WHEN c.valid_from IS NULL THEN 'INSERT'
+       WHEN s.ts > c.valid_from AND coalesce({changed}, false) THEN 'UPDATE' END AS scd_action
+FROM stg s LEFT JOIN cur c ON s.user_id = c.user_id"""
+
+
+ORACLES["scd2_classify_nullsafe"] = _classify_nullable("s.status IS DISTINCT FROM c.status")
+ORACLES["scd2_classify_parity"] = _classify_nullable("s.status <> c.status")
