@@ -418,14 +418,27 @@ QUERIES = {
 # ---------------------------------------------------------------- streaming
 
 
+def _events_stream(spark, sf):
+    """The events table as a file stream, whether it is one parquet file in ``sf`` or a
+    folder of part files."""
+    from lakehold.streaming import ingest
+
+    path = f"{sf.rstrip('/')}/events.parquet"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        return ingest.read_table_stream(spark, path, "*.parquet")
+    return ingest.read_table_stream(spark, sf, "events.parquet")
+
+
 def stream_dedup(spark, sf):
     """Events plus their re-delivered overlap as two streaming sources, de-duplicated
     within the 15-minute watermark; the sink's result is read back."""
     from lakehold.session import shared_dir
     from lakehold.streaming import ingest
 
-    first = ingest.read_table_stream(spark, sf, "events.parquet")
-    again = ingest.read_table_stream(spark, sf, "events.parquet").where(
+    first = _events_stream(spark, sf)
+    again = _events_stream(spark, sf).where(
         (F.hour("ts") == 23) & (F.minute("ts") >= 45))
     deduped = ingest.dedup_stream(first.unionByName(again), ["event_id"], "ts", "15 minutes")
     root = shared_dir(spark, "stream-dedup")
@@ -443,7 +456,7 @@ def stream_scd2(spark, sf):
     root = shared_dir(spark, "stream-scd2")
     target, _ = _scd_state(spark, sf)
     scd2_stream.init_state(spark, f"{root}/state", target)
-    events = ingest.read_table_stream(spark, sf, "events.parquet")
+    events = _events_stream(spark, sf)
     staged = events.where(F.col("ts") >= ts_ntz(EVENT_CUTOFF)).select(
         "user_id", F.col("event_type").alias("status"), "value", "ts", "event_id")
     scd2_stream.run_scd2_stream(staged, f"{root}/state", f"{root}/checkpoint", SCD_KEYS, SCD_ATTRS,
