@@ -151,7 +151,7 @@ def station_facts(versions: DataFrame, connectors: DataFrame, weather: DataFrame
     )
     out = out.withColumn(
         "risk_severity_level",
-        F.when(F.col("risk_score") < RISK_HIGH_AT, "low_risk").otherwise("high_risk"),
+        F.when(F.col("risk_score") < RISK_HIGH_AT, "low_risk").when(F.col("risk_score") >= RISK_HIGH_AT, "high_risk"),
     )
     return add_fact_metrics(out, as_of).select(
         "station_id", "weather_zone_id", "weather_sk", "is_operational", "offline_count",
