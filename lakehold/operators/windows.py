@@ -1,9 +1,8 @@
 """Neighbour values (lag / lead) per key that survive a hot key.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task. With
-``split`` (an expression that is monotone in the row order, e.g. a time bucket, or
-``"range"`` for sampled range slices of the (key, order) sort that spread a hot key
-whatever its time distribution), rows are windowed per ``(key, split)`` instead; the first/last row of every split gets its
+``split`` (an expression of the row's own values that is monotone in the row order,
+e.g. a time bucket), rows are windowed per ``(key, split)`` instead; the first/last row of every split gets its
 neighbour from a per-split summary (one row per split), which is windowed per key.
 The edge rows come from the windowed rows themselves (first/last flags of the same
 window), so the input is evaluated once; the edge set is small (#keys x #splits) and
@@ -25,7 +24,7 @@ def _cols(xs):
 
 def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   values: Sequence[str], direction: str = "prev",
-                  prefix: str | None = None, split: Column | str | None = None) -> DataFrame:
+                  prefix: str | None = None, split: Column | None = None) -> DataFrame:
     """Add ``{prefix}{v}`` = value of the previous (``prev``) or next (``next``) row of
     the same key in ascending ``order`` (which must be unique within a key)."""
     if direction not in ("prev", "next"):
@@ -39,14 +38,6 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.withColumns({f"{prefix}{v}": shift(F.col(v)).over(w) for v in values})
 
     b = "__split"
-    if isinstance(split, str):
-        if split != "range":
-            raise ValueError("split must be a Column or 'range'")
-        # range-partition on (keys, order): sampled boundaries cut a hot key's rows into
-        # contiguous slices, whatever their time distribution; the partition id is then
-        # a bucket that is monotone in the order within each key
-        df = df.repartitionByRange(*[F.col(k) for k in keys], *order_c).withColumn(b, F.spark_partition_id())
-        split = F.col(b)
     # Explicit exchange on (keys, split): an input already partitioned by the keys alone
     # would otherwise satisfy the window's distribution and keep a hot key in one task.
     d = df.withColumn(b, split).repartition(*[F.col(k) for k in keys], F.col(b))

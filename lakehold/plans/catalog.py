@@ -16,19 +16,20 @@ from lakehold.plans import health, marts, roles
 from lakehold.plans.roles import AS_OF, EVENT_CUTOFF, WEATHER_BY_EVENT, table
 from lakehold.sources import grid, observations
 
-# Hot-key splits for per-key neighbour windows: rows are range-partitioned on
-# (key, order) and windowed per (key, range slice); slice edges are joined from a small
-# edge set (see operators/windows.py). Robust to any time distribution of a hot key.
-def VERSION_SPLIT():  # noqa: N802
-    return "range"
+# Hot-key splits for per-key neighbour windows: a station's versions are windowed per
+# (station, month) and a user's change log per (user, day); bucket edges are joined
+# from a small edge set (see operators/windows.py). Buckets come from the data, so
+# every branch and every retry computes the same bucket for a row.
+def VERSION_SPLIT():  # noqa: N802 - columns need a live session, so built on call
+    return F.date_trunc("month", F.col("valid_from"))
 
 
 def MART_SPLIT():  # noqa: N802
-    return "range"
+    return F.date_trunc("month", F.col("date_last_status_update"))
 
 
 def LOG_SPLIT():  # noqa: N802
-    return "range"
+    return F.date_trunc("day", F.col("ts"))
 
 # ---------------------------------------------------------------- marts
 

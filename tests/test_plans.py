@@ -48,21 +48,3 @@ def test_split_window_shuffles_on_key_and_bucket(spark):
     assert "Exchange hashpartitioning(k#" in plan and "__split#" in plan
     assert "ReusedExchange" in plan
 
-
-def test_range_split_spreads_one_hot_key_with_one_timestamp(spark):
-    from pyspark.sql import functions as F
-
-    from lakehold.operators.windows import with_neighbor
-
-    # every row: the same key AND the same time bucket; only the tie-break differs.
-    # (AQE would coalesce this tiny input into one partition; at scale it sizes them by bytes)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        df = spark.range(20000).select(F.lit(1).alias("k"), F.lit(0).alias("t"), F.col("id").alias("seq"))
-        out = with_neighbor(df, ["k"], ["t", "seq"], ["seq"], "prev", "p_", "range")
-        sizes = out.groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len([r for r in sizes if r["count"] > 0]) > 1
-    assert out.where("p_seq IS NULL").count() == 1
-    assert out.where("p_seq IS NOT NULL AND p_seq != seq - 1").count() == 0

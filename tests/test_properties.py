@@ -60,13 +60,3 @@ def test_split_valid_partitions_input(spark, vals):
     assert n_ok + n_bad == len(vals)
     assert n_ok == sum(1 for a, b in vals if a is not None and b is not None and b >= 0)
 
-
-@SETTINGS
-@given(rows=rows_st, direction=st.sampled_from(["prev", "next"]))
-def test_range_split_neighbor_equals_plain(spark, rows, direction):
-    data = [(k, D0 + dt.timedelta(hours=h), v, i) for i, (k, h, v) in enumerate(rows)]
-    df = spark.createDataFrame(data, "k int, ts timestamp_ntz, v string, id int")
-    plain = with_neighbor(df, ["k"], ["ts", "id"], ["v", "id"], direction, "n_")
-    split = with_neighbor(df, ["k"], ["ts", "id"], ["v", "id"], direction, "n_", "range")
-    key = lambda r: (r.id,)
-    assert sorted(plain.collect(), key=key) == sorted(split.collect(), key=key)
