@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehold.llm import secret_scan, warc
+from lakehold.llm import bpe, secret_scan, simhash, warc
 from lakehold.llm.common import table
 from lakehold.session import shared_dir
 
@@ -16,14 +17,26 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the components of their links of at most four bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and entropy spans of all documents."""
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded with the 49k word vocabulary."""
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op2_warc": op2_warc,
+    "op4_simhash": op4_simhash,
     "op5_secret_scan": op5_secret_scan,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLES = {
