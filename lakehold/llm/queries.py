@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehold.llm import bpe, secret_scan, simhash, warc
+from lakehold.llm import bpe, quality_rules, secret_scan, simhash, token_counts, warc
 from lakehold.llm.common import table
 from lakehold.session import shared_dir
 
@@ -27,6 +27,18 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents with the 50k byte vocabulary, through a cache of this run."""
+    return token_counts.count_tokens(
+        table(spark, sf_dir, "documents"), shared_dir(spark, "token-cache"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, max_tokens=1024)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rule and learnt decision list over all documents."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded with the 49k word vocabulary."""
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -36,6 +48,8 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op4_simhash": op4_simhash,
     "op5_secret_scan": op5_secret_scan,
+    "op7_token_counts": op7_token_counts,
+    "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
 }
 
