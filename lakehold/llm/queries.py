@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakehold.llm import bpe, quality_rules, secret_scan, simhash, token_counts, warc
+from lakehold.llm import bpe, kneser_ney, quality_rules, secret_scan, simhash, token_counts, toxicity, warc
 from lakehold.llm.common import table
 from lakehold.session import shared_dir
 
@@ -17,6 +18,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path)
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under a model learnt outside the held-out fold."""
+    return kneser_ney.score_held_out(table(spark, sf_dir, "documents"), order=2)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and the components of their links of at most four bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
@@ -27,6 +33,13 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labelled rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents with the 50k byte vocabulary, through a cache of this run."""
     return token_counts.count_tokens(
@@ -46,8 +59,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_warc": op2_warc,
+    "op3_kneser_ney": op3_kneser_ney,
     "op4_simhash": op4_simhash,
     "op5_secret_scan": op5_secret_scan,
+    "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
