@@ -6,11 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakehold.llm import bpe, kneser_ney, quality_rules, secret_scan, simhash, token_counts, toxicity, warc
+from lakehold.llm import bpe, kneser_ney, quality_rules, resample, secret_scan, simhash, token_counts, toxicity, warc
 from lakehold.llm.common import table
 from lakehold.session import shared_dir
 
 
+def op1_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The importance sample of all documents, with weights and sampling keys."""
+    docs = table(spark, sf_dir, "documents")
+    sampler, rows = resample.learn(docs, table(spark, sf_dir, "labels"))
+    return rows.where(F.col("sample_key") >= F.lit(sampler.least)).withColumn("kept", F.lit(True))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive all pages, read the archive back: one row per page."""
     path = shared_dir(spark, "warc")
@@ -58,6 +65,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_resample": op1_resample,
     "op2_warc": op2_warc,
     "op3_kneser_ney": op3_kneser_ney,
     "op4_simhash": op4_simhash,
