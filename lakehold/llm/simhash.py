@@ -5,9 +5,9 @@ share at least ``8 - max_bits`` positional bytes. The index therefore lists fing
 that many positions together with the bytes found there: a pair meets in a list exactly if its tally of
 shared positional bytes reaches the guaranteed minimum. Pairs that meet are verified by their bit distance.
 
-Equal fingerprints are one entry of the index. Lists of two are verified in place; longer ones are cut into
-blocks, and every pair of blocks is one piece of work that returns a spanning forest of its links, never the
-pairs themselves, so a list of any length is spread over many tasks of bounded size.
+Equal fingerprints are one entry of the index. A list returns a spanning forest of its links, never the pairs
+themselves. Lists far longer than the others are cut into blocks, and every pair of blocks is one piece of
+work, so a list of any length is spread over many tasks.
 
 Cases: a null or empty text, or one without words, has the fingerprint zero and is linked like any other;
 repeated rows are one entry and give repeated results; null ids get a component like all other rows, and a
@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakehold.llm.common import fresh, stored
@@ -30,6 +30,7 @@ from lakehold.llm.components import connected_components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
 BLOCK = 2048  # fingerprints per block of a long list
+SLOTS_LOG2 = 16  # size of the table that finds long lists
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
@@ -64,23 +65,13 @@ def fingerprints(docs: DataFrame, text_col: str = "text", keys: tuple[str, ...]
 
 
 def position_masks(shared: int) -> list[int]:
-    """For each choice of ``shared`` of the eight byte positions, the signed mask of its bits."""
-    masks = [sum(0xFF << (8 * p) for p in chosen) for chosen in combinations(range(8), shared)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+    """For each choice of ``shared`` of the eight byte positions, the mask of its bits."""
+    return [sum(0xFF << (8 * p) for p in chosen) for chosen in combinations(range(8), shared)]
 
 
-def postings(fps: DataFrame, shared: int) -> DataFrame:
-    """``(key, fp)``: the index entries of distinct fingerprints. Keys that collide by chance only bring
-    together pairs that verification then refuses."""
-    masks = F.array(*[F.lit(m) for m in position_masks(shared)])
-    return fps.select("fp", F.posexplode(masks).alias("choice", "mask")).select(
-        F.xxhash64("choice", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), "fp")
-
-
-def shared_bytes(a: Column, b: Column) -> Column:
-    """Tally of positional bytes that two fingerprints share."""
-    x = a.bitwiseXOR(b)
-    return sum((F.shiftrightunsigned(x, 8 * p).bitwiseAND(F.lit(255)) == 0).cast("int") for p in range(8))
+def shared_bytes(a: np.ndarray, b: np.uint64) -> np.ndarray:
+    """Tally of positional bytes that each of ``a`` shares with ``b``."""
+    return ((a ^ b).view(np.uint8).reshape(-1, 8) == 0).sum(1)
 
 
 def _forest(fp: np.ndarray, max_bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -90,7 +81,9 @@ def _forest(fp: np.ndarray, max_bits: int) -> tuple[list[np.ndarray], list[np.nd
         first, left = left[0], left[1:]
         todo = [first]
         while todo and left.size:
-            near = np.bitwise_count(left ^ todo.pop()) <= max_bits
+            one = todo.pop()
+            near = shared_bytes(left, one) >= 8 - max_bits
+            near[near] = np.bitwise_count(left[near] ^ one) <= max_bits
             if near.any():
                 found = left[near]
                 left = left[~near]
@@ -100,46 +93,106 @@ def _forest(fp: np.ndarray, max_bits: int) -> tuple[list[np.ndarray], list[np.nd
     return a, b
 
 
-def _forests(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
-    """Forests of the runs of equal (key, p, q) in a partition sorted by them."""
-    held = None
+def _slots(fp: np.ndarray, choice: int, mask: int) -> np.ndarray:
+    """Slot of the size table that counts an index entry (chosen positions and the bytes there)."""
+    h = ((fp & np.uint64(mask)) + np.uint64(choice)) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    return ((h * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)
+
 
-    def links(run_fp, cuts):
-        a, b = [], []
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            x, y = _forest(run_fp[s:e], max_bits)
-            a += x
-            b += y
-        return pa.record_batch([pa.array(np.concatenate(a) if a else np.empty(0, np.uint64)).cast(pa.uint64()).view(pa.int64()),
-                                pa.array(np.concatenate(b) if b else np.empty(0, np.uint64)).cast(pa.uint64()).view(pa.int64())], names=["a", "b"])
+def list_blocks(fps: DataFrame, masks: list[int], block: int) -> np.ndarray:
+    """Blocks per slot, from the number of index entries of each slot: one, unless a slot holds far more than
+    the others. A list of the index is never longer than its slot's number, and the table's size is fixed."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(1 << SLOTS_LOG2, np.int64)
+        for b in batches:
+            fp = b.column(0).to_numpy().view(np.uint64)
+            for i, m in enumerate(masks):
+                n += np.bincount(_slots(fp, i, m), minlength=n.size)
+        used = np.flatnonzero(n)
+        yield pa.record_batch([pa.array(used), pa.array(n[used])], names=["slot", "n"])
+
+    sums = fps.select("fp").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    total, = sums.agg(F.sum("n")).first()
+    limit = block + 4 * (total or 0) // (1 << SLOTS_LOG2)
+    blocks = np.ones(1 << SLOTS_LOG2, np.int64)
+    for r in sums.where(F.col("n") > limit).toLocalIterator():
+        blocks[r["slot"]] = -(-r["n"] // limit)
+    return blocks
+
+
+def index_entries(fps: DataFrame, masks: list[int], blocks: np.ndarray) -> DataFrame:
+    """``(tag, fp)``: each fingerprint under every choice of positions (``tag % 256``). A list of several
+    blocks is one piece of work per pair of blocks (the rest of ``tag``), to which a fingerprint goes with its
+    own block and each other one."""
+    known = fps.sparkSession.sparkContext.broadcast(blocks)  # fixed size
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = known.value
+        for b in batches:
+            fp = b.column(0).to_numpy().view(np.uint64)
+            tags, out = [], []
+            for i, m in enumerate(masks):
+                n = blocks[_slots(fp, i, m)]
+                one = n == 1
+                tags.append(np.full(int(one.sum()), i, np.int64))
+                out.append(fp[one])
+                many = fp[~one]
+                if many.size:
+                    n = n[~one]
+                    h = many * np.uint64(0xD6E8FEB86659FD93)
+                    own = ((h ^ h >> np.uint64(32)) % n.astype(np.uint64)).astype(np.int64)
+                    other = np.concatenate([np.arange(k) for k in n])
+                    own, many = np.repeat(own, n), np.repeat(many, n)
+                    tags.append(i + (np.minimum(own, other) + 1 << 8) + (np.maximum(own, other) + 1 << 32))
+                    out.append(many)
+            yield pa.record_batch([pa.array(np.concatenate(tags)), pa.array(np.concatenate(out).view(np.int64))], names=["tag", "fp"])
+
+    return fps.select("fp").mapInArrow(entries, "tag long, fp long")
+
+
+def _forests(batches: Iterator[pa.RecordBatch], masks: list[int], max_bits: int) -> Iterator[pa.RecordBatch]:
+    """Forests of the index lists in a partition sorted by tag and masked fingerprint."""
+    mask = np.array(masks, np.uint64)
+    tag, fp = np.empty(0, np.int64), np.empty(0, np.uint64)
+
+    def links(tag, fp, cuts):
+        size = np.diff(cuts)
+        a, b = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+        at = np.asarray(cuts[:-1])[size == 2]  # most lists have two entries: all at once
+        x, y = np.minimum(fp[at], fp[at + 1]), np.maximum(fp[at], fp[at + 1])
+        near = (x != y) & (np.bitwise_count(x ^ y) <= max_bits)
+        a.append(y[near])
+        b.append(x[near])
+        for k in np.flatnonzero(size > 2).tolist():
+            m, first = _forest(fp[cuts[k]:cuts[k + 1]], max_bits)
+            a += m
+            b += first
+        return pa.record_batch([pa.array(np.concatenate(c).view(np.int64)) for c in (a, b)], names=["a", "b"])
 
     for batch in batches:
-        rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
-        rows = rows if held is None else np.concatenate([held, rows], axis=1)
-        new = np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(0)) + 1
+        tag = np.concatenate([tag, batch.column(0).to_numpy()])
+        fp = np.concatenate([fp, batch.column(1).to_numpy().view(np.uint64)])
+        shared = fp & mask[tag & 255]
+        new = np.flatnonzero((tag[1:] != tag[:-1]) | (shared[1:] != shared[:-1])) + 1
         if new.size:
-            yield links(rows[3, :new[-1]].view(np.uint64), [0, *new.tolist()])
-            rows = rows[:, new[-1]:]
-        held = rows.copy()
-    if held is not None and held.size:
-        yield links(np.ascontiguousarray(held[3]).view(np.uint64), [0, held.shape[1]])
+            yield links(tag, fp, np.array([0, *new.tolist()]))
+            tag, fp = tag[new[-1]:].copy(), fp[new[-1]:].copy()
+    if fp.size:
+        yield links(tag, fp, np.array([0, fp.size]))
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """Edges ``(a, b)`` between distinct fingerprints (column ``fp``) that span all links of at most
-    ``max_bits`` bits."""
-    shared = 8 - max_bits
-    index = postings(fps, shared)
-    lists = stored(index.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "simhash-lists")
-    short = lists.where("n = 2").where(
-        (shared_bytes(F.col("a"), F.col("b")) >= shared) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)).select("a", "b")
-    members = index.join(lists.where("n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key")
-    mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    work = members.withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "fp")
-    long = (work.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-            .mapInArrow(lambda it: _forests(it, max_bits), "a long, b long"))
-    return short.unionByName(long)
+    ``max_bits`` bits. The index is shuffled once, as fingerprints with a choice of positions."""
+    masks = position_masks(8 - max_bits)
+    spread = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    index = index_entries(spread, masks, list_blocks(fps, masks, block))
+    signed = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in masks])
+    shared = F.col("fp").bitwiseAND(F.element_at(signed, (F.col("tag").bitwiseAND(F.lit(255)) + 1).cast("int")))
+    return (index.repartition(F.xxhash64("tag", shared)).sortWithinPartitions("tag", shared)
+            .mapInArrow(lambda it: _forests(it, masks, max_bits), "a long, b long"))
 
 
 def components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
