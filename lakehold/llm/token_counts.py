@@ -82,8 +82,9 @@ def _counter(path: str, ranks_path: str | None, pattern: str | None) -> Counter:
 def cached(spark: SparkSession, cache: str, version: str) -> DataFrame:
     """Stored ``(digest, n_tokens)`` of a tokenizer version; a cache that does not exist yet is empty."""
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache)
-    return (spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("version") == version)
-            .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
+    # grouped by both columns, so that a join by digest deals the counts out anew and can split hot digests
+    return (spark.read.schema(CACHE_SCHEMA).parquet(cache).groupBy("digest", "version")
+            .agg(F.max("n_tokens").alias("n_tokens")).where(F.col("version") == version).select("digest", "n_tokens"))
 
 
 def count_tokens(docs: DataFrame, cache: str, path: str, ranks_path: str | None = None, pattern: str | None = None,

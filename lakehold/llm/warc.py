@@ -62,11 +62,11 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "
         F.monotonically_increasing_id().alias("record_no"), "page_id", "url", "digest",
         F.octet_length("payload").cast("long").alias("length"), base32_sha1(F.col("payload")).alias("sha1")), "warc-index")
     order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "record_no")
-    first = narrow.groupBy("digest").agg(
+    first = stored(narrow.groupBy("digest").agg(
         F.min(order).alias("first"),
         # equal SHA-256 must mean equal bytes: a second digest and the length have to agree
         F.when((F.min("sha1") == F.max("sha1")) & (F.min("length") == F.max("length")), True)
-        .otherwise(F.raise_error(F.lit("different payloads under one SHA-256"))).alias("verified"))
+        .otherwise(F.raise_error(F.lit("different payloads under one SHA-256"))).alias("verified")), "warc-first")
     joined = narrow.join(first, "digest").where("verified")
     repeat = (F.col("length") >= min_bytes) & (F.col("first.record_no") != F.col("record_no"))
     refers = F.when(repeat, F.coalesce(F.col("first.page_id").cast("string"), F.lit("")))
