@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakehold.llm import bpe, kneser_ney, quality_rules, resample, secret_scan, simhash, token_counts, toxicity, warc
+from lakehold.llm import bpe, decontaminate, kneser_ney, quality_rules, resample, secret_scan, simhash, token_counts, toxicity, warc
 from lakehold.llm.common import table
 from lakehold.session import shared_dir
 
@@ -64,6 +64,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of document and benchmark item, for all documents and items."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_resample": op1_resample,
     "op2_warc": op2_warc,
@@ -74,6 +79,7 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES = {
