@@ -6,7 +6,7 @@ precision on the pruning part; the rows that it covers are then set aside and th
 list becomes one ordered Spark conditional expression.
 
 Statistics are taken over all rows and whole texts; learning takes a bounded sample of the labelled rows
-(``MAX_LABELLED``, those with the smallest hash of the id).
+(about ``MAX_LABELLED``, at most twice as many: those with the smallest hash of the id).
 
 Cases: a null or empty text has no words and fails the base rule; without labels of both kinds the list is
 empty and only the base rule decides; rows with an equal id are judged each on its own, and an id with several
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.llm.common import stored
+from lakehold.llm.common import sample_by_hash, stored
 
 SYMBOLS = "#*$%&|<>"  # fixed value
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50  # base rule
@@ -164,10 +164,10 @@ def learn(counts: dict[str, np.ndarray], bad: np.ndarray, prune: np.ndarray) ->
 
 
 def labelled_sample(stats: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED):
-    """``(counts, bad, prune)`` of at most ``max_labelled`` labelled rows, by the hash of their id."""
+    """``(counts, bad, prune)`` of about ``max_labelled`` labelled rows, by the hash of their id."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).dropna()
-    pick = stats.join(known, "doc_id").withColumn("h", F.xxhash64("doc_id"))
-    got = pick.orderBy("h", "doc_id", "quality", *COUNTS).limit(max_labelled).toPandas()
+    pick = stats.join(sample_by_hash(known, "doc_id", max_labelled), "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    got = pick.limit(2 * max_labelled).toPandas().sort_values(["h", "doc_id", "quality", *COUNTS])
     counts = {c: got[c].to_numpy(np.int64) for c in COUNTS}
     return counts, got["quality"].to_numpy() == 0, (got["h"].to_numpy(np.int64) % 3) == 0
 

@@ -6,8 +6,8 @@ of the log ratios of its n-grams; the sample are the ``k`` texts with the larges
 which draws without replacement in proportion to the weights.
 
 ``k`` defaults to the number of texts whose weight is at least the cut that best tells the labelled good from
-the labelled bad texts. The raw model counts every row; target and cut use at most ``MAX_LABELLED`` labelled
-rows of each class (those with the smallest hash of the id). What is broadcast has the size of the model.
+the labelled bad texts. The raw model counts every row; target and cut use about ``MAX_LABELLED`` labelled
+rows of each class (at most twice as many: those with the smallest hash of the id). What is broadcast has the size of the model.
 
 Cases: null and empty texts have weight 0; noise depends on the id and the seed alone, so repeated rows get
 equal keys, and rows that tie with the k-th key are all kept; null ids share one draw and have no label; without
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakehold.llm.common import fresh, stored, worker_state
+from lakehold.llm.common import fresh, sample_by_hash, stored, worker_state
 
 BUCKETS_LOG2 = 16
 SMOOTHING = 1.0
@@ -58,9 +58,9 @@ def buckets(text: str | None) -> np.ndarray:
 
 
 def labelled_ids(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """``(id, good)``: at most ``max_labelled`` ids of each class."""
+    """``(id, good)``: about ``max_labelled`` ids of each class, at most twice as many."""
     known = labels.select(F.col("doc_id").cast("long").alias("id"), (F.col("quality") == 1).alias("good")).dropna().distinct()
-    part = [known.where(c).orderBy(F.xxhash64("id"), "id").limit(max_labelled) for c in ("good", "not good")]
+    part = [sample_by_hash(known.where(c), "id", max_labelled) for c in ("good", "not good")]
     return stored(part[0].unionByName(part[1]), "resample-labels")
 
 
@@ -81,7 +81,7 @@ def ratio_table(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) ->
 
     good = ids.where("good").select("id", F.lit(True).alias("good"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    marked = texts.join(F.broadcast(good), "id", "left").select("text", "good")  # at most MAX_LABELLED ids
+    marked = texts.join(F.broadcast(good), "id", "left").select("text", "good")  # at most 2 * MAX_LABELLED ids
     sums = marked.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()  # at most one row per bucket
     raw, target = (np.zeros(1 << BUCKETS_LOG2) for _ in range(2))

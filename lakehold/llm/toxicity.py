@@ -6,8 +6,8 @@ clean text drifts down. A linear-time scan finds every maximal scoring segment o
 number of segments of at least a score S in n tokens is about Poisson with mean K*n*exp(-lambda*S); a text's
 evidence is the sum of its segments' logarithmic significance, mapped to a probability by a logistic fit.
 
-Learning takes a bounded sample of the labelled rows outside the held-out fold: at most ``PER_CLASS`` rows per
-class, those with the smallest hash of the id, and at most ``MAX_WEIGHTS`` scored tokens (the most
+Learning takes a bounded sample of the labelled rows outside the held-out fold: about ``PER_CLASS`` rows per
+class (at most twice as many), those with the smallest hash of the id, and at most ``MAX_WEIGHTS`` scored tokens (the most
 significant). Only the text is an input of a score.
 
 Cases: null, empty and wordless texts have no segments and get the lowest score; without labels of both
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.llm.common import fold, stored
+from lakehold.llm.common import fold, sample_by_hash, stored
 
 HELD_OUT = 0  # remainder of the held-out fold
 PER_CLASS = 10_000
@@ -89,13 +89,13 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    per_class: int = PER_CLASS) -> DataFrame:
-    """``(text, toxic)`` of the sample: at most ``per_class`` rows of each class outside the held-out fold.
+    """``(text, toxic)`` of the sample: about ``per_class`` rows of each class outside the held-out fold.
 
-    The chosen ids are at most ``2 * per_class`` rows, so they are broadcast; no text is shuffled.
+    The chosen ids are at most ``4 * per_class`` rows, so they are broadcast; no text is shuffled.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     known = known.where(fold("id") != HELD_OUT).distinct()
-    pick = [known.where(c).orderBy(F.xxhash64("id"), "id").limit(per_class) for c in ("toxic = 1", "toxic <> 1")]
+    pick = [sample_by_hash(known.where(c), "id", per_class) for c in ("toxic = 1", "toxic <> 1")]
     chosen = stored(pick[0].unionByName(pick[1]), "toxicity-sample-ids")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return texts.join(F.broadcast(chosen), "id").select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") == 1).alias("toxic"))
