@@ -16,6 +16,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -166,40 +167,53 @@ def encoded_text(words: Encoded, text: str | None) -> tuple[list[str], list[str]
     return ids, out, n
 
 
+def _src(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
 def encode_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``doc_id, n_tokens, ids array<int>, decoded string`` (the operator's full result)."""
+    """Per row: ``doc_id, n_tokens, ids array<int>, decoded string``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         for b in batches:
-            ids, out = [], []
-            for t in b.column(1).to_pylist():
-                i, o, _ = encoded_text(words, t)
-                ids.append([int(x) for x in " ".join(i).split()])
-                out.append(" ".join(o))
-            yield pa.record_batch([b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(out, pa.string())],
-                                  names=["doc_id", "n_tokens", "ids", "decoded"])
+            got = [encoded_text(words, t.as_py()) for t in b.column(1)]
+            yield pa.record_batch([b.column(0), pa.array([n for _, _, n in got], pa.int64()), lists([numbers(i) for i, _, _ in got]),
+                                   pa.array([" ".join(o) for _, o, _ in got], pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
+
+    return _src(docs, id_col, text_col).mapInArrow(encode, "doc_id long, n_tokens long, ids array<int>, decoded string")
+
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(encode, "doc_id long, n_tokens long, ids array<int>, decoded string")
+def numbers(ids: list[str]) -> np.ndarray:
+    """Ids as texts (several in one text, with spaces between) to numbers."""
+    return np.array(" ".join(ids).split(), np.int32)
 
 
-def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``doc_id, n_tokens, ids_sha256, decoded_sha256``; like ``encode_table``, but only the digests
-    of ids and decoded text leave the worker."""
+def lists(values: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *(v.size for v in values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *values])))
+
+
+def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Per row: ``doc_id, n_tokens, ids_sha256, decoded_sha256``, and ``ids`` if asked for; the decoded text
+    itself does not leave the worker."""
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         digest = lambda parts: hashlib.sha256(" ".join(parts).encode("utf-8", "surrogatepass")).hexdigest()
         for b in batches:
-            n, a, c = [], [], []
+            n, a, c, ids = [], [], [], []
             for t in b.column(1):
-                ids, out, k = encoded_text(words, t.as_py())
+                i, out, k = encoded_text(words, t.as_py())
                 n.append(k)
-                a.append(digest(ids))
+                a.append(digest(i))
                 c.append(digest(out))
-            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(c, pa.string())],
-                                  names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(encode, RESULT)
+                if with_ids:
+                    ids.append(numbers(i))
+            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(c, pa.string())]
+            if with_ids:
+                cols.append(lists(ids))
+            yield pa.record_batch(cols, names=names)
+
+    return _src(docs, id_col, text_col).mapInArrow(encode, RESULT + ", ids array<int>" * with_ids)

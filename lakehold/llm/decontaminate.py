@@ -242,26 +242,22 @@ def alignments(items: DataFrame, found: DataFrame, keys: list[str], min_run: int
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """Pairs of document and benchmark item: ``doc_id, item_id, covered_tokens, item_tokens, changed_slots``.
-
-    ``docs`` has to be a stored table, whose rows come in the same splits whenever they are read.
-    """
-    found, _ = _contaminated_rows(docs, benchmark, id_col, text_col, window)
-    return found.drop("row_no")
+    """Pairs of document and benchmark item: ``doc_id, item_id, covered_tokens, item_tokens, changed_slots``."""
+    numbered = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _hits(numbered, benchmark, ["row_no", "doc_id"], window).drop("row_no")
 
 
-def _contaminated_rows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame]:
+def _hits(docs: DataFrame, benchmark: DataFrame, keys: list[str], window: int) -> DataFrame:
     items = stored(item_windows(benchmark, window), "decontaminate-items")
     sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most WINDOW values
-    numbered = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keys = ["row_no", "doc_id"]
-    found = document_windows(numbered, bit_table(items), sizes, keys, "text")
-    return alignments(items, found, keys), items
+    return alignments(items, document_windows(docs, bit_table(items), sizes, keys, "text"), keys)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark passage (a stored table, see ``contaminated``)."""
-    row = fresh(docs, "row_no")
-    found, _ = _contaminated_rows(docs, benchmark, id_col, text_col, window)
-    bad = found.select(F.col("row_no").alias(row)).distinct()
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(bad, row, "left_anti").select(*docs.columns)
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark passage. The verdict depends on the text alone, so rows
+    are matched by the text's digest."""
+    key = fresh(docs, "text_key")
+    keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
+    hits = _hits(keyed.select(F.col(text_col).alias("text"), F.col(key).alias("digest")), benchmark, ["digest"], window)
+    bad = stored(hits.select(F.col("digest").alias(key)).distinct(), "decontaminate-texts")
+    return keyed.join(bad, key, "left_anti").select(*docs.columns)

@@ -128,8 +128,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         joined_spans(F.col("found"), [0, 1, 2, 3]).alias("spans"))
 
 
-def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every found span of the text replaced by ``mark``; rows without a span are unchanged."""
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with every found span of the text replaced by ``mark``, and the new length in ``length_col`` (if
+    there is one); rows without a span are unchanged. Spans that overlap are replaced together."""
     from lakehold.llm.common import fresh
 
     f, text = fresh(docs, "found"), F.col(text_col)
@@ -141,4 +142,8 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
             .otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], x["end"]).alias("at")),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     clean = F.when(F.size(found) > 0, state).otherwise(text)
-    return find_spans(docs, text_col, f).withColumn(text_col, clean).select(*docs.columns)
+    out = find_spans(docs, text_col, f).withColumn(text_col, clean)
+    if length_col in docs.columns:
+        kind = docs.schema[length_col].dataType
+        out = out.withColumn(length_col, F.when(F.size(found) > 0, F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
+    return out.select(*docs.columns)

@@ -10,7 +10,7 @@ themselves. Lists far longer than the others are cut into blocks, and every pair
 work, so a list of any length is spread over many tasks.
 
 Cases: a null or empty text, or one without words, has the fingerprint zero and is linked like any other;
-repeated rows are one entry and give repeated results; null ids get a component like all other rows, and a
+repeated rows are one entry and give repeated results (``keep_one`` keeps one of them); null ids get a component like all other rows, and a
 component that has only null ids has a null ``component_id``; an empty table gives an empty result.
 """
 
@@ -212,16 +212,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: that of the least id (null ids last, then by storage order).
+    """``docs`` with one row of each component: that of the least id (null ids last, then the least digest).
 
-    ``docs`` has to be a stored table, whose rows come in the same splits whenever they are read.
+    Rows are told apart by id and text, not by their place, which may change from one read to the next; of
+    rows with equal id and text any one stays.
     """
-    row = fresh(docs, "row_no")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    rows = stored(fingerprints(numbered.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(row).alias("row_no")),
-                               keys=("id", "row_no"), words=words), "simhash-rows")
-    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_no")
+    key = fresh(docs, "row_key")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    row_key = F.sha2(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.sha2(text, 256)), 256)
+    keyed = docs.withColumn(key, row_key)
+    rows = stored(fingerprints(keyed.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(key).alias("key")),
+                               keys=("id", "key"), words=words), "simhash-rows")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
     known = stored(rows.groupBy("fp").agg(F.min(order).alias("best")), "simhash-distinct")
     labelled = known.join(components(known, max_bits), "fp", "left").select(F.coalesce("root", "fp").alias("root"), "best")
-    kept = labelled.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row_no").alias(row))
-    return numbered.join(kept, row, "left_semi").select(*docs.columns)
+    kept = stored(labelled.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.key").alias(key)), "simhash-kept")
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
