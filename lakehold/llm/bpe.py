@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -28,6 +29,35 @@ CACHED_WORDS = 200_000  # words per generation of a worker's cache; two generati
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+#: Texts of these characters are split by the file's pattern as it is; others by explicit character classes.
+COMMON = re.compile(r"[\x00-ɏ\u2010-\u2027]*")
+# Case pairs that the library knows and Python's tables do not have yet, as (first, last, distance).
+NEWER_CASES = [(0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1),
+               (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x1C89, 0x1C89, 1)]
+# Letters and numbers of Unicode 16, which the library knows and Python's tables do not have yet.
+NEWER_CLASSES = {
+    "L": [(0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+          (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1),
+          (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF),
+          (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0)],
+    "N": [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)],
+}
+NEWER = {c: c + d for a, b, d in NEWER_CASES for c in range(a, b + 1)}
+
+
+def character_class(major: str) -> str:
+    """Ranges of all characters of a major category, as the inside of a regular expression's class."""
+    newer = {c for a, b in NEWER_CLASSES[major] for c in range(a, b + 1)}
+    codes = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == major or c in newer]
+    ranges, start = [], None
+    for c, after in zip(codes, [*codes[1:], None], strict=True):
+        start = c if start is None else start
+        if after != c + 1:
+            ranges.append(f"\\U{start:08x}-\\U{c:08x}")
+            start = None
+    return "".join(ranges)
+
+
 def byte_symbols() -> dict[int, str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -49,7 +79,9 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text_of |= {i: s for s, i in self.special.items()}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(split["pattern"]["Regex"]).findall
+        self.pattern = split["pattern"]["Regex"]
+        self.words = regex.compile(self.pattern).findall
+        self.exact_words = None
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         byte = byte_symbols()
         self.inner = [self.vocab.get(byte[b]) for b in range(256)]
@@ -101,6 +133,14 @@ class WordBpe:
         if not text.isascii():
             # lower-casing goes character by character: no special form of sigma at the end of a word
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if not COMMON.fullmatch(text):
+                if self.exact_words is None:
+                    classes = {r"\p{L}": character_class("L"), r"\p{N}": character_class("N")}
+                    pattern = self.pattern
+                    for name, inside in classes.items():
+                        pattern = pattern.replace(name, inside)
+                    self.exact_words = re.compile(pattern.replace(r"\s", r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")).findall
+                return self.exact_words(text.translate(NEWER).lower())
         return self.words(text.lower())
 
     def parts(self, text: str) -> list[str]:
