@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (IntegerType, StringType, StructField, StructType,
+from pyspark.sql.types import (LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
 from lakehold.functions.columns import ts_ntz
@@ -21,8 +21,8 @@ CONTROL_SCHEMA = StructType([
     StructField("last_processed_timestamp", TimestampNTZType()),
     StructField("batch_id", StringType()),
     StructField("status", StringType()),
-    StructField("records_processed", IntegerType()),
-    StructField("records_failed", IntegerType()),
+    StructField("records_processed", LongType()),
+    StructField("records_failed", LongType()),
     StructField("start_time", TimestampNTZType()),
     StructField("end_time", TimestampNTZType()),
     StructField("error_message", StringType()),
@@ -30,6 +30,11 @@ CONTROL_SCHEMA = StructType([
 CONTROL_COLUMNS = [f.name for f in CONTROL_SCHEMA.fields]
 
 
+def utc_now() -> dt.datetime:
+    """The run clock: UTC wall time, as the watermarks are, whatever the driver's zone."""
+    return dt.datetime.now(dt.UTC).replace(tzinfo=None)
+
+
 def create_control_table(spark: SparkSession, name: str, location: str | None = None) -> str:
     """CREATE TABLE IF NOT EXISTS with the fixed column order (idempotent)."""
     cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CONTROL_SCHEMA.fields)
@@ -85,8 +90,8 @@ def batch_records(df: DataFrame, batch: Column, ts: str, failed: Column,
     """Control rows for many batches in one grouped job: processed / failed counts,
     watermark = max event time, start/end = first/last event time."""
     g = df.withColumn("__batch", batch).groupBy("__batch").agg(
-        F.count(F.lit(1)).cast("int").alias("records_processed"),
-        F.count_if(failed).cast("int").alias("records_failed"),
+        F.count(F.lit(1)).alias("records_processed"),
+        F.count_if(failed).alias("records_failed"),
         F.max(ts).alias("last_processed_timestamp"),
         F.min(ts).alias("start_time"),
     )
@@ -105,19 +110,21 @@ def batch_records(df: DataFrame, batch: Column, ts: str, failed: Column,
 
 
 def run_step(spark: SparkSession, table: str, pipeline_name: str, layer: str,
-             step: Callable[[], tuple[dt.datetime | None, int | None, int | None]]) -> str:
-    """Run ``step`` and ALWAYS append a control record (success or failed)."""
-    start = dt.datetime.now()
+             step: Callable[[], tuple]) -> str:
+    """Run ``step`` and ALWAYS append a control record (success or failed). The step
+    returns (watermark, rows processed, rows failed), and a status if it has its own."""
+    start = utc_now()
     status, err, wm, n_ok, n_bad = "success", None, None, None, None
     try:
-        wm, n_ok, n_bad = step()
+        wm, n_ok, n_bad, *own = step()
+        status = own[0] if own else status
     except Exception as e:  # recorded, then re-raised
-        status, err = "failed", str(e)[:2000]
+        status, err = "failed", str(e)
         raise
     finally:
         rec = run_record(spark, pipeline_name, layer, last_processed_timestamp=wm, status=status,
                          records_processed=n_ok, records_failed=n_bad, start_time=start,
-                         end_time=dt.datetime.now(), error_message=err)
+                         end_time=utc_now(), error_message=err)
         append_run(spark, table, rec)
     return status
 

@@ -1,30 +1,27 @@
-"""Nearest region for points (planar distance in the input units).
-
-Two exact strategies:
-
-* ``broadcast`` - the region set (boroughs, towns) is counted against
-  ``max_regions`` and packed into one broadcast row; each point evaluates every region
-  inside one Catalyst expression (ray casting for inside, point-to-segment distance
-  outside); the array is a scalar subquery, so there is no join and no pair rows.
-* ``grid`` - used beyond that bound. Regions are registered in the grid cells their
-  bounding box covers; each point looks at its 3x3 cell neighbourhood. If the nearest
-  candidate is within one cell size, no region outside the neighbourhood can be
-  nearer, so the point is resolved; the others move to the next level with twice the
-  cell size. The number of levels is logarithmic in the extent of the data.
-
-Equally near regions (within ``tie_tolerance``) all come back, one row each.
+"""Nearest region for points (planar distance in the input units), exact at any size.
+
+Regions form a tree: the centres of their boxes are cut into cells, four by four per
+level, and a cell's box covers all regions whose centre it holds. Points descend level
+by level. A cell farther away than the farthest corner of some other cell cannot hold
+the nearest region and is dropped, so a point meets a few cells per level wherever it
+lies, and the polygon distance is computed for the few regions of the last ones. All
+steps are equi-joins on cell numbers and a minimum per point.
+
+Equally near regions (within ``tie_tolerance``) all come back, one row each. A point
+with a null, NaN or infinite coordinate keeps one row with a null region, and so do all
+points when there are no regions. A region without (finite) vertices is near to nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_REGIONS = 10_000
+import math
 
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-class TooManyRegions(ValueError):
-    pass
+VERTICES = "array<struct<x:double,y:double>>"
+MAX_LEVELS = 8  # of four by four cells each
+SMALL_LEVELS = 3  # levels of at most 16**3 cells: small enough to broadcast by their number
 
 
 def _edges(verts: Column) -> Column:
@@ -64,37 +61,6 @@ def polygon_distance(px: Column, py: Column, verts: Column) -> Column:
     return F.when(crossings % 2 == 1, F.lit(0.0)).otherwise(edge_d)
 
 
-def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude", y: str = "latitude",
-                   name_col: str = "name", out: str = "region", tie_tolerance: float = 1e-9,
-                   max_regions: int = DEFAULT_MAX_REGIONS, strategy: str = "auto",
-                   cell_size: float | None = None) -> DataFrame:
-    """Left nearest join: every point keeps a row; ties give one row per region."""
-    if strategy not in ("auto", "broadcast", "grid"):
-        raise ValueError("strategy must be auto, broadcast or grid")
-    n = regions.count()  # one-row metric: the size bound of the broadcast side
-    if strategy == "grid" or (strategy == "auto" and n > max_regions):
-        return nearest_region_grid(points, regions, x, y, name_col, out, tie_tolerance, cell_size)
-    if n > max_regions:
-        raise TooManyRegions(f"{n} regions exceed the broadcast bound {max_regions}")
-    packed = regions.agg(
-        F.collect_list(F.struct(F.col(name_col).alias("name"), F.col("vertices").alias("vertices")))
-        .alias("__regions")
-    )
-    # the count above bounds this array; a scalar subquery evaluates it once, no join
-    region_type = packed.schema["__regions"].dataType
-    p = points.withColumn("__regions", F.coalesce(packed.scalar(), F.array().cast(region_type)))
-    px, py = F.col(x), F.col(y)
-    dists = F.transform(
-        F.col("__regions"),
-        lambda r: F.struct(r["name"].alias("name"), polygon_distance(px, py, r["vertices"]).alias("d")),
-    )
-    p = p.withColumn("__d", dists).withColumn("__min", F.array_min(F.transform("__d", lambda e: e["d"])))
-    best = F.filter("__d", lambda e: e["d"] <= F.col("__min") + F.lit(tie_tolerance))
-    return (p.withColumn("__best", best)
-            .withColumn(out, F.explode_outer(F.transform("__best", lambda e: e["name"])))
-            .drop("__regions", "__d", "__min", "__best"))
-
-
 def boxes(spark, rows) -> DataFrame:
     """Regions from ``(name, xmin, ymin, xmax, ymax)`` boxes."""
     df = spark.createDataFrame(rows, "name string, xmin double, ymin double, xmax double, ymax double")
@@ -109,72 +75,92 @@ def _bbox(verts: Column) -> list[Column]:
     return [F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)]
 
 
-def nearest_region_grid(points: DataFrame, regions: DataFrame, x: str, y: str, name_col: str = "name",
-                        out: str = "region", tie_tolerance: float = 1e-9,
-                        cell_size: float | None = None) -> DataFrame:
-    """Exact multi-level grid nearest join (see module doc).
+def read_regions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Regions ``(name, vertices)`` from files with a name and an array of ``x, y`` vertices."""
+    return spark.read.format(fmt).schema(f"name string, vertices {VERTICES}").load(path)
+
+
+def regions_from_vertices(df: DataFrame, name: str = "name", seq: str = "seq", x: str = "x", y: str = "y") -> DataFrame:
+    """Regions from one row per vertex, in the order of ``seq``."""
+    vertex = F.struct(F.col(seq).alias("seq"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    ordered = F.transform(F.array_sort(F.collect_list(vertex)), lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")))
+    return df.groupBy(F.col(name).alias("name")).agg(ordered.alias("vertices"))
+
+
+def _finite(c: Column) -> Column:
+    return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+
+
+def _region_tree(regions: DataFrame, name_col: str, root: str) -> tuple[DataFrame, list[DataFrame]] | None:
+    """Stored regions with their box and cell, and the boxes of the cells of every level."""
+    spark = regions.sparkSession
+    good = regions.where((F.size("vertices") > 0) & ~F.exists("vertices", lambda v: ~_finite(v["x"]) | ~_finite(v["y"])))
+    xs, ys = F.transform("vertices", lambda v: v["x"]), F.transform("vertices", lambda v: v["y"])
+    reg = good.select(F.col(name_col).alias("__name"), F.col("vertices").alias("__verts"), F.array_min(xs).alias("__x0"), F.array_min(ys).alias("__y0"),
+                      F.array_max(xs).alias("__x1"), F.array_max(ys).alias("__y1"))
+    st = reg.agg(F.count(F.lit(1)).alias("n"), F.min("__x0").alias("x0"), F.min("__y0").alias("y0"), F.max("__x1").alias("x1"), F.max("__y1").alias("y1")).first()
+    if not st["n"]:
+        return None
+    levels = min(MAX_LEVELS, 1 + math.ceil(math.log(st["n"], 16)))
+    side, cells = max(st["x1"] - st["x0"], st["y1"] - st["y0"]) or 1.0, 4 ** levels
+    at = lambda lo, hi, start: F.least(F.floor(((F.col(lo) + F.col(hi)) / 2 - F.lit(start)) / F.lit(side) * cells), F.lit(cells - 1)).cast("long")
+    cx, cy = at("__x0", "__x1", st["x0"]), at("__y0", "__y1", st["y0"])
+    cell = F.lit(0).cast("long")
+    for b in range(2 * levels):
+        cell = cell.bitwiseOR(F.shiftleft(F.shiftright(cx, b).bitwiseAND(F.lit(1)), 2 * b))
+        cell = cell.bitwiseOR(F.shiftleft(F.shiftright(cy, b).bitwiseAND(F.lit(1)), 2 * b + 1))
+    reg = reg.withColumn("__cell", cell)
+    reg.write.parquet(f"{root}/regions")
+    reg = spark.read.schema(reg.schema).parquet(f"{root}/regions")
+    tree = []
+    for level in range(1, levels + 1):
+        node = F.shiftright("__cell", 4 * (levels - level)).alias("__node")
+        boxes_ = reg.groupBy(node).agg(F.min("__x0").alias("__x0"), F.min("__y0").alias("__y0"), F.max("__x1").alias("__x1"), F.max("__y1").alias("__y1"))
+        tree.append(boxes_.withColumn("__parent", F.shiftright("__node", 4)))
+    return reg, tree
+
+
+def _near_and_far(px: Column, py: Column) -> tuple[Column, Column]:
+    """Least and greatest distance of a point to a box."""
+    x0, y0, x1, y1 = (F.col(f"__{c}") for c in ("x0", "y0", "x1", "y1"))
+    dx, dy = F.greatest(x0 - px, F.lit(0.0), px - x1), F.greatest(y0 - py, F.lit(0.0), py - y1)
+    fx, fy = F.greatest(F.abs(px - x0), F.abs(px - x1)), F.greatest(F.abs(py - y0), F.abs(py - y1))
+    return F.sqrt(dx * dx + dy * dy), F.sqrt(fx * fx + fy * fy)
 
-    One small aggregate fixes the starting cell size (largest region box side) and the
-    data extent. Points get ids in one write to the shared folder; each level is one
-    more write holding every open point with its nearest candidates and a resolved
-    flag (the number still open is observed on that write), so no level is computed
-    twice and lineage stays short.
-    """
-    from pyspark.sql import Observation, Window
 
+def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude", y: str = "latitude",
+                   name_col: str = "name", out: str = "region", tie_tolerance: float = 1e-9) -> DataFrame:
+    """Left nearest join: every point keeps a row; ties give one row per region."""
     from lakehold.session import shared_dir
 
     spark = points.sparkSession
-    root = shared_dir(spark, "nearest-grid")
-    reg = regions.select(F.col(name_col).alias("__name"), F.col("vertices").alias("__verts"))
-    bx = _bbox(F.col("__verts"))
-    reg = reg.select("__name", "__verts", *[b.alias(f"__b{i}") for i, b in enumerate(bx)])
-    rs = reg.agg(F.max(F.greatest(F.col("__b2") - F.col("__b0"), F.col("__b3") - F.col("__b1"))).alias("side"),
-                 F.min("__b0").alias("x0"), F.min("__b1").alias("y0"),
-                 F.max("__b2").alias("x1"), F.max("__b3").alias("y1")).first()
-    ps = points.agg(F.min(x).alias("x0"), F.min(y).alias("y0"), F.max(x).alias("x1"), F.max(y).alias("y1")).first()
-    if rs["x0"] is None:  # no regions: every point keeps one row without a region
-        return points.withColumn(out, F.lit(None).cast("string"))
-    xs = [v for v in (rs["x0"], rs["x1"], ps["x0"], ps["x1"]) if v is not None]
-    ys = [v for v in (rs["y0"], rs["y1"], ps["y0"], ps["y1"]) if v is not None]
-    extent = max(max(xs) - min(xs), max(ys) - min(ys), 1e-12)
-    size = cell_size or max(rs["side"] or 0.0, extent / 1024.0)
-
+    root = shared_dir(spark, "nearest")
+    built = _region_tree(regions, name_col, root)
+    kind = regions.schema[name_col].dataType
+    if built is None:
+        return points.withColumn(out, F.lit(None).cast(kind))
+    reg, tree = built
     with_id = points.withColumn("__pid", F.monotonically_increasing_id())
     with_id.write.parquet(f"{root}/points")
     pts = spark.read.schema(with_id.schema).parquet(f"{root}/points")
-    todo = pts.select("__pid", F.col(x).alias("__x"), F.col(y).alias("__y"))
-    found, level = [], 0
-    near = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                     for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    while True:
-        cell = lambda v, sz=size: F.floor(v / F.lit(sz)).cast("long")
-        rc = reg.select("__name", "__verts",
-                        F.explode(F.sequence(cell(F.col("__b0")), cell(F.col("__b2")))).alias("__cx"),
-                        cell(F.col("__b1")).alias("__cy0"), cell(F.col("__b3")).alias("__cy1"))
-        rc = rc.select("__name", "__verts", "__cx", F.explode(F.sequence("__cy0", "__cy1")).alias("__cy"))
-        pc = todo.select("__pid", "__x", "__y", F.inline(near)).select(
-            "__pid", "__x", "__y", (cell(F.col("__x")) + F.col("dx")).alias("__cx"),
-            (cell(F.col("__y")) + F.col("dy")).alias("__cy"))
-        cand = (pc.join(rc, on=["__cx", "__cy"], how="inner")
-                .select("__pid", "__x", "__y", "__name", "__verts").dropDuplicates(["__pid", "__name"]))
-        cand = cand.withColumn("__d", polygon_distance(F.col("__x"), F.col("__y"), F.col("__verts")))
-        cand = cand.withColumn("__min", F.min("__d").over(Window.partitionBy("__pid")))
-        best = cand.where(F.col("__d") <= F.col("__min") + F.lit(tie_tolerance)).select("__pid", "__name", "__min")
-        last = size >= 4 * extent  # every region is within one cell of every point
-        lv = todo.join(best, "__pid", "left").withColumn(
-            "__ok", F.lit(True) if last else F.coalesce(F.col("__min") <= F.lit(size), F.lit(False)))
-        obs = Observation(f"level{level}")
-        path = f"{root}/level={level}"
-        lv.observe(obs, F.count_if(~F.col("__ok")).alias("open")).write.parquet(path)
-        lv = spark.read.schema(lv.schema).parquet(path)
-        found.append(lv.where(F.col("__ok")).select("__pid", F.col("__name").alias(out)))
-        if last or obs.get["open"] == 0:
-            break
-        todo = lv.where(~F.col("__ok")).select("__pid", "__x", "__y").distinct()
-        size *= 2.0
-        level += 1
-    names = found[0]
-    for h in found[1:]:
-        names = names.unionByName(h)
-    return pts.join(names, "__pid", "left").drop("__pid")
+
+    px, py = F.col("__px"), F.col("__py")
+    per_point = Window.partitionBy("__pid")
+    # distances of far points carry rounding errors in proportion to their size
+    slack = F.lit(tie_tolerance) + F.col("__bound") * 1e-12
+    open_ = pts.where(_finite(F.col(x)) & _finite(F.col(y))).select(
+        "__pid", F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))).alias("__at"))  # the cells of the first level
+
+    def pruned(cand: DataFrame) -> DataFrame:
+        near, far = _near_and_far(px, py)
+        cand = cand.withColumns({"__near": near, "__far": far}).withColumn("__bound", F.min("__far").over(per_point))
+        return cand.where(F.col("__near") <= F.col("__bound") + slack)
+
+    for level, nodes in enumerate(tree, 1):
+        side = F.broadcast(nodes) if level <= SMALL_LEVELS else nodes
+        open_ = pruned(open_.join(side, F.col("__at") == F.col("__node" if level == 1 else "__parent"))).select("__pid", "__px", "__py", F.col("__node").alias("__at"))
+    last = pruned(open_.join(reg, F.col("__at") == F.col("__cell")))
+    last = last.withColumn("__d", polygon_distance(px, py, F.col("__verts"))).withColumn("__min", F.min("__d").over(per_point))
+    best = last.where(F.col("__d") <= F.col("__min") + F.lit(tie_tolerance)).select("__pid", F.col("__name").alias(out))
+    return pts.join(best, "__pid", "left").drop("__pid")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 
 class ColumnGateError(RuntimeError):
@@ -30,23 +31,33 @@ def assert_columns_populated(df: DataFrame) -> DataFrame:
     return df
 
 
-def with_validity(df: DataFrame, required: Sequence[str],
-                  non_negative: Sequence[str] = ()) -> DataFrame:
-    """Add ``is_valid`` (never null) and ``reject_reasons`` (``col:null`` /
-    ``col:negative``). A null in a non-negative column is a rejection."""
-    reasons = [F.when(F.col(c).isNull(), F.lit(f"{c}:null")) for c in required]
-    for c in non_negative:
-        reasons.append(F.when(F.col(c).isNull(), F.lit(f"{c}:null"))
-                       .when(F.col(c) < 0, F.lit(f"{c}:negative")))
+def with_validity(df: DataFrame, required: Sequence[str], non_negative: Sequence[str] = (),
+                  raw: str | None = None) -> DataFrame:
+    """Add ``is_valid`` (never null) and ``reject_reasons``: ``col:null``, ``col:malformed``
+    (null, but ``raw.col`` has text: the struct column ``raw`` holds the values before
+    their cast), ``col:not_finite`` (NaN or infinite) and ``col:negative``. A null in a
+    non-negative column is a rejection."""
+    raw_fields = set(df.schema[raw].dataType.names) if raw else set()
+
+    def reason(c: str, negative: bool):
+        missing = F.lit(f"{c}:null")
+        if c in raw_fields:
+            missing = F.when(F.col(f"{raw}.{c}").isNotNull(), F.lit(f"{c}:malformed")).otherwise(missing)
+        out = F.when(F.col(c).isNull(), missing)
+        if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
+            out = out.when(F.isnan(c) | (F.abs(F.col(c)) == float("inf")), F.lit(f"{c}:not_finite"))
+        return out.when(F.col(c) < 0, F.lit(f"{c}:negative")) if negative else out
+
+    reasons = [reason(c, False) for c in required] + [reason(c, True) for c in non_negative]
     arr = (F.array_distinct(F.filter(F.array(*reasons), lambda x: x.isNotNull())) if reasons
            else F.array().cast("array<string>"))
     return df.withColumn("reject_reasons", arr).withColumn("is_valid", F.size("reject_reasons") == 0)
 
 
-def split_valid(df: DataFrame, required: Sequence[str],
-                non_negative: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def split_valid(df: DataFrame, required: Sequence[str], non_negative: Sequence[str] = (),
+                raw: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with reasons). Valid + rejected == input."""
-    marked = with_validity(df, required, non_negative)
+    marked = with_validity(df, required, non_negative, raw)
     valid = marked.where(F.col("is_valid")).drop("is_valid", "reject_reasons")
     rejected = marked.where(~F.col("is_valid")).drop("is_valid")
     return valid, rejected

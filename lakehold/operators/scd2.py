@@ -8,6 +8,8 @@ successor starts; the current version ends at ``2999-12-31``.
 Guards (decided, unlike the naive MERGE): several staged rows of one key are reduced
 to the latest; a staged row that is not newer than the current version (late or
 replayed) changes nothing; change detection is null-safe unless ``null_safe=False``.
+A staged row without a time can start no version: it is left out here, and belongs in
+the quarantine (``untimed`` returns these rows).
 """
 
 from __future__ import annotations
@@ -24,6 +26,20 @@ from lakehold.operators.windows import with_neighbor
 INSERT, UPDATE = "INSERT", "UPDATE"
 
 
+def _columns(*parts: Sequence[str]) -> list[str]:
+    """All names once, in order: the time or an ordering column may be an attribute too."""
+    return list(dict.fromkeys(c for p in parts for c in p))
+
+
+def timed(staged: DataFrame, ts: str) -> DataFrame:
+    return staged.where(F.col(ts).isNotNull())
+
+
+def untimed(staged: DataFrame, ts: str) -> DataFrame:
+    """Staged rows that no version can be made of, because they have no time."""
+    return staged.where(F.col(ts).isNull())
+
+
 def _changed(tracked: Sequence[str], null_safe: bool, left: str = "stg", right: str = "cur") -> Column:
     conds = []
     for a in tracked:
@@ -61,7 +77,7 @@ def classify(staged: DataFrame, target: DataFrame, keys: Sequence[str], tracked:
              ts: str = "ts", order: Sequence[str] = (), null_safe: bool = True) -> DataFrame:
     """Latest staged row per key joined with the current version, plus ``scd_action``:
     INSERT (no current row), UPDATE (newer and a tracked attribute differs), NULL."""
-    s = latest_per_key(staged, keys, [ts, *order]).alias("stg")
+    s = latest_per_key(timed(staged, ts), keys, [ts, *order]).alias("stg")
     cur = current_rows(target).alias("cur")
     j = _key_join(s, cur, keys, "left", "stg")
     action = (
@@ -103,7 +119,7 @@ def apply_changes(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     versions. Publishing it once replaces the two MERGE transactions."""
     tracked = list(tracked or attrs)
     keys = list(keys)
-    s = latest_per_key(staged.select(*keys, *attrs, ts, *order), keys, [ts, *order]).alias("stg")
+    s = latest_per_key(timed(staged, ts).select(*_columns(keys, attrs, [ts], order)), keys, [ts, *order]).alias("stg")
     cur = current_rows(target).alias("cur")
     j = _key_join(cur, s, keys, "full_outer", "cur")
     has_cur = F.col("cur.valid_from").isNotNull()
@@ -123,7 +139,7 @@ def apply_changes(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     fresh = row("stg", F.col(f"stg.{ts}"), open_end(), F.lit(True), new_sk)
     out_rows = (F.when(is_update, F.array(closed, fresh))
                 .when(is_insert, F.array(fresh))
-                .otherwise(F.array(kept)))
+                .when(has_cur, F.array(kept)))  # neither side: no row
     changed = j.select(*keys, F.inline(out_rows))
     cols = [*keys, *attrs, "valid_from", "valid_to", "is_current", "sk"]
     history = target.where(~F.col("is_current")).select(*cols)
@@ -138,13 +154,13 @@ def history(log: DataFrame, keys: Sequence[str], attrs: Sequence[str],
     tracked = list(tracked or attrs)
     keys = list(keys)
     o = [ts, *order]
-    d = log.select(*keys, *attrs, *o).withColumn("__exists", F.lit(True))
+    d = timed(log, ts).select(*_columns(keys, attrs, o)).withColumn("__exists", F.lit(True))
     d = with_neighbor(d, keys, o, [*tracked, "__exists"], "prev", "__p_", split)
     same = F.lit(True)
     for a in tracked:
         same = same & F.col(a).eqNullSafe(F.col(f"__p_{a}"))
     d = d.where(F.col("__p___exists").isNull() | ~same)
-    d = d.select(*keys, *attrs, *o)
+    d = d.select(*_columns(keys, attrs, o))
     d = with_neighbor(d, keys, o, [ts], "next", "__n_", split)
     return d.select(
         *keys, *attrs,
@@ -165,12 +181,13 @@ def apply_all_versions(target: DataFrame, staged: DataFrame, keys: Sequence[str]
     tracked = list(tracked or attrs)
     keys = list(keys)
     cur = current_rows(target).alias("cur")
-    s = staged.select(*keys, *attrs, ts, *order).alias("stg")
+    s = timed(staged, ts).select(*_columns(keys, attrs, [ts], order)).alias("stg")
     j = _key_join(s, cur.select(*keys, "valid_from"), keys, "left", "stg")
     newer = j.where(F.col("cur.valid_from").isNull() | (F.col(f"stg.{ts}") > F.col("cur.valid_from")))
-    newer = newer.select(*keys, *[F.col(f"stg.{c}").alias(c) for c in [*attrs, ts, *order]])
-    seed = cur.select(*keys, *attrs, F.col("valid_from").alias(ts),
-                      *[F.lit(None).cast(staged.schema[o].dataType).alias(o) for o in order])
+    rest = _columns(attrs, [ts], order)
+    newer = newer.select(*keys, *[F.col(f"stg.{c}").alias(c) for c in rest])
+    seed = cur.select(*keys, *[F.col("valid_from").alias(c) if c == ts else F.col(c) if c in attrs
+                               else F.lit(None).cast(staged.schema[c].dataType).alias(c) for c in rest])
     versions = history(seed.unionByName(newer), keys, attrs, tracked, ts=ts, order=order, split=split)
     cols = [*keys, *attrs, "valid_from", "valid_to", "is_current", "sk"]
     return target.where(~F.col("is_current")).select(*cols).unionByName(versions.select(*cols))

@@ -4,16 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from lakehold.operators.transform import latest_per_key
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows without a source match, plus every source row. A left-anti join
-    on the keys (AQE splits a skewed key on the target side)."""
-    keep = target.join(source.select(*keys), on=list(keys), how="left_anti")
-    return keep.unionByName(source.select(*target.columns))
 
+def one_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """One source row per key: the greatest by ``order`` (default: by all other columns, so
+    the choice does not depend on the input's order). A null key is a key like others."""
+    rest = [c for c in source.columns if c not in keys]
+    order = [*(order or []), *[c for c in rest if c not in (order or [])]]
+    return latest_per_key(source, keys, order) if rest else source.distinct()
 
-def inserted_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key is not in the target (the rows an upsert inserts)."""
-    return source.join(target.select(*keys), on=list(keys), how="left_anti")
+
+def _anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left`` rows whose key ``right`` does not have, null-safe (AQE splits a skewed key)."""
+    r = right.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(keys)])
+    cond: Column | None = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"__r{i}"))
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, "left_anti")
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """Target rows without a source match, plus one source row per key."""
+    keys = list(keys)
+    return _anti(target, source, keys).unionByName(one_per_key(source, keys, order).select(*target.columns))
+
+
+def inserted_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """Source rows (one per key) whose key is not in the target: what an upsert inserts."""
+    keys = list(keys)
+    return _anti(one_per_key(source, keys, order), target, keys)

@@ -73,21 +73,19 @@ LINE = StructType([
     StructField("Quantity", DoubleType()),
     StructField("Flags", StructType([StructField("Return", StringType()), StructField("Status", StringType())])),
 ])
-DOC_CHUNK = 64  # max array elements per landing document
 
 
 def order_documents(spark, sf) -> DataFrame:
-    """Landing documents ``(o_orderkey, raw)``: each holds a JSON array of at most
-    ``DOC_CHUNK`` order lines (chunked by scan position, so a huge order is split);
+    """Landing documents ``(o_orderkey, raw)``: one JSON array with all lines of the order;
     orders without lines get an empty or malformed array."""
     li = table(spark, sf, "lineitem")
     o = table(spark, sf, "orders")
     elem = F.struct(F.col("l_linenumber").alias("LineNumber"), F.col("l_partkey").alias("PartKey"),
                     F.col("l_quantity").alias("Quantity"),
                     F.struct(F.col("l_returnflag").alias("Return"), F.col("l_linestatus").alias("Status")).alias("Flags"))
-    lines = (li.withColumn("chunk", F.floor(F.monotonically_increasing_id() / DOC_CHUNK))
-             .join(o.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi"))
-    docs = lines.groupBy("l_orderkey", "chunk").agg(F.to_json(F.collect_list(elem)).alias("raw"))
+    # an order has a handful of lines, so the array of a key is small
+    docs = (li.join(o.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+            .groupBy("l_orderkey").agg(F.to_json(F.collect_list(elem)).alias("raw")))
     docs = docs.select(F.col("l_orderkey").alias("o_orderkey"), "raw")
     empty = o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select(
         "o_orderkey",
@@ -236,14 +234,34 @@ def _change_log(spark, sf):
 
 
 def _scd_state(spark, sf):
+    """History of most users before the cut-off, and a dirty batch: users that the history
+    lacks (INSERT), users of the history without a row, late rows of the day before, and
+    rows without a time."""
     log = _change_log(spark, sf)
     cut = ts_ntz(EVENT_CUTOFF)
-    target = scd2.history(log.where(F.col("ts") < cut), SCD_KEYS, SCD_ATTRS, SCD_TRACKED,
+    target = scd2.history(log.where((F.col("ts") < cut) & (F.col("user_id") % 7 != 0)), SCD_KEYS, SCD_ATTRS, SCD_TRACKED,
                           ts="ts", order=["event_id"], split=LOG_SPLIT())
-    staged = log.where(F.col("ts") >= cut)
+    new = (F.col("ts") >= cut) & (F.col("user_id") % 5 != 0)
+    late = (F.col("ts") >= cut - F.expr("INTERVAL 1 DAY")) & (F.col("ts") < cut) & (F.col("user_id") % 3 == 0)
+    staged = log.where(new | late).withColumn("ts", F.when(F.col("event_id") % 97 != 0, F.col("ts")))
     return target, staged
 
 
+def _scd_split(spark, sf):
+    """All events, as the history before the cut-off and the batch after it."""
+    log = _change_log(spark, sf)
+    cut = ts_ntz(EVENT_CUTOFF)
+    target = scd2.history(log.where(F.col("ts") < cut), SCD_KEYS, SCD_ATTRS, SCD_TRACKED,
+                          ts="ts", order=["event_id"], split=LOG_SPLIT())
+    return target, log.where(F.col("ts") >= cut)
+
+
+def scd2_untimed(spark, sf):
+    """Staged rows without a time, which belong in the quarantine."""
+    _, s = _scd_state(spark, sf)
+    return scd2.untimed(s, "ts").select("user_id", "status", "event_id")
+
+
 def scd2_classify(spark, sf):
     t, s = _scd_state(spark, sf)
     return scd2.classify(s, t, SCD_KEYS, SCD_TRACKED, ts="ts", order=["event_id"]).select("user_id", "scd_action")
@@ -276,7 +294,7 @@ def scd2_replay(spark, sf):
 def scd2_apply_all_versions(spark, sf):
     """Every later event applied as versions (not only the latest per user): must equal
     the history of all events."""
-    t, s = _scd_state(spark, sf)
+    t, s = _scd_split(spark, sf)
     return scd2.apply_all_versions(t, s, SCD_KEYS, SCD_ATTRS, SCD_TRACKED, ts="ts", order=["event_id"],
                                    split=LOG_SPLIT()).select(*SCD_OUT)
 
@@ -290,22 +308,29 @@ def scd2_history(spark, sf):
 
 
 def _upsert_inputs(spark, sf):
-    e = table(spark, sf, "events")
+    """Target before the cut-off; a source that overlaps it, repeats some keys with other
+    values, and has null keys on both sides."""
+    e = table(spark, sf, "events").withColumn("event_id", F.when(F.col("event_id") % 101 != 0, F.col("event_id")))
     cut = ts_ntz(EVENT_CUTOFF)
-    target = e.where(F.col("ts") < cut)
+    target = e.where((F.col("ts") < cut) & F.col("event_id").isNotNull()).unionByName(
+        e.where(F.col("event_id").isNull()).agg(*[F.max(c).alias(c) for c in e.columns]))
     source = (e.where(F.col("ts") >= cut - F.expr("INTERVAL 1 DAY"))
               .withColumn("value", F.col("value") + F.lit(1.0)))
-    return target, source
+    repeated = source.where(F.col("user_id") % 4 == 0).withColumn("value", F.col("value") + F.lit(1.0))
+    return target, source.unionByName(repeated)
+
+
+UPSERT_ORDER = ["ts", "value", "user_id", "event_type", "props"]
 
 
 def upsert_rows(spark, sf):
     t, s = _upsert_inputs(spark, sf)
-    return upsert.upsert(t, s, ["event_id"])
+    return upsert.upsert(t, s, ["event_id"], UPSERT_ORDER)
 
 
 def insert_count(spark, sf):
     t, s = _upsert_inputs(spark, sf)
-    return upsert.inserted_rows(t, s, ["event_id"]).agg(F.count(F.lit(1)).alias("inserted"))
+    return upsert.inserted_rows(t, s, ["event_id"], UPSERT_ORDER).agg(F.count(F.lit(1)).alias("inserted"))
 
 
 # ---------------------------------------------------------------- geo
@@ -326,10 +351,31 @@ def nearest_region(spark, sf):
     return out.select("c_custkey", "region")
 
 
-def nearest_region_grid(spark, sf):
-    """The strategy used beyond the broadcast bound, forced on the same input."""
-    out = geo.nearest_region(_region_points(spark, sf), geo.boxes(spark, REGION_BOXES), x="x", y="y",
-                             strategy="grid")
+def part_regions(spark, sf) -> DataFrame:
+    """A region per part, as vertex rows put together: small boxes, a few very large ones."""
+    p = table(spark, sf, "part")
+    x0 = F.pmod(F.col("p_partkey") * 7919, F.lit(10007)).cast("double") / 100.0
+    y0 = F.pmod(F.col("p_partkey") * 104729, F.lit(10007)).cast("double") / 100.0
+    w = F.when(F.col("p_partkey") % 97 == 0, F.lit(20.0)).otherwise(F.col("p_size").cast("double") / 50.0)
+    corners = F.array(*[F.struct(F.lit(i).alias("seq"), (x0 + dx * w).alias("x"), (y0 + dy * w).alias("y"))
+                        for i, (dx, dy) in enumerate([(0, 0), (1, 0), (1, 1), (0, 1)])])
+    rows = p.select(F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("name"), F.explode(corners).alias("v")).select("name", "v.*")
+    return geo.regions_from_vertices(rows)
+
+
+def nearest_region_parts(spark, sf):
+    """As many regions as parts, read from files; points inside, between and far away from
+    them, and points without a proper coordinate."""
+    from lakehold.session import shared_dir
+
+    path = shared_dir(spark, "regions")
+    part_regions(spark, sf).write.parquet(path)
+    c = table(spark, sf, "customer")
+    far = F.when(F.col("c_custkey") % 10 == 0, F.lit(1000.0)).otherwise(F.lit(1.0))
+    x = F.when(F.col("c_custkey") % 50 == 7, F.lit(float("nan"))).when(F.col("c_custkey") % 50 != 9, F.col("c_acctbal") / 70.0 * far)
+    y = F.pmod(F.col("c_custkey") * 31, F.lit(1009)).cast("double") / 8.0 * far
+    pts = c.select("c_custkey", x.alias("x"), y.alias("y"))
+    out = geo.nearest_region(pts, geo.read_regions(spark, path), x="x", y="y")
     return out.select("c_custkey", "region")
 
 
@@ -373,8 +419,10 @@ def health_report(spark, sf):
 
 
 def zorder_layout(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-    return layout.zorder(li, ["l_orderkey", "l_partkey"], bits=10)
+    """All of lineitem, clustered on a 64-bit hash key and a string."""
+    li = table(spark, sf, "lineitem")
+    keyed = li.withColumn("line_sk", F.xxhash64("l_orderkey", "l_linenumber"))
+    return layout.zorder(keyed, ["line_sk", "l_returnflag"]).drop("z", "line_sk")
 
 
 QUERIES = {
@@ -401,6 +449,7 @@ QUERIES = {
     "scd2_classify": scd2_classify,
     "scd2_new_versions": scd2_new_versions,
     "scd2_expire": scd2_expire,
+    "scd2_untimed": scd2_untimed,
     "scd2_apply": scd2_apply,
     "scd2_replay": scd2_replay,
     "scd2_history": scd2_history,
@@ -408,7 +457,7 @@ QUERIES = {
     "upsert": upsert_rows,
     "insert_count": insert_count,
     "nearest_region": nearest_region,
-    "nearest_region_grid": nearest_region_grid,
+    "nearest_region_parts": nearest_region_parts,
     "watermark_top1": watermark_top1,
     "run_log": run_log,
     "health_report": health_report,
@@ -419,50 +468,53 @@ QUERIES = {
 # ---------------------------------------------------------------- streaming
 
 
-def _events_stream(spark, sf):
+def _events_stream(spark, sf, max_files=None):
     """The events table as a file stream, whether it is one parquet file in ``sf`` or a
     folder of part files."""
     from lakehold.streaming import ingest
 
     path = f"{sf.rstrip('/')}/events.parquet"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
-        return ingest.read_table_stream(spark, path, "*.parquet")
-    return ingest.read_table_stream(spark, sf, "events.parquet")
+    if any(f.rstrip("/").endswith("/events.parquet") for f in spark.read.parquet(path).inputFiles()):
+        return ingest.read_table_stream(spark, sf, "events.parquet", max_files)
+    return ingest.read_table_stream(spark, path, "*.parquet", max_files)
 
 
 def stream_dedup(spark, sf):
-    """Events plus their re-delivered overlap as two streaming sources, de-duplicated
-    within the 15-minute watermark; the sink's result is read back."""
+    """Events plus their re-delivered overlap as two streaming sources, one row per event
+    however late it comes; the table is read back."""
     from lakehold.session import shared_dir
     from lakehold.streaming import ingest
 
     first = _events_stream(spark, sf)
     again = _events_stream(spark, sf).where(
         (F.hour("ts") == 23) & (F.minute("ts") >= 45))
-    deduped = ingest.dedup_stream(first.unionByName(again), ["event_id"], "ts", "15 minutes")
+    both = first.unionByName(again).select("event_id", "ts", "user_id", "event_type", "value")
     root = shared_dir(spark, "stream-dedup")
-    ingest.run_to_parquet(deduped.select("event_id", "ts", "user_id", "event_type", "value"),
-                          f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out")
+    ingest.dedup_into(both, f"{root}/table", f"{root}/checkpoint", ["event_id"], "ts")
+    return ingest.table_of(spark, f"{root}/table", both.schema).drop("batch", "day")
+
+
+def scd_store(root: str):
+    from lakehold.operators.history_store import HistoryStore
+
+    return HistoryStore(root, tuple(SCD_KEYS), tuple(SCD_ATTRS), tuple(SCD_TRACKED), "ts", ("event_id",))
 
 
 def stream_scd2(spark, sf):
-    """History before the cut-off as the initial state, later events as a stream
-    applied per micro-batch; the final published state is read back."""
+    """History before the cut-off as the initial state, later events as a stream applied per
+    micro-batch; the state is read back and equals the history of all events."""
     from lakehold.session import shared_dir
-    from lakehold.streaming import ingest, scd2_stream
+    from lakehold.streaming import scd2_stream
 
     root = shared_dir(spark, "stream-scd2")
-    target, _ = _scd_state(spark, sf)
-    scd2_stream.init_state(spark, f"{root}/state", target)
+    target, staged = _scd_split(spark, sf)
+    store = scd_store(f"{root}/state")
+    store.init(target, staged.schema)
     events = _events_stream(spark, sf)
-    staged = events.where(F.col("ts") >= ts_ntz(EVENT_CUTOFF)).select(
+    rows = events.where(F.col("ts") >= ts_ntz(EVENT_CUTOFF)).select(
         "user_id", F.col("event_type").alias("status"), "value", "ts", "event_id")
-    scd2_stream.run_scd2_stream(staged, f"{root}/state", f"{root}/checkpoint", SCD_KEYS, SCD_ATTRS,
-                                SCD_TRACKED, "ts", ["event_id"])
-    return scd2_stream.latest_state(spark, f"{root}/state").select(*SCD_OUT)
+    scd2_stream.run_scd2_stream(rows, store, f"{root}/checkpoint")
+    return store.state(spark).select(*SCD_OUT)
 
 
 QUERIES["stream_dedup"] = stream_dedup
@@ -473,10 +525,10 @@ QUERIES["stream_scd2"] = stream_scd2
 
 
 def station_documents(spark, sf) -> DataFrame:
-    """Station landing documents: one per order line (a station version with one
-    connector), or one per order without lines (empty connector list). Re-delivered
-    urgent orders give duplicate UUIDs; some documents lack a latitude (rejected) and
-    some connectors have negative power (rejected)."""
+    """Station landing documents: one per order line (a station version with one or two
+    connectors), or one per order without lines (no connector list). Re-delivered urgent
+    orders give duplicate UUIDs; some documents have no UUID, a missing, malformed or NaN
+    latitude or a malformed date (rejected); some connectors have negative power (rejected)."""
     from lakehold.plans.roles import STATUS_BY_ORDERSTATUS, STATUS_TITLE, _case
 
     o = table(spark, sf, "orders")
@@ -499,21 +551,23 @@ def station_documents(spark, sf) -> DataFrame:
     )
     doc = F.struct(
         F.col("o_custkey").alias("ID"),
-        F.concat_ws("-", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.when(F.col("o_orderkey") % 17 != 0, F.concat_ws("-", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     F.round(F.col("l_quantity") * 100).cast("long"),  # cents: exact, no double text
                     F.round(F.col("l_extendedprice") * 100).cast("long"),
-                    "l_returnflag", "l_linestatus").alias("UUID"),
+                    "l_returnflag", "l_linestatus")).alias("UUID"),
         F.struct(
             F.col("c_name").alias("Title"), F.col("o_orderpriority").alias("AddressLine1"),
             F.col("c_mktsegment").alias("Town"),
             F.when(F.col("c_nationkey") % 2 == 0, "NJ").otherwise("NY").alias("StateOrProvince"),
-            F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.col("c_acctbal") / F.lit(100.0)).alias("Latitude"),
+            F.when(F.pmod("o_custkey", F.lit(11)) == 3, "abc").when(F.pmod("o_custkey", F.lit(11)) == 5, "NaN")
+            .when(F.col("c_mktsegment") != "AUTOMOBILE", (F.col("c_acctbal") / F.lit(100.0)).cast("string")).alias("Latitude"),
             (F.col("c_nationkey").cast("double") / F.lit(10.0) - F.lit(74.0)).alias("Longitude"),
         ).alias("AddressInfo"),
-        F.when(F.col("l_orderkey").isNotNull(), F.array(conn)).alias("Connections"),
+        F.when(F.col("l_quantity") > 40, F.array(conn, conn.withField("ConnectionTypeID", F.col("l_linenumber") + 100)))
+        .when(F.col("l_orderkey").isNotNull(), F.array(conn)).alias("Connections"),
         F.struct(_case("o_orderstatus", STATUS_TITLE).alias("Title"),
                  _case("o_orderstatus", STATUS_BY_ORDERSTATUS).alias("ID")).alias("StatusType"),
-        F.date_format("o_orderdate", iso).alias("DateLastStatusUpdate"),
+        F.when(F.pmod("o_custkey", F.lit(13)) == 1, "not a date").otherwise(F.date_format("o_orderdate", iso)).alias("DateLastStatusUpdate"),
         F.date_format(F.col("o_orderdate") - F.expr("INTERVAL 30 DAYS"), iso).alias("DateCreated"),
         F.struct(F.concat(F.lit("https://example.org/"), F.col("c_mktsegment")).alias("WebsiteURL")).alias("DataProvider"),
     )
@@ -577,15 +631,18 @@ QUERIES.update({
 
 
 def maintenance_report(spark, sf):
-    """Z-order rewrite of lineitem and orders into the shared folder; the per-table
-    status/duration report (durations vary, so it has no oracle)."""
+    """Z-order rewrite of three tables into the shared folder, on numbers, dates and strings,
+    and a table that does not exist: the report with its totals, less what varies between
+    runs (seconds, error text)."""
     from lakehold.session import shared_dir
 
     base = sf.rstrip("/")
-    tables = {f"{base}/lineitem.parquet": ["l_orderkey", "l_partkey"],
-              f"{base}/orders.parquet": ["o_custkey", "o_orderdate"]}
+    tables = {f"{base}/lineitem.parquet": ["l_orderkey", "l_returnflag"],
+              f"{base}/orders.parquet": ["o_custkey", "o_orderdate", "o_orderpriority"],
+              f"{base}/customer.parquet": ["c_name", "c_nationkey"],
+              f"{base}/missing.parquet": ["x"]}
     rep = layout.optimize_tables(spark, tables, shared_dir(spark, "maintenance"))
-    return rep.select("table", "operation", "status")
+    return rep.select("table", "operation", "status", "rows_in", "rows_out", "errors")
 
 
 QUERIES["maintenance_report"] = maintenance_report
@@ -601,7 +658,21 @@ def landing_ingest(spark, sf):
     station_documents(spark, sf).write.mode("overwrite").text(f"{root}/run=0")
     raw = landing.read_landing(spark, f"{root}/run=0")
     bronze = landing.add_bronze_metadata(raw, "2024-01-31 00:00:00")
-    return bronze.select("UUID", "source_file", "ingest_timestamp")
+    return bronze.select("UUID", "source_file", "ingest_timestamp", (F.length("raw_text") > 0).alias("has_text"))
+
+
+def silver_row_balance(spark, sf):
+    """Bronze documents, valid and rejected station rows: every document is one or the other."""
+    from lakehold.plans import flows
+    from lakehold.session import INITIAL_WATERMARK
+
+    bronze = flows.bronze_stations(station_documents(spark, sf), "2024-01-31 00:00:00")
+    ok, bad = flows.silver_station_rows(bronze, INITIAL_WATERMARK, AS_OF, gate=False)
+    count = lambda df, n: df.agg(F.lit(n).alias("part"), F.count(F.lit(1)).alias("n"))
+    return count(bronze, "bronze").unionByName(count(ok, "valid")).unionByName(count(bad, "rejected"))
+
+
+QUERIES["silver_row_balance"] = silver_row_balance
 
 
 QUERIES["landing_ingest"] = landing_ingest

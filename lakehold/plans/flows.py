@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lakehold.functions.columns import grid_cell_id, ts_ntz
 from lakehold.operators import geo, quality, scd2, transform, upsert
+from lakehold.operators.history_store import HistoryStore
 from lakehold.plans import marts
 from lakehold.sources import landing
 from lakehold.sources.schemas import CONNECTION, CONNECTION_FIELDS, STATION_FIELDS
@@ -46,18 +47,23 @@ def _to_ts(c: str):
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), ts_ntz("1970-01-01 00:00:00"))
 
 
-def _marked_station_rows(bronze: DataFrame, watermark: str, as_of: str, regions=None) -> DataFrame:
+RAW = "raw"  # struct of the texts before their cast, kept for the quarantine
+
+
+def _marked_station_rows(bronze: DataFrame, watermark: str) -> DataFrame:
+    """New bronze rows, typed and marked: what does not parse is null and rejected as
+    malformed, with its text in ``raw``."""
     df = transform.incremental_filter(bronze, watermark)
     df = transform.extract_json(df, "raw_text", STATION_FIELDS, keep=["ingest_timestamp"])
     df = df.withColumnRenamed("ingest_timestamp", "source_ingest_timestamp")
-    return quality.with_validity(df, STATION_REQUIRED)
+    df = df.withColumn(RAW, F.struct(*STATION_REQUIRED))
+    df = transform.cast_columns(df, {"latitude": "double", "longitude": "double", "status_id": "int"})
+    df = df.withColumns({"date_last_status_update": _to_ts("date_last_status_update"), "date_created": _to_ts("date_created")})
+    return quality.with_validity(df, STATION_REQUIRED, raw=RAW)
 
 
-def _typed_station_rows(valid: DataFrame, as_of: str, regions=None) -> DataFrame:
-    valid = transform.cast_columns(valid, {"latitude": "double", "longitude": "double", "status_id": "int"})
-    valid = valid.withColumns({"date_last_status_update": _to_ts("date_last_status_update"),
-                               "date_created": _to_ts("date_created")})
-    valid = transform.standardize_values(valid, "state_or_province")
+def _finished_station_rows(valid: DataFrame, as_of: str, regions=None) -> DataFrame:
+    valid = transform.standardize_values(valid.drop(RAW), "state_or_province")
     if regions is not None:
         valid = geo.nearest_region(valid.drop("town"), regions, x="longitude", y="latitude", out="town")
     valid = transform.assign_zone(valid)
@@ -70,12 +76,12 @@ def silver_station_rows(bronze: DataFrame, watermark: str, as_of: str,
 
     ``source_ingest_timestamp`` keeps the bronze stamp, so the next watermark is taken
     from the source (not from this run's processing time)."""
-    marked = _marked_station_rows(bronze, watermark, as_of, regions)
+    marked = _marked_station_rows(bronze, watermark)
     if gate:
-        quality.assert_columns_populated(marked.drop("is_valid", "reject_reasons"))
+        quality.assert_columns_populated(marked.drop("is_valid", "reject_reasons", RAW))
     valid = marked.where(F.col("is_valid")).drop("is_valid", "reject_reasons")
     rejected = marked.where(~F.col("is_valid")).drop("is_valid")
-    return _typed_station_rows(valid, as_of, regions), rejected
+    return _finished_station_rows(valid, as_of, regions), rejected
 
 
 def apply_station_history(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -86,14 +92,17 @@ def apply_station_history(target: DataFrame, rows: DataFrame) -> DataFrame:
     return out.withColumnRenamed("sk", "station_sk")
 
 
-def connector_rows(station_rows: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """Station rows -> one row per connector (a station without any keeps one null row,
-    which the validation then quarantines) and the quarantined rows."""
+def flat_connectors(station_rows: DataFrame, as_of: str) -> DataFrame:
+    """Station rows -> one row per connector; a station without any keeps one null row."""
     ex = transform.explode_json_array(station_rows, "connections", CONNECTION,
                                       keep=["station_id", "date_last_status_update"], alias="conn")
     flat = transform.flatten(ex, CONNECTION_FIELDS, keep=["station_id", "date_last_status_update"])
-    flat = transform.add_ingest_timestamp(flat, as_of)
-    return quality.split_valid(flat, CONNECTOR_REQUIRED, CONNECTOR_NON_NEGATIVE)
+    return transform.add_ingest_timestamp(flat, as_of)
+
+
+def connector_rows(station_rows: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
+    """(valid connector rows, quarantined rows)."""
+    return quality.split_valid(flat_connectors(station_rows, as_of), CONNECTOR_REQUIRED, CONNECTOR_NON_NEGATIVE)
 
 
 def apply_connector_history(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -126,102 +135,196 @@ def gold(stations: DataFrame, connectors: DataFrame, weather: DataFrame, as_of:
             marts.weather_dim(s, connectors, w, as_of, **kw))
 
 
-def run_station_batch(spark, control_table: str, bronze: DataFrame, state: DataFrame,
-                      state_location: str, quarantine_location: str, as_of: str,
-                      regions: DataFrame | None = None, pipeline: str = "stations",
-                      staging_location: str | None = None) -> DataFrame:
-    """One scheduled silver run for stations, recorded in the control table.
+def station_store(root: str, buckets: int = 64) -> HistoryStore:
+    """Station history; rows of one station with an equal time are ordered by status."""
+    return HistoryStore(root, ("station_id",), tuple(STATION_ATTRS), tuple(STATION_TRACKED), "date_last_status_update", ("status_id",), buckets)
 
-    The parsed rows are written ONCE, partitioned by validity, into a staging folder
-    (one pass over the documents, lineage cut); rejected rows are appended to the
-    quarantine and valid rows applied to the history from there. Counts and the new
-    watermark (max *source* stamp) are observed on that single write. Jobs: watermark
-    top-1, staging write, quarantine append, new-state write, control append.
-    """
-    import uuid
 
+def connector_store(root: str, buckets: int = 64) -> HistoryStore:
+    return HistoryStore(root, tuple(CONNECTOR_KEYS), tuple(CONNECTOR_ATTRS), tuple(CONNECTOR_TRACKED), "date_last_status_update",
+                        ("amps", "voltage", "power_kw", "quantity"), buckets)
+
+
+def _stamp(t) -> str:
+    return t.strftime("%Y%m%dT%H%M%S%f")
+
+
+def _staged(marked: DataFrame, path: str, taken: str | None, gate: list[str]) -> dict:
+    """Write marked rows once, partitioned by validity. The counts, the greatest stamp of
+    ALL rows taken (so that rejected rows are not taken again) and the gate's non-null
+    counts are observed on that write; a gate column without any value stops the run."""
+    from pyspark.sql import Observation
+
+    obs = Observation("stage")
+    (marked.observe(obs, F.count_if("is_valid").alias("ok"), F.count_if(~F.col("is_valid")).alias("bad"),
+                    F.max(taken if taken else F.lit(None).cast("timestamp_ntz")).alias("wm"),
+                    *[F.count(F.col(c)).alias(f"n_{c}") for c in gate])
+     .write.mode("overwrite").partitionBy("is_valid").parquet(path))
+    m = dict(obs.get)
+    empty = [c for c in gate if m["ok"] + m["bad"] and not m[f"n_{c}"]]
+    if empty:
+        raise quality.ColumnGateError(f"Pipeline stopped: column(s) {empty} are all NULL")
+    return m
+
+
+def _part(spark, marked: DataFrame, path: str, valid: bool) -> DataFrame:
+    schema = marked.drop("is_valid").schema  # known: no schema-inference jobs
+    return spark.read.schema(schema).parquet(f"{path}/is_valid={'true' if valid else 'false'}")
+
+
+def run_bronze_batch(spark, control_table: str, documents: DataFrame, bronze_location: str, as_of: str,
+                     pipeline: str = "stations", modified: str = "DateLastStatusUpdate") -> DataFrame | None:
+    """Bronze run: documents modified after the last run's watermark less the re-delivery
+    buffer -> one row per UUID, written as this run's folder (a repeated run overwrites
+    it). Without any such document the run is recorded as skipped and None returned."""
     from pyspark.sql import Observation
 
+    from lakehold.functions.columns import evaluate_once, get_path, parse_strings
     from lakehold.operators import control
 
-    holder = {}
-    staging = staging_location or f"{state_location.rstrip('/')}-staging-{uuid.uuid4().hex[:8]}"
+    holder = {"rows": None}
 
     def step():
-        wm = control.last_watermark(spark.table(control_table), pipeline, "silver")
-        marked = _marked_station_rows(bronze, wm.strftime("%Y-%m-%d %H:%M:%S.%f"), as_of, regions)
-        obs = Observation("stage")
-        (marked.observe(obs, F.count_if("is_valid").alias("ok"), F.count_if(~F.col("is_valid")).alias("bad"),
-                        F.max(F.when(F.col("is_valid"), F.col("source_ingest_timestamp"))).alias("wm"))
-         .write.mode("overwrite").partitionBy("is_valid").parquet(staging))
+        wm = control.last_watermark(spark.table(control_table), pipeline, "bronze")
+        since = transform.buffered(ts_ntz(wm.strftime("%Y-%m-%d %H:%M:%S.%f")))
+        docs = evaluate_once(documents.select("raw_text"), parse_strings("raw_text", [modified]), "__m")
+        docs = docs.withColumn("__t", get_path(F.col("__m"), modified))
+        # a document without a readable time is taken: the silver run rejects it with its reason
+        new = docs.where((_to_ts("__t") > since) | _to_ts("__t").isNull()).select("raw_text")
+        rows = bronze_stations(new, as_of)
+        obs = Observation("bronze")
+        path = f"{bronze_location}/run={as_of.replace(' ', 'T').replace(':', '')}"
+        (rows.observe(obs, F.count(F.lit(1)).alias("n"), F.max("ingest_timestamp").alias("wm"))
+         .write.mode("overwrite").parquet(path))
         m = obs.get
-        staged_schema = marked.drop("is_valid").schema  # known: no schema-inference jobs
+        if not m["n"]:
+            return wm, 0, 0, "skipped"
+        holder["rows"] = spark.read.schema(rows.schema).parquet(path)
+        return m["wm"], int(m["n"]), 0
+
+    control.run_step(spark, control_table, pipeline, "bronze", step)
+    return holder["rows"]
+
+
+def run_station_batch(spark, control_table: str, bronze: DataFrame, store: HistoryStore, quarantine_location: str,
+                      as_of: str, regions: DataFrame | None = None, pipeline: str = "stations",
+                      staging_location: str | None = None) -> DataFrame | None:
+    """One scheduled silver run for stations, recorded in the control table.
+
+    The parsed rows are written once, partitioned by validity; the gate, the counts and
+    the next watermark come from that write. Rejected rows go to a quarantine folder named
+    after the watermark that the run started from, so a repeated run overwrites it; valid
+    rows are applied to the history store. Returns the valid rows (with ``connections``,
+    for the connector run), or None when there was nothing new.
+    """
+    from lakehold.operators import control
+    from lakehold.session import shared_dir
+
+    holder = {"rows": None}
+    staging = staging_location or shared_dir(spark, f"staging-{pipeline}")
+
+    def step():
+        wm = control.last_watermark(spark.table(control_table), pipeline, "silver")
+        marked = _marked_station_rows(bronze, wm.strftime("%Y-%m-%d %H:%M:%S.%f"))
+        m = _staged(marked, staging, "source_ingest_timestamp", list(STATION_FIELDS.values()))
         if m["bad"]:
-            (spark.read.schema(staged_schema).parquet(f"{staging}/is_valid=false")
-             .write.mode("append").parquet(quarantine_location))
+            _part(spark, marked, staging, False).write.mode("overwrite").parquet(f"{quarantine_location}/after={_stamp(wm)}")
         if m["ok"]:
-            rows = spark.read.schema(staged_schema).parquet(f"{staging}/is_valid=true").drop("reject_reasons")
-            rows = _typed_station_rows(rows, as_of, regions)
-            new_state = apply_station_history(state, rows.drop("connections", "source_ingest_timestamp"))
-        else:
-            new_state = state
-        new_state.write.mode("errorifexists").parquet(state_location)
-        holder["state"] = spark.read.schema(new_state.schema).parquet(state_location)
+            rows = _finished_station_rows(_part(spark, marked, staging, True).drop("reject_reasons"), as_of, regions)
+            store.apply(rows, store.last_batch(spark) + 1)
+            holder["rows"] = rows
         return (m["wm"] or wm), int(m["ok"]), int(m["bad"])
 
     control.run_step(spark, control_table, pipeline, "silver", step)
-    return holder["state"]
+    return holder["rows"]
+
+
+def run_connector_batch(spark, control_table: str, valid_stations: DataFrame, store: HistoryStore, quarantine_location: str,
+                        as_of: str, pipeline: str = "connectors", staging_location: str | None = None) -> DataFrame:
+    """Silver run for connectors over the valid rows of a station run: explode, gate,
+    quarantine (a folder per run stamp) and history, recorded in the control table.
+    Returns the connector table."""
+    from lakehold.operators import control
+    from lakehold.session import shared_dir
+
+    staging = staging_location or shared_dir(spark, f"staging-{pipeline}")
+
+    def step():
+        flat = flat_connectors(valid_stations, as_of)
+        marked = quality.with_validity(flat, CONNECTOR_REQUIRED, CONNECTOR_NON_NEGATIVE)
+        m = _staged(marked, staging, "ingest_timestamp", [c for c in flat.columns])
+        if m["bad"]:
+            _part(spark, marked, staging, False).write.mode("overwrite").parquet(f"{quarantine_location}/run={as_of.replace(' ', 'T').replace(':', '')}")
+        if m["ok"]:
+            store.apply(_part(spark, marked, staging, True).drop("reject_reasons"), store.last_batch(spark) + 1)
+        return m["wm"], int(m["ok"]), int(m["bad"])
+
+    control.run_step(spark, control_table, pipeline, "silver", step)
+    return store.state(spark)
 
 
 def run_weather_batch(spark, control_table: str, bronze_weather: DataFrame, target: DataFrame,
-                      target_location: str, as_of: str, pipeline: str = "weather") -> DataFrame:
-    """Silver weather run: new bronze rows -> standardised -> upserted by weather_sk.
-    The new watermark is the max bronze stamp of the rows taken."""
+                      target_location: str, as_of: str, pipeline: str = "weather") -> tuple[DataFrame, int]:
+    """Silver weather run: new bronze rows -> standardised -> upserted by weather_sk, one
+    row per key. The new watermark is the max bronze stamp of the rows taken. Returns the
+    new table and the number of rows inserted (not updated); without new rows the table
+    stays as it is."""
     from pyspark.sql import Observation
 
     from lakehold.operators import control
+    from lakehold.session import shared_dir
 
-    holder = {}
+    holder = {"t": target, "inserted": 0}
 
     def step():
         wm = control.last_watermark(spark.table(control_table), pipeline, "silver")
         new = transform.incremental_filter(bronze_weather, wm.strftime("%Y-%m-%d %H:%M:%S.%f"))
         obs = Observation("weather")
         new = new.observe(obs, F.count(F.lit(1)).alias("n"), F.max("ingest_timestamp").alias("wm"))
-        rows = transform.standardize_weather(new, as_of)
-        out = upsert_weather(target, rows.select(*target.columns))
-        out.write.mode("errorifexists").parquet(target_location)
-        holder["t"] = spark.read.schema(out.schema).parquet(target_location)
+        staged = upsert.one_per_key(transform.standardize_weather(new, as_of).select(*target.columns), ["weather_sk"])
+        path = shared_dir(spark, f"staging-{pipeline}")
+        staged.write.parquet(path)
         m = obs.get
+        if m["n"]:
+            rows = spark.read.schema(staged.schema).parquet(path)
+            holder["inserted"] = upsert.inserted_rows(target, rows, ["weather_sk"]).count()
+            out = upsert_weather(target, rows)
+            out.write.mode("overwrite").parquet(target_location)
+            holder["t"] = spark.read.schema(out.schema).parquet(target_location)
         return (m["wm"] or wm), int(m["n"]), 0
 
     control.run_step(spark, control_table, pipeline, "silver", step)
-    return holder["t"]
+    return holder["t"], holder["inserted"]
 
 
 def run_gold(spark, control_table: str, stations: DataFrame, connectors: DataFrame, weather: DataFrame,
              out_root: str, as_of: str, mode: str = "parity", pipeline: str = "marts"):
-    """Gold run: facts and both dimensions written under ``out_root`` (three jobs, row
-    counts observed on the writes), then the health report over what was written."""
+    """Gold run: facts are appended (a folder per run stamp, which a repeated run
+    overwrites), both dimensions are written anew for the run, and the facts' stamp is
+    the recorded watermark. Returns the tables (facts of all runs) and the health report."""
     from pyspark.sql import Observation
 
     from lakehold.operators import control
     from lakehold.plans import health
 
     holder = {}
+    run = f"run={as_of.replace(' ', 'T').replace(':', '')}"
 
     def step():
         outs = dict(zip(("station_facts", "station_dim", "weather_dim"),
-                        gold(stations, connectors, weather, as_of, mode)))
-        counts = {}
+                        gold(stations, connectors, weather, as_of, mode), strict=True))
+        counts, written = {}, {}
         for name, df in outs.items():
             obs = Observation(name)
-            df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(f"{out_root}/{name}")
-            counts[name] = int(obs.get["n"])
-        written = {n: spark.read.schema(df.schema).parquet(f"{out_root}/{n}") for n, df in outs.items()}
-        holder["tables"] = written
-        holder["health"] = health.health_report(spark, written, health.MART_RULES, as_of)
-        return None, counts["station_facts"], 0
+            path = f"{out_root}/{name}/{run}"
+            stamped = transform.add_ingest_timestamp(df, as_of) if "ingest_timestamp" not in df.columns else df
+            (stamped.observe(obs, F.count(F.lit(1)).alias("n"), F.max("ingest_timestamp").alias("wm"))
+             .write.mode("overwrite").parquet(path))
+            counts[name] = dict(obs.get)
+            written[name] = spark.read.schema(stamped.schema).parquet(f"{out_root}/{name}" if name == "station_facts" else path)
+        holder["tables"] = {n: t.drop("run") for n, t in written.items()}
+        holder["health"] = health.health_report(spark, holder["tables"], health.MART_RULES, as_of)
+        return counts["station_facts"]["wm"], counts["station_facts"]["n"], 0
 
     control.run_step(spark, control_table, pipeline, "gold", step)
     return holder["tables"], holder["health"]

@@ -15,21 +15,25 @@ STATUS_OPERATIONAL = 50
 STATUS_TEMP_UNAVAILABLE = 30
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app: str = "lakehold", extra: dict | None = None) -> SparkSession:
-    """Session with AQE (coalescing + skew join), UTC and no UI."""
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
+                  app: str = "lakehold", driver_memory: str | None = None, extra: dict | None = None) -> SparkSession:
+    """Session with AQE (coalescing + skew join), UTC and no UI. What is not given
+    (master, memory, shuffle partitions) is left to the submitting environment."""
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
     )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -42,14 +46,17 @@ _LOCAL_ROOTS: dict[int, str] = {}
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``, else the
-    context's checkpoint dir). Only when neither is set (local tests) a folder under
-    the system temp dir is made and registered as the context's checkpoint dir."""
+    context's checkpoint dir). Only a single-process ``local[...]`` session may go
+    without one: it gets a folder under the system temp dir. On a cluster a missing
+    setting is an error, as executors and driver share no local folder."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
         sc = None
     root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
+        if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = _LOCAL_ROOTS.setdefault(id(spark), tempfile.mkdtemp(prefix="lakehold-ckpt-"))
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

@@ -1,116 +1,29 @@
-"""Streaming Type-2 history: every micro-batch is applied with the batch function.
+"""Streaming Type-2 history: every micro-batch is applied to a ``HistoryStore``.
 
-Table layout (plain parquet folders under ``root``)::
-
-    root/batch=<id>/is_current=false/   versions closed by that batch (append-only history)
-    root/batch=<id>/is_current=true/    the complete current set after that batch
-
-A batch reads only the latest committed current set (size ~ number of keys), joins
-it with its rows, and writes ONE folder: closed versions + the new current set. The
-history is never rewritten, so a batch costs O(current + batch), not O(history).
-The table is every committed batch's closed rows plus the latest current set.
-
-At-least-once delivery is safe twice: a retried batch id overwrites its own folder
-from the same previous state, and the apply is replay-safe (unchanged or older rows
-make no change).
+All versions of a key in a micro-batch are kept, so the table does not depend on how
+the rows fall into micro-batches as long as each key's rows arrive in time order; a
+retried batch overwrites its own folder, and rows that were applied before change
+nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from lakehold.operators import scd2
-
-INIT_BATCH = -1
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def batch_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/batch={batch_id}"
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids whose folder is complete (has ``_SUCCESS``)."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("batch=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
-def _write(df: DataFrame, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").partitionBy("is_current").parquet(batch_path(root, batch_id))
-
-
-def init_state(spark: SparkSession, root: str, initial: DataFrame) -> None:
-    """Seed the table with an initial state (history and current rows)."""
-    _write(initial, root, INIT_BATCH)
-
-
-def _ordered(df: DataFrame) -> DataFrame:
-    # table column order: ... valid_from, valid_to, is_current, sk
-    cols = [c for c in df.columns if c not in ("is_current", "sk")]
-    return df.select(*cols, "is_current", *(["sk"] if "sk" in df.columns else []))
-
-
-def current_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    vs = [v for v in committed_versions(spark, root) if before is None or v < before]
-    if not vs:
-        raise FileNotFoundError(f"no committed state under {root}")
-    path = batch_path(root, vs[-1])
-    return _ordered(spark.read.parquet(f"{path}/is_current=true").withColumn("is_current", F.lit(True)))
-
-
-def latest_state(spark: SparkSession, root: str) -> DataFrame:
-    """The whole table: closed versions of all committed batches + latest current set."""
-    vs = committed_versions(spark, root)
-    if not vs:
-        raise FileNotFoundError(f"no committed state under {root}")
-    closed = [f"{batch_path(root, v)}/is_current=false" for v in vs]
-    fs = _fs(spark, root)[0]
-    jvm = spark.sparkContext._jvm
-    closed = [c for c in closed if fs.exists(jvm.org.apache.hadoop.fs.Path(c))]
-    cur = current_state(spark, root)
-    if not closed:
-        return cur
-    schema = cur.drop("is_current").schema
-    hist = _ordered(spark.read.schema(schema).parquet(*closed).withColumn("is_current", F.lit(False)))
-    return hist.unionByName(cur)
-
+from pyspark.sql import DataFrame
 
-def apply_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, keys: Sequence[str],
-                attrs: Sequence[str], tracked: Sequence[str], ts: str, order: Sequence[str] = ()) -> None:
-    """Apply one batch of staged rows against the latest committed current set."""
-    cur = current_state(spark, root, before=batch_id)
-    changed = scd2.apply_changes(cur, batch, keys, attrs, tracked, ts=ts, order=order)
-    _write(changed, root, batch_id)
+from lakehold.operators.history_store import HistoryStore
 
 
-def scd2_foreach_batch(root: str, keys: Sequence[str], attrs: Sequence[str],
-                       tracked: Sequence[str], ts: str, order: Sequence[str] = ()):
+def scd2_foreach_batch(store: HistoryStore):
     """A ``foreachBatch`` function applying each micro-batch."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch.sparkSession, root, batch, batch_id, keys, attrs, tracked, ts, order)
+        store.apply(batch, batch_id)
 
     return apply
 
 
-def run_scd2_stream(stream: DataFrame, root: str, checkpoint: str, keys, attrs, tracked,
-                    ts: str, order=(), timeout_s: int | None = None) -> None:
-    q = (stream.writeStream.foreachBatch(scd2_foreach_batch(root, keys, attrs, tracked, ts, order))
+def run_scd2_stream(stream: DataFrame, store: HistoryStore, checkpoint: str, timeout_s: int | None = None) -> None:
+    q = (stream.writeStream.foreachBatch(scd2_foreach_batch(store))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     if q.exception():

@@ -266,11 +266,17 @@ hist AS (SELECT user_id, status, value, ts AS valid_from,
 
 SCD2_HISTORY = f"WITH {_history_sql('true')}\nSELECT * FROM hist"
 
-_SCD_BASE = f"""WITH {_history_sql(f'ts < {CUTOFF}')},
+_SCD_STAGED = f"""staged AS (
+  SELECT user_id, event_type AS status, value, CASE WHEN event_id % 97 <> 0 THEN ts END AS ts, event_id FROM events
+  WHERE (ts >= {CUTOFF} AND user_id % 5 <> 0)
+     OR (ts >= {CUTOFF} - INTERVAL 1 DAY AND ts < {CUTOFF} AND user_id % 3 = 0))"""
+SCD2_UNTIMED = f"WITH {_SCD_STAGED}\nSELECT user_id, status, event_id FROM staged WHERE ts IS NULL"
+
+_SCD_BASE = f"""WITH {_history_sql(f'ts < {CUTOFF} AND user_id % 7 <> 0')}, {_SCD_STAGED},
 stg AS (SELECT * FROM (
-  SELECT user_id, event_type AS status, value, ts,
+  SELECT user_id, status, value, ts,
          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-  FROM events WHERE ts >= {CUTOFF}) WHERE rn = 1),
+  FROM staged WHERE ts IS NOT NULL) WHERE rn = 1),
 cur AS (SELECT * FROM hist WHERE is_current),
 cls AS (
   SELECT s.user_id, s.status, s.value, s.ts, c.valid_from AS cur_from,
@@ -294,16 +300,22 @@ UNION ALL
 SELECT * FROM newv"""
 
 _UPSERT_SRC = f"""
-src AS (SELECT event_id, ts, user_id, event_type, value + CAST(1 AS DOUBLE) AS value, props
-        FROM events WHERE ts >= {CUTOFF} - INTERVAL 1 DAY),
-tgt AS (SELECT * FROM events WHERE ts < {CUTOFF})"""
+e AS (SELECT CASE WHEN event_id % 101 <> 0 THEN event_id END AS event_id, ts, user_id, event_type, value, props FROM events),
+tgt AS (SELECT * FROM e WHERE ts < {CUTOFF} AND event_id IS NOT NULL
+        UNION ALL SELECT max(event_id), max(ts), max(user_id), max(event_type), max(value), max(props) FROM e WHERE event_id IS NULL),
+src0 AS (SELECT event_id, ts, user_id, event_type, value + CAST(1 AS DOUBLE) AS value, props FROM e WHERE ts >= {CUTOFF} - INTERVAL 1 DAY),
+src1 AS (SELECT * FROM src0 UNION ALL
+         SELECT event_id, ts, user_id, event_type, value + CAST(1 AS DOUBLE), props FROM src0 WHERE user_id % 4 = 0),
+src AS (SELECT event_id, ts, user_id, event_type, value, props FROM (
+          SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC, value DESC, user_id DESC, event_type DESC, props DESC) AS rn
+          FROM src1) WHERE rn = 1)"""
 
 UPSERT = f"""WITH {_UPSERT_SRC}
-SELECT * FROM tgt WHERE event_id NOT IN (SELECT event_id FROM src)
+SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.event_id IS NOT DISTINCT FROM tgt.event_id)
 UNION ALL SELECT * FROM src"""
 
 INSERT_COUNT = f"""WITH {_UPSERT_SRC}
-SELECT count(*) AS inserted FROM src WHERE event_id NOT IN (SELECT event_id FROM tgt)"""
+SELECT count(*) AS inserted FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE src.event_id IS NOT DISTINCT FROM tgt.event_id)"""
 
 NEAREST_REGION = """
 WITH p AS (SELECT c_custkey, c_acctbal / CAST(1000 AS DOUBLE) AS x,
@@ -340,8 +352,8 @@ FROM g LEFT JOIN t ON g.pipeline_name = t.pipeline_name AND g.layer = t.layer AN
 RUN_LOG = """
 SELECT 'events' AS pipeline_name, 'bronze' AS layer, max(ts) AS last_processed_timestamp,
        'events/bronze/' || strftime(CAST(ts AS DATE), '%Y-%m-%d') AS batch_id, 'success' AS status,
-       CAST(count(*) AS INTEGER) AS records_processed,
-       CAST(count(*) FILTER (WHERE value < 1) AS INTEGER) AS records_failed,
+       count(*) AS records_processed,
+       count(*) FILTER (WHERE value < 1) AS records_failed,
        min(ts) AS start_time, max(ts) AS end_time, CAST(NULL AS VARCHAR) AS error_message
 FROM events GROUP BY CAST(ts AS DATE)"""
 
@@ -373,21 +385,14 @@ HEALTH_REPORT = (_health("orders", ["o_orderkey", "o_custkey", "o_orderdate"], {
                            "c_custkey", None))
 
 
-def _zorder_sql(bits: int = 10) -> str:
-    top = (1 << bits) - 1
-    b0 = f"CAST(least(greatest(floor(CAST(l_orderkey - lo0 AS DOUBLE) / CAST(hi0 - lo0 AS DOUBLE) * {top}.0), 0), {top}) AS BIGINT)"
-    b1 = f"CAST(least(greatest(floor(CAST(l_partkey - lo1 AS DOUBLE) / CAST(hi1 - lo1 AS DOUBLE) * {top}.0), 0), {top}) AS BIGINT)"
-    terms = []
-    for b in range(bits):
-        terms.append(f"(((b0 >> {b}) & 1) << {2 * b})")
-        terms.append(f"(((b1 >> {b}) & 1) << {2 * b + 1})")
-    return f"""
-WITH s AS (SELECT min(l_orderkey) AS lo0, max(l_orderkey) AS hi0, min(l_partkey) AS lo1, max(l_partkey) AS hi1 FROM lineitem),
-b AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, {b0} AS b0, {b1} AS b1 FROM lineitem, s)
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, CAST({' | '.join(terms)} AS BIGINT) AS z FROM b"""
-
+ZORDER_LAYOUT = "SELECT * FROM lineitem"
 
-ZORDER_LAYOUT = _zorder_sql()
+MAINTENANCE_REPORT = """
+WITH t AS (SELECT 'lineitem.parquet' AS "table", count(*) AS n FROM lineitem
+           UNION ALL SELECT 'orders.parquet', count(*) FROM orders UNION ALL SELECT 'customer.parquet', count(*) FROM customer)
+SELECT "table", 'optimize' AS operation, 'success' AS status, n AS rows_in, n AS rows_out, CAST(0 AS INTEGER) AS errors FROM t
+UNION ALL SELECT 'missing.parquet', 'optimize', 'failed', NULL, NULL, 1
+UNION ALL SELECT 'TOTAL', 'optimize', 'failed', CAST(sum(n) AS BIGINT), CAST(sum(n) AS BIGINT), 1 FROM t"""
 
 ORACLES = {
     "station_facts": station_facts_sql("parity"),
@@ -412,6 +417,7 @@ ORACLES = {
     "scd2_classify": SCD2_CLASSIFY,
     "scd2_new_versions": SCD2_NEW_VERSIONS,
     "scd2_expire": SCD2_EXPIRE,
+    "scd2_untimed": SCD2_UNTIMED,
     "scd2_apply": SCD2_APPLY,
     "scd2_replay": SCD2_APPLY,
     "scd2_history": SCD2_HISTORY,
@@ -422,49 +428,64 @@ ORACLES = {
     "run_log": RUN_LOG,
     "health_report": HEALTH_REPORT,
     "zorder_layout": ZORDER_LAYOUT,
+    "maintenance_report": MAINTENANCE_REPORT,
 }
 
 ORACLES["stream_dedup"] = "SELECT event_id, ts, user_id, event_type, value FROM events"
-ORACLES["stream_scd2"] = SCD2_APPLY
+ORACLES["stream_scd2"] = SCD2_HISTORY
 
 _STATION_DOCS = """
-base AS (
-  SELECT DISTINCT o.o_custkey, o.o_orderkey, o.o_orderstatus, o.o_orderdate, o.o_orderpriority,
+docs AS (
+  SELECT o.o_custkey, o.o_orderkey, o.o_orderstatus, o.o_orderdate, o.o_orderpriority,
          c.c_name, c.c_mktsegment, c.c_nationkey, c.c_acctbal,
          l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
          l.l_returnflag, l.l_linestatus
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey),
+base AS (  -- one per UUID; documents without one all stay, re-delivered ones too
+  SELECT DISTINCT * FROM docs WHERE o_orderkey % 17 <> 0
+  UNION ALL SELECT docs.* FROM docs, (VALUES (1), (2)) t(k) WHERE o_orderkey % 17 = 0 AND (k = 1 OR o_orderpriority = '1-URGENT')),
 srows AS (
   SELECT CAST(o_custkey AS VARCHAR) AS station_id, c_name AS title, o_orderpriority AS address,
          c_mktsegment AS town,
          CASE WHEN c_nationkey % 2 = 0 THEN 'New Jersey' ELSE 'New York' END AS state_or_province,
-         CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN c_acctbal / CAST(100 AS DOUBLE) END AS latitude,
+         CASE WHEN o_custkey % 11 IN (3, 5) THEN NULL
+              WHEN c_mktsegment <> 'AUTOMOBILE' THEN c_acctbal / CAST(100 AS DOUBLE) END AS latitude,
          CAST(c_nationkey AS DOUBLE) / CAST(10 AS DOUBLE) - CAST(74 AS DOUBLE) AS longitude,
          CASE o_orderstatus WHEN 'F' THEN 'Operational' WHEN 'O' THEN 'Temporarily Unavailable'
               WHEN 'P' THEN 'Planned' END AS status,
          CAST(CASE o_orderstatus WHEN 'F' THEN 50 WHEN 'O' THEN 30 WHEN 'P' THEN 20 END AS INTEGER) AS status_id,
-         o_orderdate AS date_last_status_update, o_orderdate - INTERVAL 30 DAY AS date_created,
-         l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus
-  FROM base)"""
+         CASE WHEN o_custkey % 13 <> 1 THEN o_orderdate END AS date_last_status_update, o_orderdate - INTERVAL 30 DAY AS date_created,
+         l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus, o_custkey, c_mktsegment
+  FROM base),
+good AS (SELECT * FROM srows WHERE latitude IS NOT NULL AND date_last_status_update IS NOT NULL)"""
 
 SILVER_STATIONS = f"""WITH {_STATION_DOCS}
 SELECT station_id, title, address, town, state_or_province, latitude, longitude, status, status_id,
        date_last_status_update, date_created, {_round('latitude', 1)} AS weather_zone_lat,
        {_round('longitude', 1)} AS weather_zone_lon
-FROM srows WHERE latitude IS NOT NULL"""
+FROM good"""
 
 SILVER_STATION_REJECTS = f"""WITH {_STATION_DOCS}
-SELECT station_id, 'latitude:null' AS reject_reasons FROM srows WHERE latitude IS NULL"""
+SELECT station_id, concat_ws(',',
+    CASE WHEN o_custkey % 11 = 3 THEN 'latitude:malformed' WHEN o_custkey % 11 = 5 THEN 'latitude:not_finite'
+         WHEN latitude IS NULL THEN 'latitude:null' END,
+    CASE WHEN date_last_status_update IS NULL THEN 'date_last_status_update:malformed' END) AS reject_reasons
+FROM srows WHERE latitude IS NULL OR date_last_status_update IS NULL"""
+
+SILVER_ROW_BALANCE = f"""WITH {_STATION_DOCS}
+SELECT 'bronze' AS part, count(*) AS n FROM base
+UNION ALL SELECT 'valid', count(*) FROM good
+UNION ALL SELECT 'rejected', (SELECT count(*) FROM srows) - (SELECT count(*) FROM good)"""
 
 _CONNECTORS = f"""WITH {_STATION_DOCS},
 conn AS (
-  SELECT station_id, l_orderkey, l_linenumber AS connection_type_id, l_linestatus AS connection_type,
+  SELECT station_id, l_orderkey, l_linenumber + k * 100 AS connection_type_id, l_linestatus AS connection_type,
          CASE WHEN l_quantity > 45 THEN 3 WHEN l_quantity > 20 THEN 2 ELSE 1 END AS level_id,
          CAST(l_partkey % 100 AS INTEGER) AS amps, l_extendedprice AS voltage,
          l_quantity - CAST(5 AS DOUBLE) AS power_kw, 1 + l_linenumber % 2 AS quantity,
          l_returnflag AS current_type, date_last_status_update
-  FROM srows WHERE latitude IS NOT NULL)"""
+  FROM good, (VALUES (0), (1)) t(k) WHERE k = 0 OR l_quantity > 40)"""
 
 SILVER_CONNECTORS = f"""{_CONNECTORS}
 SELECT station_id, connection_type_id, connection_type, level_id, amps, voltage, power_kw, quantity,
@@ -482,17 +503,31 @@ ORACLES.update({
     "silver_station_rejects": SILVER_STATION_REJECTS,
     "silver_connectors": SILVER_CONNECTORS,
     "silver_connector_rejects": SILVER_CONNECTOR_REJECTS,
+    "silver_row_balance": SILVER_ROW_BALANCE,
 })
 
-ORACLES["nearest_region_grid"] = NEAREST_REGION
+ORACLES["nearest_region_parts"] = """
+WITH p AS (SELECT c_custkey,
+             CASE WHEN c_custkey % 50 IN (7, 9) THEN NULL
+                  ELSE c_acctbal / CAST(70 AS DOUBLE) * CASE WHEN c_custkey % 10 = 0 THEN CAST(1000 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END END AS x,
+             CAST((c_custkey * 31) % 1009 AS DOUBLE) / CAST(8 AS DOUBLE)
+               * CASE WHEN c_custkey % 10 = 0 THEN CAST(1000 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS y FROM customer),
+r0 AS (SELECT 'part-' || p_partkey AS name, CAST((p_partkey * 7919) % 10007 AS DOUBLE) / CAST(100 AS DOUBLE) AS x0,
+         CAST((p_partkey * 104729) % 10007 AS DOUBLE) / CAST(100 AS DOUBLE) AS y0,
+         CASE WHEN p_partkey % 97 = 0 THEN CAST(20 AS DOUBLE) ELSE CAST(p_size AS DOUBLE) / CAST(50 AS DOUBLE) END AS w FROM part),
+r AS (SELECT name, x0, y0, x0 + w AS x1, y0 + w AS y1 FROM r0),
+d AS (SELECT c_custkey, name, sqrt(pow(greatest(x0 - x, 0, x - x1), 2) + pow(greatest(y0 - y, 0, y - y1), 2)) AS dist FROM p, r WHERE x IS NOT NULL),
+m AS (SELECT c_custkey, min(dist) AS md FROM d GROUP BY c_custkey)
+SELECT d.c_custkey, d.name AS region FROM d JOIN m ON d.c_custkey = m.c_custkey WHERE d.dist <= m.md + 1e-9
+UNION ALL SELECT c_custkey, NULL FROM p WHERE x IS NULL"""
 
 LANDING_INGEST = f"""WITH {_STATION_DOCS}
-SELECT DISTINCT
-  concat_ws('-', o_orderkey, l_linenumber, l_partkey, l_suppkey,
+SELECT
+  CASE WHEN o_orderkey % 17 <> 0 THEN concat_ws('-', o_orderkey, l_linenumber, l_partkey, l_suppkey,
             CAST(round(l_quantity * 100) AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT),
-            l_returnflag, l_linestatus) AS UUID,
+            l_returnflag, l_linestatus) END AS UUID,
   'https://example.org/' || c_mktsegment AS source_file,
-  TIMESTAMP '2024-01-31 00:00:00' AS ingest_timestamp
+  TIMESTAMP '2024-01-31 00:00:00' AS ingest_timestamp, true AS has_text
 FROM base"""
 
 ORACLES["landing_ingest"] = LANDING_INGEST

@@ -10,6 +10,6 @@ from lakehold.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=8)
+    s = build_session("local[4]", shuffle_partitions=8, driver_memory="4g")
     yield s
     s.stop()

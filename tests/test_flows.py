@@ -66,13 +66,20 @@ def test_bronze_to_gold(spark):
     import tempfile
     root = tempfile.mkdtemp(prefix="gold-test-")
     control.create_control_table(spark, name, f"{root}/ctl")
-    wt = flows.run_weather_batch(spark, name, ok, weather.limit(0), f"{root}/weather", AS_OF)
-    assert wt.count() == 1
+    wt, inserted = flows.run_weather_batch(spark, name, ok.unionByName(ok), weather.limit(0), f"{root}/weather", AS_OF)
+    assert wt.count() == 1 and inserted == 1  # a repeated observation is one row
+    wt, inserted = flows.run_weather_batch(spark, name, ok, wt, f"{root}/weather2", AS_OF)
+    assert wt.count() == 1 and inserted == 0
     tables, report = flows.run_gold(spark, name, st, ch, wt, f"{root}/gold", AS_OF)
     assert tables["station_facts"].count() == 2
     summary = health.health_summary(report).first()
     assert summary.failed == 0, report.where("status = 'fail'").collect()
     assert {r.layer for r in spark.table(name).collect()} == {"silver", "gold"}
+    again, _ = flows.run_gold(spark, name, st, ch, wt, f"{root}/gold", AS_OF)  # a repeated run
+    assert again["station_facts"].count() == 2
+    later, _ = flows.run_gold(spark, name, st, ch, wt, f"{root}/gold", "2025-01-11 00:00:00")
+    assert later["station_facts"].count() == 4 and later["station_dim"].count() == 2  # facts append
+    assert control.last_watermark(spark.table(name), "marts", "gold").isoformat() == "2025-01-11T00:00:00"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     facts, sdim, wdim = flows.gold(st, ch, weather, AS_OF)
     f = {x.station_id: x for x in facts.collect()}
@@ -82,31 +89,102 @@ def test_bronze_to_gold(spark):
     assert sdim.count() == 2 and wdim.count() == 1
 
 
+def control_table(spark, tmp_path):
+    from lakehold.operators import control
+
+    name = f"ctl_{abs(hash(str(tmp_path))) % 10**8}"
+    return control.create_control_table(spark, name, str(tmp_path / "ctl"))
+
+
+def empty_store(spark, root):
+    store = flows.station_store(root, buckets=8)
+    empty = spark.createDataFrame([], STATIONS_TABLE).withColumnRenamed("station_sk", "sk")
+    store.init(empty)
+    return store
+
+
+def landed(spark, docs):
+    return spark.createDataFrame([(d if isinstance(d, str) else json.dumps(d),) for d in docs], "raw_text string")
+
+
 def test_run_station_batch_records_and_advances(spark, tmp_path):
     import datetime as dt
 
     from lakehold.operators import control
 
-    name = f"ctl_{abs(hash(str(tmp_path))) % 10**8}"
-    control.create_control_table(spark, name, str(tmp_path / "ctl"))
-    docs = [station(1, 50, [CONN]), station(2, 30, [CONN], lat=None)]
-    landing = spark.createDataFrame([(json.dumps(d),) for d in docs], "raw_text string")
-    bronze = flows.bronze_stations(landing, "2025-01-02 00:00:00")
-    empty = spark.createDataFrame([], STATIONS_TABLE)
-    sc = spark.sparkContext
-    sc.setJobGroup("station-batch", "one silver run")
-    st = flows.run_station_batch(spark, name, bronze, empty, str(tmp_path / "s1"), str(tmp_path / "q"), AS_OF)
-    jobs = len(sc.statusTracker().getJobIdsForGroup("station-batch"))
-    sc.setJobGroup("other", "")
-    print("spark jobs for one silver batch:", jobs)
-    assert jobs <= 10  # the reference needs ~30 actions for the same batch
-    assert st.where("is_current").count() == 1
+    name = control_table(spark, tmp_path)
+    bronze = flows.bronze_stations(landed(spark, [station(1, 50, [CONN]), station(2, 30, [CONN], lat=None)]), "2025-01-02 00:00:00")
+    store = empty_store(spark, str(tmp_path / "store"))
+    valid = flows.run_station_batch(spark, name, bronze, store, str(tmp_path / "q"), AS_OF)
+    st = store.state(spark)
+    assert valid.count() == 1 and st.where("is_current").count() == 1
     assert spark.read.parquet(str(tmp_path / "q")).count() == 1
     rec = spark.table(name).first()
     assert (rec.status, rec.records_processed, rec.records_failed) == ("success", 1, 1)
     assert rec.last_processed_timestamp == dt.datetime(2025, 1, 2)
+    before = sorted(map(repr, st.collect()))
     # the same bronze again: nothing newer than the watermark, state unchanged
-    st2 = flows.run_station_batch(spark, name, bronze, st, str(tmp_path / "s2"), str(tmp_path / "q"), AS_OF)
-    assert sorted(map(repr, st2.collect())) == sorted(map(repr, st.collect()))
+    assert flows.run_station_batch(spark, name, bronze, store, str(tmp_path / "q"), AS_OF) is None
+    assert sorted(map(repr, store.state(spark).collect())) == before
     assert control.last_watermark(spark.table(name), "stations", "silver") == dt.datetime(2025, 1, 2)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_rejected_batch_is_taken_once_and_replay_safe(spark, tmp_path):
+    name = control_table(spark, tmp_path)
+    store = empty_store(spark, str(tmp_path / "store"))
+    bad = [station(1, 50, [CONN], lat="abc"), station(2, 50, [CONN], lat="NaN"), dict(station(3, 50, [CONN]), DateLastStatusUpdate="not a date"),
+           "{broken", "also broken"]
+    bronze = flows.bronze_stations(landed(spark, bad), "2025-01-02 00:00:00")
+    assert bronze.count() == 5  # documents without a UUID all stay
+    q = str(tmp_path / "q")
+    assert flows.run_station_batch(spark, name, bronze, store, q, AS_OF) is None
+    assert flows.run_station_batch(spark, name, bronze, store, q, AS_OF) is None
+    rows = spark.read.parquet(q)
+    assert rows.count() == 5 and store.state(spark).count() == 0
+    reasons = {r.station_id: list(r.reject_reasons) for r in rows.collect()}
+    assert reasons["1"] == ["latitude:malformed"] and reasons["2"] == ["latitude:not_finite"] and reasons["3"] == ["date_last_status_update:malformed"]
+    assert rows.where("station_id = '1'").first().raw.latitude == "abc"  # the text itself is kept
+    # the same run again from the same watermark (its record was lost) overwrites its quarantine folder
+    fresh = control_table(spark, tmp_path / "lost")
+    flows.run_station_batch(spark, fresh, bronze, store, q, AS_OF)
+    assert spark.read.parquet(q).count() == 5
+    for t in (name, fresh):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_gate_stops_a_run_and_is_recorded(spark, tmp_path):
+    import pytest
+
+    from lakehold.operators.quality import ColumnGateError
+
+    name = control_table(spark, tmp_path)
+    store = empty_store(spark, str(tmp_path / "store"))
+    docs = [dict(station(i, 50, [CONN]), DateCreated=None) for i in (1, 2)]
+    with pytest.raises(ColumnGateError, match="date_created"):
+        flows.run_station_batch(spark, name, flows.bronze_stations(landed(spark, docs), "2025-01-02 00:00:00"), store, str(tmp_path / "q"), AS_OF)
+    rec = spark.table(name).first()
+    assert rec.status == "failed" and "date_created" in rec.error_message and store.state(spark).count() == 0
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_bronze_and_connector_runs(spark, tmp_path):
+    name = control_table(spark, tmp_path)
+    docs = landed(spark, [station(1, 50, [CONN, dict(CONN, LevelID=3)]), station(2, 30, [dict(CONN, PowerKW=-1.0)]), station(1, 50, [CONN])])
+    bronze = flows.run_bronze_batch(spark, name, docs, str(tmp_path / "bronze"), "2025-01-02 00:00:00")
+    assert bronze.count() == 2
+    # nothing modified since: the run is recorded as skipped
+    assert flows.run_bronze_batch(spark, name, docs, str(tmp_path / "bronze"), "2025-01-03 00:00:00") is None
+    store = empty_store(spark, str(tmp_path / "store"))
+    valid = flows.run_station_batch(spark, name, bronze, store, str(tmp_path / "q"), AS_OF)
+    conns = flows.connector_store(str(tmp_path / "conns"), buckets=4)
+    conns.init(spark.createDataFrame([], "station_id string, connection_type_id int, level_id int, connection_type string, amps int, "
+                                         "voltage double, power_kw double, quantity int, current_type string, date_last_status_update timestamp_ntz, "
+                                         "ingest_timestamp timestamp_ntz, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean, sk long"))
+    for _ in range(2):  # the second run replays the first
+        table = flows.run_connector_batch(spark, name, valid, conns, str(tmp_path / "cq"), AS_OF)
+        assert table.count() in (1, 2) and table.where("is_current").count() == table.count()
+        assert spark.read.parquet(str(tmp_path / "cq")).count() == 1
+    got = {(r.pipeline_name, r.layer, r.status) for r in spark.table(name).collect()}
+    assert got == {("stations", "bronze", "success"), ("stations", "bronze", "skipped"), ("stations", "silver", "success"), ("connectors", "silver", "success")}
+    spark.sql(f"DROP TABLE IF EXISTS {name}")

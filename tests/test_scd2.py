@@ -124,3 +124,20 @@ def test_apply_all_versions_keeps_batch_versions(spark):
     assert [(r.id, r.status, r.valid_from.day, r.is_current) for r in out] == [
         (1, "up", 5, False), (1, "down", 6, False), (1, "up", 7, True), (2, "a", 6, True)]
     _check_invariants(scd2.apply_all_versions(t, s, ["id"], ["status"], ts="ts"))
+
+
+def test_rows_without_a_time_make_no_version(spark):
+    import datetime as dt
+
+    d = dt.datetime
+    s = "id int, status string, ts timestamp_ntz"
+    target = scd2.history(spark.createDataFrame([(1, "up", d(2025, 1, 1))], s), ["id"], ["status"], ts="ts")
+    staged = spark.createDataFrame([(1, "down", None), (2, "up", None), (3, "up", d(2025, 1, 2)), (None, "up", d(2025, 1, 2))], s)
+    out = scd2.apply_changes(target, staged, ["id"], ["status"], ts="ts")
+    assert sorted(str(r.id) for r in out.collect()) == ["1", "3", "None"]
+    assert out.where("valid_from is null or is_current is null").count() == 0
+    got = {r.id: r.scd_action for r in scd2.classify(staged, target, ["id"], ["status"], ts="ts").collect()}
+    assert got == {3: "INSERT", None: "INSERT"}
+    assert scd2.untimed(staged, "ts").count() == 2
+    assert scd2.history(staged, ["id"], ["status"], ts="ts").count() == 2
+    assert scd2.apply_all_versions(target, staged, ["id"], ["status"], ts="ts").count() == 3

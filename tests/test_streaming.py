@@ -1,10 +1,11 @@
 """Streaming results equal the batch results on the same files."""
 
 import datetime as dt
-
-from pyspark.sql import functions as F
+import random
+import shutil
 
 from lakehold.operators import scd2
+from lakehold.operators.history_store import HistoryStore
 from lakehold.streaming import ingest, scd2_stream
 
 D = dt.datetime
@@ -31,26 +32,79 @@ def test_stream_dedup_within_watermark(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(f"{root}/out").collect()) == [1, 2, 3]
 
 
-def test_stream_scd2_equals_batch(spark, tmp_path):
-    root = str(tmp_path)
-    (tmp_path / "in").mkdir()
-    init = spark.createDataFrame([(1, "up", D(2025, 1, 1), D(2999, 12, 31), True, 11)],
-                                 "id int, status string, valid_from timestamp_ntz, valid_to timestamp_ntz, "
-                                 "is_current boolean, sk long")
-    b1 = [(1, "down", D(2025, 1, 2)), (2, "up", D(2025, 1, 2))]
-    b2 = [(1, "down", D(2025, 1, 2)), (1, "up", D(2025, 1, 3))]  # replayed row + a real change
-    _write_batches(spark, root, [b1, b2])
-    scd2_stream.init_state(spark, f"{root}/state", init)
-    s = ingest.read_table_stream(spark, f"{root}/in", "*.parquet", max_files_per_trigger=1)
-    scd2_stream.run_scd2_stream(s, f"{root}/state", f"{root}/ckpt", ["id"], ["status"], ["status"], "ts")
-    got = scd2_stream.latest_state(spark, f"{root}/state")
-    batch = init
-    for rows in (b1, b2):
-        batch = scd2.apply_changes(batch, spark.createDataFrame(rows, "id int, status string, ts timestamp_ntz"),
-                                   ["id"], ["status"], ts="ts")
-    key = lambda r: repr(r)
-    assert sorted(got.collect(), key=key) == sorted(batch.collect(), key=key)
-    assert got.where(F.col("is_current")).count() == 2
-    assert scd2_stream.committed_versions(spark, f"{root}/state") == [-1, 0, 1]
-    # the current set of the last batch holds only current rows; history is never rewritten
-    assert scd2_stream.current_state(spark, f"{root}/state").count() == 2
+S = "id int, status string, ts timestamp_ntz"
+
+
+def _store(root, buckets=4):
+    return HistoryStore(root, ("id",), ("status",), ("status",), "ts", (), buckets)
+
+
+def _random_log(n=200, seed=3):
+    rng = random.Random(seed)
+    return [(rng.choice([1, 2, 3, None]), rng.choice(["up", "down", None]), D(2025, 1, 1) + dt.timedelta(minutes=k)) for k in range(n)]
+
+
+def _files(spark, root, rows, n, seed):
+    """``rows`` as ``n`` parquet files whose names are in a random order of time."""
+    (root / "in").mkdir(parents=True)
+    parts = [rows[k::n] if seed is None else rows[k * len(rows) // n:(k + 1) * len(rows) // n] for k in range(n)]
+    random.Random(seed or 0).shuffle(parts)
+    _write_batches_as(spark, str(root), parts)
+
+
+def _write_batches_as(spark, root, parts):
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, S).coalesce(1).write.mode("overwrite").parquet(f"{root}/tmp{i}")
+        for f in spark.read.parquet(f"{root}/tmp{i}").inputFiles():
+            shutil.copy(f.replace("file://", ""), f"{root}/in/part-{i:03d}.parquet")
+
+
+def test_stream_scd2_does_not_depend_on_the_batches(spark, tmp_path):
+    rows = _random_log()
+    want = sorted(map(repr, scd2.history(spark.createDataFrame(rows, S), ["id"], ["status"], ts="ts").collect()))
+    for name, n, seed in (("one", 1, 1), ("ordered", 5, None), ("shuffled", 20, 7)):
+        root = tmp_path / name
+        _files(spark, root, rows, n, seed)
+        store = _store(f"{root}/state")
+        store.init(scd2.history(spark.createDataFrame([], S), ["id"], ["status"], ts="ts"))  # from an empty table
+        s = ingest.read_table_stream(spark, f"{root}/in", "*.parquet", max_files_per_trigger=1)
+        scd2_stream.run_scd2_stream(s, store, f"{root}/ckpt")
+        assert sorted(map(repr, store.state(spark).collect())) == want, name
+
+
+def test_stream_dedup_keeps_late_rows_and_drops_repeats(spark, tmp_path):
+    rows = [(k % 150, "a", D(2025, 1, 1) + dt.timedelta(minutes=17 * (k % 150))) for k in range(200)] + [(None, "n", None), (None, "n", None)]
+    for name, n, seed in (("one", 1, 1), ("shuffled", 20, 5)):
+        root = tmp_path / name
+        _files(spark, root, rows, n, seed)
+        s = ingest.read_table_stream(spark, f"{root}/in", "*.parquet", max_files_per_trigger=1)
+        ingest.dedup_into(s, f"{root}/table", f"{root}/ckpt", ["id"], "ts")
+        got = ingest.table_of(spark, f"{root}/table", s.schema)
+        assert sorted(r.id for r in got.where("id is not null").collect()) == list(range(150))
+        assert got.where("id is null").count() == 1
+
+
+def test_store_touches_only_the_batches_buckets(spark, tmp_path):
+    store = _store(str(tmp_path / "t"), buckets=16)
+    log = spark.createDataFrame([(k, "up", D(2025, 1, 1)) for k in range(60)], S)
+    store.init(scd2.history(log, ["id"], ["status"], ts="ts"))
+    assert store.apply(spark.createDataFrame([(7, "down", D(2025, 1, 2))], S), 0) == 1
+    written = spark.read.parquet(str(tmp_path / "t/data/batch=0"))
+    assert written.select("bucket").distinct().count() == 1
+    state = store.state(spark)
+    assert state.count() == 61 and state.where("is_current").count() == 60
+    # a batch of rows that were applied before changes nothing, nor does an empty batch or one without a time
+    before = sorted(map(repr, state.collect()))
+    store.apply(spark.createDataFrame([(7, "down", D(2025, 1, 2)), (7, "down", D(2025, 1, 2))], S), 1)
+    assert store.apply(spark.createDataFrame([], S), 2) == 0
+    assert store.apply(spark.createDataFrame([(8, "down", None)], S), 3) == 0
+    assert sorted(map(repr, store.state(spark).collect())) == before
+    # a retried batch overwrites its own folder
+    store.apply(spark.createDataFrame([(9, "down", D(2025, 1, 3))], S), 4)
+    once = sorted(map(repr, store.state(spark).collect()))
+    store.apply(spark.createDataFrame([(9, "down", D(2025, 1, 3))], S), 4)
+    assert sorted(map(repr, store.state(spark).collect())) == once
+    new = store.compact(str(tmp_path / "t2"), spark)
+    assert sorted(map(repr, new.state(spark).collect())) == once
+    new.apply(spark.createDataFrame([(9, "late", D(2025, 1, 2))], S), 0)
+    assert [r.status for r in new.state(spark).where("id = 9").orderBy("valid_from").collect()] == ["up", "late", "down"]
