@@ -30,13 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.llm.common import fold, worker_state
+from lakehold.llm.common import fold, worker_cache
 from lakehold.session import shared_dir
 
 HELD_OUT = 1
 CHUNK_TOKENS = 2_000_000  # tokens that a map task packs at a time
 SCORE_TOKENS = 400_000  # tokens that are looked up at a time
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 MIN_SHARDS, SHARDS_PER_SPLIT, MAX_SHARDS = 16, 4, 1 << 16
 BEGIN, END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\nbegin", b"\nend"))  # no word has a line end
 ROW = "level int, shard int, data binary, stats array<long>"
@@ -58,7 +58,7 @@ class WordHashes(dict):
 
 def token_hashes(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    known = worker_state().setdefault("word_hashes", WordHashes())
+    known = worker_cache("word hashes", WordHashes)
     out = np.empty(len(words) + 1, np.uint64)
     out[:-1] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     out[-1] = END
@@ -320,7 +320,8 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2, shards: int
     path = shared_dir(spark, "kneser-ney")
     rows = src.mapInArrow(lambda it: _count_texts(it, order, bits), ROW)
     for level in range(order, -1 if order > 2 else 0, -1):
-        dealt = rows.repartition(1 << bits, "shard").sortWithinPartitions("shard")
+        # one shard per task; rows of sums (shard -1) go with the first
+        dealt = rows.repartitionById(1 << bits, F.greatest(F.col("shard"), F.lit(0))).sortWithinPartitions("shard")
         rows = dealt.mapInArrow(lambda it, level=level: _reduce(it, level, order, bits, path), ROW)
     sums = rows.where("stats is not null").groupBy("level").agg(*[F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(STATS)]).collect()
     return Model(path, order, bits, {r["level"]: [int(r[f"s{k}"]) for k in range(STATS)] for r in sums})
