@@ -104,20 +104,3 @@ def get_path(struct_col: Column, path: str) -> Column:
     for part in path.split("."):
         e = e.getField(part)
     return e
-
-
-def json_fields(json_col: Column | str, fields: Mapping[str, str]) -> list[Column]:
-    """Project JSON paths (``{"A.B": alias}``) with ONE parse per row.
-
-    Leaves are read as strings: numbers come back as their text, nested objects or
-    arrays as JSON text, a missing key / JSON null / malformed document as NULL.
-    """
-    c = F.col(json_col) if isinstance(json_col, str) else json_col
-    parsed = F.from_json(c, string_schema(list(fields)), {"mode": "PERMISSIVE"})
-    out = []
-    for path, alias in fields.items():
-        e = parsed
-        for part in path.split("."):
-            e = e.getField(part)
-        out.append(e.alias(alias))
-    return out

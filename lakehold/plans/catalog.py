@@ -703,3 +703,148 @@ def scd2_classify_parity(spark, sf):
 
 QUERIES["scd2_classify_nullsafe"] = scd2_classify_nullsafe
 QUERIES["scd2_classify_parity"] = scd2_classify_parity
+
+
+# ---------------------------------------------------------------- composite zones, keys, sinks, verdicts
+
+
+def station_facts_zones(spark, sf):
+    """Facts with versions and weather joined on a composite (lat, lon) cell, not one id."""
+    v, c, w = roles.mart_inputs(spark, sf)
+    cell = lambda df, z: df.withColumns({"cell_lat": F.pmod(F.col(z), F.lit(5)), "cell_lon": F.floor(F.col(z) / 5)})
+    zone = ("cell_lat", "cell_lon")
+    return marts.station_facts(cell(v, "weather_zone"), c, cell(w, "zone"), AS_OF, mode="parity", station_zone=zone,
+                               weather_zone=zone, connector_order=("l_orderkey", "l_linenumber"))
+
+
+def null_removal(spark, sf):
+    c = table(spark, sf, "customer").select(
+        "c_custkey", F.when(F.col("c_nationkey") % 4 != 0, F.col("c_name")).alias("c_name"),
+        F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("c_acctbal"))
+    return transform.remove_nulls(c, ["c_name", "c_acctbal"])
+
+
+def surrogate_keys(spark, sf):
+    """Surrogate keys of events with null parts: one key per distinct combination, and the
+    same key for an equal combination."""
+    from lakehold.functions.columns import surrogate_key
+
+    e = table(spark, sf, "events")
+    parts = e.select(F.when(F.col("user_id") % 3 != 0, F.col("user_id")).alias("a"),
+                     F.when(F.col("event_type") != "error", F.col("event_type")).alias("b"), F.to_date("ts").alias("c"))
+    keyed = parts.withColumn("sk", surrogate_key("a", "b", "c"))
+    per = keyed.groupBy("a", "b", "c").agg(F.count_distinct("sk").alias("keys"), F.first("sk").alias("sk"))
+    return per.agg(F.count(F.lit(1)).alias("combinations"), F.count_distinct("sk").alias("keys"), F.max("keys").alias("keys_per_combination"))
+
+
+def counted_sinks(spark, sf):
+    """Create-if-absent, counted write, and publishing a new state twice: the counts that the
+    writes report beside what is read back."""
+    import uuid
+
+    from lakehold.session import shared_dir
+    from lakehold.sources import tables
+
+    root, name = shared_dir(spark, "sinks"), f"lakehold_sink_{uuid.uuid4().hex[:8]}"
+    o = table(spark, sf, "orders")
+    reported = {"created": tables.create_if_absent(spark, name, o.schema, f"{root}/v0").count(),
+                "created_again": tables.create_if_absent(spark, name, o.schema).count(),
+                "written": tables.write_counted(o, f"{root}/w"),
+                "appended": tables.write_counted(o.where("o_orderstatus = 'F'"), f"{root}/w"),
+                "published": tables.publish(spark, name, o, f"{root}/v1")}
+    reported["published_later"] = tables.publish_gated(spark, name, o.where("o_orderstatus = 'O'"), f"{root}/v2")
+    read = {"written": spark.read.parquet(f"{root}/w"), "published_later": spark.table(name)}
+    out = None
+    for step, n in reported.items():
+        back = read[step].agg(F.count(F.lit(1))).first()[0] if step in read else n
+        row = spark.range(1).select(F.lit(step).alias("step"), F.lit(n).cast("long").alias("reported"), F.lit(back).cast("long").alias("read_back"))
+        out = row if out is None else out.unionByName(row)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def _ailing_report(spark, sf):
+    """Health of tables with every kind of finding: nulls, repeated keys, values out of range,
+    old rows, an empty table and a missing one."""
+    o = table(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderkey")).alias("o_orderkey"), "o_totalprice", "o_orderdate")
+    c = table(spark, sf, "customer")
+    tables = {"orders": o.unionByName(o.where("o_orderkey % 4 = 0")), "customer": c.where("c_custkey < 0"), "gone": None}
+    rules = {"orders": health.TableRules(critical=["o_orderkey", "o_orderdate"], ranges={"o_totalprice": (0, 100000)},
+                                         unique_key="o_orderkey", ts_column="o_orderdate"),
+             "customer": health.TableRules(critical=["c_custkey"], ranges={"c_acctbal": (0, 1)}, unique_key="c_custkey")}
+    return health.health_report(spark, tables, rules, "2034-02-01 00:00:00")
+
+
+def health_findings(spark, sf):
+    return _ailing_report(spark, sf)
+
+
+def health_verdict(spark, sf):
+    """Counts of findings and the verdict, of an ailing set of tables and of a sound one."""
+    ill = health.health_summary(_ailing_report(spark, sf)).withColumn("tables", F.lit("ailing"))
+    sound = health.health_summary(health_report(spark, sf)).withColumn("tables", F.lit("sound"))
+    return ill.unionByName(sound)
+
+
+# ---------------------------------------------------------------- scheduled runs
+
+RUN_STAMPS = ["2024-01-10 00:00:00", "2024-01-20 00:00:00"]
+
+
+def _scheduled_runs(spark, sf):
+    """Bronze, station and connector runs over two landings of documents, and a replay of the
+    second: (control table, station store, quarantine folder)."""
+    import uuid
+
+    from lakehold.plans import flows
+    from lakehold.session import shared_dir
+    from lakehold.sources.schemas import STATIONS_TABLE
+
+    root, name = shared_dir(spark, "runs"), f"lakehold_control_{uuid.uuid4().hex[:8]}"
+    control.create_control_table(spark, name, f"{root}/control")
+    docs = station_documents(spark, sf)
+    docs.write.text(f"{root}/landing")
+    docs = spark.read.text(f"{root}/landing").withColumnRenamed("value", "raw_text")
+    first = F.get_json_object("raw_text", "$.ID").cast("long") % 2 == 0
+    store = flows.station_store(f"{root}/stations", buckets=16)
+    store.init(spark.createDataFrame([], STATIONS_TABLE).withColumnRenamed("station_sk", "sk"))
+    conns = flows.connector_store(f"{root}/connectors", buckets=16)
+    conns.init(spark.createDataFrame([], "station_id string, connection_type_id int, level_id int, connection_type string, amps int, "
+                                         "voltage double, power_kw double, quantity int, current_type string, date_last_status_update timestamp_ntz, "
+                                         "ingest_timestamp timestamp_ntz, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean, sk long"))
+    parts = [(docs.where(first), RUN_STAMPS[0]), (docs.where(~first), RUN_STAMPS[1]), (docs.where(~first), RUN_STAMPS[1])]
+    for k, (part, stamp) in enumerate(parts):
+        bronze = flows.bronze_stations(part, stamp)
+        valid = flows.run_station_batch(spark, name, bronze, store, f"{root}/quarantine", stamp, staging_location=f"{root}/staging-{k}")
+        if valid is not None:
+            flows.run_connector_batch(spark, name, valid, conns, f"{root}/connector-quarantine", stamp, staging_location=f"{root}/conn-staging-{k}")
+    return name, store, f"{root}/quarantine"
+
+
+def run_control_rows(spark, sf):
+    """Control records of the station runs: two batches and a replay that finds nothing new."""
+    name, _, _ = _scheduled_runs(spark, sf)
+    rows = spark.table(name).where("pipeline_name = 'stations'").select("layer", "status", "records_processed", "records_failed", "last_processed_timestamp")
+    out = rows.collect()
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(out, rows.schema)
+
+
+def run_station_history(spark, sf):
+    """Station history after the runs: the status changes of each station."""
+    name, store, _ = _scheduled_runs(spark, sf)
+    spark.sql(f"DROP TABLE {name}")
+    return store.state(spark).select("station_id", "status_id", "valid_from", "valid_to", "is_current")
+
+
+QUERIES.update({
+    "station_facts_zones": station_facts_zones,
+    "null_removal": null_removal,
+    "surrogate_keys": surrogate_keys,
+    "counted_sinks": counted_sinks,
+    "health_findings": health_findings,
+    "health_verdict": health_verdict,
+    "run_control_rows": run_control_rows,
+    "run_station_history": run_station_history,
+})

@@ -64,6 +64,8 @@ def _table_report(name: str, df: DataFrame, rules: TableRules, as_of: str) -> Da
     for c in crit:
         rows.append(entry(f"nulls:{c}", gated(F.when(F.col(f"null__{c}") > 0, "fail").otherwise("pass")),
                           F.col(f"null__{c}")))
+        share = F.col(f"null__{c}") * 100.0 / F.when(~empty, F.col("n"))
+        rows.append(entry(f"null_percent:{c}", gated(F.lit("info")), F.round(share, 2)))
     if has_ts:
         age = F.col("age_h")
         st = F.when(age.isNull(), "fail").when(age > rules.max_age_hours, "warning").otherwise("pass")

@@ -61,11 +61,17 @@ def connectors_per_station(connectors: DataFrame, order: Sequence[str], mode: st
 
 
 def latest_weather_per_zone(weather: DataFrame, zone_cols: Sequence[str]) -> DataFrame:
-    """One row per zone: the latest observation by (dt_utc, weather_sk)."""
+    """One row per zone: the latest observation by (dt_utc, weather_sk).
+
+    The greatest time per zone is a hash aggregate over fixed-width columns; only the few
+    observations of that time are then compared as structs (which would sort)."""
+    top = weather.groupBy(*zone_cols).agg(F.max("dt_utc").alias("__top"), F.max("weather_zone_id").alias("max_zone_id"))
+    same = F.col("w.dt_utc").eqNullSafe(F.col("t.__top"))
+    for z in zone_cols:
+        same = same & (F.col(f"w.{z}") == F.col(f"t.{z}"))
+    last = weather.alias("w").join(top.alias("t"), same).select("w.*", "t.max_zone_id")
     latest = F.max(F.struct("dt_utc", "weather_sk", "weather", "temp"))
-    return weather.groupBy(*zone_cols).agg(
-        latest.alias("latest"), F.max("weather_zone_id").alias("max_zone_id")
-    )
+    return last.groupBy(*zone_cols).agg(latest.alias("latest"), F.max("max_zone_id").alias("max_zone_id"))
 
 
 def _qualified_versions(versions, connectors, weather, station_zone, weather_zone,
@@ -212,7 +218,7 @@ def weather_dim(versions: DataFrame, connectors: DataFrame, weather: DataFrame,
     observations of zones that hold at least one qualifying station."""
     v = versions.where(F.col("status_id").isin(STATUS_OPERATIONAL, STATUS_TEMP_UNAVAILABLE))
     v = v.join(connectors.select("station_id"), on="station_id", how="left_semi")
-    zones = v.select(*[F.col(s).alias(w) for s, w in zip(station_zone, weather_zone)])
+    zones = v.select(*[F.col(s).alias(w) for s, w in zip(station_zone, weather_zone)]).distinct()
     w = weather.join(zones, on=list(weather_zone), how="left_semi")
     return (w.groupBy("weather_sk")
             .agg(*[F.max(a).alias(a) for a in WEATHER_DIM_COLS])

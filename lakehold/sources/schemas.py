@@ -21,7 +21,7 @@ STATION_FIELDS = {
 
 _ID_TITLE = StructType([StructField("ID", IntegerType()), StructField("Title", StringType())])
 
-# One element of a station's Connections array.
+# One element of a station's Connections array.
 CONNECTION = StructType([
     StructField("ID", IntegerType()),
     StructField("ConnectionTypeID", IntegerType()),
@@ -46,7 +46,7 @@ CONNECTION_FIELDS = {
     "current_type": "conn.CurrentType.Title",
 }
 
-# Nested weather observation document.
+# Nested weather observation document.
 OBSERVATION = StructType([
     StructField("coord", StructType([StructField("lat", DoubleType()), StructField("lon", DoubleType())])),
     StructField("weather", ArrayType(StructType([StructField("main", StringType()),
@@ -61,7 +61,7 @@ OBSERVATION = StructType([
     StructField("dt", LongType()),
 ])
 
-# Flat bronze weather row (13 columns).
+# Flat bronze weather row (13 columns).
 BRONZE_WEATHER = StructType([
     StructField("lat", DoubleType()), StructField("lon", DoubleType()),
     StructField("weather", StringType()), StructField("description", StringType()),
@@ -72,6 +72,7 @@ BRONZE_WEATHER = StructType([
     StructField("dt", LongType()),
 ])
 
+# Columns of the station history.
 STATIONS_TABLE = StructType([
     StructField("station_sk", LongType()), StructField("station_id", StringType()),
     StructField("title", StringType()), StructField("address", StringType()),

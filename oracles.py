@@ -358,14 +358,16 @@ SELECT 'events' AS pipeline_name, 'bronze' AS layer, max(ts) AS last_processed_t
 FROM events GROUP BY CAST(ts AS DATE)"""
 
 
-def _health(table, critical, ranges, key, ts):
+def _health(table, critical, ranges, key, ts, as_of=AS_OF):
     parts = [f"SELECT '{table}' AS table_name, 'table_exists' AS check_name, 'pass' AS status, CAST(NULL AS DOUBLE) AS observed",
              f"SELECT '{table}', 'not_empty', CASE WHEN count(*) = 0 THEN 'fail' ELSE 'pass' END, CAST(count(*) AS DOUBLE) FROM {table}"]
     for c in critical:
         parts.append(f"SELECT '{table}', 'nulls:{c}', CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 THEN 'fail' ELSE 'pass' END, "
                      f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) FROM {table}")
+        share = _round(f"(count(*) FILTER (WHERE {c} IS NULL) * CAST(100 AS DOUBLE) / count(*))", 2)
+        parts.append(f"SELECT '{table}', 'null_percent:{c}', 'info', {share} FROM {table}")
     if ts:
-        age = f"(CAST(date_sub('second', max({ts}), {AS_OF}) AS DOUBLE) / CAST(3600 AS DOUBLE))"
+        age = f"(CAST(date_sub('second', max({ts}), {as_of}) AS DOUBLE) / CAST(3600 AS DOUBLE))"
         parts.append(f"SELECT '{table}', 'freshness', CASE WHEN {age} IS NULL THEN 'fail' WHEN {age} > 48 THEN 'warning' ELSE 'pass' END, "
                      f"{_round(age, 2)} FROM {table}")
     else:
@@ -569,3 +571,55 @@ FROM stg s LEFT JOIN cur c ON s.user_id = c.user_id"""
 
 ORACLES["scd2_classify_nullsafe"] = _classify_nullable("s.status IS DISTINCT FROM c.status")
 ORACLES["scd2_classify_parity"] = _classify_nullable("s.status <> c.status")
+
+ORACLES["station_facts_zones"] = station_facts_sql("parity")
+
+ORACLES["null_removal"] = """
+SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_nationkey % 4 <> 0 AND c_name IS NOT NULL AND c_acctbal > 0"""
+
+ORACLES["surrogate_keys"] = """
+WITH p AS (SELECT DISTINCT CASE WHEN user_id % 3 <> 0 THEN user_id END AS a, CASE WHEN event_type <> 'error' THEN event_type END AS b,
+             CAST(ts AS DATE) AS c FROM events)
+SELECT count(*) AS combinations, count(*) AS keys, CAST(1 AS BIGINT) AS keys_per_combination FROM p"""
+
+ORACLES["counted_sinks"] = """
+WITH n AS (SELECT count(*) AS a, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o FROM orders)
+SELECT 'created' AS step, CAST(0 AS BIGINT) AS reported, CAST(0 AS BIGINT) AS read_back UNION ALL SELECT 'created_again', 0, 0
+UNION ALL SELECT 'written', a, a + f FROM n UNION ALL SELECT 'appended', f, f FROM n
+UNION ALL SELECT 'published', a, a FROM n UNION ALL SELECT 'published_later', o, o FROM n"""
+
+_AILING = """
+o AS (SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey END AS o_orderkey, o_totalprice, o_orderdate FROM orders),
+ailing AS (SELECT * FROM o UNION ALL SELECT * FROM o WHERE o_orderkey % 4 = 0)"""
+_AILING_ROWS = (_health("ailing", ["o_orderkey", "o_orderdate"], {"o_totalprice": (0, 100000)}, "o_orderkey", "o_orderdate",
+                        "TIMESTAMP '2034-02-01 00:00:00'").replace("'ailing'", "'orders'")
+                .replace("count(DISTINCT o_orderkey)", "count(DISTINCT o_orderkey)") + """
+UNION ALL SELECT 'customer', 'table_exists', 'pass', NULL UNION ALL SELECT 'customer', 'not_empty', 'fail', 0
+UNION ALL SELECT 'customer', 'nulls:c_custkey', 'skipped', 0 UNION ALL SELECT 'customer', 'null_percent:c_custkey', 'skipped', NULL
+UNION ALL SELECT 'customer', 'freshness', 'skipped', NULL UNION ALL SELECT 'customer', 'range:c_acctbal', 'skipped', 0
+UNION ALL SELECT 'customer', 'unique:c_custkey', 'skipped', 0 UNION ALL SELECT 'gone', 'table_exists', 'fail', NULL""")
+ORACLES["health_findings"] = f"WITH {_AILING}\n{_AILING_ROWS}"
+
+
+def _verdict(rows: str, tables: str) -> str:
+    return f"""SELECT count(*) FILTER (WHERE status = 'pass') AS passed, count(*) FILTER (WHERE status = 'fail') AS failed,
+  count(*) FILTER (WHERE status = 'warning') AS warnings, count(*) FILTER (WHERE status = 'fail') = 0 AS healthy, '{tables}' AS tables
+FROM ({rows})"""
+
+
+ORACLES["health_verdict"] = f"WITH {_AILING}\n{_verdict(_AILING_ROWS, 'ailing')}\nUNION ALL\n{_verdict(HEALTH_REPORT, 'sound')}"
+
+# documents of one station and day with equal status are one version; of equal times the lower status comes first
+ORACLES["run_station_history"] = f"""WITH {_STATION_DOCS},
+h1 AS (SELECT station_id, status_id, date_last_status_update AS ts, lag(status_id) OVER w AS p, lag(1) OVER w AS e FROM good
+       WINDOW w AS (PARTITION BY station_id ORDER BY date_last_status_update, status_id)),
+h2 AS (SELECT * FROM h1 WHERE e IS NULL OR p IS DISTINCT FROM status_id)
+SELECT station_id, status_id, ts AS valid_from, coalesce(lead(ts) OVER w, {OPEN_END}) AS valid_to, lead(ts) OVER w IS NULL AS is_current
+FROM h2 WINDOW w AS (PARTITION BY station_id ORDER BY ts, status_id)"""
+
+ORACLES["run_control_rows"] = f"""WITH {_STATION_DOCS},
+n AS (SELECT o_custkey % 2 AS k, count(*) AS n FROM srows GROUP BY 1), g AS (SELECT o_custkey % 2 AS k, count(*) AS n FROM good GROUP BY 1)
+SELECT 'silver' AS layer, 'success' AS status, g.n AS records_processed, n.n - g.n AS records_failed,
+       CASE WHEN n.k = 0 THEN TIMESTAMP '2024-01-10 00:00:00' ELSE TIMESTAMP '2024-01-20 00:00:00' END AS last_processed_timestamp
+FROM n JOIN g ON n.k = g.k
+UNION ALL SELECT 'silver', 'success', 0, 0, TIMESTAMP '2024-01-20 00:00:00'"""
