@@ -1,12 +1,14 @@
 """Quality by importance resampling.
 
 Two generative models of hashed word n-grams (one- and two-word, a fixed number of buckets) are counted: one
-over the target texts (rows labelled good), one over all raw texts. A text's log importance weight is the sum
-of the log ratios of its n-grams; the sample are the ``k`` texts with the largest weight plus Gumbel noise,
-which draws without replacement in proportion to the weights.
-
-``k`` defaults to the number of texts whose weight is at least the cut that best tells the labelled good from
-the labelled bad texts. The raw model counts every row; target and cut use about ``MAX_LABELLED`` labelled
+over the target texts (rows labelled good), one over all raw texts. A text's log importance weight is the mean
+log ratio of its n-grams, times a common length, so that texts are compared as if equally long; the sample are
+the ``k`` texts with the largest weight plus Gumbel noise, which draws without replacement in proportion to the
+weights.
+
+``k`` defaults to the number of texts whose weight is at least the cut that best tells good from bad texts. Half
+of the labelled rows (by the hash of their id) are for the target, the other half for the cut, so the cut is
+taken from texts that the target has not seen. The raw model counts every row; target and cut use about ``MAX_LABELLED`` labelled
 rows of each class (at most twice as many: those with the smallest hash of the id). What is broadcast has the size of the model.
 
 Cases: null and empty texts have weight 0; noise depends on the id and the seed alone, so repeated rows get
@@ -31,7 +33,8 @@ from pyspark.sql import types as T
 from lakehold.llm.common import fresh, sample_by_hash, stored, worker_state
 
 BUCKETS_LOG2 = 16
-SMOOTHING = 1.0
+SMOOTHING = 10.0  # added to a bucket's target count, and to its raw count on the target's scale
+LENGTH = 200  # n-grams that every text is weighed as having
 MAX_LABELLED = 10_000
 SEED = 17
 CACHED_WORDS = 300_000
@@ -64,6 +67,11 @@ def labelled_ids(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFra
     return stored(part[0].unionByName(part[1]), "resample-labels")
 
 
+def for_cut(id_col: str) -> Column:
+    """Whether a labelled row is for the cut, not for the target."""
+    return F.pmod(F.xxhash64(F.lit(7), F.col(id_col)), F.lit(2)) == 0
+
+
 def ratio_table(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> np.ndarray | None:
     """Log ratio of target and raw probability per bucket; None without target texts."""
 
@@ -79,7 +87,7 @@ def ratio_table(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) ->
         used = np.flatnonzero(raw)
         yield pa.record_batch([pa.array(used), pa.array(raw[used]), pa.array(target[used])], names=["bucket", "raw", "target"])
 
-    good = ids.where("good").select("id", F.lit(True).alias("good"))
+    good = ids.where(F.col("good") & ~for_cut("id")).select("id", F.lit(True).alias("good"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     marked = texts.join(F.broadcast(good), "id", "left").select("text", "good")  # at most 2 * MAX_LABELLED ids
     sums = marked.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(
@@ -88,8 +96,11 @@ def ratio_table(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) ->
     raw[sums["bucket"]], target[sums["bucket"]] = sums["raw"], sums["target"]
     if not target.sum():
         return None
-    log_p = lambda c: np.log((c + SMOOTHING) / (c.sum() + SMOOTHING * c.size))
-    return (log_p(target) - log_p(raw)).astype(np.float32)
+    return np.log((target + SMOOTHING) / (raw * (target.sum() / raw.sum()) + SMOOTHING)).astype(np.float32)
+
+
+def log_weight(grams: np.ndarray, ratio: np.ndarray) -> float:
+    return float(ratio[grams].mean(dtype=np.float64)) * LENGTH if grams.size else 0.0
 
 
 def with_weight(docs: DataFrame, table: np.ndarray | None, text_col: str, out: str) -> DataFrame:
@@ -102,7 +113,7 @@ def with_weight(docs: DataFrame, table: np.ndarray | None, text_col: str, out: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = known.value
         for b in batches:
-            w = [float(ratio[buckets(t.as_py())].sum(dtype=np.float64)) for t in b.column(at)]
+            w = [log_weight(buckets(t.as_py()), ratio) for t in b.column(at)]
             yield pa.record_batch([*b.columns, pa.array(w, pa.float64())], names=[*b.schema.names, out])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
@@ -180,7 +191,7 @@ def learn(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int =
     rows = stored(out.select("doc_id", F.col(w).alias("log_weight"), F.col(key).alias("sample_key")), "resample-weights")
     total = rows.count()
     if k is None and table is not None:
-        known = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("log_weight", "good").limit(4 * MAX_LABELLED).toPandas()
+        known = rows.join(F.broadcast(ids.where(for_cut("id"))), F.col("doc_id") == F.col("id")).select("log_weight", "good").limit(4 * MAX_LABELLED).toPandas()
         good = known["good"].to_numpy(bool)
         cut = best_cut(known["log_weight"].to_numpy(float), good) if good.any() and not good.all() else -math.inf
         k = rows.where(F.col("log_weight") >= F.lit(cut)).count()

@@ -32,17 +32,16 @@ def test_weights_equal_brute_force(spark):
     docs, labels, _ = corpus(spark, 60)
     _, rows = resample.learn(docs, labels)
     text = {r.doc_id: r.text for r in docs.collect()}
-    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    good = {r.doc_id for r in labels.where("quality = 1").where(~resample.for_cut("doc_id")).collect()}
     size = 1 << resample.BUCKETS_LOG2
     raw, target = np.zeros(size), np.zeros(size)
     for i, t in text.items():
         c = np.bincount(resample.buckets(t), minlength=size)
         raw += c
         target += c if i in good else 0
-    log_p = lambda c: np.log((c + 1) / (c.sum() + size))
-    ratio = log_p(target) - log_p(raw)
+    ratio = np.log((target + 10) / (raw * target.sum() / raw.sum() + 10))
     for r in rows.collect():
-        w = ratio[resample.buckets(text[r.doc_id])].sum()
+        w = ratio[resample.buckets(text[r.doc_id])].mean() * 200
         assert abs(r.log_weight - w) < 1e-3 * max(1, abs(w))
 
 
@@ -79,3 +78,14 @@ def test_dirty_rows_and_missing_labels(spark):
     assert {r.log_weight for r in scored.where(F.col("doc_id").isin(2, 3, 4)).collect()} == {0.0}
     sampler, scored = resample.learn(rows.limit(0), labels_of(spark, [(1, 1, 0), (2, 0, 0)]))
     assert scored.count() == 0 and sampler.select(rows.limit(0)).count() == 0
+
+
+def test_held_out_labels(spark):
+    """Learnt from half of the labels, the sample keeps the good texts of the other half and rejects the bad ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    hidden = F.pmod(F.xxhash64(F.lit(99), "doc_id"), F.lit(2)) == 0
+    sampler, rows = resample.learn(docs, labels.where(~hidden))
+    got = rows.join(labels.where(hidden), "doc_id").withColumn("kept", (F.col("sample_key") >= sampler.least).cast("int"))
+    share = {r.quality: r.kept for r in got.groupBy("quality").agg(F.avg("kept").alias("kept")).collect()}
+    assert share[1] >= 0.98 and share[0] <= 0.2
