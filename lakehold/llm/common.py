@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable, Hashable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakehold.session import shared_dir
@@ -45,6 +48,30 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+MEMBER_BITS_LOG2 = 23  # bit table of one megabyte
+
+
+def maybe_among(keys: DataFrame, col: str) -> Callable[[Column], Column]:
+    """A test whether a key may be among ``keys``: never false for one that is, seldom true for another.
+
+    It reads a bit table of fixed size, so rows that cannot match need not be shuffled for a join. With so
+    many keys that the table fills up, all rows go the way of the join, and the result stays the same.
+    """
+    bit = lambda c: F.shiftrightunsigned(F.xxhash64(c), 64 - MEMBER_BITS_LOG2)
+    words = keys.select(bit(F.col(col)).alias("bit")).selectExpr("bit div 64 as word", "shiftleft(1L, cast(bit % 64 as int)) as mask")
+    table = np.zeros(1 << MEMBER_BITS_LOG2 - 6, np.int64)
+    for r in words.groupBy("word").agg(F.bit_or("mask").alias("mask")).collect():  # at most as many as the table has
+        table[r["word"]] = r["mask"]
+    known = keys.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def maybe(bits: pd.Series) -> pd.Series:
+        b = bits.to_numpy()
+        return pd.Series((known.value[b >> 6] >> (b & 63)) & 1 == 1)
+
+    return lambda c: maybe(bit(c))
+
+
 def worker_state() -> dict:
     """A dict that lives as long as the Python worker process (caches across tasks)."""
     mods = sys.modules

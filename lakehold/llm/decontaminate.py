@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.llm.common import fresh, stored, worker_state
+from lakehold.llm.common import fresh, maybe_among, stored, worker_state
 
 WINDOW = 8
 MIN_LITERALS = 4  # plain words in a window
@@ -260,4 +260,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
     keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
     hits = _hits(keyed.select(F.col(text_col).alias("text"), F.col(key).alias("digest")), benchmark, ["digest"], window)
     bad = stored(hits.select(F.col("digest").alias(key)).distinct(), "decontaminate-texts")
-    return keyed.join(bad, key, "left_anti").select(*docs.columns)
+    maybe = maybe_among(bad, key)  # all other rows stay where they are
+    rest = keyed.where(maybe(F.col(key))).join(bad, key, "left_anti")
+    return keyed.where(~maybe(F.col(key))).unionByName(rest.select(*keyed.columns)).select(*docs.columns)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.llm.common import fresh, stored
+from lakehold.llm.common import fresh, maybe_among, stored
 from lakehold.llm.components import connected_components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -226,5 +226,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
     known = stored(rows.groupBy("fp").agg(F.min(order).alias("best")), "simhash-distinct")
     labelled = known.join(components(known, max_bits), "fp", "left").select(F.coalesce("root", "fp").alias("root"), "best")
-    kept = stored(labelled.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.key").alias(key)), "simhash-kept")
-    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    kept = stored(labelled.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.key").alias("key")), "simhash-kept")
+    dropped = stored(rows.select("key").distinct().join(kept, "key", "left_anti"), "simhash-dropped")
+    repeated = rows.groupBy("key").count().where("count > 1").select("key")
+    # only rows that may be dropped or repeated are dealt out, the others stay where they are
+    maybe = maybe_among(dropped.unionByName(repeated), "key")
+    rest = keyed.where(maybe(F.col(key))).join(dropped.withColumnRenamed("key", key), key, "left_anti").dropDuplicates([key])
+    return keyed.where(~maybe(F.col(key))).unionByName(rest.select(*keyed.columns)).select(*docs.columns)

@@ -109,3 +109,17 @@ def test_components_of_a_long_chain(spark):
     got = components.connected_components(edges.unionByName(edges).unionByName(spark.createDataFrame([(1000, 1000), (2001, 2000)], "a long, b long")))
     assert sorted((r.node, r.root) for r in got.collect()) == [(k, 0) for k in range(1, n)] + [(2001, 2000)]
     assert components.connected_components(edges.limit(0)).count() == 0
+
+
+def test_maybe_among_never_misses(spark):
+    from pyspark.sql import functions as F
+
+    from lakehold.llm.common import maybe_among
+
+    keys = spark.range(0, 4000, 2).selectExpr("concat('k', id) as key")
+    maybe = maybe_among(keys, "key")
+    rows = spark.range(4000).selectExpr("id", "concat('k', id) as key").withColumn("m", maybe(F.col("key")))
+    assert rows.where("id % 2 = 0 and not m").count() == 0
+    assert rows.where("id % 2 = 1 and m").count() < 40
+    none = maybe_among(keys.limit(0), "key")
+    assert keys.where(none(F.col("key"))).count() == 0
