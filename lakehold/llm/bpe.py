@@ -23,8 +23,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.llm.common import worker_state
+from lakehold.llm.common import worker_cache
 
+ROWS_AT_A_TIME = 500
 CACHED_WORDS = 200_000  # words per generation of a worker's cache; two generations are held
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -182,10 +183,7 @@ class Encoded(dict):
 
 def encoder(path: str, limit: int = CACHED_WORDS) -> Encoded:
     """The worker's encoder of ``path`` (made once per Python worker)."""
-    state = worker_state()
-    if ("bpe", path) not in state:
-        state["bpe", path] = Encoded(WordBpe(path), limit)
-    return state["bpe", path]
+    return worker_cache(("bpe", path), lambda: Encoded(WordBpe(path), limit))
 
 
 def encoded_text(words: Encoded, text: str | None) -> tuple[list[str], list[str], int]:
@@ -216,7 +214,7 @@ def encode_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
-        for b in batches:
+        for b in sliced(batches):
             got = [encoded_text(words, t.as_py()) for t in b.column(1)]
             yield pa.record_batch([b.column(0), pa.array([n for _, _, n in got], pa.int64()), lists([numbers(i) for i, _, _ in got]),
                                    pa.array([" ".join(o) for _, o, _ in got], pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
@@ -224,6 +222,13 @@ def encode_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     return _src(docs, id_col, text_col).mapInArrow(encode, "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, fewer at a time, so that little of a batch's results is held at once."""
+    for b in batches:
+        for k in range(0, b.num_rows, ROWS_AT_A_TIME):
+            yield b.slice(k, ROWS_AT_A_TIME)
+
+
 def numbers(ids: list[str]) -> np.ndarray:
     """Ids as texts (several in one text, with spaces between) to numbers."""
     return np.array(" ".join(ids).split(), np.int32)
@@ -242,7 +247,7 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
         digest = lambda parts: hashlib.sha256(" ".join(parts).encode("utf-8", "surrogatepass")).hexdigest()
-        for b in batches:
+        for b in sliced(batches):
             n, a, c, ids = [], [], [], []
             for t in b.column(1):
                 i, out, k = encoded_text(words, t.as_py())

@@ -72,9 +72,18 @@ def maybe_among(keys: DataFrame, col: str) -> Callable[[Column], Column]:
     return lambda c: maybe(bit(c))
 
 
-def worker_state() -> dict:
-    """A dict that lives as long as the Python worker process (caches across tasks)."""
+def worker_cache(name: Hashable, make: Callable[[], object]):
+    """What ``make`` made for ``name`` in this Python worker, kept across its tasks.
+
+    A worker holds one such cache at a time: asking for another lets go of it, so stages that follow each
+    other do not add up in memory.
+    """
     mods = sys.modules
-    if "_lakehold_llm_state" not in mods:
-        mods["_lakehold_llm_state"] = type(sys)("_lakehold_llm_state")
-    return mods["_lakehold_llm_state"].__dict__
+    if "_lakehold_llm_cache" not in mods:
+        mods["_lakehold_llm_cache"] = type(sys)("_lakehold_llm_cache")
+    slot = mods["_lakehold_llm_cache"].__dict__
+    if slot.get("name") != name:
+        slot["name"] = slot["value"] = None
+        slot["value"] = make()
+        slot["name"] = name
+    return slot["value"]

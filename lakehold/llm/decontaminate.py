@@ -33,13 +33,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.llm.common import fresh, maybe_among, stored, worker_state
+from lakehold.llm.common import fresh, maybe_among, stored, worker_cache
 
 WINDOW = 8
 MIN_LITERALS = 4  # plain words in a window
 MIN_RUN, MIN_SHARE = 13, 0.5
 BITS_LOG2 = 24  # bit table: 2 MB
-CACHED_TOKENS = 400_000
+CACHED_TOKENS = 250_000
 CHUNK_CHARS = 2_000_000  # characters that a task turns into windows at a time
 
 # Words for numbers and units.
@@ -97,7 +97,7 @@ class Template:
 
 
 def template(texts: list[str | None]) -> Template:
-    known = worker_state().setdefault("kinds", Kinds())
+    known = worker_cache("kinds", Kinds)
     raw, sizes = [], []
     for t in texts:
         before = len(raw)

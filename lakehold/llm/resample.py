@@ -30,14 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakehold.llm.common import fresh, sample_by_hash, stored, worker_state
+from lakehold.llm.common import fresh, sample_by_hash, stored, worker_cache
 
 BUCKETS_LOG2 = 16
 SMOOTHING = 10.0  # added to a bucket's target count, and to its raw count on the target's scale
 LENGTH = 200  # n-grams that every text is weighed as having
 MAX_LABELLED = 10_000
 SEED = 17
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 GOOD_COST = 4.0  # a good text lost weighs as much as so many bad ones kept, as shares of their class
 BINS = 4096  # per round of the search for the k-th key
 TOKEN = re.compile(rb"[\w\x80-\xff]+|[^\w\s\x80-\xff]+")
@@ -54,7 +54,7 @@ class TokenHashes(dict):
 def buckets(text: str | None) -> np.ndarray:
     """Bucket of every one- and two-word n-gram of a whole text."""
     tokens = TOKEN.findall((text or "").encode("utf-8", "surrogatepass").lower())
-    known = worker_state().setdefault("token_hashes", TokenHashes())
+    known = worker_cache("token hashes", TokenHashes)
     one = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
     two = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
     return (np.concatenate([one, two]) >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64)

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakehold.llm.common import worker_state
+from lakehold.llm.common import worker_cache
 
 CACHE_SCHEMA = "digest string, version string, n_tokens long"
 METHOD = "counts-1"  # part of the version digest: raise it when counting changes
@@ -73,10 +73,7 @@ class Counter:
 
 
 def _counter(path: str, ranks_path: str | None, pattern: str | None) -> Counter:
-    state = worker_state()
-    if ("counter", path) not in state:
-        state["counter", path] = Counter(path, ranks_path, pattern)
-    return state["counter", path]
+    return worker_cache(("counter", path), lambda: Counter(path, ranks_path, pattern))
 
 
 def cached(spark: SparkSession, cache: str, version: str) -> DataFrame:
