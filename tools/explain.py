@@ -17,7 +17,7 @@ from lakehold.session import build_session  # noqa: E402
 def main() -> None:
     args = sys.argv[1:]
     sf = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    spark = build_session()
+    spark = build_session("local[8]", shuffle_partitions=8)
     qs = E.queries()
     for name in args or list(qs):
         print(f"===== {name}")
