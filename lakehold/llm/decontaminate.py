@@ -2,7 +2,7 @@
 
 Texts become templates: numbers, names and units turn into typed placeholders, other words stay, in lower
 case. Template windows of a benchmark item and of a document are joined by hash; windows that line up form an
-alignment, in which every slot value of the item must stand for one value of the document and the other way
+alignment, in which every slot value of the item should stand for one value of the document and the other way
 round. So both verbatim passages and questions asked anew with other numbers or names are found, while
 chance windows with mixed-up slots are refused.
 
@@ -13,7 +13,8 @@ A fixed-size bit table of the benchmark's window hashes keeps document windows t
 their task; the join by hash is exact. Equal items are one class, given by its least ``item_id``.
 
 Decision: an alignment counts if its slots are consistent and its windows cover ``MIN_RUN`` tokens of the
-item or ``MIN_SHARE`` of the item's tokens. Items shorter than the window are compared as a whole; items with
+item or ``MIN_SHARE`` of the item's tokens. If a slot value stands for two, only the windows that hold such a
+changed pair are left out, and the others count if they cover ``MIN_RUN`` tokens besides changed slots. Items shorter than the window are compared as a whole; items with
 fewer than ``MIN_LITERALS`` plain words in every window identify nothing and match nothing.
 
 Cases: null and empty texts on either side match nothing; repeated rows are each judged; null document ids are
@@ -136,8 +137,8 @@ WINDOWS = "h long, size int, at int, kinds array<int>, slots array<string>"
 
 
 def windows_of(texts: list[str | None], sizes: list[int], wanted=None) -> Iterator[tuple]:
-    """``(number of the text, h, size, at, slot kinds, slot values)`` of the windows of some texts; ``wanted``
-    picks hashes. Windows with names come twice: with names as slots and as words."""
+    """``(number of the text, h, size, at, 8 * place + kind of each slot, slot values)`` of the windows of some
+    texts; ``wanted`` picks hashes. Windows with names come twice: with names as slots and as words."""
     t = template(texts)
     first = np.searchsorted(t.text, np.arange(len(texts)))
     last_hashes: dict[int, np.ndarray] = {}
@@ -154,7 +155,7 @@ def windows_of(texts: list[str | None], sizes: list[int], wanted=None) -> Iterat
                 ok &= w != last_hashes[size]
             for i in np.flatnonzero(ok if wanted is None else ok & wanted(w)).tolist():
                 s = np.flatnonzero(slot[i:i + size]) + i
-                yield (int(t.text[i]), int(w[i].view(np.int64)), size, i - int(first[t.text[i]]), t.kind[s].tolist(),
+                yield (int(t.text[i]), int(w[i].view(np.int64)), size, i - int(first[t.text[i]]), (8 * (s - i) + t.kind[s]).tolist(),
                        [t.raw[j].lower() for j in t.at[s].tolist()])
 
 
@@ -220,21 +221,28 @@ def document_windows(docs: DataFrame, table: np.ndarray, sizes: list[int], keys:
 def alignments(items: DataFrame, found: DataFrame, keys: list[str], min_run: int = MIN_RUN, min_share: float = MIN_SHARE) -> DataFrame:
     """Per document key and item class: the best alignment, if it counts as contamination."""
     i = items.select("h", "size", "item", "item_id", "item_tokens", F.col("at").alias("item_at"), F.col("kinds").alias("item_kinds"), F.col("slots").alias("item_slots"))
-    # equal hashes must also have equal slot kinds
+    # equal hashes must also have equal places and kinds of slots
     pairs = found.join(i, ["h", "size"]).where("kinds = item_kinds").select(
         *keys, "item", "item_id", "item_tokens", "size", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
-        F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))).alias("slots"))
+        F.arrays_zip(F.transform("item_kinds", lambda k: F.col("item_at") + F.shiftright(k, 3)).alias("place"), F.col("item_slots").alias("a"), F.col("slots").alias("b")).alias("slots"))
     # an alignment has at most a few rows per window of the item; windows with names as slots and as words add up
     one = pairs.groupBy(*keys, "item", "shift").agg(
-        F.min("item_id").alias("item_id"), F.max("item_tokens").alias("item_tokens"), F.max("size").alias("size"),
-        F.array_sort(F.collect_set("item_at")).alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    ends = F.transform(F.sequence(F.lit(1), F.size("at")), lambda k: F.when(
-        k < F.size("at"), F.least(F.col("size"), F.try_element_at("at", k + 1) - F.element_at("at", k))).otherwise(F.col("size")))
+        F.min("item_id").alias("item_id"), F.max("item_tokens").alias("item_tokens"), F.max("size").alias("size"), F.collect_set(F.struct("item_at", "slots")).alias("windows"))
+    values = lambda slots: F.array_distinct(F.transform(slots, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))))
+    # of two pairs that contradict each other at least one is changed; without the changed ones the others agree
+    one = one.withColumn("pairs", values(F.flatten("windows.slots")))
+    one = one.withColumn("bad", F.filter("pairs", lambda x: (x["a"] != x["b"]) & F.exists("pairs", lambda y: (x["a"] == y["a"]) != (x["b"] == y["b"]))))
+    one = one.withColumn("consistent", F.size("bad") == 0)
+    one = one.withColumn("windows", F.when(F.col("consistent"), F.col("windows")).otherwise(F.filter("windows", lambda w: ~F.exists(
+        w["slots"], lambda x: F.exists("bad", lambda y: (x["a"] == y["a"]) & (x["b"] == y["b"]))))))
+    one = one.withColumn("at", F.array_sort(F.array_distinct("windows.item_at"))).withColumn("edits", F.filter(F.flatten("windows.slots"), lambda x: x["a"] != x["b"]))
+    ends = F.transform("at", lambda a, k: F.least(F.col("size"), F.coalesce(F.try_element_at("at", k + 2) - a, F.col("size"))))
     covered = F.aggregate(ends, F.lit(0), lambda s, x: s + x)
-    consistent = (F.size("slots") == F.size(F.array_distinct(F.col("slots.a")))) & (F.size("slots") == F.size(F.array_distinct(F.col("slots.b"))))
-    changed = F.size(F.filter("slots", lambda x: x["a"] != x["b"]))
-    judged = one.select(*keys, "item", "item_id", "item_tokens", covered.cast("long").alias("covered"), changed.cast("long").alias("changed"), consistent.alias("ok"))
-    hit = judged.where("ok").where((F.col("covered") >= min_run) | (F.col("covered") >= F.lit(min_share) * F.col("item_tokens")))
+    judged = one.select(
+        *keys, "item", "item_id", "item_tokens", "consistent", covered.cast("long").alias("covered"),
+        F.size(values(F.col("edits"))).cast("long").alias("changed"), F.size(F.array_distinct("edits.place")).alias("edited_tokens"))
+    whole = (F.col("covered") >= min_run) | (F.col("covered") >= F.lit(min_share) * F.col("item_tokens"))
+    hit = judged.where(F.when(F.col("consistent"), whole).otherwise(F.col("covered") - F.col("edited_tokens") >= min_run))
     best = F.max(F.struct("covered", (-F.col("changed")).alias("unchanged")))
     return hit.groupBy(*keys, "item").agg(F.min("item_id").alias("item_id"), F.max("item_tokens").alias("item_tokens"), best.alias("best")).select(
         *keys, "item_id", F.col("best.covered").alias("covered_tokens"), F.col("item_tokens").cast("long").alias("item_tokens"),

@@ -32,6 +32,20 @@ def test_inconsistent_numbers_are_refused(spark):
     assert set(pairs(docs, items(spark, [(1, item)]))) == {(1, 1)}
 
 
+def test_one_edit_does_not_hide_a_long_copy(spark):
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)]
+    words[10] = words[50] = "5"
+    words[20] = words[40] = "Tom"
+    edited = lambda **new: " ".join(new.get(f"w{k}", w) for k, w in enumerate(words))
+    docs = docs_of(spark, [
+        (1, edited(w50="6")), (2, edited(w40="Tim")), (3, edited(w20="Tim", w50="6")),
+        (4, edited(w10="6", w50="7", w20="Tim", w40="Tim")),  # the name is changed throughout, the number is mixed up
+        (5, " ".join(words[:12] + ["6" if w == "5" else w for w in words[44:52]])),  # too little is copied beside the edit
+    ])
+    got = pairs(docs, items(spark, [(1, " ".join(words))]))
+    assert {(k, got[k, 1].covered_tokens, got[k, 1].changed_slots) for k, _ in got} == {(1, 59, 0), (2, 59, 0), (3, 58, 0), (4, 58, 1)}
+
+
 def test_partial_and_short_items(spark):
     words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)]
     bench = items(spark, [(1, " ".join(words)), (2, "alpha beta gamma delta epsilon")])
