@@ -7,7 +7,9 @@ round. So both verbatim passages and questions asked anew with other numbers or
 chance windows with mixed-up slots are refused.
 
 A name is a capitalised word that does not begin a sentence. As copies may lose or gain capitals and sentence
-marks, windows are also compared with names kept as words. A unit is a unit word right after a number.
+marks, windows are also compared with names kept as words. A unit is a unit word right after a number. Windows
+with numbers and units are compared with all tokens as words, too: so verbatim copies meet however few plain
+words they hold, whereas typed windows need ``MIN_LITERALS`` of them.
 
 A fixed-size bit table of the benchmark's window hashes keeps document windows that cannot match from leaving
 their task; the join by hash is exact. Equal items are one class, given by its least ``item_id``.
@@ -15,7 +17,7 @@ their task; the join by hash is exact. Equal items are one class, given by its l
 Decision: an alignment counts if its slots are consistent and its windows cover ``MIN_RUN`` tokens of the
 item or ``MIN_SHARE`` of the item's tokens. If a slot value stands for two, only the windows that hold such a
 changed pair are left out, and the others count if they cover ``MIN_RUN`` tokens besides changed slots. Items shorter than the window are compared as a whole; items with
-fewer than ``MIN_LITERALS`` plain words in every window identify nothing and match nothing.
+fewer than ``MIN_LITERALS`` plain words in every window match verbatim copies alone.
 
 Cases: null and empty texts on either side match nothing; repeated rows are each judged; null document ids are
 judged like others, and give a null ``doc_id``; an empty benchmark leaves all documents clean.
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from lakehold.llm.common import fresh, maybe_among, stored, worker_cache
 
 WINDOW = 8
-MIN_LITERALS = 4  # plain words in a window
+MIN_LITERALS = 4  # plain words in a typed window
 MIN_RUN, MIN_SHARE = 13, 0.5
 BITS_LOG2 = 24  # bit table: 2 MB
 CACHED_TOKENS = 400_000
@@ -136,24 +138,25 @@ def window_hashes(h: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarra
 WINDOWS = "h long, size int, at int, kinds array<int>, slots array<string>"
 
 
-def windows_of(texts: list[str | None], sizes: list[int], wanted=None) -> Iterator[tuple]:
+def windows_of(texts: list[str | None], sizes: list[int], wanted=None, verbatim: bool = False) -> Iterator[tuple]:
     """``(number of the text, h, size, at, 8 * place + kind of each slot, slot values)`` of the windows of some
-    texts; ``wanted`` picks hashes. Windows with names come twice: with names as slots and as words."""
+    texts; ``wanted`` picks hashes. Windows with names come twice: with names as slots and as words. ``verbatim``: windows with
+    numbers or units come once more, with all tokens as words."""
     t = template(texts)
     first = np.searchsorted(t.text, np.arange(len(texts)))
     last_hashes: dict[int, np.ndarray] = {}
-    for names in (True, False) if (t.kind == NAME).any() else (True,):
-        h, slot = t.typed(names)
+    forms = [t.typed(True), *([t.typed(False)] if (t.kind == NAME).any() else []), *([(t.word, np.zeros(t.word.size, bool))] if verbatim else [])]
+    for h, slot in forms:
         for size in sizes:
             w, ok = window_hashes(h, slot, size)
             if not w.size:
                 continue
             ok &= t.text[:w.size] == t.text[size - 1:]
-            if names:
-                last_hashes[size] = w
-            else:
+            if size in last_hashes:
                 ok &= w != last_hashes[size]
-            for i in np.flatnonzero(ok if wanted is None else ok & wanted(w)).tolist():
+            last_hashes[size] = w
+            some = np.flatnonzero(ok)
+            for i in (some if wanted is None else some[wanted(w[some])]).tolist():
                 s = np.flatnonzero(slot[i:i + size]) + i
                 yield (int(t.text[i]), int(w[i].view(np.int64)), size, i - int(first[t.text[i]]), (8 * (s - i) + t.kind[s]).tolist(),
                        [t.raw[j].lower() for j in t.at[s].tolist()])
@@ -169,7 +172,7 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
             rows = []
             for key, item, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 n = template([text]).kind.size
-                rows += [(key, item, n, *w[1:]) for w in windows_of([text], [min(window, n)] if n else [])]
+                rows += [(key, item, n, *w[1:]) for w in windows_of([text], [min(window, n)] if n else [], verbatim=True)]
             yield _batch(rows, [pa.string(), pa.int64(), pa.int32()], ["item", "item_id", "item_tokens"])
 
     return distinct.select("d", "item_id", "text").mapInArrow(run, f"item string, item_id long, item_tokens int, {WINDOWS}")
@@ -210,7 +213,7 @@ def document_windows(docs: DataFrame, table: np.ndarray, sizes: list[int], keys:
             sizes_of = np.cumsum([t.as_py() or 0 for t in pc.utf8_length(b.column(0))])
             cuts = [0, *(np.flatnonzero(np.diff(sizes_of // CHUNK_CHARS)) + 1).tolist(), b.num_rows]
             for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-                found = list(windows_of(b.column(0)[s:e].to_pylist(), sizes, wanted))
+                found = list(windows_of(b.column(0)[s:e].to_pylist(), sizes, wanted, verbatim=True))
                 picked = b.select(keys).take(pa.array([s + w[0] for w in found], pa.int64()))
                 rest = _batch([w[1:] for w in found], [], [])
                 yield pa.RecordBatch.from_arrays([*picked.columns, *rest.columns], names=[*keys, *rest.schema.names])

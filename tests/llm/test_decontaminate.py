@@ -46,6 +46,20 @@ def test_one_edit_does_not_hide_a_long_copy(spark):
     assert {(k, got[k, 1].covered_tokens, got[k, 1].changed_slots) for k, _ in got} == {(1, 59, 0), (2, 59, 0), (3, 58, 0), (4, 58, 1)}
 
 
+def test_verbatim_copies_of_numbers_are_found(spark):
+    bench = items(spark, [
+        (1, "Solve 3 x 4 + 5 x 6 = 42 and 7 x 8 = 56"), (2, "Compute 17 * 23"), (3, "Find the sum: 3, 7, 12, 19, 28, 41, 55, 70"),
+        (4, "3 km 4 km 5 km 6 km 7 km"),
+    ])
+    texts = [r.text for r in bench.orderBy("item_id").collect()]
+    docs = docs_of(spark, [(k + 1, f"Some text before. {t} And more.") for k, t in enumerate(texts)] + [
+        (11, texts[0].replace("42", "43")), (12, "Compute 17 * 24"), (13, texts[2].replace("19", "20")), (14, texts[3].replace("5", "8")),
+    ])
+    got = pairs(docs, bench)
+    assert set(got) == {(k, k) for k in (1, 2, 3, 4)}
+    assert all(r.changed_slots == 0 and r.covered_tokens == r.item_tokens for r in got.values())
+
+
 def test_partial_and_short_items(spark):
     words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)]
     bench = items(spark, [(1, " ".join(words)), (2, "alpha beta gamma delta epsilon")])
