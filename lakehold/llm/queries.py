@@ -27,7 +27,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents under a model learnt outside the held-out fold."""
-    return kneser_ney.score_held_out(table(spark, sf_dir, "documents"), order=2)
+    return kneser_ney.score_held_out(table(spark, sf_dir, "documents"), order=3)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

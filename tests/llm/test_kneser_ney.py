@@ -106,3 +106,15 @@ def test_held_out_text_fits_better_than_base(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = kn.score_held_out(docs).where("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
     assert got.s > got.b
+
+
+def test_registered_query_sees_two_words_of_context(spark, tmp_path):
+    from lakehold.llm.queries import op3_kneser_ney
+
+    # what follows "x" is known only from the word before it
+    rows = [(k, ["a x p", "b x q"][k % 2]) for k in range(60)]
+    docs_of(spark, rows).select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    train = [tokens(t) for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    model = Brute(train, 3)
+    for r in op3_kneser_ney(spark, str(tmp_path)).collect():
+        assert r.score == pytest.approx(model.score(tokens(rows[r.doc_id][1])), abs=1e-6)
