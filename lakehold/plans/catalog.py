@@ -480,18 +480,26 @@ def _events_stream(spark, sf, max_files=None):
 
 
 def stream_dedup(spark, sf):
-    """Events plus their re-delivered overlap as two streaming sources, one row per event
-    however late it comes; the table is read back."""
+    """Events delivered in two landings, each taken as a stream: the first without a part of
+    the events, the second with that part, the day's last quarter of an hour again, and
+    repetitions days after and days before the first delivery. One row per event, the
+    earliest; the table is read back."""
+    from lakehold.operators.keyed_table import KeyedTable
     from lakehold.session import shared_dir
     from lakehold.streaming import ingest
 
-    first = _events_stream(spark, sf)
-    again = _events_stream(spark, sf).where(
-        (F.hour("ts") == 23) & (F.minute("ts") >= 45))
-    both = first.unionByName(again).select("event_id", "ts", "user_id", "event_type", "value")
+    e = table(spark, sf, "events")
+    days = lambda n: F.col("ts") + F.expr(f"INTERVAL {n} DAYS")
+    again = e.where((F.hour("ts") == 23) & (F.minute("ts") >= 45))
+    later, earlier = e.where("event_id % 10 = 3").withColumn("ts", days(4)), e.where("event_id % 10 = 7").withColumn("ts", days(-3))
+    landings = [e.where("event_id % 6 <> 1").unionByName(later),
+                e.where("event_id % 6 = 1").unionByName(again).unionByName(earlier).unionByName(later)]
     root = shared_dir(spark, "stream-dedup")
-    ingest.dedup_into(both, f"{root}/table", f"{root}/checkpoint", ["event_id"], "ts")
-    return ingest.table_of(spark, f"{root}/table", both.schema).drop("batch", "day")
+    kept = KeyedTable(f"{root}/table", ("event_id",), "ts")
+    for landing in landings:
+        landing.write.mode("append").parquet(f"{root}/in")
+        ingest.dedup_into(ingest.read_table_stream(spark, f"{root}/in", "*.parquet"), kept, f"{root}/checkpoint")
+    return kept.rows(spark)
 
 
 def scd_store(root: str):

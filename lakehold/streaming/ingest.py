@@ -7,7 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import TimestampNTZType
+
+from lakehold.operators.keyed_table import KeyedTable
 
 
 def read_table_stream(spark: SparkSession, directory: str, file_glob: str,
@@ -33,47 +35,21 @@ def dedup_stream(stream: DataFrame, keys: Sequence[str], event_time: str,
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def dedup_into(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], event_time: str,
-               timeout_s: int | None = None) -> None:
-    """Append a stream to a table under ``root``, one row per key, however late a row or
-    its repetition comes: each micro-batch drops the keys that earlier batches wrote for
-    its days (and the days beside them). No row is lost to a watermark and no state is
-    held in memory; the table itself is the state. A retried batch overwrites its own
-    folder, so it is exactly-once."""
-    keys = list(keys)
-    out = stream.schema
-    day = F.to_date(event_time)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn("day", day)
-        span = rows.agg(F.date_sub(F.min("day"), 1), F.date_add(F.max("day"), 1), F.count("*")).first()
-        if not span[2]:
-            return
-        if batch_id > 0:
-            before = table_of(spark, root, out).where(F.col("batch") < batch_id)
-            if span[0] is not None:  # rows without a time are compared with such rows only
-                before = before.where(F.col("day").between(F.lit(span[0]), F.lit(span[1])) | F.col("day").isNull())
-            known = before.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
-            same = F.lit(True)
-            for i, k in enumerate(keys):
-                same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-            rows = rows.join(known, same, "left_anti")
-        rows.dropDuplicates(keys).write.mode("overwrite").partitionBy("day").parquet(f"{root}/batch={batch_id}")
-
-    q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+def dedup_into(stream: DataFrame, table: KeyedTable, checkpoint: str, timeout_s: int | None = None) -> None:
+    """Add everything available now to a table of one row per key, however late a row or
+    its repetition comes, and however far apart their times are: each micro-batch is
+    compared with the stored keys of the buckets it touches. The row of the least event
+    time stays, so the table does not depend on how the input is cut into files. No row is
+    lost to a watermark and no state is held in memory; the table itself is the state. A
+    retried micro-batch overwrites its own folders, so it is exactly-once."""
+    table.create(stream.sparkSession, stream.schema)
+    q = (stream.writeStream.foreachBatch(lambda batch, batch_id: table.apply(batch, batch_id) and None)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     if q.exception():
         raise q.exception()
 
 
-def table_of(spark: SparkSession, root: str, schema) -> DataFrame:
-    """What ``dedup_into`` has written so far, with ``batch`` and ``day``."""
-    full = StructType([*schema.fields, StructField("batch", LongType()), StructField("day", DateType())])
-    return spark.read.schema(full).option("basePath", root).parquet(root)
-
-
 def run_to_parquet(stream: DataFrame, out_path: str, checkpoint: str,
                    timeout_s: int | None = None) -> None:
     """Process everything available now into a parquet sink (exactly-once via the

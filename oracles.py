@@ -433,7 +433,8 @@ ORACLES = {
     "maintenance_report": MAINTENANCE_REPORT,
 }
 
-ORACLES["stream_dedup"] = "SELECT event_id, ts, user_id, event_type, value FROM events"
+ORACLES["stream_dedup"] = """
+SELECT event_id, CASE WHEN event_id % 10 = 7 THEN ts - INTERVAL 3 DAY ELSE ts END AS ts, * EXCLUDE (event_id, ts) FROM events"""
 ORACLES["stream_scd2"] = SCD2_HISTORY
 
 _STATION_DOCS = """

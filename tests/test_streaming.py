@@ -6,6 +6,7 @@ import shutil
 
 from lakehold.operators import scd2
 from lakehold.operators.history_store import HistoryStore
+from lakehold.operators.keyed_table import KeyedTable
 from lakehold.streaming import ingest, scd2_stream
 
 D = dt.datetime
@@ -74,14 +75,44 @@ def test_stream_scd2_does_not_depend_on_the_batches(spark, tmp_path):
 
 def test_stream_dedup_keeps_late_rows_and_drops_repeats(spark, tmp_path):
     rows = [(k % 150, "a", D(2025, 1, 1) + dt.timedelta(minutes=17 * (k % 150))) for k in range(200)] + [(None, "n", None), (None, "n", None)]
-    for name, n, seed in (("one", 1, 1), ("shuffled", 20, 5)):
+    # repeats with other times and values, days before and after, and without a time
+    rows += [(k, "later", D(2025, 1, 20)) for k in range(0, 150, 7)] + [(k, "earlier", D(2024, 12, 1)) for k in range(0, 150, 11)]
+    rows += [(k, "untimed", None) for k in range(0, 200, 13)] + [(5, "b", D(2025, 1, 1, 1, 25)), (5, "c", D(2025, 1, 1, 1, 25))]
+    want = {}
+    for k, s, t in rows:
+        have = want.get(k)
+        want[k] = t if have is None else min(have, t) if t is not None else have
+    tables = []
+    for name, n, seed in (("one", 1, 1), ("shuffled", 20, 5), ("ordered", 3, None)):
         root = tmp_path / name
         _files(spark, root, rows, n, seed)
         s = ingest.read_table_stream(spark, f"{root}/in", "*.parquet", max_files_per_trigger=1)
-        ingest.dedup_into(s, f"{root}/table", f"{root}/ckpt", ["id"], "ts")
-        got = ingest.table_of(spark, f"{root}/table", s.schema)
-        assert sorted(r.id for r in got.where("id is not null").collect()) == list(range(150))
-        assert got.where("id is null").count() == 1
+        kept = KeyedTable(f"{root}/table", ("id",), "ts", buckets=2, max_rows=20)
+        ingest.dedup_into(s, kept, f"{root}/ckpt")
+        got = kept.rows(spark).collect()
+        assert {r.id: r.ts for r in got} == want and len(got) == len(want)
+        tables.append(sorted(map(repr, got)))
+        assert len(kept.directory(spark).leaves()) > 4  # buckets were split on the way
+    assert tables[0] == tables[1] == tables[2]
+
+
+def test_keyed_table_reads_and_writes_touched_buckets_only(spark, tmp_path):
+    t = KeyedTable(str(tmp_path / "t"), ("id",), "ts", buckets=16)
+    frame = lambda rows: spark.createDataFrame(rows, S)
+    t.create(spark, frame([]).schema)
+    assert t.apply(frame([]), 0) == 0 and t.rows(spark).count() == 0
+    rows = [(k, "a", D(2025, 1, 1)) for k in range(100)]
+    t.apply(frame(rows), 0)
+    t.create(spark, frame([]).schema)  # a table that exists stays
+    assert t.apply(frame(rows), 1) == 0  # known rows: no commit
+    assert t.apply(frame([(7, "b", D(2025, 3, 1)), (100, "a", D(2025, 1, 1))]), 2) == 1
+    assert t.apply(frame([(7, "b", D(2024, 3, 1))]), 3) == 1
+    done = spark.read.parquet(f"{t.root}/commits").where("batch > 0").collect()
+    assert sorted((r.batch, r.rebuilt, r.n_rows) for r in done) == [(2, False, 1), (3, True, 0)]
+    for _ in range(2):  # a retried batch
+        t.apply(frame([(101, "a", D(2025, 1, 1)), (8, "b", D(2024, 1, 1))]), 4)
+    got = {r.id: (r.status, r.ts.year) for r in t.rows(spark).collect()}
+    assert len(got) == 102 and t.rows(spark).count() == 102 and got[7] == ("b", 2024) and got[8] == ("b", 2024) and got[9] == ("a", 2025)
 
 
 def test_store_touches_only_the_batches_buckets(spark, tmp_path):
