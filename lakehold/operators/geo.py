@@ -1,11 +1,19 @@
 """Nearest region for points (planar distance in the input units), exact at any size.
 
-Regions form a tree: the centres of their boxes are cut into cells, four by four per
-level, and a cell's box covers all regions whose centre it holds. Points descend level
-by level. A cell farther away than the farthest corner of some other cell cannot hold
-the nearest region and is dropped, so a point meets a few cells per level wherever it
-lies, and the polygon distance is computed for the few regions of the last ones. All
-steps are equi-joins on cell numbers and a minimum per point.
+A region is a list of vertex rings: one polygon, several parts, holes. A point is inside
+where it crosses an odd number of edges of all rings; else its distance is that to the
+nearest edge. Regions come as ``rings``, as one ring of ``vertices``, or as ``geometry`` in
+well-known binary.
+
+Regions form a tree of nodes of at most 16 entries, packed by sort and tile: boxes are
+ranked by the x of their centres and cut into slabs of equal numbers, each slab is ranked by
+y and cut into nodes; the nodes' boxes are packed in the same way, up to a root. Ranks, not
+coordinates, decide, so neither far-away regions nor equal ones can fill a node. A point
+descends from the root. A node farther away than the farthest corner of some other node
+cannot hold the nearest region and is dropped, so a point meets a few nodes per level
+wherever it lies. The upper levels (at most ``INLINE`` nodes each) are part of the
+expression: a point passes them in its own row, without a join; the levels below are
+equi-joins on node numbers with a minimum per point.
 
 Equally near regions (within ``tie_tolerance``) all come back, one row each. A point
 with a null, NaN or infinite coordinate keeps one row with a null region, and so do all
@@ -14,14 +22,18 @@ points when there are no regions. A region without (finite) vertices is near to
 
 from __future__ import annotations
 
+import json
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakehold.sources import wkb
+
 VERTICES = "array<struct<x:double,y:double>>"
-MAX_LEVELS = 8  # of four by four cells each
-SMALL_LEVELS = 3  # levels of at most 16**3 cells: small enough to broadcast by their number
+NODE = 16  # entries of a node
+INLINE = NODE ** 3  # nodes of a level that every task may hold
+ONE_TASK = NODE ** 4  # boxes that one task may rank
 
 
 def _edges(verts: Column) -> Column:
@@ -51,7 +63,11 @@ def _segment_distance(px: Column, py: Column, e: Column) -> Column:
 
 def polygon_distance(px: Column, py: Column, verts: Column) -> Column:
     """0 inside (odd crossing count), else the distance to the nearest edge."""
-    edges = _edges(verts)
+    return edge_distance(px, py, _edges(verts))
+
+
+def edge_distance(px: Column, py: Column, edges: Column) -> Column:
+    """As ``polygon_distance``, for the edges of any number of rings."""
     crossings = F.size(F.filter(
         edges,
         lambda e: ((e["y1"] > py) != (e["y2"] > py))
@@ -69,12 +85,6 @@ def boxes(spark, rows) -> DataFrame:
                                       pt("xmax", "ymax"), pt("xmin", "ymax")).alias("vertices"))
 
 
-def _bbox(verts: Column) -> list[Column]:
-    xs = F.transform(verts, lambda v: v["x"])
-    ys = F.transform(verts, lambda v: v["y"])
-    return [F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)]
-
-
 def read_regions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Regions ``(name, vertices)`` from files with a name and an array of ``x, y`` vertices."""
     return spark.read.format(fmt).schema(f"name string, vertices {VERTICES}").load(path)
@@ -87,47 +97,131 @@ def regions_from_vertices(df: DataFrame, name: str = "name", seq: str = "seq", x
     return df.groupBy(F.col(name).alias("name")).agg(ordered.alias("vertices"))
 
 
+def read_geometries(spark: SparkSession, path: str, name: str = "name", geometry: str = "geometry", fmt: str = "parquet") -> DataFrame:
+    """Regions ``(name, rings)`` from files with a well-known binary column (as GeoParquet has it)."""
+    df = spark.read.format(fmt).load(path).select(F.col(name).alias("name"), F.col(geometry).cast("binary").alias("geometry"))
+    return wkb.read_rings(df)
+
+
 def _finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
 
 
-def _region_tree(regions: DataFrame, name_col: str, root: str) -> tuple[DataFrame, list[DataFrame]] | None:
-    """Stored regions with their box and cell, and the boxes of the cells of every level."""
+def _with_rings(regions: DataFrame) -> DataFrame:
+    """Regions with their non-empty ``rings``, whatever form they came in."""
+    if "rings" not in regions.columns:
+        if "vertices" in regions.columns:
+            regions = regions.withColumn("rings", F.array("vertices"))
+        else:
+            regions = wkb.read_rings(regions)
+    return regions.withColumn("rings", F.filter("rings", lambda r: r.isNotNull() & (F.size(r) > 0)))
+
+
+def _boxes_of(points: Column) -> list[Column]:
+    xs, ys = F.transform(points, lambda v: v["x"]), F.transform(points, lambda v: v["y"])
+    return [F.array_min(xs).alias("__x0"), F.array_min(ys).alias("__y0"), F.array_max(xs).alias("__x1"), F.array_max(ys).alias("__y1")]
+
+
+def _ranked(df: DataFrame, n: int, by: list[Column], root: str) -> DataFrame:
+    """``__rank`` (0 to n - 1) in the order of ``by``: by one task where ``n`` is small, else by range."""
+    if n <= ONE_TASK:
+        return df.withColumn("__rank", F.row_number().over(Window.orderBy(*by)).cast("long") - 1)
+    spark = df.sparkSession
+    placed = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__at", F.monotonically_increasing_id())
+    placed.write.parquet(root)
+    placed = spark.read.schema(placed.schema).parquet(root)
+    part = F.shiftright("__at", 33)
+    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per partition
+    starts, total = [], 0
+    for p in range(max(sizes) + 1):
+        starts.append(total)
+        total += sizes.get(p, 0)
+    start = F.element_at(F.from_json(F.lit(json.dumps(starts)), "array<long>"), (part + 1).cast("int"))
+    return placed.withColumn("__rank", start + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__at")
+
+
+def _packed(df: DataFrame, n: int, root: str) -> DataFrame:
+    """``n`` boxes with ``__id``, and the node ``__up`` that each goes into: ``ceil(n / NODE)`` nodes."""
+    slabs = math.ceil(math.sqrt(math.ceil(n / NODE)))
+    cx, cy = F.col("__x0") + F.col("__x1"), F.col("__y0") + F.col("__y1")
+    ranked = _ranked(df, n, [cx, cy, F.col("__id")], root).withColumn("__slab", F.floor(F.col("__rank") / (NODE * slabs)))
+    in_slab = F.row_number().over(Window.partitionBy("__slab").orderBy(cy, cx, "__id")) - 1  # a slab has 16 times as many rows as there are slabs
+    return ranked.withColumn("__up", (F.col("__slab") * slabs + F.floor(in_slab / NODE)).cast("long")).drop("__slab", "__rank")
+
+
+def _region_tree(regions: DataFrame, name_col: str, root: str) -> tuple[DataFrame, list[DataFrame], list[int]] | None:
+    """Stored regions with their edges, box and node, the nodes of every level from the root's down, and their numbers."""
     spark = regions.sparkSession
-    good = regions.where((F.size("vertices") > 0) & ~F.exists("vertices", lambda v: ~_finite(v["x"]) | ~_finite(v["y"])))
-    xs, ys = F.transform("vertices", lambda v: v["x"]), F.transform("vertices", lambda v: v["y"])
-    reg = good.select(F.col(name_col).alias("__name"), F.col("vertices").alias("__verts"), F.array_min(xs).alias("__x0"), F.array_min(ys).alias("__y0"),
-                      F.array_max(xs).alias("__x1"), F.array_max(ys).alias("__y1"))
-    st = reg.agg(F.count(F.lit(1)).alias("n"), F.min("__x0").alias("x0"), F.min("__y0").alias("y0"), F.max("__x1").alias("x1"), F.max("__y1").alias("y1")).first()
-    if not st["n"]:
+    flat = _with_rings(regions).withColumn("__points", F.flatten("rings"))
+    good = flat.where((F.size("__points") > 0) & ~F.exists("__points", lambda v: ~_finite(v["x"]) | ~_finite(v["y"])))
+    reg = good.select(F.col(name_col).alias("__name"), F.flatten(F.transform("rings", _edges)).alias("__edges"), *_boxes_of(F.col("__points")),
+                      F.monotonically_increasing_id().alias("__id"))
+    obs = Observation()
+    reg.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/regions")
+    n = obs.get["n"]
+    if not n:
         return None
-    levels = min(MAX_LEVELS, 1 + math.ceil(math.log(st["n"], 16)))
-    side, cells = max(st["x1"] - st["x0"], st["y1"] - st["y0"]) or 1.0, 4 ** levels
-    at = lambda lo, hi, start: F.least(F.floor(((F.col(lo) + F.col(hi)) / 2 - F.lit(start)) / F.lit(side) * cells), F.lit(cells - 1)).cast("long")
-    cx, cy = at("__x0", "__x1", st["x0"]), at("__y0", "__y1", st["y0"])
-    cell = F.lit(0).cast("long")
-    for b in range(2 * levels):
-        cell = cell.bitwiseOR(F.shiftleft(F.shiftright(cx, b).bitwiseAND(F.lit(1)), 2 * b))
-        cell = cell.bitwiseOR(F.shiftleft(F.shiftright(cy, b).bitwiseAND(F.lit(1)), 2 * b + 1))
-    reg = reg.withColumn("__cell", cell)
-    reg.write.parquet(f"{root}/regions")
-    reg = spark.read.schema(reg.schema).parquet(f"{root}/regions")
-    tree = []
-    for level in range(1, levels + 1):
-        node = F.shiftright("__cell", 4 * (levels - level)).alias("__node")
-        boxes_ = reg.groupBy(node).agg(F.min("__x0").alias("__x0"), F.min("__y0").alias("__y0"), F.max("__x1").alias("__x1"), F.max("__y1").alias("__y1"))
-        tree.append(boxes_.withColumn("__parent", F.shiftright("__node", 4)))
-    return reg, tree
-
-
-def _near_and_far(px: Column, py: Column) -> tuple[Column, Column]:
+    tree, counts, at = [], [n], None
+    while at is None or counts[0] > NODE:
+        level = spark.read.schema(reg.schema if at is None else at.schema).parquet(f"{root}/{'regions' if at is None else f'level-{len(tree)}'}")
+        packed = _packed(level, counts[0], f"{root}/ranked-{len(tree)}")
+        path = f"{root}/packed-{len(tree)}"
+        packed.write.parquet(path)
+        tree.insert(0, spark.read.schema(packed.schema).parquet(path))  # stored: the ranks stay what they are
+        at = tree[0].groupBy(F.col("__up").alias("__id")).agg(F.min("__x0").alias("__x0"), F.min("__y0").alias("__y0"), F.max("__x1").alias("__x1"), F.max("__y1").alias("__y1"))
+        counts.insert(0, math.ceil(counts[0] / NODE))
+        at.write.parquet(f"{root}/level-{len(tree)}")
+        at = spark.read.schema(at.schema).parquet(f"{root}/level-{len(tree)}")
+    top = at.withColumn("__up", F.lit(0).cast("long"))
+    return tree[-1], [top, *tree[:-1]], counts[:-1]
+
+
+def _inlined(nodes: list[DataFrame]) -> list[str]:
+    """The given levels as JSON: for each node of the level above (one root at first) its entries; ``i`` is an
+    entry's place in its level, in the last level its number."""
+    out, places = [], {0: 0}
+    for k, level in enumerate(nodes):
+        rows = level.select("__id", "__up", "__x0", "__y0", "__x1", "__y1").collect()  # at most INLINE
+        below = [[] for _ in places]
+        mine = {}
+        for r in rows:
+            mine[r["__id"]] = len(mine)
+            below[places[r["__up"]]].append({"i": r["__id"] if k + 1 == len(nodes) else mine[r["__id"]],
+                                             "__x0": r["__x0"], "__y0": r["__y0"], "__x1": r["__x1"], "__y1": r["__y1"]})
+        out.append(json.dumps(below))
+        places = mine
+    return out
+
+
+def _near_and_far(px: Column, py: Column, box: dict[str, Column]) -> tuple[Column, Column]:
     """Least and greatest distance of a point to a box."""
-    x0, y0, x1, y1 = (F.col(f"__{c}") for c in ("x0", "y0", "x1", "y1"))
+    x0, y0, x1, y1 = (box[f"__{c}"] for c in ("x0", "y0", "x1", "y1"))
     dx, dy = F.greatest(x0 - px, F.lit(0.0), px - x1), F.greatest(y0 - py, F.lit(0.0), py - y1)
     fx, fy = F.greatest(F.abs(px - x0), F.abs(px - x1)), F.greatest(F.abs(py - y0), F.abs(py - y1))
     return F.sqrt(dx * dx + dy * dy), F.sqrt(fx * fx + fy * fy)
 
 
+_BOX = ("__x0", "__y0", "__x1", "__y1")
+
+
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _alive(nodes: Column, entries: str, px: Column, py: Column, slack) -> Column:
+    """Entries of the given nodes (places in a level) that may hold the nearest region."""
+    below = F.from_json(F.lit(entries), "array<array<struct<i:long,__x0:double,__y0:double,__x1:double,__y1:double>>>")
+
+    def measured(e: Column) -> Column:
+        near, far = _near_and_far(px, py, {b: e[b] for b in _BOX})
+        return F.struct(e["i"].alias("i"), near.alias("near"), far.alias("far"))
+
+    met = F.transform(F.flatten(F.transform(nodes, lambda i: F.element_at(below, (i + 1).cast("int")))), measured)
+    return _let(met, lambda m: _let(F.array_min(F.transform(m, lambda e: e["far"])), lambda bound: F.transform(
+        F.filter(m, lambda e: e["near"] <= bound + slack(bound)), lambda e: e["i"])))
+
+
 def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude", y: str = "latitude",
                    name_col: str = "name", out: str = "region", tie_tolerance: float = 1e-9) -> DataFrame:
     """Left nearest join: every point keeps a row; ties give one row per region."""
@@ -139,28 +233,36 @@ def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude",
     kind = regions.schema[name_col].dataType
     if built is None:
         return points.withColumn(out, F.lit(None).cast(kind))
-    reg, tree = built
+    reg, levels, counts = built
     with_id = points.withColumn("__pid", F.monotonically_increasing_id())
     with_id.write.parquet(f"{root}/points")
     pts = spark.read.schema(with_id.schema).parquet(f"{root}/points")
 
     px, py = F.col("__px"), F.col("__py")
-    per_point = Window.partitionBy("__pid")
     # distances of far points carry rounding errors in proportion to their size
-    slack = F.lit(tie_tolerance) + F.col("__bound") * 1e-12
+    slack = lambda bound: F.lit(tie_tolerance) + bound * 1e-12
     open_ = pts.where(_finite(F.col(x)) & _finite(F.col(y))).select(
-        "__pid", F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))).alias("__at"))  # the cells of the first level
+        "__pid", F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
+
+    # the upper levels, in the point's own row
+    small = sum(c <= INLINE for c in counts)
+    alive = F.array(F.lit(0).cast("long"))
+    for entries in _inlined(levels[:small]):
+        alive = _alive(alive, entries, px, py, slack)
+    # never empty; the outer form keeps the optimizer from copying the expression into a filter
+    open_ = open_.select("__pid", "__px", "__py", F.explode_outer(alive).alias("__at"))
+
+    # the others, by joins
+    per_point = Window.partitionBy("__pid")
 
     def pruned(cand: DataFrame) -> DataFrame:
-        near, far = _near_and_far(px, py)
+        near, far = _near_and_far(px, py, {b: F.col(b) for b in _BOX})
         cand = cand.withColumns({"__near": near, "__far": far}).withColumn("__bound", F.min("__far").over(per_point))
-        return cand.where(F.col("__near") <= F.col("__bound") + slack)
+        return cand.where(F.col("__near") <= F.col("__bound") + slack(F.col("__bound")))
 
-    for level, nodes in enumerate(tree, 1):
-        side = F.broadcast(nodes) if level <= SMALL_LEVELS else nodes
-        open_ = pruned(open_.join(side, F.col("__at") == F.col("__node" if level == 1 else "__parent"))).select("__pid", "__px", "__py", F.col("__node").alias("__at"))
-    last = pruned(open_.join(reg, F.col("__at") == F.col("__cell")))
-    last = last.withColumn("__d", polygon_distance(px, py, F.col("__verts"))).withColumn("__min", F.min("__d").over(per_point))
+    for nodes in levels[small:]:
+        open_ = pruned(open_.join(nodes, F.col("__at") == F.col("__up"))).select("__pid", "__px", "__py", F.col("__id").alias("__at"))
+    last = pruned(open_.join(reg.drop("__id"), F.col("__at") == F.col("__up")))
+    last = last.withColumn("__d", edge_distance(px, py, F.col("__edges"))).withColumn("__min", F.min("__d").over(per_point))
     best = last.where(F.col("__d") <= F.col("__min") + F.lit(tie_tolerance)).select("__pid", F.col("__name").alias(out))
     return pts.join(best, "__pid", "left").drop("__pid")

@@ -379,6 +379,33 @@ def nearest_region_parts(spark, sf):
     return out.select("c_custkey", "region")
 
 
+def shape_regions(spark, sf) -> DataFrame:
+    """A region per part, as rings: boxes, boxes with a hole, regions of two boxes, and one
+    region far away from all others."""
+    p = table(spark, sf, "part").select(
+        "p_partkey", (F.pmod(F.col("p_partkey") * 7919, F.lit(10007)).cast("double") / 100.0).alias("x0"),
+        (F.pmod(F.col("p_partkey") * 104729, F.lit(10007)).cast("double") / 100.0).alias("y0"), (F.col("p_size").cast("double") / 8.0).alias("w"))
+    part = p.where("p_partkey <> 5").unionByName(p.where("p_partkey = 5").withColumns({"x0": F.lit(1e6), "y0": F.lit(1e6)}))
+    at = lambda c, k: F.col(c) + F.col("w") * k
+    ring = lambda a, b: F.array(*[F.struct(at("x0", x).alias("x"), at("y0", y).alias("y")) for x, y in ((a, a), (b, a), (b, b), (a, b))])
+    second = F.array(*[F.struct(at("x0", x).alias("x"), at("y0", y).alias("y")) for x, y in ((2, 0), (2.5, 0), (2.5, 0.5), (2, 0.5))])
+    rings = (F.when(F.col("p_partkey") % 3 == 0, F.array(ring(0, 1), ring(0.25, 0.75))).when(F.col("p_partkey") % 3 == 1, F.array(ring(0, 1), second))
+             .otherwise(F.array(ring(0, 1))))
+    return part.select(F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("name"), rings.alias("rings"))
+
+
+def nearest_region_shapes(spark, sf):
+    """Regions with holes and of several parts, in files of binary geometries; one of them far away."""
+    from lakehold.session import shared_dir
+    from lakehold.sources import wkb
+
+    path = shared_dir(spark, "shapes")
+    wkb.write_rings(shape_regions(spark, sf)).write.parquet(path)
+    pts = table(spark, sf, "customer").select("c_custkey", (F.col("c_acctbal") / 70.0).alias("x"),
+                                              (F.pmod(F.col("c_custkey") * 31, F.lit(1009)).cast("double") / 8.0).alias("y"))
+    return geo.nearest_region(pts, geo.read_geometries(spark, path), x="x", y="y").select("c_custkey", "region")
+
+
 # ---------------------------------------------------------------- control table
 
 
@@ -458,6 +485,7 @@ QUERIES = {
     "insert_count": insert_count,
     "nearest_region": nearest_region,
     "nearest_region_parts": nearest_region_parts,
+    "nearest_region_shapes": nearest_region_shapes,
     "watermark_top1": watermark_top1,
     "run_log": run_log,
     "health_report": health_report,

@@ -524,6 +524,21 @@ m AS (SELECT c_custkey, min(dist) AS md FROM d GROUP BY c_custkey)
 SELECT d.c_custkey, d.name AS region FROM d JOIN m ON d.c_custkey = m.c_custkey WHERE d.dist <= m.md + 1e-9
 UNION ALL SELECT c_custkey, NULL FROM p WHERE x IS NULL"""
 
+ORACLES["nearest_region_shapes"] = """
+WITH p AS (SELECT c_custkey, c_acctbal / CAST(70 AS DOUBLE) AS x, CAST((c_custkey * 31) % 1009 AS DOUBLE) / CAST(8 AS DOUBLE) AS y FROM customer),
+r AS (SELECT p_partkey AS k, 'part-' || p_partkey AS name,
+        CASE WHEN p_partkey = 5 THEN CAST(1e6 AS DOUBLE) ELSE CAST((p_partkey * 7919) % 10007 AS DOUBLE) / CAST(100 AS DOUBLE) END AS x0,
+        CASE WHEN p_partkey = 5 THEN CAST(1e6 AS DOUBLE) ELSE CAST((p_partkey * 104729) % 10007 AS DOUBLE) / CAST(100 AS DOUBLE) END AS y0,
+        CAST(p_size AS DOUBLE) / CAST(8 AS DOUBLE) AS w FROM part),
+d AS (SELECT c_custkey, name, CASE
+        WHEN k % 3 = 0 AND x > x0 + w * 0.25 AND x < x0 + w * 0.75 AND y > y0 + w * 0.25 AND y < y0 + w * 0.75
+        THEN least(x - x0 - w * 0.25, x0 + w * 0.75 - x, y - y0 - w * 0.25, y0 + w * 0.75 - y)
+        ELSE least(sqrt(pow(greatest(x0 - x, 0, x - x0 - w), 2) + pow(greatest(y0 - y, 0, y - y0 - w), 2)),
+          CASE WHEN k % 3 = 1 THEN sqrt(pow(greatest(x0 + w * 2 - x, 0, x - x0 - w * 2.5), 2) + pow(greatest(y0 - y, 0, y - y0 - w * 0.5), 2)) ELSE 1e300 END)
+        END AS dist FROM p, r),
+m AS (SELECT c_custkey, min(dist) AS md FROM d GROUP BY c_custkey)
+SELECT d.c_custkey, d.name AS region FROM d JOIN m ON d.c_custkey = m.c_custkey WHERE d.dist <= m.md + 1e-9"""
+
 LANDING_INGEST = f"""WITH {_STATION_DOCS}
 SELECT
   CASE WHEN o_orderkey % 17 <> 0 THEN concat_ws('-', o_orderkey, l_linenumber, l_partkey, l_suppkey,

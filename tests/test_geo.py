@@ -1,9 +1,11 @@
 import math
 import random
+import struct
 
 from pyspark.sql import functions as F
 
 from lakehold.operators import geo
+from lakehold.sources import wkb
 
 # Five borough-like boxes (x = longitude, y = latitude).
 BOXES = [("Manhattan", -74.02, 40.70, -73.93, 40.88), ("Brooklyn", -74.05, 40.57, -73.85, 40.69),
@@ -86,3 +88,91 @@ def test_regions_from_files_and_vertex_rows(spark, tmp_path):
     assert sorted(map(repr, geo.read_regions(spark, str(tmp_path / "j"), "json").collect())) == want
     rows = boxes_.select("name", F.posexplode("vertices").alias("seq", "v")).select("name", "seq", "v.x", "v.y").orderBy(F.rand(1))
     assert sorted(map(repr, geo.regions_from_vertices(rows).collect())) == want
+
+
+def test_an_outlier_does_not_fill_a_node(spark, tmp_path):
+    rnd = random.Random(1)
+    rows = [(f"r{i}", x := rnd.gauss(0, 1), y := rnd.gauss(0, 1), x + 0.01, y + 0.01) for i in range(1500)] + [("far", 1e6, 1e6, 1e6 + 1, 1e6 + 1)]
+    rows += [(f"same{i}", 5.0, 5.0, 6.0, 6.0) for i in range(100)]  # equal boxes, too
+    reg, levels, counts = geo._region_tree(geo.boxes(spark, rows), "name", str(tmp_path / "t"))
+    for level in (reg, *levels):
+        assert level.groupBy("__up").count().agg(F.max("count")).first()[0] <= geo.NODE
+    assert counts == [level.count() for level in levels] == [1, 7, 101][-len(counts):]
+    pts = [(i, rnd.gauss(0, 2), rnd.gauss(0, 2)) for i in range(200)] + [(200, 9e5, 9e5)]
+    df = spark.createDataFrame(pts, "id int, latitude double, longitude double")
+    got = {(r.id, r.region) for r in geo.nearest_region(df, geo.boxes(spark, rows)).collect()}
+    assert got == brute(pts, rows)
+
+
+def test_levels_by_joins_equal_levels_in_the_row(spark, monkeypatch):
+    rnd = random.Random(6)
+    rows = [(f"r{i}", x := rnd.uniform(-9, 9), y := rnd.uniform(-9, 9), x + rnd.uniform(0, 2), y + rnd.uniform(0, 2)) for i in range(700)]
+    pts = [(i, rnd.uniform(-12, 12), rnd.uniform(-12, 12)) for i in range(150)] + [(150, None, 1.0)]
+    df = spark.createDataFrame(pts, "id int, latitude double, longitude double")
+    want = brute(pts[:150], rows)
+    for inline, one_task in ((geo.INLINE, 10), (0, geo.ONE_TASK), (16, 0)):
+        monkeypatch.setattr(geo, "INLINE", inline)
+        monkeypatch.setattr(geo, "ONE_TASK", one_task)
+        got = {(r.id, r.region) for r in geo.nearest_region(df, geo.boxes(spark, rows)).collect()}
+        assert got == want | {(150, None)}
+
+
+def ring_distance(x, y, rings):
+    """Odd parity over all rings, else the least distance to an edge."""
+    inside, best = False, math.inf
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1], strict=True):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                inside = not inside
+            dx, dy = x2 - x1, y2 - y1
+            t = max(0.0, min(1.0, ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy))) if dx or dy else 0.0
+            best = min(best, math.hypot(x - x1 - t * dx, y - y1 - t * dy))
+    return 0.0 if inside else best
+
+
+def box(x0, y0, x1, y1):
+    return [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+
+
+def test_holes_and_parts(spark):
+    shapes = {"holed": [box(0, 0, 10, 10), box(2, 2, 8, 8)], "two": [box(20, 0, 22, 2), box(30, 0, 34, 4)], "in-hole": [box(4, 4, 5, 5)],
+              "triangles": [[(0.0, 20.0), (4.0, 20.0), (0.0, 24.0)], [(10.0, 20.0), (14.0, 20.0), (12.0, 26.0)]]}
+    rings = [(n, [[{"x": float(x), "y": float(y)} for x, y in r] for r in rs]) for n, rs in shapes.items()] + [("none", None), ("empty", [[], None])]
+    regions = spark.createDataFrame(rings, f"name string, rings {wkb.RINGS}")
+    rnd = random.Random(2)
+    pts = [(i, rnd.uniform(-5, 40), rnd.uniform(-5, 30)) for i in range(400)] + [(400, 4.5, 4.5), (401, 2.5, 5.0), (402, 3.9, 4.5)]
+    df = spark.createDataFrame(pts, "id int, x double, y double")
+    want = set()
+    for i, x, y in pts:
+        d = {n: ring_distance(x, y, rs) for n, rs in shapes.items()}
+        want |= {(i, n) for n, v in d.items() if v <= min(d.values()) + 1e-9}
+    for form in (regions, wkb.write_rings(regions)):
+        got = {(r.id, r.region) for r in geo.nearest_region(df, form, x="x", y="y").collect()}
+        assert got == want
+    assert {r for i, r in want if i == 400} == {"in-hole"} and {r for i, r in want if i == 401} == {"holed"}
+
+
+def test_geometry_files(spark, tmp_path):
+    regions = geo.boxes(spark, BOXES).select(F.col("name").alias("boro"), F.array("vertices").alias("rings"))
+    wkb.write_rings(regions, out="shape").write.parquet(str(tmp_path / "g"))
+    pts = spark.createDataFrame([(1, 40.77, -74.00), (2, 40.60, -74.00)], "id int, latitude double, longitude double")
+    read = geo.read_geometries(spark, str(tmp_path / "g"), "boro", "shape")
+    assert {r.id: r.region for r in geo.nearest_region(pts, read).collect()} == {1: "Manhattan", 2: "Brooklyn"}
+
+
+def test_well_known_binary_forms():
+    ring = struct.pack("<I8d", 4, 0, 0, 1, 0, 1, 1, 0, 0)
+    plain = struct.pack("<BII", 1, 3, 1) + ring
+    want = [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]
+    big = struct.pack(">BII", 0, 3, 1) + struct.pack(">I8d", 4, 0, 0, 1, 0, 1, 1, 0, 0)
+    z = struct.pack("<I12d", 4, 0, 0, 9, 1, 0, 9, 1, 1, 9, 0, 0, 9)
+    forms = [plain, big, struct.pack("<BII", 1, 1003, 1) + z, struct.pack("<BII", 1, 3 | wkb.FLAG_Z, 1) + z,
+             struct.pack("<BIII", 1, 3 | wkb.FLAG_SRID, 4326, 1) + ring, struct.pack("<BII", 1, 6, 1) + plain, struct.pack(">BII", 0, 7, 1) + plain]
+    for f in forms:
+        assert [r.tolist() for r in wkb.decode(f)] == [want]
+    assert [r.tolist() for r in wkb.decode(struct.pack("<BII", 1, 6, 2) + plain + big)] == [want, want]
+    point, nested = struct.pack("<BIdd", 1, 1, 0, 0), b"".join([struct.pack("<BII", 1, 7, 1)] * 40) + plain
+    for bad in (None, b"", b"\x01", plain[:-1], b"\x02" + plain[1:], point, struct.pack("<BII", 1, 6, 9) + plain, nested, struct.pack("<BII", 1, 3, 0)):
+        assert wkb.decode(bad) is None
+    assert wkb.encode(None) is None and wkb.encode([]) is None
+    assert [r.tolist() for r in wkb.decode(wkb.encode([[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]]))] == [want]
