@@ -206,6 +206,44 @@ def run_bronze_batch(spark, control_table: str, documents: DataFrame, bronze_loc
     return holder["rows"]
 
 
+def run_bronze_files(spark, control_table: str, landing_path: str, bronze_location: str, checkpoint: str, as_of: str,
+                     pipeline: str = "stations") -> DataFrame | None:
+    """Bronze run over landed JSON-lines files: a file stream with a checkpoint takes each
+    file once, whenever it lands and however old its documents are, and stops when all there
+    are have been taken. A micro-batch becomes one row per UUID in a folder of its own, which
+    a repeated micro-batch overwrites. Returns this run's rows; without a new file the run is
+    recorded as skipped and None returned."""
+    from pyspark.sql import Observation
+
+    from lakehold.operators import control
+
+    done: dict[int, dict] = {}
+    schemas = []
+
+    def write(docs: DataFrame, batch_id: int) -> None:
+        rows = bronze_stations(docs, as_of)
+        obs = Observation()
+        (rows.observe(obs, F.count(F.lit(1)).alias("n"), F.max("ingest_timestamp").alias("wm"))
+         .write.mode("overwrite").parquet(f"{bronze_location}/batch={batch_id}"))
+        done[batch_id] = dict(obs.get)
+        schemas.append(rows.schema)
+
+    def step():
+        stream = landing.read_landing(spark, landing_path, stream=True)
+        q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        n = sum(m["n"] for m in done.values())
+        if not n:
+            return control.last_watermark(spark.table(control_table), pipeline, "bronze"), 0, 0, "skipped"
+        return max(m["wm"] for m in done.values() if m["wm"]), n, 0
+
+    control.run_step(spark, control_table, pipeline, "bronze", step)
+    taken = [f"{bronze_location}/batch={b}" for b, m in sorted(done.items()) if m["n"]]
+    return spark.read.schema(schemas[0]).parquet(*taken) if taken else None
+
+
 def run_station_batch(spark, control_table: str, bronze: DataFrame, store: HistoryStore, quarantine_location: str,
                       as_of: str, regions: DataFrame | None = None, pipeline: str = "stations",
                       staging_location: str | None = None) -> DataFrame | None:
@@ -266,37 +304,46 @@ def run_connector_batch(spark, control_table: str, valid_stations: DataFrame, st
 def run_weather_batch(spark, control_table: str, bronze_weather: DataFrame, target: DataFrame,
                       target_location: str, as_of: str, pipeline: str = "weather") -> tuple[DataFrame, int]:
     """Silver weather run: new bronze rows -> standardised -> upserted by weather_sk, one
-    row per key. The new watermark is the max bronze stamp of the rows taken. Returns the
-    new table and the number of rows inserted (not updated); without new rows the table
-    stays as it is."""
+    row per key, into the table at ``target_location``, which is partitioned by the day of
+    observation: only days that the batch touches are written. ``target`` is that table, or
+    one whose rows it starts with. The new watermark is the max bronze stamp of the rows
+    taken. Returns the new table and the number of rows inserted (not updated); without new
+    rows the table stays as it is."""
     from pyspark.sql import Observation
 
     from lakehold.operators import control
     from lakehold.session import shared_dir
 
+    columns = target.columns
     holder = {"t": target, "inserted": 0}
+    day = F.to_date("dt_utc")
 
     def step():
         wm = control.last_watermark(spark.table(control_table), pipeline, "silver")
         new = transform.incremental_filter(bronze_weather, wm.strftime("%Y-%m-%d %H:%M:%S.%f"))
         obs = Observation("weather")
         new = new.observe(obs, F.count(F.lit(1)).alias("n"), F.max("ingest_timestamp").alias("wm"))
-        staged = upsert.one_per_key(transform.standardize_weather(new, as_of).select(*target.columns), ["weather_sk"])
-        path = shared_dir(spark, f"staging-{pipeline}")
-        staged.write.parquet(path)
+        staging = shared_dir(spark, f"staging-{pipeline}")
+        rows = transform.standardize_weather(new, as_of).select(*columns)
+        rows.write.parquet(f"{staging}/rows")
+        rows = spark.read.schema(rows.schema).parquet(f"{staging}/rows")
         m = obs.get
         if m["n"]:
-            rows = spark.read.schema(staged.schema).parquet(path)
-            holder["inserted"] = upsert.inserted_rows(target, rows, ["weather_sk"]).count()
-            out = upsert_weather(target, rows)
-            out.write.mode("overwrite").parquet(target_location)
-            holder["t"] = spark.read.schema(out.schema).parquet(target_location)
+            if not any(_is_under(f, target_location) for f in target.inputFiles()):
+                upsert.upsert_partitions(target_location, target, ["weather_sk"], day, f"{staging}/first")
+            holder["inserted"] = upsert.upsert_partitions(target_location, rows, ["weather_sk"], day, f"{staging}/new")
+            holder["t"] = spark.read.schema(target.schema).parquet(target_location).select(*columns)
         return (m["wm"] or wm), int(m["n"]), 0
 
     control.run_step(spark, control_table, pipeline, "silver", step)
     return holder["t"], holder["inserted"]
 
 
+def _is_under(file: str, folder: str) -> bool:
+    plain = lambda x: x.split(":", 1)[1] if ":" in x.split("/", 1)[0] else x  # noqa: E731 - without scheme
+    return plain(file).lstrip("/").startswith(plain(folder).strip("/") + "/")
+
+
 def run_gold(spark, control_table: str, stations: DataFrame, connectors: DataFrame, weather: DataFrame,
              out_root: str, as_of: str, mode: str = "parity", pipeline: str = "marts"):
     """Gold run: facts are appended (a folder per run stamp, which a repeated run

@@ -4,7 +4,7 @@ that the plan still reads)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -62,3 +62,28 @@ def publish_gated(spark: SparkSession, name: str, df: DataFrame, new_location: s
     else:
         spark.catalog.createTable(name, path=new_location, source="parquet")
     return int(m["__rows"])
+
+
+def partition_values(df: DataFrame, name: str) -> list:
+    """Distinct values of a partition column (few), null included."""
+    return [r[0] for r in df.select(name).distinct().collect()]
+
+
+def in_partitions(name: str, values: list) -> Column:
+    """A test for partition values that may be null; files of other partitions are not opened."""
+    test = F.col(name).isin([v for v in values if v is not None])
+    return test | F.col(name).isNull() if None in values else test
+
+
+def overwrite_partitions(df: DataFrame, location: str, name: str, values: list, staging: str) -> None:
+    """Replace the given partitions of a table in files by the rows of ``df``, which may read
+    that table. The rows are staged first; other partitions' files stay as they are, and a
+    partition that gets no row goes. A repeated call gives the same table."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").partitionBy(name).parquet(staging)
+    rows = spark.read.schema(df.schema).parquet(staging)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(location)
+    for v in set(values) - set(partition_values(rows, name)):
+        jvm = spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(location, f"{name}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

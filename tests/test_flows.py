@@ -188,3 +188,77 @@ def test_bronze_and_connector_runs(spark, tmp_path):
     got = {(r.pipeline_name, r.layer, r.status) for r in spark.table(name).collect()}
     assert got == {("stations", "bronze", "success"), ("stations", "bronze", "skipped"), ("stations", "silver", "success"), ("connectors", "silver", "success")}
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_bronze_files_are_taken_once_and_none_is_lost(spark, tmp_path):
+    import os
+
+    name = control_table(spark, tmp_path)
+    root = str(tmp_path)
+    os.makedirs(f"{root}/in")
+
+    def land(file, docs, mtime=None):
+        with open(f"{root}/in/{file}", "w") as f:
+            f.write("".join(json.dumps(d) + "\n" for d in docs))
+        if mtime:
+            os.utime(f"{root}/in/{file}", (mtime, mtime))
+
+    run = lambda stamp: flows.run_bronze_files(spark, name, f"{root}/in", f"{root}/bronze", f"{root}/checkpoint", stamp)
+    assert run("2025-01-01 00:00:00") is None
+    land("a.json", [station(1, 50, [CONN]), station(1, 50, [CONN]), station(2, 50, [])])
+    assert run("2025-01-02 00:00:00").count() == 2
+    assert run("2025-01-03 00:00:00") is None
+    # documents that were modified long before, in a file that lands late, beside a delivered one
+    old = dict(station(3, 50, [CONN]), DateLastStatusUpdate="2012-01-01T00:00:00Z")
+    land("b.json", [old, station(2, 50, [])])
+    rows = run("2025-01-04 00:00:00")
+    assert sorted(r.UUID for r in rows.collect()) == ["u2", "u3"]
+    assert spark.read.parquet(f"{root}/bronze").count() == 4
+    got = sorted((r.last_processed_timestamp.isoformat()[:10], r.status, r.records_processed) for r in spark.table(name).collect())
+    assert got == [("2011-01-01", "skipped", 0), ("2025-01-02", "skipped", 0), ("2025-01-02", "success", 2), ("2025-01-04", "success", 2)]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_partitioned_upsert_touches_its_days_only(spark, tmp_path):
+    import datetime as dt
+    import glob
+
+    from lakehold.operators import upsert
+
+    root = str(tmp_path)
+    day = F.to_date("t")
+    frame = lambda rows: spark.createDataFrame(rows, "id int, v string, t timestamp_ntz")
+    T = lambda d: dt.datetime(2025, 1, d, 5)
+    go = lambda rows, k: upsert.upsert_partitions(f"{root}/t", rows, ["id"], day, f"{root}/s{k}")
+    assert go(frame([]), 0) == 0
+    assert go(frame([(1, "a", T(1)), (2, "a", T(1)), (3, "a", T(2)), (4, "a", None), (5, "a", T(3)), (5, "b", T(3))]), 1) == 5
+    files = lambda d: sorted(glob.glob(f"{root}/t/part_day={d}/*.parquet"))
+    untouched = files("2025-01-02") + files("__HIVE_DEFAULT_PARTITION__")
+    assert len(untouched) == 2
+    assert go(frame([(1, "z", T(1)), (9, "n", T(1))]), 2) == 1
+    assert untouched == files("2025-01-02") + files("__HIVE_DEFAULT_PARTITION__")
+    # a key whose day changes leaves its old one, which may become empty; the table itself may be read from
+    table = spark.read.schema("id int, v string, t timestamp_ntz").parquet(f"{root}/t")
+    moved = table.where("id in (3, 4)").withColumns({"t": F.lit("2025-01-05 01:00:00").cast("timestamp_ntz"), "v": F.lit("moved")})
+    assert go(moved, 3) == 0
+    assert files("2025-01-02") == [] and files("__HIVE_DEFAULT_PARTITION__") == []
+    got = sorted((r.id, r.v, r.t.day) for r in spark.read.schema("id int, v string, t timestamp_ntz").parquet(f"{root}/t").collect())
+    assert got == [(1, "z", 1), (2, "a", 1), (3, "moved", 5), (4, "moved", 5), (5, "b", 3), (9, "n", 1)]
+
+
+def test_weather_run_reads_and_writes_one_table(spark, tmp_path):
+    from lakehold.operators import transform
+
+    name = control_table(spark, tmp_path)
+    bronze = spark.createDataFrame([(40.0 + k, -74.0, "Rain", "x", 50.0, 1, 2, 3, 0.0, 0.0, 1.0, 5, 1704067200 + 86400 * k, f"2025-01-0{1 + k} 00:00:00") for k in range(3)],
+                                   "lat double, lon double, weather string, description string, temp double, pressure int, humidity int, visibility int, rain double, "
+                                   "snow double, wind_speed double, clouds int, dt long, s string").select("*", F.col("s").cast("timestamp_ntz").alias("ingest_timestamp")).drop("s")
+    empty = transform.standardize_weather(bronze.limit(0), AS_OF)
+    at = str(tmp_path / "weather")
+    t, n = flows.run_weather_batch(spark, name, bronze.where("dt < 1704153600"), empty, at, AS_OF)
+    assert (t.count(), n) == (1, 1)
+    for want in (2, 0):  # the same table is read and written; then nothing is new
+        t, n = flows.run_weather_batch(spark, name, bronze, t, at, AS_OF)
+        assert (t.count(), n) == (3, want)
+    assert t.columns == empty.columns
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
