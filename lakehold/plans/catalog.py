@@ -560,11 +560,12 @@ QUERIES["stream_scd2"] = stream_scd2
 # ---------------------------------------------------------------- bronze -> silver flow
 
 
-def station_documents(spark, sf) -> DataFrame:
+def station_documents(spark, sf, keep: dict | None = None) -> DataFrame:
     """Station landing documents: one per order line (a station version with one or two
     connectors), or one per order without lines (no connector list). Re-delivered urgent
     orders give duplicate UUIDs; some documents have no UUID, a missing, malformed or NaN
-    latitude or a malformed date (rejected); some connectors have negative power (rejected)."""
+    latitude or a malformed date (rejected); some connectors have negative power (rejected).
+    ``keep`` adds columns made from the orders."""
     from lakehold.plans.roles import STATUS_BY_ORDERSTATUS, STATUS_TITLE, _case
 
     o = table(spark, sf, "orders")
@@ -609,8 +610,9 @@ def station_documents(spark, sf) -> DataFrame:
     )
     copies = F.when(F.col("o_orderpriority") == "1-URGENT", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     # serialise first: a generator in the same projection strips the struct's field names
-    docs = base.select(F.to_json(doc).alias("raw_text"), copies.alias("__copies"))
-    return docs.select("raw_text", F.explode("__copies").alias("__copy")).drop("__copy")
+    more = [c.alias(n) for n, c in (keep or {}).items()]
+    docs = base.select(F.to_json(doc).alias("raw_text"), copies.alias("__copies"), *more)
+    return docs.select("raw_text", *(keep or {}), F.explode("__copies").alias("__copy")).drop("__copy")
 
 
 STATION_OUT = ["station_id", "title", "address", "town", "state_or_province", "latitude", "longitude",
@@ -826,54 +828,126 @@ def health_verdict(spark, sf):
 # ---------------------------------------------------------------- scheduled runs
 
 RUN_STAMPS = ["2024-01-10 00:00:00", "2024-01-20 00:00:00"]
-
-
-def _scheduled_runs(spark, sf):
-    """Bronze, station and connector runs over two landings of documents, and a replay of the
-    second: (control table, station store, quarantine folder)."""
+RUN_CONNECTORS = ("station_id string, connection_type_id int, level_id int, connection_type string, amps int, voltage double, power_kw double, "
+                  "quantity int, current_type string, date_last_status_update timestamp_ntz, ingest_timestamp timestamp_ntz, "
+                  "valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean, sk long")
+WEATHER_OUT = ["lat", "lon", "weather", "description", "temp", "pressure", "humidity", "visibility", "rain", "snow", "wind_speed", "clouds", "dt_utc"]
+_RUNS: dict[tuple[str, str], str] = {}  # (application, data) -> folder of its finished runs
+
+
+def run_weather(spark, sf) -> DataFrame:
+    """Typed bronze observations at the customers' places, four events a customer; ``ts`` is their time."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    # hours apart, as the events of a customer follow each other within seconds
+    e = table(spark, sf, "events").withColumn("ts", F.timestamp_add("HOUR", F.col("event_id") % 4, F.col("ts")))
+    e = e.withColumn("k", F.expr("event_id div 4")).join(c, F.col("k") == F.col("c_custkey"))
+    return e.select(
+        "event_id", "ts", (F.col("c_acctbal") / F.lit(100.0) + F.col("event_id") % 4 * F.lit(0.00001)).alias("lat"),
+        (F.col("c_nationkey").cast("double") / F.lit(10.0) - F.lit(74.0)).alias("lon"),
+        F.coalesce(roles._case("event_type", WEATHER_BY_EVENT, None), F.col("event_type")).alias("weather"), F.col("event_type").alias("description"),
+        F.col("value").alias("temp"), (F.lit(1000) + F.col("user_id") % 50).cast("int").alias("pressure"), (F.col("event_id") % 101).cast("int").alias("humidity"),
+        F.lit(10000).alias("visibility"), F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(F.lit(0.0)).alias("rain"),
+        F.when(F.col("event_type") == "signup", F.col("value")).otherwise(F.lit(0.0)).alias("snow"), (F.col("value") / 10.0).alias("wind_speed"),
+        (F.col("event_id") % 101).cast("int").alias("clouds"), F.timestamp_diff("SECOND", ts_ntz("1970-01-01 00:00:00"), F.col("ts")).alias("dt"))
+
+
+def _scheduled_runs(spark, sf) -> str:
+    """The folder of three scheduled runs of all five pipelines, made once per session and data.
+
+    Documents land as files: first those of even customers, then those of odd ones with some
+    of the first again; weather rows likewise, with an overlap of 15 minutes and repeated rows.
+    The third run finds nothing new. Control records, stores and tables stay in the folder.
+    """
     import uuid
 
+    from pyspark.errors import AnalysisException
+
     from lakehold.plans import flows
     from lakehold.session import shared_dir
     from lakehold.sources.schemas import STATIONS_TABLE
 
+    at = (spark.sparkContext.applicationId, sf)
+    if at in _RUNS:
+        try:
+            spark.read.text(f"{_RUNS[at]}/control").limit(0)
+            return _RUNS[at]
+        except AnalysisException:  # the folder was cleared
+            del _RUNS[at]
     root, name = shared_dir(spark, "runs"), f"lakehold_control_{uuid.uuid4().hex[:8]}"
     control.create_control_table(spark, name, f"{root}/control")
-    docs = station_documents(spark, sf)
-    docs.write.text(f"{root}/landing")
-    docs = spark.read.text(f"{root}/landing").withColumnRenamed("value", "raw_text")
-    first = F.get_json_object("raw_text", "$.ID").cast("long") % 2 == 0
-    store = flows.station_store(f"{root}/stations", buckets=16)
+    # all documents once, dealt by landing
+    even = F.col("o_custkey") % 2 == 0
+    landings = F.when(~even, F.array(F.lit(1))).when(F.col("o_custkey") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    station_documents(spark, sf, keep={"landings": landings}).select("raw_text", F.explode("landings").alias("landing")).write.partitionBy("landing").text(f"{root}/dealt")
+    w = run_weather(spark, sf)
+    cut = ts_ntz(RUN_STAMPS[0])
+    parts = [w.where(F.col("ts") < cut).unionByName(w.where((F.col("ts") < cut) & (F.col("event_id") % 9 == 0))),
+             w.where(F.col("ts") >= cut - F.expr("INTERVAL 15 MINUTES"))]
+    store = flows.station_store(f"{root}/stations", buckets=8)
     store.init(spark.createDataFrame([], STATIONS_TABLE).withColumnRenamed("station_sk", "sk"))
-    conns = flows.connector_store(f"{root}/connectors", buckets=16)
-    conns.init(spark.createDataFrame([], "station_id string, connection_type_id int, level_id int, connection_type string, amps int, "
-                                         "voltage double, power_kw double, quantity int, current_type string, date_last_status_update timestamp_ntz, "
-                                         "ingest_timestamp timestamp_ntz, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean, sk long"))
-    parts = [(docs.where(first), RUN_STAMPS[0]), (docs.where(~first), RUN_STAMPS[1]), (docs.where(~first), RUN_STAMPS[1])]
-    for k, (part, stamp) in enumerate(parts):
-        bronze = flows.bronze_stations(part, stamp)
+    conns = flows.connector_store(f"{root}/connectors", buckets=8)
+    conns.init(spark.createDataFrame([], RUN_CONNECTORS))
+    weather = None
+    for k, stamp in enumerate([*RUN_STAMPS, RUN_STAMPS[1]]):
+        if k < len(parts):  # new files
+            spark.read.text(f"{root}/dealt/landing={k}").write.mode("append").text(f"{root}/landing")
+            transform.add_ingest_timestamp(parts[k].drop("event_id", "ts"), stamp).write.mode("append").parquet(f"{root}/bronze-weather")
+        bronze = flows.run_bronze_files(spark, name, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", stamp)
+        if bronze is None:
+            bronze = spark.read.parquet(f"{root}/bronze").drop("batch")
         valid = flows.run_station_batch(spark, name, bronze, store, f"{root}/quarantine", stamp, staging_location=f"{root}/staging-{k}")
         if valid is not None:
             flows.run_connector_batch(spark, name, valid, conns, f"{root}/connector-quarantine", stamp, staging_location=f"{root}/conn-staging-{k}")
-    return name, store, f"{root}/quarantine"
+        bronze_weather = spark.read.parquet(f"{root}/bronze-weather")
+        weather = transform.standardize_weather(bronze_weather.limit(0), stamp) if weather is None else weather
+        weather, _ = flows.run_weather_batch(spark, name, bronze_weather, weather, f"{root}/weather", stamp)
+        if k < len(parts):
+            flows.run_gold(spark, name, store.state(spark).withColumnRenamed("sk", "station_sk"), conns.state(spark).withColumnRenamed("sk", "connection_sk"), weather, f"{root}/gold", stamp, mode="corrected")
+    spark.sql(f"DROP TABLE {name}")  # its files stay
+    _RUNS[at] = root
+    return root
 
 
 def run_control_rows(spark, sf):
-    """Control records of the station runs: two batches and a replay that finds nothing new."""
-    name, _, _ = _scheduled_runs(spark, sf)
-    rows = spark.table(name).where("pipeline_name = 'stations'").select("layer", "status", "records_processed", "records_failed", "last_processed_timestamp")
-    out = rows.collect()
-    spark.sql(f"DROP TABLE {name}")
-    return spark.createDataFrame(out, rows.schema)
+    """Control records of all runs of the five pipelines."""
+    rows = spark.read.schema(control.CONTROL_SCHEMA).parquet(f"{_scheduled_runs(spark, sf)}/control")
+    return rows.select("pipeline_name", "layer", "status", "records_processed", "records_failed", "last_processed_timestamp")
 
 
 def run_station_history(spark, sf):
     """Station history after the runs: the status changes of each station."""
-    name, store, _ = _scheduled_runs(spark, sf)
-    spark.sql(f"DROP TABLE {name}")
+    from lakehold.plans import flows
+
+    store = flows.station_store(f"{_scheduled_runs(spark, sf)}/stations", buckets=8)
     return store.state(spark).select("station_id", "status_id", "valid_from", "valid_to", "is_current")
 
 
+def run_connector_history(spark, sf):
+    """Connector history after the runs."""
+    from lakehold.plans import flows
+
+    store = flows.connector_store(f"{_scheduled_runs(spark, sf)}/connectors", buckets=8)
+    return store.state(spark).select(*flows.CONNECTOR_KEYS, "power_kw", "quantity", "valid_from", "valid_to", "is_current")
+
+
+def run_weather_rows(spark, sf):
+    """The weather table after the runs: one row per place and run."""
+    return spark.read.parquet(f"{_scheduled_runs(spark, sf)}/weather").select(*WEATHER_OUT, "ingest_timestamp")
+
+
+def run_gold_facts(spark, sf):
+    """Facts that the runs appended: what does not hang on surrogate keys."""
+    return spark.read.parquet(f"{_scheduled_runs(spark, sf)}/gold/station_facts").select(
+        "station_id", "ingest_timestamp", "total_duration", "risk_score", "risk_severity_level", "avg_energy_cost_per_hour")
+
+
+def run_gold_dims(spark, sf):
+    """Rows of both dimensions in each run."""
+    root = _scheduled_runs(spark, sf)
+    count = lambda name: spark.read.parquet(f"{root}/gold/{name}").groupBy("ingest_timestamp").agg(F.count(F.lit(1)).alias("n")).withColumn("dim", F.lit(name))
+    return count("station_dim").unionByName(count("weather_dim"))
+
+
 QUERIES.update({
     "station_facts_zones": station_facts_zones,
     "null_removal": null_removal,
@@ -883,4 +957,8 @@ QUERIES.update({
     "health_verdict": health_verdict,
     "run_control_rows": run_control_rows,
     "run_station_history": run_station_history,
+    "run_connector_history": run_connector_history,
+    "run_weather_rows": run_weather_rows,
+    "run_gold_facts": run_gold_facts,
+    "run_gold_dims": run_gold_dims,
 })

@@ -633,9 +633,70 @@ h2 AS (SELECT * FROM h1 WHERE e IS NULL OR p IS DISTINCT FROM status_id)
 SELECT station_id, status_id, ts AS valid_from, coalesce(lead(ts) OVER w, {OPEN_END}) AS valid_to, lead(ts) OVER w IS NULL AS is_current
 FROM h2 WINDOW w AS (PARTITION BY station_id ORDER BY ts, status_id)"""
 
-ORACLES["run_control_rows"] = f"""WITH {_STATION_DOCS},
-n AS (SELECT o_custkey % 2 AS k, count(*) AS n FROM srows GROUP BY 1), g AS (SELECT o_custkey % 2 AS k, count(*) AS n FROM good GROUP BY 1)
-SELECT 'silver' AS layer, 'success' AS status, g.n AS records_processed, n.n - g.n AS records_failed,
-       CASE WHEN n.k = 0 THEN TIMESTAMP '2024-01-10 00:00:00' ELSE TIMESTAMP '2024-01-20 00:00:00' END AS last_processed_timestamp
-FROM n JOIN g ON n.k = g.k
-UNION ALL SELECT 'silver', 'success', 0, 0, TIMESTAMP '2024-01-20 00:00:00'"""
+# the runs: documents of even customers, then of odd ones with every tenth customer's again; weather before the
+# first stamp, then from 15 minutes before it on
+_RUN1, _RUN2 = "TIMESTAMP '2024-01-10 00:00:00'", "TIMESTAMP '2024-01-20 00:00:00'"
+_LANDED = "(VALUES (1), (2)) r(run) WHERE (run = 1 AND k % 2 = 0) OR (run = 2 AND (k % 2 = 1 OR k % 10 = 0))"
+_STAMP = f"CASE run WHEN 1 THEN {_RUN1} ELSE {_RUN2} END"
+_RUN_CONNECTORS = f"""{_CONNECTORS},
+vconn AS (SELECT *, CAST(station_id AS BIGINT) AS k, l_orderkey IS NOT NULL AND power_kw >= 0 AS ok FROM conn),
+cl AS (SELECT *, lag(1) OVER w AS e, lag((amps, voltage, power_kw, quantity, current_type)) OVER w AS p FROM vconn WHERE ok
+       WINDOW w AS (PARTITION BY station_id, connection_type_id, level_id ORDER BY date_last_status_update, amps, voltage, power_kw, quantity, current_type)),
+cv AS (SELECT * FROM cl WHERE e IS NULL OR p IS DISTINCT FROM (amps, voltage, power_kw, quantity, current_type))"""
+_RUN_WEATHER = f"""
+wx AS (SELECT event_id, ts + to_hours(event_id % 4) AS ts, c_acctbal / CAST(100 AS DOUBLE) + CAST(event_id % 4 AS DOUBLE) * CAST(0.00001 AS DOUBLE) AS lat0,
+         CAST(c_nationkey AS DOUBLE) / CAST(10 AS DOUBLE) - CAST(74 AS DOUBLE) AS lon0, {WEATHER_MAIN} AS weather, event_type AS description, value AS temp,
+         CAST(1000 + user_id % 50 AS INTEGER) AS pressure, CAST(event_id % 101 AS INTEGER) AS humidity, 10000 AS visibility,
+         CASE WHEN event_type = 'purchase' THEN value ELSE CAST(0 AS DOUBLE) END AS rain, CASE WHEN event_type = 'signup' THEN value ELSE CAST(0 AS DOUBLE) END AS snow,
+         value / CAST(10 AS DOUBLE) AS wind_speed, CAST(event_id % 101 AS INTEGER) AS clouds, date_trunc('second', events.ts + to_hours(event_id % 4)) AS dt_utc
+       FROM events JOIN customer ON c_custkey = event_id // 4),
+wr AS (SELECT *, {_round('lat0', 1)} AS lat, {_round('lon0', 1)} AS lon, {_STAMP} AS ingest_timestamp FROM wx, (VALUES (1), (2)) r(run)
+       WHERE (run = 1 AND ts < {_RUN1}) OR (run = 2 AND ts >= {_RUN1} - INTERVAL 15 MINUTE))"""
+_RUN_FACTS = f"""{_RUN_CONNECTORS},
+{_RUN_WEATHER},
+sdocs AS (SELECT *, CAST(station_id AS BIGINT) AS k FROM good),
+h1 AS (SELECT *, lag(status_id) OVER w AS p, lag(1) OVER w AS e FROM sdocs WINDOW w AS (PARTITION BY station_id ORDER BY date_last_status_update, status_id)),
+vers AS (SELECT station_id, any_value(k) AS k, max(date_last_status_update) - INTERVAL 30 DAY AS created, any_value({_round('latitude', 1)}) AS zlat, any_value({_round('longitude', 1)}) AS zlon
+         FROM h1 WHERE (e IS NULL OR p IS DISTINCT FROM status_id) AND status_id IN (50, 30) GROUP BY station_id),
+cur AS (SELECT *, row_number() OVER (PARTITION BY station_id, connection_type_id, level_id
+            ORDER BY date_last_status_update DESC, amps DESC, voltage DESC, power_kw DESC, quantity DESC) AS rn FROM vconn WHERE ok),
+power AS (SELECT station_id, max(level_id) AS max_level, sum(power_kw * quantity) AS power FROM cur WHERE rn = 1 GROUP BY station_id),
+runs AS (SELECT 1 AS rno UNION ALL SELECT 2),
+zone AS (SELECT rno, round(lat * 10) AS a, round(lon * 10) AS o, arg_max(weather, dt_utc) AS weather, arg_max(temp, dt_utc) AS temp
+         FROM wr JOIN runs ON run <= rno GROUP BY 1, 2, 3),
+facts AS (SELECT v.station_id, rno, CASE rno WHEN 1 THEN {_RUN1} ELSE {_RUN2} END AS stamp, created, max_level, power, weather, temp
+          FROM vers v JOIN power USING (station_id) JOIN zone ON round(zlat * 10) = a AND round(zlon * 10) = o WHERE rno = 2 OR k % 2 = 0),
+wdim AS (SELECT DISTINCT rno, w.event_id, w.run FROM wr w JOIN runs ON w.run <= rno
+         WHERE EXISTS (SELECT 1 FROM vers v JOIN power USING (station_id) WHERE round(zlat * 10) = round(w.lat * 10) AND round(zlon * 10) = round(w.lon * 10)
+                       AND (rno = 2 OR k % 2 = 0)))"""
+
+ORACLES["run_control_rows"] = f"""{_RUN_FACTS},
+n AS (SELECT o_custkey AS k, count(*) AS n, count(*) FILTER (WHERE latitude IS NOT NULL AND date_last_status_update IS NOT NULL) AS ok FROM srows GROUP BY 1),
+c AS (SELECT k, count(*) FILTER (WHERE ok) AS ok, count(*) FILTER (WHERE NOT ok) AS bad FROM vconn GROUP BY k),
+ns AS (SELECT run, sum(n) AS n, sum(ok) AS ok FROM n, {_LANDED} GROUP BY run), cs AS (SELECT run, sum(ok) AS ok, sum(bad) AS bad FROM c, {_LANDED} GROUP BY run)
+SELECT pipeline_name, layer, status, CAST(a AS BIGINT) AS records_processed, CAST(b AS BIGINT) AS records_failed, t AS last_processed_timestamp FROM (
+SELECT 'stations' AS pipeline_name, 'bronze' AS layer, 'success' AS status, n AS a, 0 AS b, {_STAMP} AS t FROM ns
+UNION ALL SELECT 'stations', 'bronze', 'skipped', 0, 0, {_RUN2} UNION ALL SELECT 'stations', 'silver', 'success', 0, 0, {_RUN2}
+UNION ALL SELECT 'stations', 'silver', 'success', ok, n - ok, {_STAMP} FROM ns
+UNION ALL SELECT 'connectors', 'silver', 'success', ok, bad, {_STAMP} FROM cs
+UNION ALL SELECT 'weather', 'silver', 'success', count(*) + CASE run WHEN 1 THEN count(*) FILTER (WHERE event_id % 9 = 0) ELSE 0 END, 0, {_STAMP} FROM wr GROUP BY run
+UNION ALL SELECT 'weather', 'silver', 'success', 0, 0, {_RUN2}
+UNION ALL SELECT 'marts', 'gold', 'success', count(*), 0, any_value(stamp) FROM facts GROUP BY rno)"""
+
+ORACLES["run_connector_history"] = f"""{_RUN_CONNECTORS}
+SELECT station_id, CAST(connection_type_id AS INTEGER) AS connection_type_id, CAST(level_id AS INTEGER) AS level_id, power_kw, CAST(quantity AS INTEGER) AS quantity,
+       date_last_status_update AS valid_from, coalesce(lead(date_last_status_update) OVER w, {OPEN_END}) AS valid_to, lead(1) OVER w IS NULL AS is_current
+FROM cv WINDOW w AS (PARTITION BY station_id, connection_type_id, level_id ORDER BY date_last_status_update, amps, voltage, power_kw, quantity, current_type)"""
+
+ORACLES["run_weather_rows"] = f"""WITH {_RUN_WEATHER}
+SELECT lat, lon, weather, description, temp, pressure, humidity, visibility, rain, snow, wind_speed, clouds, dt_utc, ingest_timestamp FROM wr"""
+
+ORACLES["run_gold_facts"] = f"""{_RUN_FACTS}
+SELECT station_id, stamp AS ingest_timestamp, date_diff('minute', created, stamp) AS total_duration, risk AS risk_score,
+       CASE WHEN risk < 60 THEN 'low_risk' ELSE 'high_risk' END AS risk_severity_level, {_round('CAST(0.35 AS DOUBLE) * power', 0)} AS avg_energy_cost_per_hour
+FROM (SELECT *, 15 + CASE WHEN weather ILIKE '%storm%' OR weather ILIKE '%snow%' THEN 30 ELSE 0 END + CASE WHEN temp > 95 OR temp < 20 THEN 30 ELSE 0 END
+             + CASE WHEN max_level = 3 THEN 25 ELSE 0 END AS risk FROM facts)"""
+
+ORACLES["run_gold_dims"] = f"""{_RUN_FACTS}
+SELECT 'station_dim' AS dim, stamp AS ingest_timestamp, count(*) AS n FROM facts GROUP BY ALL
+UNION ALL SELECT 'weather_dim', CASE rno WHEN 1 THEN {_RUN1} ELSE {_RUN2} END, count(*) FROM wdim GROUP BY rno"""
