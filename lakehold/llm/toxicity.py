@@ -66,25 +66,24 @@ class Model:
 
 def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (Ruzzo and Tompa) of a sequence that scores ``-drift`` everywhere but at
-    ``hits``, where the given weight is added. Linear in the number of hits."""
-    out: list[list] = []  # [start, end, total before it, total at its end]
+    ``hits``, where the given weight is added. Linear in the number of hits: a segment keeps the place of its
+    nearest predecessor with a lesser total before it, so the search skips what lies between."""
+    out: list[list] = []  # [start, end, total before it, total at its end, place of that predecessor or -1]
     total, last = 0.0, -1
     for i, w in hits:
         total -= drift * (i - last - 1)
         before, total, last = total, total + w - drift, i
         if w <= drift:
             continue
-        seg = [i, i + 1, before, total]
-        while True:
-            k = len(out) - 1
-            while k >= 0 and out[k][2] >= seg[2]:
-                k -= 1
-            if k < 0 or out[k][3] >= seg[3]:
-                out.append(seg)
-                break
-            seg = [out[k][0], seg[1], out[k][2], seg[3]]
+        start, k = i, len(out) - 1
+        while k >= 0 and out[k][2] >= before:
+            k = out[k][4]
+        while k >= 0 and out[k][3] < total:  # it grows over that one, whose own predecessor comes next
+            start, before, above = out[k][0], out[k][2], out[k][4]
             del out[k:]
-    return [(s, e, r - b) for s, e, b, r in out]
+            k = above
+        out.append([start, i + 1, before, total, k])
+    return [(s, e, r - b) for s, e, b, r, _ in out]
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

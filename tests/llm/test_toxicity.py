@@ -30,6 +30,39 @@ def test_segments_equal_their_definition():
         assert [(s, e, round(v, 6)) for s, e, v in toxicity.maximal_segments(hits, 0.25)] == brute_segments(scores)
 
 
+def test_segments_of_many_hits():
+    import time
+
+    def plain(hits, drift):  # looks back over all segments
+        out, total, last = [], 0.0, -1
+        for i, w in hits:
+            total -= drift * (i - last - 1)
+            seg = [i, i + 1, total, total + w - drift]
+            total, last = seg[3], i
+            while w > drift:
+                k = next((k for k in range(len(out) - 1, -1, -1) if out[k][2] < seg[2]), -1)
+                if k < 0 or out[k][3] >= seg[3]:
+                    out.append(seg)
+                    break
+                seg = [out[k][0], seg[1], out[k][2], seg[3]]
+                del out[k:]
+        return [(s, e, r - b) for s, e, b, r in out]
+
+    rng = random.Random(9)
+    for gap in (1, 4, 12):
+        at, hits = 0, []
+        for _ in range(1500):
+            at += rng.randint(1, gap)
+            hits.append((at, rng.choice([0.1, 0.3, 1.0, 4.0, -2.0])))
+        assert toxicity.maximal_segments(hits, 0.25) == plain(hits, 0.25)
+    for weights in ([1.0], [1.0, 0.3, 2.0], [5.0, 0.5]):  # apart, or one long chain
+        for gap in (1, 50):
+            hits = [(gap * k, weights[k % len(weights)]) for k in range(100_000)]
+            t = time.perf_counter()
+            toxicity.maximal_segments(hits, 0.25)
+            assert time.perf_counter() - t < 5
+
+
 def corpus(spark):
     rng = random.Random(2)
     word = lambda: f"w{rng.randint(0, 300)}"
