@@ -55,7 +55,7 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     w_s = Window.partitionBy(*keys).orderBy(F.col(b))
     jk = [*keys, b]
     summary = summary.select(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(jk)],
-                             shift(F.col("__edge")).over(w_s).alias("__nb"))
+                             shift(F.col("__edge")).over(w_s).alias("__nb")).where(F.col("__nb").isNotNull())
     # null-safe equality: null keys are a group too, and no not-null filter is inferred
     # into the summary branch, so both branches share (reuse) the exchange above
     cond = [F.col(c).eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(jk)]
@@ -65,3 +65,22 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         for v in values
     })
     return out.drop(b, "__first", "__last", "__nb", *[f"__in_{v}" for v in values])
+
+
+def with_neighbor_ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
+                         direction: str = "prev", prefix: str | None = None) -> DataFrame:
+    """As ``with_neighbor``, for keys that are hot within any bucket of their own values.
+
+    Rows are dealt by range over (keys, order), sorted and stored with their place in the
+    file. The file, not a value, is the boundary: a key is spread over as many ranges as it
+    has rows for, a range ends where it ends for every later reader and every retry, and
+    only keys that cross into another range need an edge row from it (at most one a range).
+    """
+    from lakehold.session import shared_dir
+
+    spark, cols = df.sparkSession, [*keys, *order]
+    placed = df.repartitionByRange(*_cols(cols)).sortWithinPartitions(*_cols(cols)).withColumn("__at", F.monotonically_increasing_id())
+    path = shared_dir(spark, "ranges")
+    placed.write.parquet(path)
+    stored = spark.read.schema(placed.schema).parquet(path)
+    return with_neighbor(stored, keys, ["__at"], values, direction, prefix, F.shiftright("__at", 33)).drop("__at")

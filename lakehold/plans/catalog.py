@@ -406,6 +406,16 @@ def nearest_region_shapes(spark, sf):
     return geo.nearest_region(pts, geo.read_geometries(spark, path), x="x", y="y").select("c_custkey", "region")
 
 
+def neighbor_hot_key(spark, sf):
+    """Previous time and next value of the same event type: a few keys that hold all rows,
+    and a null one, spread by ranges of a stored, sorted frame."""
+    from lakehold.operators.windows import with_neighbor_ranged
+
+    e = table(spark, sf, "events").select(F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"), "event_id", "ts", "value")
+    d = with_neighbor_ranged(e, ["kind"], ["ts", "event_id"], ["ts"], "prev")
+    return with_neighbor_ranged(d, ["kind"], ["ts", "event_id"], ["value"], "next")
+
+
 # ---------------------------------------------------------------- control table
 
 
@@ -486,6 +496,7 @@ QUERIES = {
     "nearest_region": nearest_region,
     "nearest_region_parts": nearest_region_parts,
     "nearest_region_shapes": nearest_region_shapes,
+    "neighbor_hot_key": neighbor_hot_key,
     "watermark_top1": watermark_top1,
     "run_log": run_log,
     "health_report": health_report,

@@ -524,6 +524,10 @@ m AS (SELECT c_custkey, min(dist) AS md FROM d GROUP BY c_custkey)
 SELECT d.c_custkey, d.name AS region FROM d JOIN m ON d.c_custkey = m.c_custkey WHERE d.dist <= m.md + 1e-9
 UNION ALL SELECT c_custkey, NULL FROM p WHERE x IS NULL"""
 
+ORACLES["neighbor_hot_key"] = """
+WITH e AS (SELECT CASE WHEN event_type <> 'error' THEN event_type END AS kind, event_id, ts, value FROM events)
+SELECT kind, event_id, ts, value, lag(ts) OVER w AS prev_ts, lead(value) OVER w AS next_value FROM e WINDOW w AS (PARTITION BY kind ORDER BY ts, event_id)"""
+
 ORACLES["nearest_region_shapes"] = """
 WITH p AS (SELECT c_custkey, c_acctbal / CAST(70 AS DOUBLE) AS x, CAST((c_custkey * 31) % 1009 AS DOUBLE) / CAST(8 AS DOUBLE) AS y FROM customer),
 r AS (SELECT p_partkey AS k, 'part-' || p_partkey AS name,
