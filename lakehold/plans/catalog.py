@@ -812,19 +812,39 @@ def counted_sinks(spark, sf):
     return out
 
 
+def _ailing_orders(spark, sf) -> DataFrame:
+    o = table(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderkey")).alias("o_orderkey"), "o_totalprice", "o_orderdate")
+    return o.unionByName(o.where("o_orderkey % 4 = 0"))
+
+
+AILING_ORDERS = health.TableRules(critical=["o_orderkey", "o_orderdate"], ranges={"o_totalprice": (0, 100000)},
+                                  unique_key="o_orderkey", ts_column="o_orderdate")
+
+
 def _ailing_report(spark, sf):
     """Health of tables with every kind of finding: nulls, repeated keys, values out of range,
     old rows, an empty table and a missing one."""
-    o = table(spark, sf, "orders").select(
-        F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderkey")).alias("o_orderkey"), "o_totalprice", "o_orderdate")
     c = table(spark, sf, "customer")
-    tables = {"orders": o.unionByName(o.where("o_orderkey % 4 = 0")), "customer": c.where("c_custkey < 0"), "gone": None}
-    rules = {"orders": health.TableRules(critical=["o_orderkey", "o_orderdate"], ranges={"o_totalprice": (0, 100000)},
-                                         unique_key="o_orderkey", ts_column="o_orderdate"),
+    tables = {"orders": _ailing_orders(spark, sf), "customer": c.where("c_custkey < 0"), "gone": None}
+    rules = {"orders": AILING_ORDERS,
              "customer": health.TableRules(critical=["c_custkey"], ranges={"c_acctbal": (0, 1)}, unique_key="c_custkey")}
     return health.health_report(spark, tables, rules, "2034-02-01 00:00:00")
 
 
+def health_merged(spark, sf):
+    """The report of a table that grew by three runs, one of them repeated, merged from the
+    runs' states; and of one without any run."""
+    from lakehold.session import shared_dir
+
+    log = health.HealthLog(shared_dir(spark, "health"), {"orders": AILING_ORDERS})
+    o = _ailing_orders(spark, sf)
+    deal = F.pmod(F.datediff("o_orderdate", F.lit("2020-01-01")), F.lit(3))
+    for run in (0, 1, 2, 2):
+        log.add("orders", o.where(deal == run), run)
+    return log.report(spark, ["orders", "gone"], "2034-02-01 00:00:00")
+
+
 def health_findings(spark, sf):
     return _ailing_report(spark, sf)
 
@@ -966,6 +986,7 @@ QUERIES.update({
     "counted_sinks": counted_sinks,
     "health_findings": health_findings,
     "health_verdict": health_verdict,
+    "health_merged": health_merged,
     "run_control_rows": run_control_rows,
     "run_station_history": run_station_history,
     "run_connector_history": run_connector_history,

@@ -621,6 +621,9 @@ UNION ALL SELECT 'customer', 'unique:c_custkey', 'skipped', 0 UNION ALL SELECT '
 ORACLES["health_findings"] = f"WITH {_AILING}\n{_AILING_ROWS}"
 
 
+ORACLES["health_merged"] = f"WITH {_AILING}\nSELECT * FROM ({_AILING_ROWS}) WHERE table_name IN ('orders', 'gone')"
+
+
 def _verdict(rows: str, tables: str) -> str:
     return f"""SELECT count(*) FILTER (WHERE status = 'pass') AS passed, count(*) FILTER (WHERE status = 'fail') AS failed,
   count(*) FILTER (WHERE status = 'warning') AS warnings, count(*) FILTER (WHERE status = 'fail') = 0 AS healthy, '{tables}' AS tables
