@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ CACHED_WORDS = 250_000
 MIN_SHARDS, SHARDS_PER_SPLIT, MAX_SHARDS = 16, 4, 1 << 16
 BEGIN, END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\nbegin", b"\nend"))  # no word has a line end
 ROW = "level int, shard int, data binary, stats array<long>"
-STATS = 6  # n-grams that occur once, twice, three, four times; all distinct ones; sum of counts
+STATS = 6  # n-grams that occur once, twice, three, four times; all distinct ones; sum of counts (then the shard)
 TOP = np.uint64(0xFFFF << 48)  # the bits of a context's hash that its n-grams keep
 
 
@@ -109,25 +110,36 @@ def summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarr
 # ---------------------------------------------------------------- packed n-grams of a shard
 
 def pack(columns: list[np.ndarray], counts: np.ndarray) -> bytes:
-    """Sorted distinct n-grams as bytes: runs of the first column, the other columns, counts in the least width."""
+    """Sorted distinct n-grams as bytes: a dictionary of the part's word hashes, then the words' numbers in it (runs
+    of the first column, differences of the others) and the counts, in the least widths and compressed."""
+    words, at_word = np.unique(np.concatenate(columns), return_inverse=True)
+    kind = f"u{_width(words.size)}"
+    ids = [x.astype(kind) for x in np.split(at_word.ravel(), len(columns))]
     new = np.ones(counts.size, bool)
-    new[1:] = columns[0][1:] != columns[0][:-1]
+    new[1:] = ids[0][1:] != ids[0][:-1]
     at = np.flatnonzero(new)
     runs = np.diff(np.append(at, counts.size))
-    width = next(w for w in (1, 2, 4, 8) if w == 8 or max(int(counts.max()), int(runs.max())) < 1 << (8 * w))
-    head = np.array([len(columns), counts.size, at.size, width], np.int64)
-    return b"".join([head.tobytes(), columns[0][at].tobytes(), *(c.tobytes() for c in columns[1:]),
-                     runs.astype(f"u{width}").tobytes(), counts.astype(f"u{width}").tobytes()])
+    width = _width(max(int(counts.max()), int(runs.max())))
+    step = lambda x: np.diff(x, prepend=x.dtype.type(0))  # noqa: E731 - modulo the width
+    body = b"".join([step(ids[0][at]).tobytes(), *(step(c).tobytes() for c in ids[1:]), runs.astype(f"u{width}").tobytes(), counts.astype(f"u{width}").tobytes()])
+    head = np.array([len(columns), counts.size, at.size, width, words.size], np.int64)
+    return b"".join([head.tobytes(), words.tobytes(), zstandard.compress(body, 3)])
+
+
+def _width(most: int) -> int:
+    """Bytes that hold numbers up to ``most``."""
+    return next(w for w in (1, 2, 4, 8) if w == 8 or most < 1 << (8 * w))
 
 
 def unpack(data: bytes) -> tuple[list[np.ndarray], np.ndarray]:
-    k, n, m, width = np.frombuffer(data, np.int64, 4).tolist()
-    at = 32
-    first = np.frombuffer(data, np.uint64, m, at)
-    rest = [np.frombuffer(data, np.uint64, n, at + 8 * (m + i * n)) for i in range(k - 1)]
-    at += 8 * (m + (k - 1) * n)
-    runs = np.frombuffer(data, f"u{width}", m, at).astype(np.int64)
-    counts = np.frombuffer(data, f"u{width}", n, at + m * width).astype(np.int64)
+    k, n, m, width, d = np.frombuffer(data, np.int64, 5).tolist()
+    words = np.frombuffer(data, np.uint64, d, 40)
+    body, size = zstandard.decompress(data[40 + 8 * d:]), _width(d)
+    ids = lambda many, at: words[np.cumsum(np.frombuffer(body, f"u{size}", many, at), dtype=f"u{size}")]
+    first, rest = ids(m, 0), [ids(n, size * (m + i * n)) for i in range(k - 1)]
+    at = size * (m + (k - 1) * n)
+    runs = np.frombuffer(body, f"u{width}", m, at).astype(np.int64)
+    counts = np.frombuffer(body, f"u{width}", n, at + m * width).astype(np.int64)
     return [np.repeat(first, runs), *rest], counts
 
 
@@ -160,9 +172,11 @@ def _local(uri: str) -> str | None:
 
 
 def write_arrays(uri: str, arrays: list[np.ndarray]) -> None:
-    """Lengths and 64-bit arrays, under ``uri`` at once or not at all."""
-    head = np.array([len(arrays), *(a.size for a in arrays)], np.int64)
-    data = [head.tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)]
+    """Lengths, widths and arrays of unsigned numbers in their least widths, each from a multiple of 8 bytes on;
+    under ``uri`` at once or not at all."""
+    arrays = [a.astype(f"u{_width(int(a.max()) if a.size else 0)}") for a in arrays]
+    head = np.array([len(arrays), *(a.size for a in arrays), *(a.itemsize for a in arrays)], np.int64)
+    data = [head.tobytes(), *(a.tobytes().ljust(-(-a.nbytes // 8) * 8, b"\0") for a in arrays)]
     attempt = f"{uri}.{uuid.uuid4().hex}"
     path = _local(attempt)
     if path:
@@ -181,34 +195,31 @@ def write_arrays(uri: str, arrays: list[np.ndarray]) -> None:
     store.move(name, fs.FileSystem.from_uri(uri)[1])
 
 
-def map_arrays(uri: str) -> list[np.ndarray] | None:
-    """The arrays of a file, mapped into memory; None if there is no such file.
+def map_arrays(uri: str) -> list[np.ndarray]:
+    """The arrays of a file, mapped into memory; an error if there is no such file.
 
     A file of another store is copied to a nameless temporary file first, which ends with the worker.
     """
     path = _local(uri)
-    try:
-        if path:
-            f = open(path, "rb")  # noqa: SIM115 - the mapping outlives it
-        else:
-            from pyarrow import fs
-
-            store, name = fs.FileSystem.from_uri(uri)
-            f = tempfile.TemporaryFile()  # noqa: SIM115
-            with store.open_input_stream(name) as src:
-                while block := src.read(1 << 22):
-                    f.write(block)
-            f.flush()
-    except FileNotFoundError:
-        return None
+    if path:
+        f = open(path, "rb")  # noqa: SIM115 - the mapping outlives it
+    else:
+        from pyarrow import fs
+
+        store, name = fs.FileSystem.from_uri(uri)
+        f = tempfile.TemporaryFile()  # noqa: SIM115
+        with store.open_input_stream(name) as src:
+            while block := src.read(1 << 22):
+                f.write(block)
+        f.flush()
     with f:
         view = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
     n = int(np.frombuffer(view, np.int64, 1)[0])
-    sizes = np.frombuffer(view, np.int64, n, 8).tolist()
-    at, out = 8 * (n + 1), []
-    for s in sizes:
-        out.append(np.frombuffer(view, np.uint64, s, at))
-        at += 8 * s
+    sizes, widths = (np.frombuffer(view, np.int64, n, 8 + 8 * n * k).tolist() for k in range(2))
+    at, out = 8 * (2 * n + 1), []
+    for s, w in zip(sizes, widths, strict=True):
+        out.append(np.frombuffer(view, f"u{w}", s, at))
+        at += -(-s * w // 8) * 8
     return out
 
 
@@ -261,7 +272,7 @@ def _reduce(batches: Iterator[pa.RecordBatch], level: int, order: int, bits: int
             width = len(mine[0][0])
             columns, counts = summed([np.concatenate([c[k] for c, _ in mine]) for k in range(width)], np.concatenate([n for _, n in mine]))
             of = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-            out.append((level, -1, None, [*of, int(counts.size), int(counts.sum())]))
+            out.append((level, -1, None, [*of, int(counts.size), int(counts.sum()), shard]))
             if width == 1:
                 write_arrays(f"{path}/{level}-{shard}", [columns[0], counts.astype(np.uint64)])
             else:
@@ -285,12 +296,13 @@ def _reduce(batches: Iterator[pa.RecordBatch], level: int, order: int, bits: int
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs besides the files: the folder, and sums per level."""
+    """What scoring needs besides the files: the folder, sums per level, and which shards of a level were written."""
 
     path: str
     order: int
     bits: int
     stats: dict[int, list[int]]
+    written: dict[int, frozenset[int]]
 
     def discounts(self, level: int) -> np.ndarray:
         """Discount for a count of 0, 1, 2 and 3 or more."""
@@ -317,14 +329,23 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2, shards: int
     if shards is None:
         shards = max(MIN_SHARDS, SHARDS_PER_SPLIT * src.rdd.getNumPartitions())
     bits = min(max(shards - 1, 0), MAX_SHARDS - 1).bit_length()
-    path = shared_dir(spark, "kneser-ney")
+    path = qualified(spark, shared_dir(spark, "kneser-ney"))
     rows = src.mapInArrow(lambda it: _count_texts(it, order, bits), ROW)
     for level in range(order, -1 if order > 2 else 0, -1):
         # one shard per task; rows of sums (shard -1) go with the first
         dealt = rows.repartitionById(1 << bits, F.greatest(F.col("shard"), F.lit(0))).sortWithinPartitions("shard")
         rows = dealt.mapInArrow(lambda it, level=level: _reduce(it, level, order, bits, path), ROW)
-    sums = rows.where("stats is not null").groupBy("level").agg(*[F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(STATS)]).collect()
-    return Model(path, order, bits, {r["level"]: [int(r[f"s{k}"]) for k in range(STATS)] for r in sums})
+    # one number per shard comes along: a file that is missing later is an error, not a shard without n-grams
+    sums = rows.where("stats is not null").groupBy("level").agg(*[F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(STATS)],
+                                                                F.collect_set(F.col("stats")[STATS]).alias("shards")).collect()
+    return Model(path, order, bits, {r["level"]: [int(r[f"s{k}"]) for k in range(STATS)] for r in sums},
+                 {r["level"]: frozenset(r["shards"]) for r in sums})
+
+
+def qualified(spark, path: str) -> str:
+    """A path with the scheme that Spark takes it to have, so workers do not look for it on their own disks."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
 # ---------------------------------------------------------------- scoring
@@ -337,7 +358,8 @@ class Reader:
 
     def shard(self, level: int, s: int) -> list[np.ndarray] | None:
         if (level, s) not in self.files:
-            self.files[level, s] = map_arrays(f"{self.model.path}/{level}-{s}")
+            known = s in self.model.written.get(level, ())
+            self.files[level, s] = map_arrays(f"{self.model.path}/{level}-{s}") if known else None
         return self.files[level, s]
 
     def find(self, level: int, keys: np.ndarray, kinds: list[tuple[int, list[int | None]]]) -> list[np.ndarray]:

@@ -118,3 +118,31 @@ def test_registered_query_sees_two_words_of_context(spark, tmp_path):
     model = Brute(train, 3)
     for r in op3_kneser_ney(spark, str(tmp_path)).collect():
         assert r.score == pytest.approx(model.score(tokens(rows[r.doc_id][1])), abs=1e-6)
+
+
+def test_packed_parts_and_files_come_back(tmp_path):
+    rng = np.random.default_rng(3)
+    for n, vocabulary, top in ((1, 1, 1), (50, 3, 2), (3000, 700, 300), (90_000, 70_000, 70_000)):
+        words = rng.integers(0, 1 << 63, vocabulary, np.uint64)
+        for k in (1, 2, 3):
+            columns, counts = kn.summed([rng.choice(words, n) for _ in range(k)], rng.integers(1, top + 1, n))
+            back, many = kn.unpack(kn.pack(columns, counts))
+            assert all((a == b).all() for a, b in zip(back, columns, strict=True)) and (many == counts).all()
+    arrays = [np.array(x, np.uint64) for x in ([], [1, 2, 255], [256], [1 << 40, 3], [70_000] * 5, [1 << 63])]
+    kn.write_arrays(str(tmp_path / "a"), arrays)
+    got = kn.map_arrays(str(tmp_path / "a"))
+    assert [g.tolist() for g in got] == [a.tolist() for a in arrays] and [g.itemsize for g in got] == [1, 1, 2, 8, 4, 8]
+
+
+def test_a_missing_model_file_is_an_error(spark):
+    import glob
+    import os
+
+    docs = docs_of(spark, [(k, f"a b c d{k} a b {k % 7}") for k in range(60)])
+    model = kn.train(docs, order=3, shards=4)
+    assert model.path.startswith("file:/")
+    assert kn.score(docs, model).count() == 60
+    path = sorted(glob.glob(f"{model.path.removeprefix('file:')}/3-*"))[0]
+    os.remove(path)
+    with pytest.raises(Exception, match="No such file"):
+        kn.score(docs, model).collect()
