@@ -244,7 +244,10 @@ def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude",
     open_ = pts.where(_finite(F.col(x)) & _finite(F.col(y))).select(
         "__pid", F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
 
-    # the upper levels, in the point's own row
+    # the upper levels, in the point's own row: much work for few bytes, so few files are dealt over all cores
+    cores = spark.sparkContext.defaultParallelism
+    if pts.rdd.getNumPartitions() < cores:
+        open_ = open_.repartition(cores, "__pid")
     small = sum(c <= INLINE for c in counts)
     alive = F.array(F.lit(0).cast("long"))
     for entries in _inlined(levels[:small]):
@@ -262,7 +265,9 @@ def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude",
 
     for nodes in levels[small:]:
         open_ = pruned(open_.join(nodes, F.col("__at") == F.col("__up"))).select("__pid", "__px", "__py", F.col("__id").alias("__at"))
-    last = pruned(open_.join(reg.drop("__id"), F.col("__at") == F.col("__up")))
+    # boxes only until they are pruned: edges join the few that are left
+    last = pruned(open_.join(reg.select("__id", "__up", *_BOX), F.col("__at") == F.col("__up"))).select("__pid", "__px", "__py", F.col("__id").alias("__region"))
+    last = last.join(reg.select("__id", "__edges", "__name"), F.col("__region") == F.col("__id"))
     last = last.withColumn("__d", edge_distance(px, py, F.col("__edges"))).withColumn("__min", F.min("__d").over(per_point))
     best = last.where(F.col("__d") <= F.col("__min") + F.lit(tie_tolerance)).select("__pid", F.col("__name").alias(out))
     return pts.join(best, "__pid", "left").drop("__pid")
