@@ -1,13 +1,16 @@
 """Interpolated modified Kneser-Ney n-gram scores.
 
-Counting is one Spark job: map tasks reduce their n-grams to packed arrays per shard, a shuffle by shard (the
-upper bits of the context's hash) brings each context's n-grams together, and every level passes the number
-of its distinct left extensions on to the level below. Each reduce task writes its shard as sorted hash arrays
-to the shared folder, under a name that depends on level and shard alone and by an atomic rename, so a task
-that runs twice leaves the same file. Only sums (counts of counts) come to the driver.
-
-Scoring maps these files into the workers' memory and looks up sorted batches of n-grams by binary search, so
-no worker holds the model, whatever its size.
+A first Spark job counts the words and numbers them by their sorted hashes, one file per shard of the hashes.
+Counting n-grams is a second job: map tasks turn words into numbers by these files, reduce their n-grams to packed
+arrays per shard, a shuffle by shard (the upper bits of the context's hash) brings each context's n-grams together,
+and every level passes the number of its distinct left extensions on to the level below. Each reduce task writes its
+shard as sorted hash arrays to the shared folder, under a name that depends on level and shard alone and by an atomic
+rename, so a task that runs twice leaves the same file. Only sums (counts of counts, sizes of shards) come to the
+driver.
+
+Scoring maps these files into the workers' memory and looks up batches of n-grams in buckets of the sorted hashes, so
+no worker holds the model or the vocabulary, whatever its size. Words are told apart by 64 bits, n-grams by the shard
+and at least 33 further bits: of 10^9 look-ups of absent n-grams some two find another's count.
 
 Texts: A-Z are lower-cased; tokens are the words between ASCII white space and one end per text.
 
@@ -22,7 +25,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +41,13 @@ HELD_OUT = 1
 CHUNK_TOKENS = 2_000_000  # tokens that a map task packs at a time
 SCORE_TOKENS = 400_000  # tokens that are looked up at a time
 CACHED_WORDS = 250_000
-MIN_SHARDS, SHARDS_PER_SPLIT, MAX_SHARDS = 16, 4, 1 << 16
-BEGIN, END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\nbegin", b"\nend"))  # no word has a line end
+MIN_SHARDS, SHARDS_PER_SPLIT, MAX_SHARDS = 16, 2, 1 << 18
+END = np.uint64(xxhash.xxh64_intdigest(b"\nend"))  # no word has a line end
+UNKNOWN, BEGIN, FIRST = np.uint64(0), np.uint64(1), 2  # numbers of words; those of the vocabulary follow
 ROW = "level int, shard int, data binary, stats array<long>"
 STATS = 6  # n-grams that occur once, twice, three, four times; all distinct ones; sum of counts (then the shard)
-TOP = np.uint64(0xFFFF << 48)  # the bits of a context's hash that its n-grams keep
+PER_BUCKET_LOG2 = 3  # hashes that share an entry of a file's directory
+LOW = np.uint64(0xFFFFFFFF)
 
 
 # ---------------------------------------------------------------- tokens and hashes
@@ -66,28 +71,39 @@ def token_hashes(text: str | None) -> np.ndarray:
     return out
 
 
+def spread(numbers: np.ndarray) -> np.ndarray:
+    """Hashes of word numbers."""
+    h = numbers * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
 def mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hash of an n-gram; its upper bits are those of its context."""
+    """Hash of a context's hash with a word's hash after it."""
     h = (context ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xC2B2AE3D27D4EB4F) + word
     h ^= h >> np.uint64(29)
     h *= np.uint64(0x165667B19E3779F9)
-    h ^= h >> np.uint64(32)
-    return (context & TOP) | (h & ~TOP)
+    return h ^ (h >> np.uint64(32))
 
 
 def context_hash(columns: list[np.ndarray]) -> np.ndarray:
-    """Hash of a context of one or more words; of several words, the upper bits are mixed again."""
+    """Hash of a context of the hashes of one or more words."""
     h = columns[0]
     for c in columns[1:]:
-        h = mix(h, c) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(31)
+        h = mix(h, c)
     return h
 
 
-def grams(texts: list[np.ndarray], order: int) -> list[np.ndarray]:
-    """The ``order`` columns of all n-grams of the texts (begin marks before the first word)."""
-    padded = np.concatenate([x for t in texts for x in (np.full(order - 1, BEGIN), t)])
-    starts = np.cumsum([0] + [t.size + order - 1 for t in texts])[:-1]
+def shard_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(hashes.size, np.int64)
+
+
+def grams(words: np.ndarray, sizes: list[int], order: int, begin: int) -> list[np.ndarray]:
+    """The ``order`` columns of all n-grams of texts of these sizes, given their words one after another."""
+    ends = np.cumsum(sizes)
+    padded = np.insert(words, np.repeat(ends - sizes, order - 1), begin)
+    starts = ends - sizes + (order - 1) * np.arange(len(sizes))
     keep = np.ones(padded.size, bool)
     for k in range(order - 1):
         keep[starts + k] = False
@@ -99,31 +115,39 @@ def summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarr
     """Distinct n-grams in the order of their columns, with the sums of their counts."""
     if not counts.size:
         return columns, counts
-    order = np.lexsort(columns[::-1])
-    columns = [c[order] for c in columns]
-    new = np.ones(counts.size, bool)
-    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
-    at = np.flatnonzero(new)
-    return [c[at] for c in columns], np.add.reduceat(counts[order], at)
+    bits = max(int(c.max()) for c in columns).bit_length()
+    if bits * len(columns) <= 64:
+        key = columns[0].astype(np.uint64)
+        for c in columns[1:]:
+            key = (key << np.uint64(bits)) | c.astype(np.uint64)
+        order = np.argsort(key)
+        key = key[order]
+        at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    else:
+        order = np.lexsort(columns[::-1])
+        at = np.flatnonzero(np.append(True, np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)))
+    return [c[order[at]] for c in columns], np.add.reduceat(counts[order], at)
 
 
 # ---------------------------------------------------------------- packed n-grams of a shard
 
 def pack(columns: list[np.ndarray], counts: np.ndarray) -> bytes:
-    """Sorted distinct n-grams as bytes: a dictionary of the part's word hashes, then the words' numbers in it (runs
-    of the first column, differences of the others) and the counts, in the least widths and compressed."""
+    """Sorted distinct n-grams as bytes: a sorted dictionary of the part's words, then the words' places in it (runs
+    of the first column) and the counts; all in the least widths, dictionary and first column as differences."""
     words, at_word = np.unique(np.concatenate(columns), return_inverse=True)
-    kind = f"u{_width(words.size)}"
-    ids = [x.astype(kind) for x in np.split(at_word.ravel(), len(columns))]
-    new = np.ones(counts.size, bool)
-    new[1:] = ids[0][1:] != ids[0][:-1]
-    at = np.flatnonzero(new)
-    runs = np.diff(np.append(at, counts.size))
-    width = _width(max(int(counts.max()), int(runs.max())))
-    step = lambda x: np.diff(x, prepend=x.dtype.type(0))  # noqa: E731 - modulo the width
-    body = b"".join([step(ids[0][at]).tobytes(), *(step(c).tobytes() for c in ids[1:]), runs.astype(f"u{width}").tobytes(), counts.astype(f"u{width}").tobytes()])
-    head = np.array([len(columns), counts.size, at.size, width, words.size], np.int64)
-    return b"".join([head.tobytes(), words.tobytes(), zstandard.compress(body, 3)])
+    ids = np.split(at_word.ravel(), len(columns))
+    at = np.flatnonzero(np.append(True, ids[0][1:] != ids[0][:-1]))
+    step = lambda x: np.diff(x, prepend=x.dtype.type(0))
+    arrays = [step(words), step(ids[0][at]), np.diff(np.append(at, counts.size)), *ids[1:], counts]
+    widths = [_width(int(a.max())) for a in arrays]
+    body = b"".join(_planes(a, w) for a, w in zip(arrays, widths, strict=True))
+    head = np.array([len(columns), counts.size, at.size, words.size, *widths], np.int64)
+    return zstandard.compress(head.tobytes() + body, 5)
+
+
+def _planes(a: np.ndarray, width: int) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on."""
+    return np.ascontiguousarray(a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
 
 
 def _width(most: int) -> int:
@@ -131,24 +155,37 @@ def _width(most: int) -> int:
     return next(w for w in (1, 2, 4, 8) if w == 8 or most < 1 << (8 * w))
 
 
+def _parts(data: bytes) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Dictionary, columns of places in it, counts."""
+    data = zstandard.decompress(data)
+    k, n, m, d = np.frombuffer(data, np.int64, 4).tolist()
+    at, out = 8 * (4 + 3 + k), []
+    for size, w in zip((d, m, m, *[n] * k), np.frombuffer(data, np.int64, 3 + k, 32).tolist(), strict=True):
+        plane = np.frombuffer(data, np.uint8, size * w, at).reshape(w, size)
+        out.append(np.ascontiguousarray(plane.T).view(f"<u{w}").ravel())
+        at += size * w
+    first = np.repeat(np.cumsum(out[1], dtype=np.int64), out[2].astype(np.int64))
+    return np.cumsum(out[0], dtype=np.uint64), [first, *out[3:-1]], out[-1].astype(np.int64)
+
+
 def unpack(data: bytes) -> tuple[list[np.ndarray], np.ndarray]:
-    k, n, m, width, d = np.frombuffer(data, np.int64, 5).tolist()
-    words = np.frombuffer(data, np.uint64, d, 40)
-    body, size = zstandard.decompress(data[40 + 8 * d:]), _width(d)
-    ids = lambda many, at: words[np.cumsum(np.frombuffer(body, f"u{size}", many, at), dtype=f"u{size}")]
-    first, rest = ids(m, 0), [ids(n, size * (m + i * n)) for i in range(k - 1)]
-    at = size * (m + (k - 1) * n)
-    runs = np.frombuffer(body, f"u{width}", m, at).astype(np.int64)
-    counts = np.frombuffer(body, f"u{width}", n, at + m * width).astype(np.int64)
-    return [np.repeat(first, runs), *rest], counts
-
-
-def packed_rows(level: int, columns: list[np.ndarray], counts: np.ndarray, bits: int) -> Iterator[tuple]:
-    """One row per shard; the shard is the upper bits of the context's hash (of the word, for one column)."""
-    if not counts.size:
-        return
-    key = context_hash(columns[:-1] or columns)
-    shard = (key >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(key.size, np.int64)
+    words, ids, counts = _parts(data)
+    return [words[i] for i in ids], counts
+
+
+def merged(packed: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct n-grams of several parts, with the sums of their counts."""
+    parts = [_parts(p) for p in packed]
+    words = np.unique(np.concatenate([w for w, _, _ in parts]))
+    place = [np.searchsorted(words, w) for w, _, _ in parts]
+    ids = [np.concatenate([p[c[k]] for p, (_, c, _) in zip(place, parts, strict=True)]) for k in range(len(parts[0][1]))]
+    ids, counts = summed(ids, np.concatenate([n for _, _, n in parts]))
+    return [words[i] for i in ids], counts
+
+
+def packed_rows(level: int, columns: list[np.ndarray], counts: np.ndarray, hashes: np.ndarray, bits: int) -> Iterator[tuple]:
+    """One row per shard, which is the upper bits of ``hashes``."""
+    shard = shard_of(hashes, bits)
     order = np.argsort(shard, kind="stable")
     shard = shard[order]
     cuts = np.flatnonzero(np.diff(shard, prepend=-1)).tolist() + [shard.size]
@@ -157,6 +194,11 @@ def packed_rows(level: int, columns: list[np.ndarray], counts: np.ndarray, bits:
         yield level, int(shard[s]), pack([c[part] for c in columns], counts[part]), None
 
 
+def gram_rows(level: int, columns: list[np.ndarray], counts: np.ndarray, bits: int) -> list[tuple]:
+    """Rows of n-grams of word numbers, by their contexts (by the word, for one column)."""
+    return list(packed_rows(level, columns, counts, context_hash([spread(c) for c in columns[:-1] or columns]), bits))
+
+
 def batch_of(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
     kinds = [pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
@@ -223,24 +265,76 @@ def map_arrays(uri: str) -> list[np.ndarray]:
     return out
 
 
-# ---------------------------------------------------------------- counting
+def slots(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The directory entry of each hash (its lowest ``bits`` bits) before the next 32 bits."""
+    return ((hashes & np.uint64((1 << bits) - 1)) << np.uint64(32)) | ((hashes >> np.uint64(bits)) & LOW)
+
+
+def sorted_hashes(hashes: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """A directory, the 32 bits of each hash in the order of ``slots``, and the values in that order."""
+    bits = max(hashes.size.bit_length() - PER_BUCKET_LOG2, 1)
+    slot = slots(hashes, bits)
+    by = np.argsort(slot)
+    slot = slot[by]
+    starts = np.searchsorted(slot, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
+    return [starts, slot & LOW, *(v[by] for v in values)]
+
+
+def places(starts: np.ndarray, low: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where each hash is in the arrays of ``sorted_hashes``; -1 if it is not there."""
+    slot = slots(hashes, (starts.size - 1).bit_length() - 1)
+    bucket, want = (slot >> np.uint64(32)).astype(np.int64), slot & LOW
+    at, end = starts[bucket].astype(np.int64), starts[bucket + 1].astype(np.int64)
+    out = np.full(hashes.size, -1, np.int64)
+    live = np.flatnonzero(at < end)
+    while live.size:
+        found = low[at[live]] == want[live]
+        out[live[found]] = at[live[found]]
+        live = live[~found]
+        at[live] += 1
+        live = live[at[live] < end[live]]
+    return out
 
-def _count_texts(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator[pa.RecordBatch]:
-    texts, size = [], 0
 
-    def flush():
-        columns = grams(texts, order)
-        return batch_of(list(packed_rows(order, *summed(columns, np.ones(columns[0].size, np.int64)), bits)))
+# ---------------------------------------------------------------- counting
 
+def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """The tokens of several texts one after another, and the sizes of the texts."""
+    texts, size = [], 0
     for b in batches:
         for t in b.column(0):
             texts.append(token_hashes(t.as_py()))
             size += texts[-1].size
-            if size >= CHUNK_TOKENS:
-                yield flush()
+            if size >= most:
+                yield np.concatenate(texts), [t.size for t in texts]
                 texts, size = [], 0
     if texts:
-        yield flush()
+        yield np.concatenate(texts), [t.size for t in texts]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    for tokens, _ in _chunks(batches, CHUNK_TOKENS):
+        words, counts = np.unique(tokens, return_counts=True)
+        yield batch_of(list(packed_rows(0, [words], counts, words, bits)))
+
+
+def _write_words(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Sorted hashes and counts of a shard's words."""
+    for shard, rows in _shard_runs(batches):
+        (words,), counts = merged([d for _, d in rows])
+        write_arrays(f"{path}/0-{shard}", [words, counts.astype(np.uint64)])
+        yield batch_of([(0, shard, None, [words.size])])
+
+
+def _count_texts(batches: Iterator[pa.RecordBatch], vocabulary: Model) -> Iterator[pa.RecordBatch]:
+    order, reader = vocabulary.order, Reader(vocabulary)
+    for tokens, sizes in _chunks(batches, CHUNK_TOKENS):
+        words, ids = np.unique(tokens, return_inverse=True)
+        # numbers rise with the hashes, and the begin is below all
+        numbers = np.append(BEGIN, reader.words(words)[0])
+        columns = grams(ids + 1, sizes, order, 0)
+        ids, counts = summed(columns, np.ones(columns[0].size, np.int64))
+        yield batch_of(gram_rows(order, [numbers[i] for i in ids], counts, vocabulary.bits))
 
 
 def _shard_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list]]:
@@ -260,49 +354,46 @@ def _shard_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None,
         yield shard, held
 
 
-def _reduce(batches: Iterator[pa.RecordBatch], level: int, order: int, bits: int, path: str) -> Iterator[pa.RecordBatch]:
+def _reduce(batches: Iterator[pa.RecordBatch], level: int, bits: int, path: str) -> Iterator[pa.RecordBatch]:
     """Sum the n-grams of ``level`` per shard, write the shard's arrays, pass on what the level below counts.
 
-    Rows of other levels (sums, raw word counts) pass through.
+    Rows of sums pass through.
     """
     for shard, rows in _shard_runs(batches):
-        out = [(lv, -1, None, st) for lv, st in rows] if shard is None else [(lv, shard, d, None) for lv, d in rows if lv != level]
-        mine = [] if shard is None else [unpack(d) for lv, d in rows if lv == level]
-        if mine:
-            width = len(mine[0][0])
-            columns, counts = summed([np.concatenate([c[k] for c, _ in mine]) for k in range(width)], np.concatenate([n for _, n in mine]))
-            of = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-            out.append((level, -1, None, [*of, int(counts.size), int(counts.sum()), shard]))
-            if width == 1:
-                write_arrays(f"{path}/{level}-{shard}", [columns[0], counts.astype(np.uint64)])
-            else:
-                context = context_hash(columns[:-1])
-                h = mix(context, columns[-1])
-                by = np.argsort(h)
-                h, c = h[by], counts[by]
-                one = c == 1
-                ctx, at = np.unique(context, return_inverse=True)
-                tally = [np.bincount(at[sel], minlength=ctx.size).astype(np.uint64) for sel in (counts == 1, counts == 2, counts > 2)]
-                total = np.zeros(ctx.size, np.uint64)
-                np.add.at(total, at, counts.astype(np.uint64))
-                # n-grams that occur once need no count beside their hash; the three tallies are kept in one word each
-                write_arrays(f"{path}/{level}-{shard}", [h[one], h[~one], c[~one].astype(np.uint64), ctx, total, *tally])
-                below, left = summed(columns[1:], np.ones(counts.size, np.int64))
-                out.extend(packed_rows(level - 1, below, left, bits))
-                if level == order and order > 2:
-                    out.extend(packed_rows(0, *summed([columns[-2]], counts), bits))
+        if shard is None:
+            yield batch_of([(lv, -1, None, st) for lv, st in rows])
+            continue
+        columns, counts = merged([d for _, d in rows])
+        of = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
+        out = [(level, -1, None, [*of, int(counts.size), int(counts.sum()), shard])]
+        hashed, tally, one = [spread(c) for c in columns], counts.astype(np.uint64), counts == 1
+        context = context_hash(hashed[:-1]) if level > 1 else None
+        h = mix(context, hashed[-1]) if level > 1 else hashed[0]
+        # what occurs once needs no count beside its hash
+        arrays = [*sorted_hashes(h[one]), *sorted_hashes(h[~one], tally[~one])]
+        if level > 1:
+            # the n-grams of a context are neighbours; a context's total is 1 if it has one n-gram that occurs once
+            at = np.flatnonzero(np.append(True, np.any([c[1:] != c[:-1] for c in columns[:-1]], axis=0)))
+            total = np.add.reduceat(tally, at)
+            kinds = [np.add.reduceat(sel.astype(np.uint64), at) for sel in (one, counts == 2, counts > 2)]
+            ctx, once = context[at], total == 1
+            arrays += [*sorted_hashes(ctx[once]), *sorted_hashes(ctx[~once], *(v[~once] for v in (total, *kinds)))]
+            out += gram_rows(level - 1, *summed(columns[1:], np.ones(counts.size, np.int64)), bits)
+        write_arrays(f"{path}/{level}-{shard}", arrays)
         yield batch_of(out)
 
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs besides the files: the folder, sums per level, and which shards of a level were written."""
+    """What scoring needs besides the files: the folder, sums per level, which shards of a level were written, and the
+    number of the first word of each shard of the vocabulary."""
 
     path: str
     order: int
     bits: int
     stats: dict[int, list[int]]
     written: dict[int, frozenset[int]]
+    first: np.ndarray
 
     def discounts(self, level: int) -> np.ndarray:
         """Discount for a count of 0, 1, 2 and 3 or more."""
@@ -330,16 +421,21 @@ def train(texts: DataFrame, text_col: str = "text", order: int = 2, shards: int
         shards = max(MIN_SHARDS, SHARDS_PER_SPLIT * src.rdd.getNumPartitions())
     bits = min(max(shards - 1, 0), MAX_SHARDS - 1).bit_length()
     path = qualified(spark, shared_dir(spark, "kneser-ney"))
-    rows = src.mapInArrow(lambda it: _count_texts(it, order, bits), ROW)
-    for level in range(order, -1 if order > 2 else 0, -1):
-        # one shard per task; rows of sums (shard -1) go with the first
-        dealt = rows.repartitionById(1 << bits, F.greatest(F.col("shard"), F.lit(0))).sortWithinPartitions("shard")
-        rows = dealt.mapInArrow(lambda it, level=level: _reduce(it, level, order, bits, path), ROW)
+    # one shard per task; rows of sums (shard -1) go with the first
+    deal = lambda df: df.repartitionById(1 << bits, F.greatest(F.col("shard"), F.lit(0))).sortWithinPartitions("shard")
+    words = deal(src.mapInArrow(lambda it: _count_words(it, bits), ROW)).mapInArrow(lambda it: _write_words(it, path), ROW)
+    sizes = np.zeros(1 << bits, np.int64)
+    for r in words.select("shard", F.col("stats")[0].alias("n")).collect():  # one number per shard
+        sizes[r["shard"]] = r["n"]
+    model = Model(path, order, bits, {}, {0: frozenset(np.flatnonzero(sizes).tolist())}, FIRST + np.cumsum(sizes) - sizes)
+    rows = src.mapInArrow(lambda it: _count_texts(it, model), ROW)
+    for level in range(order, 0, -1):
+        rows = deal(rows).mapInArrow(lambda it, level=level: _reduce(it, level, bits, path), ROW)
     # one number per shard comes along: a file that is missing later is an error, not a shard without n-grams
     sums = rows.where("stats is not null").groupBy("level").agg(*[F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(STATS)],
                                                                 F.collect_set(F.col("stats")[STATS]).alias("shards")).collect()
-    return Model(path, order, bits, {r["level"]: [int(r[f"s{k}"]) for k in range(STATS)] for r in sums},
-                 {r["level"]: frozenset(r["shards"]) for r in sums})
+    return replace(model, stats={r["level"]: [int(r[f"s{k}"]) for k in range(STATS)] for r in sums},
+                   written=model.written | {r["level"]: frozenset(r["shards"]) for r in sums})
 
 
 def qualified(spark, path: str) -> str:
@@ -362,57 +458,72 @@ class Reader:
             self.files[level, s] = map_arrays(f"{self.model.path}/{level}-{s}") if known else None
         return self.files[level, s]
 
-    def find(self, level: int, keys: np.ndarray, kinds: list[tuple[int, list[int | None]]]) -> list[np.ndarray]:
-        """Values of each key (0 if absent). ``kinds`` has pairs (array of keys, arrays of values; None: 1)."""
-        known, back = np.unique(keys, return_inverse=True)
-        width = max(len(v) for _, v in kinds)
-        out = [np.zeros(known.size, np.uint64) for _ in range(width)]
-        bits = self.model.bits
-        shard = known >> np.uint64(64 - bits) if bits else np.zeros(known.size, np.uint64)
-        cuts = [*np.flatnonzero(np.diff(shard.astype(np.int64), prepend=-1)).tolist(), known.size]
+    def by_shard(self, level: int, shards: np.ndarray) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+        """Shard, which of the look-ups go to it, and its arrays, for each shard that was written."""
+        order = np.argsort(shards, kind="stable")
+        dealt = shards[order]
+        cuts = [*np.flatnonzero(np.diff(dealt, prepend=-1)).tolist(), dealt.size]
         for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            arrays = self.shard(level, int(shard[s]))
-            if arrays is None:
-                continue
-            q = known[s:e]
-            for key, values in kinds:
-                a = arrays[key]
-                if a.size:
-                    i = np.searchsorted(a, q)
-                    i[i == a.size] = 0
-                    hit = np.flatnonzero(a[i] == q)
-                    for k, v in enumerate(values):
-                        out[k][s + hit] = 1 if v is None else arrays[v][i[hit]]
-        return [o[back] for o in out]
+            arrays = self.shard(level, int(dealt[s]))
+            if arrays is not None:
+                yield int(dealt[s]), order[s:e], arrays
+
+    def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and counts of words in the training texts."""
+        numbers, counts = np.full(hashes.size, UNKNOWN), np.zeros(hashes.size, np.int64)
+        for s, of, (known, count) in self.by_shard(0, shard_of(hashes, self.model.bits)):
+            i = np.searchsorted(known, hashes[of])
+            i[i == known.size] = 0
+            hit = np.flatnonzero(known[i] == hashes[of])
+            numbers[of[hit]] = self.model.first[s] + i[hit]
+            counts[of[hit]] = count[i[hit]]
+        return numbers, counts
+
+    def counts(self, level: int, hashes: np.ndarray, shards: np.ndarray) -> np.ndarray:
+        out = np.zeros(hashes.size, np.int64)
+        for _, of, a in self.by_shard(level, shards):
+            out[of[places(a[0], a[1], hashes[of]) >= 0]] = 1
+            i = places(a[2], a[3], hashes[of])
+            out[of[i >= 0]] = a[4][i[i >= 0]]
+        return out
+
+    def sums(self, level: int, contexts: np.ndarray, shards: np.ndarray) -> np.ndarray:
+        """Per context: sum of the counts, then how many n-grams occur once, twice and more often."""
+        out = np.zeros((4, contexts.size))
+        for _, of, a in self.by_shard(level, shards):
+            out[:2, of[places(a[5], a[6], contexts[of]) >= 0]] = 1
+            i = places(a[7], a[8], contexts[of])
+            for k in range(4):
+                out[k, of[i >= 0]] = a[9 + k][i[i >= 0]]
+        return out
 
     def log_scores(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Per token: log10 probability and count in the training texts."""
         m = self.model
-        columns = grams(texts, m.order)
+        words, ids = np.unique(np.concatenate(texts), return_inverse=True)
+        numbers, raw = self.words(words)
+        hashed = spread(np.append(BEGIN, numbers))
+        columns = [hashed[c] for c in grams(ids + 1, [t.size for t in texts], m.order, 0)]
         word = columns[-1]
-        # the end is counted as often as the begin is a context
-        raw_key = np.where(word == END, BEGIN, word)
-        count = self.find(2, raw_key, [(3, [4])])[0] if m.order == 2 else self.raw(word)
         n1, n2, n3, _, types, total = m.stats.get(1, [0] * STATS)
         n3 = types - n1 - n2
         d = m.discounts(1)
-        left = self.find(1, word, [(0, [1])])[0].astype(np.int64)
+        left = self.counts(1, word, shard_of(word, m.bits))
         rest = (d[1] * n1 + d[2] * n2 + d[3] * n3) / total if total else 1.0
         p = (np.maximum(left - d[np.minimum(left, 3)], 0) / total if total else 0.0) + rest / (types + 1)
         for level in range(2, m.order + 1):
             context = context_hash(columns[-level:-1])
-            c = self.find(level, mix(context, word), [(0, [None]), (1, [2])])[0].astype(np.int64)
-            sums = [x.astype(float) for x in self.find(level, context, [(3, [4, 5, 6, 7])])]
+            shards = shard_of(context, m.bits)
+            c, sums = self.counts(level, mix(context, word), shards), self.sums(level, context, shards)
             d = m.discounts(level)
             seen = sums[0] > 0
             all_ = np.where(seen, sums[0], 1)
             back = np.where(seen, (d[1] * sums[1] + d[2] * sums[2] + d[3] * sums[3]) / all_, 1.0)
             p = np.where(seen, np.maximum(c - d[np.minimum(c, 3)], 0) / all_, 0.0) + back * p
-        return np.log10(p), count.astype(np.int64)
+        return np.log10(p), raw[ids]
 
-    def raw(self, word: np.ndarray) -> np.ndarray:
-        return self.find(0, np.where(word == END, BEGIN, word), [(0, [1])])[0]
 
+# ---------------------------------------------------------------- documents
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, n_tokens, n_known, train_tokens, base_score, score, perplexity``."""
