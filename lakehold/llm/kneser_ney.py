@@ -34,13 +34,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehold.llm.common import fold, worker_cache
+from lakehold.llm.common import fold
 from lakehold.session import shared_dir
 
 HELD_OUT = 1
 CHUNK_TOKENS = 2_000_000  # tokens that a map task packs at a time
+BLOCK_WORDS = 100_000  # words that are hashed at a time
 SCORE_TOKENS = 400_000  # tokens that are looked up at a time
-CACHED_WORDS = 250_000
 MIN_SHARDS, SHARDS_PER_SPLIT, MAX_SHARDS = 16, 2, 1 << 18
 END = np.uint64(xxhash.xxh64_intdigest(b"\nend"))  # no word has a line end
 UNKNOWN, BEGIN, FIRST = np.uint64(0), np.uint64(1), 2  # numbers of words; those of the vocabulary follow
@@ -52,25 +52,6 @@ LOW = np.uint64(0xFFFFFFFF)
 
 # ---------------------------------------------------------------- tokens and hashes
 
-class WordHashes(dict):
-    """word bytes -> 64-bit hash; forgets all when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-def token_hashes(text: str | None) -> np.ndarray:
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    known = worker_cache("word hashes", WordHashes)
-    out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    out[-1] = END
-    return out
-
-
 def spread(numbers: np.ndarray) -> np.ndarray:
     """Hashes of word numbers."""
     h = numbers * np.uint64(0x9E3779B97F4A7C15)
@@ -79,6 +60,31 @@ def spread(numbers: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+BASE = np.uint64(0xC2B2AE3D27D4EB4F)
+BYTES = spread(np.arange(1, 257, dtype=np.uint64))  # a random number for each byte, the same for A-Z as for a-z
+BYTES[ord("A"):ord("Z") + 1] = BYTES[ord("a"):ord("z") + 1]
+
+
+def token_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash per word, then the end's: the sum over a word's bytes of a random number for each byte times the
+    power of an odd base for its place, mixed with the word's length."""
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    inside = np.concatenate(([False], ~SPACE[raw], [False]))
+    cuts = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, sizes = cuts[::2], cuts[1::2] - cuts[::2]
+    out = np.full(starts.size + 1, END)
+    for k in range(0, starts.size, BLOCK_WORDS):  # a long text takes no more memory than its words need
+        s, n = starts[k:k + BLOCK_WORDS], sizes[k:k + BLOCK_WORDS]
+        part = slice(int(s[0]), int(s[-1] + n[-1]))
+        byte = raw[part][inside[1:-1][part]]
+        first = np.cumsum(n) - n
+        powers = np.cumprod(np.full(int(n.max()), BASE))
+        sums = np.add.reduceat(BYTES[byte] * powers[np.arange(byte.size) - np.repeat(first, n)], first)
+        out[k:k + n.size] = spread(sums + n.astype(np.uint64))
+    return out
+
+
 def mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hash of a context's hash with a word's hash after it."""
     h = (context ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xC2B2AE3D27D4EB4F) + word
@@ -96,7 +102,8 @@ def context_hash(columns: list[np.ndarray]) -> np.ndarray:
 
 
 def shard_of(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(hashes.size, np.int64)
+    kind = np.uint16 if bits <= 16 else np.uint32  # the narrower sorts faster
+    return (hashes >> np.uint64(64 - bits)).astype(kind) if bits else np.zeros(hashes.size, kind)
 
 
 def grams(words: np.ndarray, sizes: list[int], order: int, begin: int) -> list[np.ndarray]:
@@ -132,16 +139,27 @@ def summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarr
 # ---------------------------------------------------------------- packed n-grams of a shard
 
 def pack(columns: list[np.ndarray], counts: np.ndarray) -> bytes:
-    """Sorted distinct n-grams as bytes: a sorted dictionary of the part's words, then the words' places in it (runs
-    of the first column) and the counts; all in the least widths, dictionary and first column as differences."""
-    words, at_word = np.unique(np.concatenate(columns), return_inverse=True)
-    ids = np.split(at_word.ravel(), len(columns))
+    """Sorted distinct n-grams of numbers as bytes."""
+    words, ids = np.unique(np.concatenate(columns), return_inverse=True)
+    return _packed(words, np.split(ids.ravel(), len(columns)), counts)
+
+
+def _packed(words: np.ndarray, ids: list[np.ndarray], counts: np.ndarray) -> bytes:
+    """A sorted dictionary of the part's words, then the words' places in it (runs of the first column) and the
+    counts; all in the least widths, dictionary and first column as differences. ``ids`` are places in ``words``."""
+    used = np.zeros(words.size, bool)
+    for c in ids:
+        used[c] = True
+    at = np.flatnonzero(used)
+    place = np.empty(words.size, np.uint32)
+    place[at] = np.arange(at.size, dtype=np.uint32)
+    words, ids = words[at], [place[c] for c in ids]
     at = np.flatnonzero(np.append(True, ids[0][1:] != ids[0][:-1]))
     step = lambda x: np.diff(x, prepend=x.dtype.type(0))
     arrays = [step(words), step(ids[0][at]), np.diff(np.append(at, counts.size)), *ids[1:], counts]
     widths = [_width(int(a.max())) for a in arrays]
     body = b"".join(_planes(a, w) for a, w in zip(arrays, widths, strict=True))
-    head = np.array([len(columns), counts.size, at.size, words.size, *widths], np.int64)
+    head = np.array([len(ids), counts.size, at.size, words.size, *widths], np.int64)
     return zstandard.compress(head.tobytes() + body, 5)
 
 
@@ -173,30 +191,30 @@ def unpack(data: bytes) -> tuple[list[np.ndarray], np.ndarray]:
     return [words[i] for i in ids], counts
 
 
-def merged(packed: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct n-grams of several parts, with the sums of their counts."""
+def merged(packed: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Distinct n-grams of several parts, with the sums of their counts: words, columns of places in them, counts."""
     parts = [_parts(p) for p in packed]
     words = np.unique(np.concatenate([w for w, _, _ in parts]))
-    place = [np.searchsorted(words, w) for w, _, _ in parts]
+    place = [np.searchsorted(words, w).astype(np.uint32) for w, _, _ in parts]
     ids = [np.concatenate([p[c[k]] for p, (_, c, _) in zip(place, parts, strict=True)]) for k in range(len(parts[0][1]))]
-    ids, counts = summed(ids, np.concatenate([n for _, _, n in parts]))
-    return [words[i] for i in ids], counts
+    return words, *summed(ids, np.concatenate([n for _, _, n in parts]))
 
 
-def packed_rows(level: int, columns: list[np.ndarray], counts: np.ndarray, hashes: np.ndarray, bits: int) -> Iterator[tuple]:
+def packed_rows(level: int, words: np.ndarray, ids: list[np.ndarray], counts: np.ndarray, hashes: np.ndarray, bits: int) -> Iterator[tuple]:
     """One row per shard, which is the upper bits of ``hashes``."""
     shard = shard_of(hashes, bits)
     order = np.argsort(shard, kind="stable")
     shard = shard[order]
-    cuts = np.flatnonzero(np.diff(shard, prepend=-1)).tolist() + [shard.size]
+    cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])).tolist() + [shard.size]
     for s, e in zip(cuts[:-1], cuts[1:], strict=True):
         part = order[s:e]
-        yield level, int(shard[s]), pack([c[part] for c in columns], counts[part]), None
+        yield level, int(shard[s]), _packed(words, [c[part] for c in ids], counts[part]), None
 
 
-def gram_rows(level: int, columns: list[np.ndarray], counts: np.ndarray, bits: int) -> list[tuple]:
+def gram_rows(level: int, numbers: np.ndarray, ids: list[np.ndarray], counts: np.ndarray, bits: int) -> list[tuple]:
     """Rows of n-grams of word numbers, by their contexts (by the word, for one column)."""
-    return list(packed_rows(level, columns, counts, context_hash([spread(c) for c in columns[:-1] or columns]), bits))
+    hashed = spread(numbers)
+    return list(packed_rows(level, numbers, ids, counts, context_hash([hashed[c] for c in ids[:-1] or ids]), bits))
 
 
 def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -281,21 +299,42 @@ def sorted_hashes(hashes: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
 
 
 def places(starts: np.ndarray, low: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Where each hash is in the arrays of ``sorted_hashes``; -1 if it is not there."""
+    """Where each hash is in the arrays of ``sorted_hashes``; -1 if it is not there.
+
+    Hashes are evenly spread, so the search begins near their share of the bucket and goes up or down from there.
+    """
     slot = slots(hashes, (starts.size - 1).bit_length() - 1)
-    bucket, want = (slot >> np.uint64(32)).astype(np.int64), slot & LOW
-    at, end = starts[bucket].astype(np.int64), starts[bucket + 1].astype(np.int64)
+    bucket, want = (slot >> np.uint64(32)).astype(np.int64), (slot & LOW).astype(np.int64)
+    first, end = starts[bucket].astype(np.int64), starts[bucket + 1].astype(np.int64)
     out = np.full(hashes.size, -1, np.int64)
-    live = np.flatnonzero(at < end)
-    while live.size:
-        found = low[at[live]] == want[live]
-        out[live[found]] = at[live[found]]
-        live = live[~found]
-        at[live] += 1
-        live = live[at[live] < end[live]]
+    of = np.flatnonzero(first < end)
+    want, first, end = want[of], first[of], end[of]
+    at = first + ((want * (end - first)) >> 32)
+    seen = low[at]
+    hit = seen == want
+    out[of[hit]] = at[hit]
+    for step in (1, -1):
+        live = np.flatnonzero(seen < want if step == 1 else seen > want)
+        at_, want_, edge, of_ = at[live] + step, want[live], (end if step == 1 else first - 1)[live], of[live]
+        while at_.size:
+            inside = np.flatnonzero(at_ != edge)
+            at_, want_, edge, of_ = at_[inside], want_[inside], edge[inside], of_[inside]
+            now = low[at_]
+            hit = now == want_
+            out[of_[hit]] = at_[hit]
+            on = np.flatnonzero(now < want_ if step == 1 else now > want_)
+            at_, want_, edge, of_ = at_[on] + step, want_[on], edge[on], of_[on]
     return out
 
 
+def _found(starts: np.ndarray, low: np.ndarray, hashes: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Which hashes are there and where; which are not."""
+    at = places(starts, low, hashes)
+    hit = at >= 0
+    which = np.flatnonzero(hit)
+    return (which, at[which]), np.flatnonzero(~hit)
+
+
 # ---------------------------------------------------------------- counting
 
 def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, list[int]]]:
@@ -315,13 +354,13 @@ def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.n
 def _count_words(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for tokens, _ in _chunks(batches, CHUNK_TOKENS):
         words, counts = np.unique(tokens, return_counts=True)
-        yield batch_of(list(packed_rows(0, [words], counts, words, bits)))
+        yield batch_of(list(packed_rows(0, words, [np.arange(words.size)], counts, words, bits)))
 
 
 def _write_words(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """Sorted hashes and counts of a shard's words."""
     for shard, rows in _shard_runs(batches):
-        (words,), counts = merged([d for _, d in rows])
+        words, _, counts = merged([d for _, d in rows])
         write_arrays(f"{path}/0-{shard}", [words, counts.astype(np.uint64)])
         yield batch_of([(0, shard, None, [words.size])])
 
@@ -334,7 +373,7 @@ def _count_texts(batches: Iterator[pa.RecordBatch], vocabulary: Model) -> Iterat
         numbers = np.append(BEGIN, reader.words(words)[0])
         columns = grams(ids + 1, sizes, order, 0)
         ids, counts = summed(columns, np.ones(columns[0].size, np.int64))
-        yield batch_of(gram_rows(order, [numbers[i] for i in ids], counts, vocabulary.bits))
+        yield batch_of(gram_rows(order, numbers, ids, counts, vocabulary.bits))
 
 
 def _shard_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list]]:
@@ -363,10 +402,11 @@ def _reduce(batches: Iterator[pa.RecordBatch], level: int, bits: int, path: str)
         if shard is None:
             yield batch_of([(lv, -1, None, st) for lv, st in rows])
             continue
-        columns, counts = merged([d for _, d in rows])
+        numbers, columns, counts = merged([d for _, d in rows])
         of = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
         out = [(level, -1, None, [*of, int(counts.size), int(counts.sum()), shard])]
-        hashed, tally, one = [spread(c) for c in columns], counts.astype(np.uint64), counts == 1
+        tally, one, hashed = counts.astype(np.uint64), counts == 1, spread(numbers)
+        hashed = [hashed[c] for c in columns]
         context = context_hash(hashed[:-1]) if level > 1 else None
         h = mix(context, hashed[-1]) if level > 1 else hashed[0]
         # what occurs once needs no count beside its hash
@@ -378,7 +418,7 @@ def _reduce(batches: Iterator[pa.RecordBatch], level: int, bits: int, path: str)
             kinds = [np.add.reduceat(sel.astype(np.uint64), at) for sel in (one, counts == 2, counts > 2)]
             ctx, once = context[at], total == 1
             arrays += [*sorted_hashes(ctx[once]), *sorted_hashes(ctx[~once], *(v[~once] for v in (total, *kinds)))]
-            out += gram_rows(level - 1, *summed(columns[1:], np.ones(counts.size, np.int64)), bits)
+            out += gram_rows(level - 1, numbers, *summed(columns[1:], np.ones(counts.size, np.int64)), bits)
         write_arrays(f"{path}/{level}-{shard}", arrays)
         yield batch_of(out)
 
@@ -462,7 +502,7 @@ class Reader:
         """Shard, which of the look-ups go to it, and its arrays, for each shard that was written."""
         order = np.argsort(shards, kind="stable")
         dealt = shards[order]
-        cuts = [*np.flatnonzero(np.diff(dealt, prepend=-1)).tolist(), dealt.size]
+        cuts = [*np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1])).tolist(), dealt.size]
         for s, e in zip(cuts[:-1], cuts[1:], strict=True):
             arrays = self.shard(level, int(dealt[s]))
             if arrays is not None:
@@ -479,23 +519,24 @@ class Reader:
             counts[of[hit]] = count[i[hit]]
         return numbers, counts
 
-    def counts(self, level: int, hashes: np.ndarray, shards: np.ndarray) -> np.ndarray:
-        out = np.zeros(hashes.size, np.int64)
-        for _, of, a in self.by_shard(level, shards):
-            out[of[places(a[0], a[1], hashes[of]) >= 0]] = 1
-            i = places(a[2], a[3], hashes[of])
-            out[of[i >= 0]] = a[4][i[i >= 0]]
-        return out
-
-    def sums(self, level: int, contexts: np.ndarray, shards: np.ndarray) -> np.ndarray:
-        """Per context: sum of the counts, then how many n-grams occur once, twice and more often."""
-        out = np.zeros((4, contexts.size))
-        for _, of, a in self.by_shard(level, shards):
-            out[:2, of[places(a[5], a[6], contexts[of]) >= 0]] = 1
-            i = places(a[7], a[8], contexts[of])
-            for k in range(4):
-                out[k, of[i >= 0]] = a[9 + k][i[i >= 0]]
-        return out
+    def counts(self, level: int, hashes: np.ndarray, contexts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of n-grams; the sums of counts and of discounts in their contexts, which are looked up first: no
+        n-gram follows a context that is not there."""
+        d = self.model.discounts(level)
+        out, total, mass = np.zeros(hashes.size, np.int64), np.zeros(hashes.size), np.zeros(hashes.size)
+        for _, of, a in self.by_shard(level, shard_of(hashes if contexts is None else contexts, self.model.bits)):
+            if contexts is not None:
+                (i, at), rest = _found(a[7], a[8], contexts[of])
+                total[of[i]] = a[9][at]
+                mass[of[i]] = d[1] * a[10][at] + d[2] * a[11][at] + d[3] * a[12][at]
+                (j, _), _ = _found(a[5], a[6], contexts[of[rest]])
+                total[of[rest[j]]], mass[of[rest[j]]] = 1, d[1]
+                of = np.concatenate([of[i], of[rest[j]]])
+            (i, at), rest = _found(a[2], a[3], hashes[of])
+            out[of[i]] = a[4][at]
+            (j, _), _ = _found(a[0], a[1], hashes[of[rest]])
+            out[of[rest[j]]] = 1
+        return out, total, mass
 
     def log_scores(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Per token: log10 probability and count in the training texts."""
@@ -508,18 +549,16 @@ class Reader:
         n1, n2, n3, _, types, total = m.stats.get(1, [0] * STATS)
         n3 = types - n1 - n2
         d = m.discounts(1)
-        left = self.counts(1, word, shard_of(word, m.bits))
+        left = self.counts(1, word, None)[0]
         rest = (d[1] * n1 + d[2] * n2 + d[3] * n3) / total if total else 1.0
         p = (np.maximum(left - d[np.minimum(left, 3)], 0) / total if total else 0.0) + rest / (types + 1)
         for level in range(2, m.order + 1):
             context = context_hash(columns[-level:-1])
-            shards = shard_of(context, m.bits)
-            c, sums = self.counts(level, mix(context, word), shards), self.sums(level, context, shards)
+            c, all_, mass = self.counts(level, mix(context, word), context)
             d = m.discounts(level)
-            seen = sums[0] > 0
-            all_ = np.where(seen, sums[0], 1)
-            back = np.where(seen, (d[1] * sums[1] + d[2] * sums[2] + d[3] * sums[3]) / all_, 1.0)
-            p = np.where(seen, np.maximum(c - d[np.minimum(c, 3)], 0) / all_, 0.0) + back * p
+            seen = all_ > 0
+            all_[~seen] = 1
+            p = np.where(seen, np.maximum(c - d[np.minimum(c, 3)], 0) / all_ + mass / all_ * p, p)
         return np.log10(p), raw[ids]
 
 

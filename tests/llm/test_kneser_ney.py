@@ -146,3 +146,25 @@ def test_a_missing_model_file_is_an_error(spark):
     os.remove(path)
     with pytest.raises(Exception, match="No such file"):
         kn.score(docs, model).collect()
+
+
+def test_word_hashes_depend_on_the_word_alone():
+    text = "\x0b".join(["A", "a", "aB", "ba", "É", "é", "x" * 100_000, "\x1c\x85", *(f"w{k}" for k in range(250_000))]) + " \n"
+    words = text.encode().lower().split()
+    hashes = kn.token_hashes(text)
+    assert hashes.size == len(words) + 1 and hashes[-1] == kn.END and kn.token_hashes(None).tolist() == kn.token_hashes(" \t").tolist() == [kn.END]
+    assert len(set(words)) == len(set(hashes[:-1].tolist())) == len(set(zip(words, hashes.tolist())))
+    for k in (0, 2, 3, 7, 99_999, 100_000, 100_008, 250_007):
+        assert kn.token_hashes(words[k].decode())[0] == hashes[k]
+
+
+def test_sorted_hashes_are_found_and_others_are_not():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 100, 50_000):
+        h = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        h[n // 2:] |= np.uint64(7)  # uneven buckets
+        h = np.unique(h)
+        starts, low, values = kn.sorted_hashes(h, h)
+        asked = np.concatenate([h, rng.integers(0, 1 << 63, 1000, np.uint64)])
+        at = kn.places(starts, low, asked)
+        assert (values[at[:h.size]] == h).all() and (at[h.size:] == -1).all()
