@@ -58,3 +58,17 @@ def test_whole_small_table_as_the_library(spark):
     got = run(docs, shared_dir(spark, "t-cache")).collect()
     assert len(got) == len(text)
     assert all(r.n_tokens == len(LIB.encode(text[r.doc_id], add_special_tokens=False)) for r in got)
+
+
+def test_registered_query_equals_the_library_on_all_documents(spark):
+    from lakehold.llm.queries import op7_token_counts
+
+    folder = "/root/testdata/sf0.1"
+    rows = sorted(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
+    texts = [r.text or "" for r in rows]
+    want = []
+    for k in range(0, len(texts), 500):
+        want += [len(x.ids) for x in LIB.encode_batch(texts[k:k + 500], add_special_tokens=False)]
+    got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in op7_token_counts(spark, folder).collect()}
+    assert len(got) == len(rows)
+    assert got == {r.doc_id: (len(t.encode()), n, n > 1024) for r, t, n in zip(rows, texts, want, strict=True)}
