@@ -564,6 +564,35 @@ def stream_scd2(spark, sf):
     return store.state(spark).select(*SCD_OUT)
 
 
+STORE_CUTOFF = "1998-06-01 00:00:00"
+
+
+def station_facts_store(spark, sf):
+    """Facts from a store that takes the tables in three batches: versions up to a cut-off, of which the
+    last were still running, part of the connectors and observations; versions that came or ended since and
+    the other connectors; all other observations, among them the first of a zone."""
+    from lakehold.functions.columns import open_end
+    from lakehold.plans.fact_store import FactStore
+    from lakehold.session import shared_dir
+
+    v, c, w = roles.mart_inputs(spark, sf, VERSION_SPLIT())
+    cut = ts_ntz(STORE_CUTOFF)
+    before, ended = F.col("valid_from") < cut, F.col("valid_to") >= cut
+    known = v.where(before).withColumn("valid_to", F.when(ended, open_end()).otherwise(F.col("valid_to")))
+    since = v.where(~before | (ended & (F.col("valid_to") < open_end())))
+    early_c = F.pmod("l_orderkey", F.lit(3)) != 0
+    early_w = (F.col("dt_utc") < ts_ntz(EVENT_CUTOFF)) & (F.col("zone") != 7)
+    store = FactStore(shared_dir(spark, "fact-store"), "parity", buckets=16, connector_order=("l_orderkey", "l_linenumber"),
+                      station_zone=("weather_zone",), weather_zone=("zone",))
+    store.create(spark, v, c, w)
+    none = F.lit(False)
+    store.apply(known, c.where(early_c), w.where(early_w), 0, STORE_CUTOFF, MART_SPLIT())
+    store.apply(since, c.where(~early_c), w.where(none), 1, AS_OF, MART_SPLIT())
+    store.apply(v.where(none), c.where(none), w.where(~early_w), 2, AS_OF, MART_SPLIT())
+    return store.facts(spark, AS_OF)
+
+
+QUERIES["station_facts_store"] = station_facts_store
 QUERIES["stream_dedup"] = stream_dedup
 QUERIES["stream_scd2"] = stream_scd2
 

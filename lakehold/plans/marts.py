@@ -107,34 +107,44 @@ def station_facts(versions: DataFrame, connectors: DataFrame, weather: DataFrame
     now = ts_ntz(as_of)
     j = _qualified_versions(versions, connectors, weather, station_zone, weather_zone,
                             connector_order, mode)
-    order = ["date_last_status_update", "station_sk"]
-    if mode == "parity":
-        # newest-first lag == the next-newer version in ascending order
-        j = with_neighbor(j, ["station_id"], order, ["is_operational"], "next", "nb_", split)
-        counted = ~F.col("is_operational") & F.coalesce(F.col("nb_is_operational"), F.lit(True))
-        minutes = minutes_between(F.col("valid_from"), F.least(now, F.col("valid_to")))
-        dur = F.when(counted, minutes).otherwise(0)
-        cnt = F.when(counted, 1).otherwise(0)
-        like = F.col("lw.weather").like
-    else:
-        j = with_neighbor(j, ["station_id"], order, ["is_operational"], "prev", "nb_", split)
-        starts = ~F.col("is_operational") & F.coalesce(F.col("nb_is_operational"), F.lit(True))
-        minutes = minutes_between(F.col("valid_from"), F.least(now, F.col("valid_to")))
-        dur = F.when(~F.col("is_operational"), F.greatest(minutes, F.lit(0))).otherwise(0)
-        cnt = F.when(starts, 1).otherwise(0)
-        like = F.col("lw.weather").ilike
-
+    order = list(VERSION_ORDER)
+    j = with_offline_marks(j, mode, split)
     agg = j.groupBy("station_id").agg(
         F.max("max_zone_id").alias("weather_zone_id"),
         F.max("latest").alias("lw"),
         F.max_by("is_operational", F.struct(*order)).alias("is_operational"),
-        F.sum(cnt).alias("offline_count"),
-        F.sum(dur).alias("offline_duration"),
+        F.sum(F.when(F.col("offline_start"), 1).otherwise(0)).alias("offline_count"),
+        F.sum(F.when(F.col("offline_timed"), offline_minutes(now, mode)).otherwise(0)).alias("offline_duration"),
         minutes_between(F.max("date_created"), now).alias("total_duration"),
         F.max("max_level").alias("max_level"),
         F.max("first_power").alias("first_power"),
         F.max("sum_power").alias("sum_power"),
     )
+    return fact_rows(agg, as_of, mode)
+
+
+VERSION_ORDER = ("date_last_status_update", "station_sk")
+
+
+def with_offline_marks(versions: DataFrame, mode: str, split: Column | None = None) -> DataFrame:
+    """Qualified versions with ``offline_start`` (counts as a transition) and ``offline_timed``
+    (its minutes count), from the neighbour version of the station."""
+    # newest-first lag == the next-newer version in ascending order
+    direction = "next" if mode == "parity" else "prev"
+    j = with_neighbor(versions, ["station_id"], list(VERSION_ORDER), ["is_operational"], direction, "nb_", split)
+    starts = ~F.col("is_operational") & F.coalesce(F.col("nb_is_operational"), F.lit(True))
+    return j.withColumns({"offline_start": starts, "offline_timed": starts if mode == "parity" else ~F.col("is_operational")})
+
+
+def offline_minutes(now: Column, mode: str) -> Column:
+    """Minutes that a version counts with, up to ``now``."""
+    minutes = minutes_between(F.col("valid_from"), F.least(now, F.col("valid_to")))
+    return minutes if mode == "parity" else F.greatest(minutes, F.lit(0))
+
+
+def fact_rows(agg: DataFrame, as_of: str, mode: str) -> DataFrame:
+    """Fact rows from one aggregate row per station (``lw``: its latest weather)."""
+    like = F.col("lw.weather").like if mode == "parity" else F.col("lw.weather").ilike
     weather_hit = like(WEATHER_PATTERNS[0]) | like(WEATHER_PATTERNS[1])
     temp = F.col("lw.temp")
     risk = (

@@ -593,6 +593,7 @@ ORACLES["scd2_classify_nullsafe"] = _classify_nullable("s.status IS DISTINCT FRO
 ORACLES["scd2_classify_parity"] = _classify_nullable("s.status <> c.status")
 
 ORACLES["station_facts_zones"] = station_facts_sql("parity")
+ORACLES["station_facts_store"] = station_facts_sql("parity")
 
 ORACLES["null_removal"] = """
 SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_nationkey % 4 <> 0 AND c_name IS NOT NULL AND c_acctbal > 0"""
