@@ -6,7 +6,7 @@ anew only stations with changed versions or connectors, and those that waited fo
 observation of their zone. A newer observation of a known zone touches no station: facts
 meet the zones when they are read. Layout under ``root``::
 
-    versions/batch=<id>/bucket=<k>/    rows as they came; of a key the last batch's row counts
+    versions/batch=<id>/bucket=<k>/    rows as they came; of a key those of the last batch count
     connectors/batch=<id>/bucket=<k>/
     zones/batch=<id>/                  latest observation per zone of the batch; these are merged
     touched/, marked/batch=<id>/       stations to compute anew, their versions with neighbours
@@ -19,11 +19,12 @@ A batch opens the buckets of its stations only, and writes their ``state``, ``ru
 ``power`` whole. No state depends on the time that facts are asked for: ended versions are
 summed, running ones are kept as rows. So ``facts`` may be read for any time not before the
 latest batch, without any change. A bucket that grows over ``max_rows`` splits, and its rows are
-compacted to the last of each key.
+compacted to those that count.
 
 Cases: rows without a station count nowhere; a null zone never meets an observation; a
 version is one (station_id, station_sk), a connector one (station_id, order columns), an
-observation one (dt_utc, weather_sk): a row that comes again replaces the former one; empty
+observation one (dt_utc, weather_sk): what comes again replaces the rows of former batches, and
+repeated rows of one batch all count, as in one pass; empty
 batches change nothing; a batch that fails or is repeated overwrites its own folders.
 """
 
@@ -33,7 +34,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, LongType, TimestampNTZType
 from pyspark.errors import AnalysisException
@@ -135,7 +136,7 @@ class FactStore(BucketFiles):
         return self._files(spark, part, f"schema_{part}")
 
     def _log(self, spark: SparkSession, part: str, d: Directory, buckets: Iterable[int], batch_id: int) -> DataFrame:
-        """Of each key of the buckets the last batch's row; files of other buckets are not opened."""
+        """Of each key of the buckets the rows of the last batch that has it; files of other buckets are not opened."""
         by_base: dict[int, list[int]] = {}
         for b in buckets:
             by_base.setdefault(d.base.get(b, INIT_BATCH), []).append(b)
@@ -143,10 +144,8 @@ class FactStore(BucketFiles):
         for base, bs in by_base.items():
             wanted = wanted | ((F.col("batch") >= base) & F.col("bucket").isin(bs))
         rows = self._read(spark, part).where(wanted & F.col("batch").isin([*d.batches, batch_id]))
-        key = self._log_key(part)
-        rest = [c for c in rows.columns if c not in (*key, "bucket", "batch")]
-        last = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col("batch")).alias("__row"))
-        return last.select(*key, "__row.*")
+        newest = F.max("batch").over(Window.partitionBy(*self._log_key(part)))  # a key has a row or two per batch
+        return rows.withColumn("__newest", newest).where("batch = __newest").drop("__newest", "bucket", "batch")
 
     def _rows(self, spark: SparkSession, part: str, d: Directory, buckets: Sequence[int] | None = None) -> DataFrame:
         """Rows of a part that buckets are written whole in: those of each bucket's last batch."""

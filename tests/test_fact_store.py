@@ -82,7 +82,7 @@ def test_edges(spark, tmp_path):
         "valid_from", F.when(F.col("station_sk") % 5 != 0, F.col("valid_from"))).withColumn("clash", F.lit(1)).withColumn("batch", F.lit("x"))
     zone = KW["station_zone"][0]
     dirty_v = dirty_v.withColumn(zone, F.when(F.col("station_sk") % 11 != 0, F.col(zone)))
-    dirty_c = c.withColumn("power_kw", F.when(F.col("level_id") > 1, F.col("power_kw")))
+    dirty_c = c.unionByName(c).unionByName(c.withColumn("level_id", F.lit(3).cast(c.schema["level_id"].dataType))).withColumn("power_kw", F.when(F.col("level_id") > 1, F.col("power_kw")))
     dirty_w = w.withColumn("dt_utc", F.when(F.col("weather_sk") % 4 != 0, F.col("dt_utc"))).withColumn("latest", F.lit(0))
     store.apply(dirty_v, dirty_c, dirty_w, 1, AS_OF)
     same(store, spark, dirty_v, dirty_c, dirty_w.drop("latest"))
