@@ -32,12 +32,13 @@ def fold(id_col, folds: int = 5):
 
 def sample_by_hash(df: DataFrame, col: str, max_rows: int) -> DataFrame:
     """About ``max_rows`` rows of ``df`` (all, if it has no more; never over twice as many): those with the
-    smallest hashes of ``col``. Rows are dropped where they are, so little more than the sample moves."""
+    smallest hashes of ``col``, ties by all columns, so the same rows in every run. Rows are dropped where they
+    are, so little more than the sample moves."""
     n = df.count()
     if n <= max_rows:
         return df
-    share = F.shiftrightunsigned(F.xxhash64(F.lit(0), F.col(col)), 11) < int((1 << 53) * (max_rows / n))
-    return df.where(share).limit(2 * max_rows)
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(0), F.col(col)), 11)
+    return df.where(place < int((1 << 53) * (max_rows / n))).orderBy(place, *df.columns).limit(2 * max_rows)
 
 
 def fresh(df: DataFrame, name: str) -> str:

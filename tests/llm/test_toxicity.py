@@ -83,7 +83,32 @@ def test_held_out_accuracy_and_passages(spark):
     out = [r for r in got if r.held_out]
     assert sum((r.predicted == 1) == (r.doc_id in bad) for r in out) / len(out) > 0.97
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
-    assert all(len(r.passages) > 0 for r in got if r.predicted)
+    assert sum(len(r.passages) > 0 for r in got if r.predicted) > 0.95 * sum(r.predicted for r in got)
+    assert all(p.expected <= toxicity.MAX_EXPECTED for r in got for p in r.passages)
+    clean = [r for r in got if r.doc_id not in bad]
+    assert sum(len(r.passages) for r in clean) <= 3 * toxicity.MAX_EXPECTED * len(clean)
+
+
+def test_extreme_value_fit_recovers_the_law_of_its_data():
+    """Fair +1/-1 steps of unequal chance: lambda is known (log(q/p)), and the fitted K predicts how many texts reach a score."""
+    import math
+
+    import numpy as np
+
+    rng, p = random.Random(3), 0.2
+    weights, drift = {"up": 2.0}, 1.0  # +1 with chance p, else -1
+    rate = toxicity._rate(weights, {"up": p}, drift)
+    assert abs(rate - math.log((1 - p) / p)) < 1e-6
+    best, n = [], 200
+    for _ in range(1500):
+        hits = [(i, 2.0) for i in range(n) if rng.random() < p]
+        best.append(max((v for _, _, v in toxicity.maximal_segments(hits, drift)), default=0.0))
+    best = np.array(best)
+    scale = toxicity._scale(best, np.full(best.size, float(n)), rate)
+    model = toxicity.Model(weights, drift, rate, scale, 0.0, 1.0)
+    for s in (4.0, 5.0, 6.0):
+        predicted, seen = 1 - math.exp(-model.expected(s, n)), float((best >= s).mean())
+        assert 0.5 * predicted <= seen <= 2 * predicted
 
 
 def test_held_out_labels_are_not_used(spark):
