@@ -3,7 +3,9 @@
 Base kinds are leftmost non-overlapping matches (``assign``, ``access``, ``hex``); the kind ``entropy`` adds
 candidate strings with a window of high entropy for its character class. Entropy is kept by incremental
 counts: moving the window by one raises the count of the entering character and lowers that of the leaving
-one, and only those two terms change. Candidates on the allow list are suppressed; base spans never are.
+one, and only those two terms change. The allow list suppresses candidates of words, numbers or UUIDs, and takes marked
+pieces (``example``, a run of equal characters) out of others, whose rest is judged; base spans stay in any case. A span is
+the whole candidate.
 
 Cases: a null or empty text has no spans; positions are code points, end exclusive; repeated rows give
 repeated results; texts are scanned whole.
@@ -27,14 +29,15 @@ WINDOW = 20
 HEX_ALPHABET = "0123456789abcdef"
 BASE64_ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 HEX_BITS, BASE64_BITS = 3.0, 3.6
-# Allow list: candidates that look random but are not credentials.
-ALLOWED = [
-    r"^[A-Za-z]+([-_/+=][A-Za-z]+)*[-_/+=]*$",  # words, paths and identifiers without a digit
-    r"^[0-9]+([-_/+=][0-9]+)*[-_/+=]*$",  # numbers, dates and telephone numbers
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",  # UUIDs
-    r"(?i)example|sample|placeholder|changeme|dummy|your[-_]?(api|key|token)",
-    r"(?i)0123456789|abcdefghij|(.)\1{7}",
-]
+# Allow list. Marked pieces and runs are cut out of a candidate, and what is left on either side is judged by
+# itself; a rest that is made of words, numbers or a UUID alone is no credential.
+# No pattern repeats a group or begins at every place of a piece: candidates may be very long.
+MARKED = (r"(?i)(?<![A-Za-z0-9])[A-Za-z0-9]*(?:example|sample|placeholder|changeme|dummy|your[-_]?(?:api|key|token))[A-Za-z0-9]*"
+          r"|0123456789|abcdefghij|(.)\1{7,}")
+LETTERS = r"^[-_/+=A-Za-z]+$"  # words, paths and identifiers, unless the case changes as in no identifier
+MIXED = r"[A-Z][a-z][A-Z](?![a-z])|[A-Z][a-z][A-Z][a-z][A-Z]"
+NUMBERS = r"^[-_/+=0-9]+$"  # numbers, dates and telephone numbers
+UUID = r"(?i)^[-_/+=]*[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}[-_/+=]*$"
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -63,27 +66,26 @@ def _bits(count: Column) -> Column:
 def max_window_entropy(s: Column, alphabet: str, window: int = WINDOW) -> Column:
     """Largest Shannon entropy (bits) of ``window`` neighbouring characters of ``s``; 0 if it is shorter.
 
-    The state is (counts per character of the class, sum of c*log2 c, best). Characters outside the class
-    share one further count.
+    The state is (the last characters, sum of c*log2 c, least sum): the counts of the character that enters and
+    of the one that leaves are taken from the window, so a step costs a window's length whatever the class.
+    Characters outside the class count as one.
     """
-    chars = F.transform(F.split(s, ""), lambda c: F.when(F.position(c, F.lit(alphabet)) > 0, F.position(c, F.lit(alphabet))).otherwise(len(alphabet) + 1))
-    zero = F.struct(F.array_repeat(F.lit(0), len(alphabet) + 1).alias("n"), F.lit(0.0).alias("sum"), F.lit(float("inf")).alias("least"), chars.alias("c"))
-
-    def step(acc, i):
-        come = F.element_at(acc["c"], i)
-        full = i > window
-        gone = F.when(full, F.element_at(acc["c"], F.greatest(i - window, F.lit(1)))).otherwise(F.lit(0))
-        had = F.element_at(acc["n"], come).cast("double")
-        up = _bits(had + 1) - _bits(had)
-        left = F.when(full, F.element_at(acc["n"], F.greatest(gone, F.lit(1))) + F.when(gone == come, 1).otherwise(0)).otherwise(F.lit(0)).cast("double")
-        down = F.when(full, _bits(left) - _bits(left - 1)).otherwise(F.lit(0.0))
-        total = acc["sum"] + up - down
-        n = F.transform(acc["n"], lambda v, k: v + F.when(k + 1 == come, 1).otherwise(0) - F.when(k + 1 == gone, 1).otherwise(0))
-        return F.struct(n.alias("n"), total.alias("sum"),
-                        F.when(i >= window, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"), acc["c"].alias("c"))
+    inside = "".join(f"\\{c}" if c in "-/+_=" else c for c in alphabet)
+    chars = F.split(F.regexp_replace(s, f"[^{inside}]", "\x01"), "")
+    zero = F.struct(F.lit("").alias("w"), F.lit(0.0).alias("sum"), F.lit(float("inf")).alias("least"))
+    count = lambda w, c: (F.length(w) - F.length(F.replace(w, c, F.lit("")))).cast("double")
+
+    def step(acc, come):
+        full, gone = F.length(acc["w"]) == window, F.substring(acc["w"], 1, 1)
+        had = count(acc["w"], come)
+        left = count(acc["w"], gone) + F.when(gone == come, 1.0).otherwise(0.0)
+        total = acc["sum"] + _bits(had + 1) - _bits(had) - F.when(full, _bits(left) - _bits(left - 1)).otherwise(F.lit(0.0))
+        w = F.concat(F.when(full, F.substring(acc["w"], 2, window)).otherwise(acc["w"]), come)
+        return F.struct(w.alias("w"), total.alias("sum"),
+                        F.when(F.length(w) == window, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"))
 
     # H = log2(W) - sum(c log2 c) / W, so the largest entropy is the least sum
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))), zero, step,
+    return F.aggregate(chars, zero, step,
                        lambda acc: F.when(acc["least"] < float("inf"), F.log2(F.lit(float(window))) - acc["least"] / window).otherwise(F.lit(0.0)))
 
 
@@ -94,14 +96,15 @@ def find_spans(df: DataFrame, text_col: str, out: str = "found", hex_bits: float
     spans = lambda found, rank, keep: F.transform(F.filter(found, keep), lambda x: F.struct(
         x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end")))
 
+    def random(r):
+        plain = r.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
+        allowed = (r.rlike(LETTERS) & ~r.rlike(MIXED)) | r.rlike(NUMBERS) | r.rlike(UUID)
+        bits = F.when(plain, max_window_entropy(F.lower(r), HEX_ALPHABET) >= hex_bits).otherwise(
+            max_window_entropy(r, BASE64_ALPHABET) >= base64_bits)
+        return (F.length(r) >= WINDOW) & ~allowed & bits
+
     def secret(x):
-        plain = x["s"].rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
-        allowed = F.lit(False)
-        for a in ALLOWED:
-            allowed = allowed | x["s"].rlike(a)
-        bits = F.when(plain, max_window_entropy(F.lower(x["s"]), HEX_ALPHABET) >= hex_bits).otherwise(
-            max_window_entropy(x["s"], BASE64_ALPHABET) >= base64_bits)
-        return ~allowed & x["s"].rlike("[0-9]") & bits
+        return F.exists(F.split(F.regexp_replace(x["s"], MARKED, " "), " "), random)
 
     return df.withColumn(out, F.array_sort(F.concat(
         spans(located(text, ASSIGN), 0, lambda x: F.length(F.regexp_extract(x["s"], ASSIGN, 1)) >= MIN_ASSIGN),
