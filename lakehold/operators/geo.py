@@ -9,11 +9,17 @@ Regions form a tree of nodes of at most 16 entries, packed by sort and tile: box
 ranked by the x of their centres and cut into slabs of equal numbers, each slab is ranked by
 y and cut into nodes; the nodes' boxes are packed in the same way, up to a root. Ranks, not
 coordinates, decide, so neither far-away regions nor equal ones can fill a node. A point
-descends from the root. A node farther away than the farthest corner of some other node
-cannot hold the nearest region and is dropped, so a point meets a few nodes per level
-wherever it lies. The upper levels (at most ``INLINE`` nodes each) are part of the
-expression: a point passes them in its own row, without a join; the levels below are
-equi-joins on node numbers with a minimum per point.
+descends from the root to nodes of at most ``GROUP`` regions. Regions touch every side of their
+node's box, so the nearest one is no farther than the farther end of a box's nearer side; nodes
+beyond that are dropped, so a point meets a few nodes per level wherever it lies. The upper levels
+(at most ``INLINE`` nodes each) are part of the expression: a point passes them in its own row,
+without a join; levels below are equi-joins on node numbers with a minimum per point.
+
+Points then meet the regions of their nodes, dealt by node and, where a node has many points, in
+parts. Pairs of points and regions exist inside a task only, a block of points at a time: a first
+pass returns the least distance per point and node, a second one the regions at the least distance
+of all nodes. What is stored and shuffled are points (once per node met) and regions (once per
+part), however many regions a point lies in.
 
 Equally near regions (within ``tie_tolerance``) all come back, one row each. A point
 with a null, NaN or infinite coordinate keeps one row with a null region, and so do all
@@ -24,14 +30,23 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from lakehold.sources import wkb
 
+_BOX = ("__x0", "__y0", "__x1", "__y1")
 VERTICES = "array<struct<x:double,y:double>>"
 NODE = 16  # entries of a node
+GROUP = NODE ** 3  # regions that a task holds at a time
+PART = 32768  # points, about, that meet a node's regions in one go
+BLOCK, CHUNK = 256, 128  # points and regions that are measured at a time
 INLINE = NODE ** 3  # nodes of a level that every task may hold
 ONE_TASK = NODE ** 4  # boxes that one task may rank
 
@@ -150,11 +165,13 @@ def _packed(df: DataFrame, n: int, root: str) -> DataFrame:
 
 
 def _region_tree(regions: DataFrame, name_col: str, root: str) -> tuple[DataFrame, list[DataFrame], list[int]] | None:
-    """Stored regions with their edges, box and node, the nodes of every level from the root's down, and their numbers."""
+    """Stored boxes of the regions and their nodes, the nodes of every level from the root's down, and their numbers.
+    The regions themselves, with their edges as flat numbers, are stored in ``root``."""
     spark = regions.sparkSession
     flat = _with_rings(regions).withColumn("__points", F.flatten("rings"))
     good = flat.where((F.size("__points") > 0) & ~F.exists("__points", lambda v: ~_finite(v["x"]) | ~_finite(v["y"])))
-    reg = good.select(F.col(name_col).alias("__name"), F.flatten(F.transform("rings", _edges)).alias("__edges"), *_boxes_of(F.col("__points")),
+    flat_edges = F.flatten(F.transform(F.flatten(F.transform("rings", _edges)), lambda e: F.array(e["x1"], e["y1"], e["x2"], e["y2"])))
+    reg = good.select(F.col(name_col).alias("__name"), flat_edges.alias("__edges"), *_boxes_of(F.col("__points")),
                       F.monotonically_increasing_id().alias("__id"))
     obs = Observation()
     reg.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/regions")
@@ -164,6 +181,7 @@ def _region_tree(regions: DataFrame, name_col: str, root: str) -> tuple[DataFram
     tree, counts, at = [], [n], None
     while at is None or counts[0] > NODE:
         level = spark.read.schema(reg.schema if at is None else at.schema).parquet(f"{root}/{'regions' if at is None else f'level-{len(tree)}'}")
+        level = level.select("__id", *_BOX)  # edges are not sorted
         packed = _packed(level, counts[0], f"{root}/ranked-{len(tree)}")
         path = f"{root}/packed-{len(tree)}"
         packed.write.parquet(path)
@@ -194,14 +212,13 @@ def _inlined(nodes: list[DataFrame]) -> list[str]:
 
 
 def _near_and_far(px: Column, py: Column, box: dict[str, Column]) -> tuple[Column, Column]:
-    """Least and greatest distance of a point to a box."""
-    x0, y0, x1, y1 = (box[f"__{c}"] for c in ("x0", "y0", "x1", "y1"))
+    """Least distance of a point to a box, and one that the nearest of its contents cannot exceed: the
+    farther end of the nearer side, as every side is touched."""
+    x0, y0, x1, y1 = (box[c] for c in _BOX)
     dx, dy = F.greatest(x0 - px, F.lit(0.0), px - x1), F.greatest(y0 - py, F.lit(0.0), py - y1)
-    fx, fy = F.greatest(F.abs(px - x0), F.abs(px - x1)), F.greatest(F.abs(py - y0), F.abs(py - y1))
-    return F.sqrt(dx * dx + dy * dy), F.sqrt(fx * fx + fy * fy)
-
-
-_BOX = ("__x0", "__y0", "__x1", "__y1")
+    ax, bx, ay, by = F.abs(px - x0), F.abs(px - x1), F.abs(py - y0), F.abs(py - y1)
+    nx, fx, ny, fy = F.least(ax, bx), F.greatest(ax, bx), F.least(ay, by), F.greatest(ay, by)
+    return F.sqrt(dx * dx + dy * dy), F.sqrt(F.least(nx * nx + fy * fy, fx * fx + ny * ny))
 
 
 def _let(value: Column, then) -> Column:
@@ -210,16 +227,164 @@ def _let(value: Column, then) -> Column:
 
 
 def _alive(nodes: Column, entries: str, px: Column, py: Column, slack) -> Column:
-    """Entries of the given nodes (places in a level) that may hold the nearest region."""
+    """Entries of the given nodes (places in a level) that may hold the nearest region, and how near they are."""
     below = F.from_json(F.lit(entries), "array<array<struct<i:long,__x0:double,__y0:double,__x1:double,__y1:double>>>")
 
     def measured(e: Column) -> Column:
         near, far = _near_and_far(px, py, {b: e[b] for b in _BOX})
         return F.struct(e["i"].alias("i"), near.alias("near"), far.alias("far"))
 
-    met = F.transform(F.flatten(F.transform(nodes, lambda i: F.element_at(below, (i + 1).cast("int")))), measured)
+    met = F.transform(F.flatten(F.transform(nodes, lambda n: F.element_at(below, (n["i"] + 1).cast("int")))), measured)
     return _let(met, lambda m: _let(F.array_min(F.transform(m, lambda e: e["far"])), lambda bound: F.transform(
-        F.filter(m, lambda e: e["near"] <= bound + slack(bound)), lambda e: e["i"])))
+        F.filter(m, lambda e: e["near"] <= bound + slack(bound)), lambda e: F.struct(e["i"].alias("i"), e["near"].alias("near")))))
+
+
+# ---------------------------------------------------------------- pairs, inside a task
+
+
+@dataclass(frozen=True)
+class _Held:
+    """Regions of a node: boxes, and the edges of all of them in a row."""
+
+    names: pa.Array
+    box: np.ndarray  # x0, y0, x1, y1
+    edges: np.ndarray  # x1, y1, x2, y2
+    first: np.ndarray
+    count: np.ndarray
+
+    @staticmethod
+    def of(rows: list[pa.RecordBatch]) -> _Held:
+        t = pa.Table.from_batches(rows).combine_chunks()
+        lists = t["__edges"].combine_chunks()
+        count = lists.value_lengths().to_numpy(zero_copy_only=False) // 4
+        edges = np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, 4).T)
+        return _Held(t["__name"].combine_chunks(), np.stack([t[b].to_numpy() for b in _BOX]), edges, np.cumsum(count) - count, count)
+
+    def part(self, keep: np.ndarray) -> _Held:
+        return _Held(self.names, self.box[:, keep], self.edges, self.first[keep], self.count[keep])
+
+    def near(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        x0, y0, x1, y1 = self.box
+        dx = np.maximum(np.maximum(x0 - x[:, None], 0.0), x[:, None] - x1)
+        dy = np.maximum(np.maximum(y0 - y[:, None], 0.0), y[:, None] - y1)
+        return np.sqrt(dx * dx + dy * dy)
+
+    def far(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """As in ``_near_and_far``."""
+        ax, ay, bx, by = (np.abs(v[:, None] - b) for v, b in zip((x, y, x, y), self.box, strict=True))
+        nx, fx, ny, fy = np.minimum(ax, bx), np.maximum(ax, bx), np.minimum(ay, by), np.maximum(ay, by)
+        return np.sqrt(np.minimum(nx * nx + fy * fy, fx * fx + ny * ny))
+
+    def around(self, x: np.ndarray, y: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+        """Regions that may be within ``bound`` of some of the points, by their distance to the points' box, and that."""
+        x0, y0, x1, y1 = self.box
+        dx, dy = np.maximum(np.maximum(x0 - x.max(), 0.0), x.min() - x1), np.maximum(np.maximum(y0 - y.max(), 0.0), y.min() - y1)
+        gap = np.sqrt(dx * dx + dy * dy)
+        near_ones = np.flatnonzero(gap <= bound)
+        near_ones = near_ones[np.argsort(gap[near_ones], kind="stable")]
+        return near_ones, gap[near_ones]
+
+    def distance(self, x: np.ndarray, y: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """``edge_distance`` of pairs of a point and a region."""
+        if not len(r):
+            return np.zeros(0)
+        count = self.count[r]
+        start = np.cumsum(count) - count
+        at = np.repeat(self.first[r] - start, count) + np.arange(count.sum())
+        x1, y1, x2, y2 = (e[at] for e in self.edges)
+        qx, qy = np.repeat(x, count), np.repeat(y, count)
+        crosses = ((y1 > qy) != (y2 > qy)) & (qx < (x2 - x1) * (qy - y1) / (y2 - y1) + x1)
+        outside = np.add.reduceat(crosses, start, dtype=np.int64) % 2 == 0
+        out = np.zeros(len(r))
+        if outside.any():
+            of = np.repeat(outside, count)
+            x1, y1, x2, y2, qx, qy = (v[of] for v in (x1, y1, x2, y2, qx, qy))
+            dx, dy = x2 - x1, y2 - y1
+            len2 = dx * dx + dy * dy
+            t = np.where(len2 == 0, 0.0, ((qx - x1) * dx + (qy - y1) * dy) / len2)
+            t = np.minimum(np.maximum(t, 0.0), 1.0)
+            cx, cy = x1 + t * dx, y1 + t * dy
+            d = np.sqrt((qx - cx) * (qx - cx) + (qy - cy) * (qy - cy))
+            n = count[outside]
+            out[outside] = np.minimum.reduceat(np.where(np.isnan(d), np.inf, d), np.cumsum(n) - n)
+        return out
+
+
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[_Held, pa.RecordBatch]]:
+    """Of rows in the order of node and part, regions before points: blocks of points with their regions."""
+    key, rows, held = None, [], None
+    for b in batches:
+        keys = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in ("__node", "__part", "__is_point")], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            if i == j:
+                continue
+            if key != (k := tuple(keys[i][:2])):
+                key, rows, held = k, [], None
+            if not keys[i][2]:
+                rows.append(b.slice(i, j - i).select(["__name", "__edges", *_BOX]))
+                continue
+            held = held or _Held.of(rows)
+            # points come by x: strips of them, each by y, make blocks of points near each other
+            strip = np.arange(j - i) // (BLOCK * math.ceil(math.sqrt((j - i) / BLOCK)))
+            points = b.slice(i, j - i)
+            points = points.take(pa.array(np.lexsort((_at(points)[1], strip))))
+            for at in range(0, j - i, BLOCK):
+                yield held, points.slice(at, BLOCK)
+
+
+def _at(points: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return points.column("__px").to_numpy(), points.column("__py").to_numpy()
+
+
+def _least(slack: Callable) -> Callable:
+    """Least distance of each point to the regions of its node."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(all="ignore"):
+            for held, points in _blocks(batches):
+                x, y = _at(points)
+                best = np.full(len(x), np.inf)
+                bound = held.far(x[:1], y[:1]).min() + np.hypot(x.max() - x.min(), y.max() - y.min())  # what is near to one point is near to all
+                near_ones, gap = held.around(x, y, bound + slack(bound))
+                for at in range(0, len(near_ones), CHUNK):
+                    left = np.flatnonzero((best > 0) & (gap[at] <= best + slack(best)))
+                    if not len(left):
+                        break
+                    some = held.part(near_ones[at:at + CHUNK])
+                    px, py = x[left], y[left]
+                    most = np.minimum(best[left], some.far(px, py).min(axis=1))
+                    p, r = np.nonzero(some.near(px, py) <= (most + slack(most))[:, None])
+                    np.minimum.at(best, left[p], some.distance(px[p], py[p], r))
+                yield pa.record_batch({"__pid": points.column("__pid"), "__d": pa.array(best)})
+
+    return run
+
+
+def _at_least_distance(slack: Callable, tie_tolerance: float) -> Callable:
+    """Per point and node: the names of the regions within ``tie_tolerance`` of the point's least distance."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(all="ignore"):
+            for held, points in _blocks(batches):
+                x, y = _at(points)
+                least = points.column("__min").to_numpy()
+                most = least + slack(least)
+                near_ones, _ = held.around(x, y, most.max())
+                found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+                for at in range(0, len(near_ones), CHUNK):
+                    some = held.part(near_ones[at:at + CHUNK])
+                    p, r = np.nonzero(some.near(x, y) <= most[:, None])
+                    fits = some.distance(x[p], y[p], r) <= least[p] + tie_tolerance
+                    found.append((p[fits], near_ones[at + r[fits]]))
+                p, r = (np.concatenate(v) for v in zip(*found, strict=True))
+                p, r = p[order := np.argsort(p, kind="stable")], r[order]
+                who, n = np.unique(p, return_counts=True)
+                ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+                yield pa.record_batch({"__row": points.column("__row").take(pa.array(who)),
+                                       "__names": pa.ListArray.from_arrays(ends, held.names.take(pa.array(r)))})
+
+    return run
 
 
 def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude", y: str = "latitude",
@@ -240,34 +405,55 @@ def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude",
 
     px, py = F.col("__px"), F.col("__py")
     # distances of far points carry rounding errors in proportion to their size
-    slack = lambda bound: F.lit(tie_tolerance) + bound * 1e-12
-    open_ = pts.where(_finite(F.col(x)) & _finite(F.col(y))).select(
-        "__pid", F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
+    slack = lambda bound: tie_tolerance + bound * 1e-12
+    placed = _finite(F.col(x)) & _finite(F.col(y))
+    open_ = pts.where(placed).select("__pid", F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
 
     # the upper levels, in the point's own row: much work for few bytes, so few files are dealt over all cores
     cores = spark.sparkContext.defaultParallelism
     if pts.rdd.getNumPartitions() < cores:
         open_ = open_.repartition(cores, "__pid")
-    small = sum(c <= INLINE for c in counts)
-    alive = F.array(F.lit(0).cast("long"))
-    for entries in _inlined(levels[:small]):
+    above, below = [], []  # levels down to that of the groups, and those between it and the regions
+    for k, level in enumerate(levels):
+        (above if k <= max(len(levels) - round(math.log(GROUP, NODE)), 0) else below).append(level)
+    small = sum(c <= INLINE for c in counts[:len(above)])
+    alive = F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0.0).alias("near")))
+    for entries in _inlined(above[:small]):
         alive = _alive(alive, entries, px, py, slack)
     # never empty; the outer form keeps the optimizer from copying the expression into a filter
-    open_ = open_.select("__pid", "__px", "__py", F.explode_outer(alive).alias("__at"))
+    open_ = open_.select("__pid", "__px", "__py", F.explode_outer(alive).alias("__at")).select(
+        "__pid", "__px", "__py", F.col("__at.i").alias("__node"), F.col("__at.near").alias("__near"))
 
     # the others, by joins
     per_point = Window.partitionBy("__pid")
-
-    def pruned(cand: DataFrame) -> DataFrame:
+    for nodes in above[small:]:
+        cand = open_.select("__pid", "__px", "__py", "__node").join(nodes, F.col("__node") == F.col("__up"))
         near, far = _near_and_far(px, py, {b: F.col(b) for b in _BOX})
         cand = cand.withColumns({"__near": near, "__far": far}).withColumn("__bound", F.min("__far").over(per_point))
-        return cand.where(F.col("__near") <= F.col("__bound") + slack(F.col("__bound")))
-
-    for nodes in levels[small:]:
-        open_ = pruned(open_.join(nodes, F.col("__at") == F.col("__up"))).select("__pid", "__px", "__py", F.col("__id").alias("__at"))
-    # boxes only until they are pruned: edges join the few that are left
-    last = pruned(open_.join(reg.select("__id", "__up", *_BOX), F.col("__at") == F.col("__up"))).select("__pid", "__px", "__py", F.col("__id").alias("__region"))
-    last = last.join(reg.select("__id", "__edges", "__name"), F.col("__region") == F.col("__id"))
-    last = last.withColumn("__d", edge_distance(px, py, F.col("__edges"))).withColumn("__min", F.min("__d").over(per_point))
-    best = last.where(F.col("__d") <= F.col("__min") + F.lit(tie_tolerance)).select("__pid", F.col("__name").alias(out))
-    return pts.join(best, "__pid", "left").drop("__pid")
+        open_ = cand.where(F.col("__near") <= F.col("__bound") + slack(F.col("__bound"))).select(
+            "__pid", "__px", "__py", F.col("__id").alias("__node"), "__near")
+    open_.write.parquet(f"{root}/met")
+    met = spark.read.schema(open_.schema).parquet(f"{root}/met")
+
+    # points meet the regions of their nodes, those of a node with many points in parts
+    node_of = reg.select(F.col("__id").alias("__region"), F.col("__up").alias("__node"))
+    for nodes in reversed(below):
+        node_of = node_of.join(nodes.select(F.col("__id").alias("__node"), "__up"), "__node").select("__region", F.col("__up").alias("__node"))
+    n_met = met.count()
+    part = max(min(PART, n_met // (4 * cores)), BLOCK)
+    parts = met.groupBy("__node").agg(F.ceil(F.count(F.lit(1)) / part).alias("__parts"))
+    held = spark.read.parquet(f"{root}/regions").join(node_of, F.col("__id") == F.col("__region")).join(parts, "__node").select(
+        "__node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1)).alias("__part"), "__name", "__edges", *_BOX)
+    tasks = max(cores, min(n_met // part + counts[len(above) - 1], 10000))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        rows = rows.join(parts, "__node").withColumn("__part", F.pmod(F.xxhash64("__pid"), F.col("__parts"))).drop("__parts")
+        both = held.withColumn("__is_point", F.lit(0).cast("long")).unionByName(rows.withColumn("__is_point", F.lit(1).cast("long")), allowMissingColumns=True)
+        return both.repartition(tasks, "__node", "__part").sortWithinPartitions("__node", "__part", "__is_point", "__px")
+
+    least = dealt(met.drop("__near")).mapInArrow(_least(slack), "__pid long, __d double").groupBy("__pid").agg(F.min("__d").alias("__min"))
+    near_enough = met.join(least, "__pid").where(F.col("__near") <= F.col("__min") + slack(F.col("__min"))).drop("__near")
+    rows = near_enough.join(pts.select("__pid", F.struct(*points.columns).alias("__row")), "__pid")
+    found = StructType([StructField("__row", points.schema), StructField("__names", ArrayType(kind))])
+    best = dealt(rows).mapInArrow(_at_least_distance(slack, tie_tolerance), found).select("__row.*", F.explode("__names").alias(out))
+    return best.unionByName(pts.where(~placed).select(*points.columns, F.lit(None).cast(kind).alias(out)))

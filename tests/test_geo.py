@@ -176,3 +176,37 @@ def test_well_known_binary_forms():
         assert wkb.decode(bad) is None
     assert wkb.encode(None) is None and wkb.encode([]) is None
     assert [r.tolist() for r in wkb.decode(wkb.encode([[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]]))] == [want]
+
+
+def test_pairs_stay_inside_a_task(spark):
+    regions = geo.boxes(spark, [(f"r{i}", -float(i), -1.0, 10.0 + i, 11.0) for i in range(300)])
+    pts = spark.range(300).select("id", (F.col("id") % 10).cast("double").alias("x"), (F.col("id") / 30).alias("y"))
+    df = geo.nearest_region(pts, regions, x="x", y="y")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    after_pairs = plan.split("MapInArrow")[0]  # nothing deals, sorts or joins the pairs again
+    assert "MapInArrow" in plan and not any(s in after_pairs for s in ("Exchange", "Window", "Join", "Sort"))
+    assert df.count() == df.distinct().count() == 300 * 300
+
+
+def test_groups_and_parts_equal_brute_force(spark, monkeypatch):
+    rnd = random.Random(8)
+    rows = [(f"r{i}", x := rnd.uniform(-9, 9), y := rnd.uniform(-9, 9), x + rnd.uniform(0, 4), y + rnd.uniform(0, 4)) for i in range(500)]
+    pts = [(i, rnd.uniform(-15, 15), rnd.uniform(-15, 15)) for i in range(200)] + [(200 + i, 1.0, 2.0) for i in range(600)] + [(800, 1e5, -3.0)]
+    df = spark.createDataFrame(pts, "id int, latitude double, longitude double")
+    want = brute(pts, rows)
+    for inline in (geo.INLINE, 0):
+        monkeypatch.setattr(geo, "INLINE", inline)
+        for name, value in (("GROUP", geo.NODE), ("PART", 50), ("BLOCK", 20)):
+            monkeypatch.setattr(geo, name, value)
+        assert {(r.id, r.region) for r in geo.nearest_region(df, geo.boxes(spark, rows)).collect()} == want
+
+
+def test_columns_of_points_and_names_of_any_type_come_back(spark):
+    pts = spark.sql("""SELECT * FROM VALUES
+        (1, timestamp '2024-03-31 01:30:00', timestamp_ntz '1900-01-01 00:00:00', date '0001-01-01', 1.50BD, map('a', array(1, null)), cast('x' AS binary), 0.5D, 0.5D),
+        (2, null, null, null, null, null, null, 1.0D, 1.0D), (null, null, null, null, null, null, null, null, 1.0D) AS t(id, ts, ntz, d, n, m, b, x, y)""")
+    regions = geo.boxes(spark, [("7", 0.0, 0.0, 1.0, 1.0), ("8", 1.0, 1.0, 2.0, 2.0), (None, 0.0, 0.0, 1.0, 1.0)]).withColumn("name", F.col("name").cast("int"))
+    got = geo.nearest_region(pts, regions, x="x", y="y")
+    want = pts.withColumn("region", F.explode(F.expr("CASE id WHEN 1 THEN array(7, null) WHEN 2 THEN array(7, 8, null) ELSE array(cast(null AS int)) END")))
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
