@@ -576,6 +576,9 @@ def station_facts_store(spark, sf):
     from lakehold.session import shared_dir
 
     v, c, w = roles.mart_inputs(spark, sf, VERSION_SPLIT())
+    path = shared_dir(spark, "fact-versions")  # two batches take theirs from it
+    v.select("station_id", "station_sk", "status_id", "date_last_status_update", "valid_from", "valid_to", "date_created", "weather_zone").write.parquet(path)
+    v = spark.read.parquet(path)
     cut = ts_ntz(STORE_CUTOFF)
     before, ended = F.col("valid_from") < cut, F.col("valid_to") >= cut
     known = v.where(before).withColumn("valid_to", F.when(ended, open_end()).otherwise(F.col("valid_to")))

@@ -9,7 +9,7 @@ meet the zones when they are read. Layout under ``root``::
     versions/batch=<id>/bucket=<k>/    rows as they came; of a key those of the last batch count
     connectors/batch=<id>/bucket=<k>/
     zones/batch=<id>/                  latest observation per zone of the batch; these are merged
-    touched/, marked/batch=<id>/       stations to compute anew, their versions with neighbours
+    touched/, current/, marked/batch=<id>/  stations to compute anew, their versions, these with neighbours
     state/batch=<id>/bucket=<k>/       per (station, zone): sums over versions; zones not seen yet
     running/batch=<id>/bucket=<k>/     offline versions that had not ended at the batch's time
     power/batch=<id>/bucket=<k>/       per station: its connectors
@@ -92,12 +92,12 @@ class FactStore(BucketFiles):
         """Versions in a seen zone with offline marks, and (``qualified`` false) those whose zone is still unseen."""
         v = versions.where(F.col("status_id").isin(STATUS_OPERATIONAL, STATUS_TEMP_UNAVAILABLE)).dropna(subset=list(self.station_zone))
         v = v.withColumn("is_operational", F.col("status_id") == STATUS_OPERATIONAL)
-        known = known.select(*self.station_zone)
-        cols = [*self._versions(versions).columns, "is_operational", "offline_start", "offline_timed"]
-        met = marts.with_offline_marks(v.join(known, list(self.station_zone), "left_semi"), self.mode, split).select(*cols, F.lit(True).alias("qualified"))
-        no = F.lit(False)
-        unmet = v.join(known, list(self.station_zone), "left_anti").select("*", no.alias("offline_start"), no.alias("offline_timed"))
-        return met.unionByName(unmet.select(*cols, no.alias("qualified")))
+        seen = known.select(*self.station_zone).distinct().withColumn("__seen", F.lit(True))
+        v = v.join(seen, list(self.station_zone), "left").withColumn("qualified", F.col("__seen").isNotNull())
+        # only versions in a seen zone are neighbours of each other; one pass over both kinds
+        marked = marts.with_offline_marks(v, self.mode, split, ("station_id", "qualified"))
+        marks = {c: F.col("qualified") & F.col(c) for c in ("offline_start", "offline_timed")}
+        return marked.withColumns(marks).select(*self._versions(versions).columns, "is_operational", *marks, "qualified")
 
     def _state(self, marked: DataFrame, as_of: str) -> DataFrame:
         ended = F.col("valid_to") <= ts_ntz(as_of)
@@ -135,17 +135,23 @@ class FactStore(BucketFiles):
     def _read(self, spark: SparkSession, part: str) -> DataFrame:
         return self._files(spark, part, f"schema_{part}")
 
-    def _log(self, spark: SparkSession, part: str, d: Directory, buckets: Iterable[int], batch_id: int) -> DataFrame:
-        """Of each key of the buckets the rows of the last batch that has it; files of other buckets are not opened."""
+    def _log(self, spark: SparkSession, part: str, d: Directory, buckets: Iterable[int], batch_id: int, stations: DataFrame | None = None) -> DataFrame:
+        """Of each key of the buckets (and of ``stations``) the rows of the last batch that has it; files of other
+        buckets are not opened."""
         by_base: dict[int, list[int]] = {}
         for b in buckets:
             by_base.setdefault(d.base.get(b, INIT_BATCH), []).append(b)
         wanted = F.lit(False)
         for base, bs in by_base.items():
             wanted = wanted | ((F.col("batch") >= base) & F.col("bucket").isin(bs))
-        rows = self._read(spark, part).where(wanted & F.col("batch").isin([*d.batches, batch_id]))
-        newest = F.max("batch").over(Window.partitionBy(*self._log_key(part)))  # a key has a row or two per batch
-        return rows.withColumn("__newest", newest).where("batch = __newest").drop("__newest", "bucket", "batch")
+        batches = [*d.batches, batch_id]
+        rows = self._read(spark, part).where(wanted & F.col("batch").isin(batches))
+        if stations is not None:
+            rows = rows.join(stations, ["station_id"], "left_semi")
+        if len({b for b in batches if b != INIT_BATCH and b >= min(by_base, default=INIT_BATCH)}) > 1:  # of one batch all rows count
+            newest = F.max("batch").over(Window.partitionBy(*self._log_key(part)))  # a key has a row or two per batch
+            rows = rows.withColumn("__newest", newest).where("batch = __newest").drop("__newest")
+        return rows.drop("bucket", "batch")
 
     def _rows(self, spark: SparkSession, part: str, d: Directory, buckets: Sequence[int] | None = None) -> DataFrame:
         """Rows of a part that buckets are written whole in: those of each bucket's last batch."""
@@ -214,10 +220,10 @@ class FactStore(BucketFiles):
         after = Directory(d.depth, d.split | set(split_buckets))
 
         stations = touched.select("station_id")
-        only = lambda df: df.join(stations, ["station_id"], "left_semi")
-        v = only(self._log(spark, "versions", d, open_buckets, batch_id))
+        v, c = (self._log(spark, p, d, open_buckets, batch_id, stations) for p in LOGS)
+        v = self._put(v, "current", batch_id)  # marks take it twice, rows and edges of their splits
         marked = self._put(self._marked(v, self._known_zones(spark, batches), split), "marked", batch_id)
-        power = marts.connectors_per_station(only(self._log(spark, "connectors", d, open_buckets, batch_id)), self.connector_order, self.mode)
+        power = marts.connectors_per_station(c, self.connector_order, self.mode)
         fresh = {"state": self._state(marked, as_of), "running": self._running(marked, as_of), "power": power}
         for part in PARTS:
             kept = self._rows(spark, part, d, open_buckets).join(stations, ["station_id"], "left_anti")

@@ -126,12 +126,12 @@ def station_facts(versions: DataFrame, connectors: DataFrame, weather: DataFrame
 VERSION_ORDER = ("date_last_status_update", "station_sk")
 
 
-def with_offline_marks(versions: DataFrame, mode: str, split: Column | None = None) -> DataFrame:
+def with_offline_marks(versions: DataFrame, mode: str, split: Column | None = None, keys: Sequence[str] = ("station_id",)) -> DataFrame:
     """Qualified versions with ``offline_start`` (counts as a transition) and ``offline_timed``
-    (its minutes count), from the neighbour version of the station."""
+    (its minutes count), from the neighbour version of the station (or of equal ``keys``)."""
     # newest-first lag == the next-newer version in ascending order
     direction = "next" if mode == "parity" else "prev"
-    j = with_neighbor(versions, ["station_id"], list(VERSION_ORDER), ["is_operational"], direction, "nb_", split)
+    j = with_neighbor(versions, list(keys), list(VERSION_ORDER), ["is_operational"], direction, "nb_", split)
     starts = ~F.col("is_operational") & F.coalesce(F.col("nb_is_operational"), F.lit(True))
     return j.withColumns({"offline_start": starts, "offline_timed": starts if mode == "parity" else ~F.col("is_operational")})
 

@@ -90,3 +90,24 @@ def test_edges(spark, tmp_path):
         store.facts(spark, "2001-01-01 00:00:00")
     with pytest.raises(ValueError):
         store_at(tmp_path, "other")
+
+
+def test_a_batch_takes_its_rows_once(spark, tmp_path):
+    v, c, w = (x.cache() for x in random_inputs(spark, 14))
+    store = store_at(tmp_path / "s", buckets=4)
+    store.create(spark, v, c, w)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    v.write.parquet(str(tmp_path / "v"))
+    marked = store._marked(spark.read.parquet(str(tmp_path / "v")), store._zones(w, 0), None)
+    assert plan(marked).count("Relation [station_id") == 1  # versions of seen and unseen zones together
+    store.apply(v, c, w, 0, AS_OF)
+    d = store.directory(spark, 0)
+    assert "Window" not in plan(store._log(spark, "versions", d, d.leaves(), 0))  # there is no other batch to compare with
+    zone, key = KW["weather_zone"][0], ["station_id", "station_sk"]
+    again = v.where("station_sk % 3 = 0").withColumn("status_id", F.lit(30).cast(v.schema["status_id"].dataType))
+    store.apply(again, c.limit(0), w.limit(0), 1, AS_OF)
+    d, station = store.directory(spark), v.select("station_id").dropna().limit(1)
+    now = store._log(spark, "versions", d, d.leaves(), 1, station)
+    want = v.join(again.select(*key), key, "left_anti").unionByName(again).join(station, "station_id", "left_semi").select(*now.columns)
+    assert sorted(map(str, now.collect())) == sorted(map(str, want.collect())) and zone in w.columns
+    same(store, spark, v.join(again.select(*key), key, "left_anti").unionByName(again), c, w)
