@@ -73,3 +73,13 @@ def test_row_balance_builds_the_documents_once(spark):
     assert got["bronze"] == got["valid"] + got["rejected"] > 0
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("Generate inline") == 1
+
+
+def test_landing_ingest_shuffles_no_texts(spark):
+    df = catalog.landing_ingest(spark, E.SMOKE_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "min_by" in plan and "min_by(raw_text" not in plan
+    docs = catalog.station_documents(spark, E.SMOKE_DIR)
+    uuid = F.get_json_object("raw_text", "$.UUID")
+    assert df.count() == docs.where(uuid.isNull()).count() + docs.where(uuid.isNotNull()).select(uuid).distinct().count()
+    assert {r["has_text"] for r in df.select("has_text").distinct().collect()} == {True}
