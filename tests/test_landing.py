@@ -83,3 +83,45 @@ def test_landing_ingest_shuffles_no_texts(spark):
     uuid = F.get_json_object("raw_text", "$.UUID")
     assert df.count() == docs.where(uuid.isNull()).count() + docs.where(uuid.isNotNull()).select(uuid).distinct().count()
     assert {r["has_text"] for r in df.select("has_text").distinct().collect()} == {True}
+
+
+def test_parts_of_bronze_rows_make_the_whole(spark, tmp_path, monkeypatch):
+    docs, at = _odd_documents(spark), "2024-01-31 00:00:00"
+    rows = lambda df: sorted(map(repr, df.collect()))
+    want = rows(flows.bronze_stations(docs, at))
+    parts = [rows(flows.bronze_stations(docs, at, part=(k, 3))) for k in range(3)]
+    assert sum(map(bool, parts)) > 1 and sorted(sum(parts, [])) == want
+    monkeypatch.setattr(flows, "BRONZE_BYTES", 500)
+    taken, plain = [], landing.add_bronze_metadata
+    monkeypatch.setattr(landing, "add_bronze_metadata", lambda *a, **k: (taken.append(k["part"]), plain(*a, **k))[1])
+    schema, m = flows._write_bronze(docs, at, f"{tmp_path}/bronze")
+    assert len(taken) == taken[0][1] > 1 and m["n"] == len(want) and str(m["wm"]) == at
+    flows._write_bronze(docs, at, f"{tmp_path}/bronze")  # a repeated run overwrites it
+    assert rows(spark.read.schema(schema).parquet(f"{tmp_path}/bronze")) == want
+    assert flows._write_bronze(docs.limit(0), at, f"{tmp_path}/none")[1] == {"n": 0, "wm": None}
+
+
+def test_runs_leave_no_copies_of_what_they_staged(spark):
+    root = catalog._scheduled_runs(spark, E.SMOKE_DIR)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    folders = {r["path"].split(root.rsplit("/", 1)[1] + "/")[1].rsplit("/", 1)[0] for r in files.collect()}
+    assert {"landing", "stations/log", "connectors/log", "bronze", "weather"} <= {x for f in folders for x in (f.split("/")[0], "/".join(f.split("/")[:2]))}
+    assert not [f for f in folders if f.startswith(("dealt", "staging", "conn-staging")) or "/staged/" in f]
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    import time
+
+    from lakehold.session import shuffles_freed
+
+    held = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = held(), spark.conf.get(key)
+    with shuffles_freed(spark):
+        spark.range(1000).repartition(4).write.parquet(f"{tmp_path}/a")
+        assert spark.range(1000).groupBy(F.col("id") % 7).count().count() == 7
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not held() - before and spark.conf.get(key) == was
