@@ -9,7 +9,7 @@ Regions form a tree of nodes of at most 16 entries, packed by sort and tile: box
 ranked by the x of their centres and cut into slabs of equal numbers, each slab is ranked by
 y and cut into nodes; the nodes' boxes are packed in the same way, up to a root. Ranks, not
 coordinates, decide, so neither far-away regions nor equal ones can fill a node. A point
-descends from the root to nodes of at most ``GROUP`` regions. Regions touch every side of their
+descends from the root to nodes of NODE ** 3 regions, or of NODE ** 4 where there are many. Regions touch every side of their
 node's box, so the nearest one is no farther than the farther end of a box's nearer side; nodes
 beyond that are dropped, so a point meets a few nodes per level wherever it lies. The upper levels
 (at most ``INLINE`` nodes each) are part of the expression: a point passes them in its own row,
@@ -18,7 +18,9 @@ without a join; levels below are equi-joins on node numbers with a minimum per p
 Points then meet the regions of their nodes, dealt by node and, where a node has many points, in
 parts. Pairs of points and regions exist inside a task only, a block of points at a time: a first
 pass returns the least distance per point and node, a second one the regions at the least distance
-of all nodes. What is stored and shuffled are points (once per node met) and regions (once per
+of all nodes. A region with no edge near a block holds all of its points or none, which one point
+tells; such regions go with the block as a whole, so only regions with an edge there are measured
+point by point. What is stored and shuffled are points (once per node met) and regions (once per
 part), however many regions a point lies in.
 
 Equally near regions (within ``tie_tolerance``) all come back, one row each. A point
@@ -44,9 +46,14 @@ from lakehold.sources import wkb
 _BOX = ("__x0", "__y0", "__x1", "__y1")
 VERTICES = "array<struct<x:double,y:double>>"
 NODE = 16  # entries of a node
-GROUP = NODE ** 3  # regions that a task holds at a time
-PART = 32768  # points, about, that meet a node's regions in one go
-BLOCK, CHUNK = 256, 128  # points and regions that are measured at a time
+GROUP = NODE ** 3  # regions that a task holds at a time, or
+GROUPS = 512  # NODE times as many where there are more than so many such nodes
+PART = 262144  # points, about, that meet a node's regions in one go
+BLOCK, TILE = 64, 512  # points that are measured at a time, and for which regions are looked up together
+CHUNK, EDGES = 128, 4096  # regions and edges that are measured at a time
+RUN = 64  # regions near each other, looked up together
+NAMES = 500_000  # of a batch, about
+HUGE = 1e100 * 1e-12
 INLINE = NODE ** 3  # nodes of a level that every task may hold
 ONE_TASK = NODE ** 4  # boxes that one task may rank
 
@@ -244,13 +251,15 @@ def _alive(nodes: Column, entries: str, px: Column, py: Column, slack) -> Column
 
 @dataclass(frozen=True)
 class _Held:
-    """Regions of a node: boxes, and the edges of all of them in a row."""
+    """Regions of a node: boxes, and the edges of all regions of the node in a row."""
 
     names: pa.Array
     box: np.ndarray  # x0, y0, x1, y1
     edges: np.ndarray  # x1, y1, x2, y2
+    span: np.ndarray  # x0, y0, x1, y1 of each edge, with a margin for rounding
     first: np.ndarray
     count: np.ndarray
+    name: np.ndarray  # places in names
 
     @staticmethod
     def of(rows: list[pa.RecordBatch]) -> _Held:
@@ -258,60 +267,127 @@ class _Held:
         lists = t["__edges"].combine_chunks()
         count = lists.value_lengths().to_numpy(zero_copy_only=False) // 4
         edges = np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, 4).T)
-        return _Held(t["__name"].combine_chunks(), np.stack([t[b].to_numpy() for b in _BOX]), edges, np.cumsum(count) - count, count)
-
-    def part(self, keep: np.ndarray) -> _Held:
-        return _Held(self.names, self.box[:, keep], self.edges, self.first[keep], self.count[keep])
-
-    def near(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        x0, y0, x1, y1 = self.box
-        dx = np.maximum(np.maximum(x0 - x[:, None], 0.0), x[:, None] - x1)
-        dy = np.maximum(np.maximum(y0 - y[:, None], 0.0), y[:, None] - y1)
-        return np.sqrt(dx * dx + dy * dy)
-
-    def far(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """As in ``_near_and_far``."""
-        ax, ay, bx, by = (np.abs(v[:, None] - b) for v, b in zip((x, y, x, y), self.box, strict=True))
-        nx, fx, ny, fy = np.minimum(ax, bx), np.maximum(ax, bx), np.minimum(ay, by), np.maximum(ay, by)
-        return np.sqrt(np.minimum(nx * nx + fy * fy, fx * fx + ny * ny))
-
-    def around(self, x: np.ndarray, y: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        """Regions that may be within ``bound`` of some of the points, by their distance to the points' box, and that."""
-        x0, y0, x1, y1 = self.box
-        dx, dy = np.maximum(np.maximum(x0 - x.max(), 0.0), x.min() - x1), np.maximum(np.maximum(y0 - y.max(), 0.0), y.min() - y1)
-        gap = np.sqrt(dx * dx + dy * dy)
-        near_ones = np.flatnonzero(gap <= bound)
-        near_ones = near_ones[np.argsort(gap[near_ones], kind="stable")]
-        return near_ones, gap[near_ones]
-
-    def distance(self, x: np.ndarray, y: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """``edge_distance`` of pairs of a point and a region."""
-        if not len(r):
-            return np.zeros(0)
-        count = self.count[r]
-        start = np.cumsum(count) - count
-        at = np.repeat(self.first[r] - start, count) + np.arange(count.sum())
-        x1, y1, x2, y2 = (e[at] for e in self.edges)
-        qx, qy = np.repeat(x, count), np.repeat(y, count)
-        crosses = ((y1 > qy) != (y2 > qy)) & (qx < (x2 - x1) * (qy - y1) / (y2 - y1) + x1)
-        outside = np.add.reduceat(crosses, start, dtype=np.int64) % 2 == 0
-        out = np.zeros(len(r))
-        if outside.any():
-            of = np.repeat(outside, count)
-            x1, y1, x2, y2, qx, qy = (v[of] for v in (x1, y1, x2, y2, qx, qy))
-            dx, dy = x2 - x1, y2 - y1
-            len2 = dx * dx + dy * dy
-            t = np.where(len2 == 0, 0.0, ((qx - x1) * dx + (qy - y1) * dy) / len2)
-            t = np.minimum(np.maximum(t, 0.0), 1.0)
-            cx, cy = x1 + t * dx, y1 + t * dy
-            d = np.sqrt((qx - cx) * (qx - cx) + (qy - cy) * (qy - cy))
-            n = count[outside]
-            out[outside] = np.minimum.reduceat(np.where(np.isnan(d), np.inf, d), np.cumsum(n) - n)
+        x1, y1, x2, y2 = edges
+        margin = np.abs(edges).max(axis=0) * 1e-12
+        margin[margin > HUGE] = np.inf  # sums and products may overflow: such an edge is near to all
+        span = np.stack([np.minimum(x1, x2) - margin, np.minimum(y1, y2) - margin, np.maximum(x1, x2) + margin, np.maximum(y1, y2) + margin])
+        box = np.stack([t[b].to_numpy() for b in _BOX])
+        # regions near each other in runs: slabs by x, each by y
+        slab = np.empty(len(count), np.int64)
+        slab[np.argsort(box[0] + box[2], kind="stable")] = np.arange(len(count)) // (RUN * math.ceil(math.sqrt(len(count) / RUN)))
+        order = np.lexsort((box[1] + box[3], slab))
+        return _Held(t["__name"].combine_chunks(), box, edges, span, np.cumsum(count) - count, count, np.arange(len(count))).part(order)
+
+    def runs(self) -> np.ndarray:
+        """Boxes of the runs of ``RUN`` regions."""
+        start = np.arange(0, len(self.first), RUN)
+        return np.stack([*(np.minimum.reduceat(b, start) for b in self.box[:2]), *(np.maximum.reduceat(b, start) for b in self.box[2:])])
+
+    def of_runs(self, which: np.ndarray) -> _Held:
+        keep = (which[:, None] * RUN + np.arange(RUN)).ravel()
+        return self.part(keep[keep < len(self.first)])
+
+    def part(self, keep: np.ndarray | slice) -> _Held:
+        return _Held(self.names, self.box[:, keep], self.edges, self.span, self.first[keep], self.count[keep], self.name[keep])
+
+    def around(self, x: np.ndarray, y: np.ndarray, bound: float) -> _Held:
+        """Regions that may be within ``bound`` of some of the points."""
+        return self.part(np.flatnonzero(_gap(self.box, x, y) <= bound))
+
+    def meet(self, x: np.ndarray, y: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
+        """Regions that all points are inside of, and regions with an edge within ``margin`` of the points' box.
+        Where no edge is, all points cross as often, odd or even, as the rings are closed; so one point tells for all."""
+        if not len(self.first):
+            return np.zeros(0, bool), np.zeros(0, bool)
+        at, _, start = self._edges_of()
+        x0, y0, x1, y1 = self.span[:, at]
+        margin += max(abs(x.min()), abs(x.max()), abs(y.min()), abs(y.max())) * 1e-12
+        near = (x1 >= x.min() - margin) & (x0 <= x.max() + margin) & (y1 >= y.min() - margin) & (y0 <= y.max() + margin)
+        mixed = np.logical_or.reduceat(near, start)
+        odd = np.add.reduceat(self._crosses(x[:1], y[:1], at), start, axis=1, dtype=np.int64)[0] % 2 == 1
+        return odd & ~mixed, mixed
+
+    def _edges_of(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the regions' edges, the region of each, and where each region's begin."""
+        start = np.cumsum(self.count) - self.count
+        of = np.repeat(np.arange(len(self.count)), self.count)
+        return np.repeat(self.first - start, self.count) + np.arange(len(of)), of, start
+
+    def _crosses(self, x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which edges each point's ray crosses."""
+        x1, y1, x2, y2 = self.edges[:, at]
+        qx, qy = x[:, None], y[:, None]
+        return ((y1 > qy) != (y2 > qy)) & (qx < (x2 - x1) * (qy - y1) / (y2 - y1) + x1)
+
+    def inside(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which points (rows) are inside which regions."""
+        out = np.zeros((len(x), len(self.first)), bool)
+        at, of, _ = self._edges_of()
+        _, y0, x1, y1 = self.span[:, at]
+        some = np.flatnonzero((x1 >= x.min()) & (y1 >= y.min()) & (y0 <= y.max()))  # no ray crosses others
+        at, of = at[some], of[some]
+        ends = np.flatnonzero(np.append(of[1:] != of[:-1], True)) + 1 if len(of) else np.zeros(0, int)
+        i = 0
+        while i < len(ends):  # regions at a time, by their edges
+            lo = ends[i - 1] if i else 0
+            j = max(int(np.searchsorted(ends, lo + EDGES, side="right")), i + 1)
+            starts = np.concatenate([[0], ends[i:j - 1] - lo])
+            crosses = self._crosses(x, y, at[lo:ends[j - 1]])
+            out[:, of[lo + starts]] = np.add.reduceat(crosses, starts, axis=1, dtype=np.int64) % 2 == 1
+            i = j
         return out
 
+    def edge_distances(self, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Points, regions and the distances of points to edges of those, of all that may be at most ``most`` (by point)."""
+        at, of, _ = self._edges_of()
+        x0, y0, x1, y1 = self.span[:, at]
+        reach = most.max()
+        some = np.flatnonzero((x1 >= x.min() - reach) & (x0 <= x.max() + reach) & (y1 >= y.min() - reach) & (y0 <= y.max() + reach))
+        for i in range(0, len(some), EDGES):
+            e = some[i:i + EDGES]
+            dx = np.maximum(np.maximum(x0[e] - x[:, None], x[:, None] - x1[e]), 0.0)
+            dy = np.maximum(np.maximum(y0[e] - y[:, None], y[:, None] - y1[e]), 0.0)
+            p, k = np.nonzero(np.sqrt(dx * dx + dy * dy) <= most[:, None])
+            if len(p):
+                yield p, of[e[k]], _distance(x[p], y[p], self.edges[:, at[e[k]]])
+
+
+def _near(box: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distance of points (rows) to boxes."""
+    x0, y0, x1, y1 = box
+    dx, dy = np.maximum(np.maximum(x0 - x[:, None], 0.0), x[:, None] - x1), np.maximum(np.maximum(y0 - y[:, None], 0.0), y[:, None] - y1)
+    return np.sqrt(dx * dx + dy * dy)
+
+
+def _far(box: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """As in ``_near_and_far``."""
+    ax, ay, bx, by = (np.abs(v[:, None] - b) for v, b in zip((x, y, x, y), box, strict=True))
+    nx, fx, ny, fy = np.minimum(ax, bx), np.maximum(ax, bx), np.minimum(ay, by), np.maximum(ay, by)
+    return np.sqrt(np.minimum(nx * nx + fy * fy, fx * fx + ny * ny))
+
+
+def _gap(box: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distance of each box to the points' box."""
+    x0, y0, x1, y1 = box
+    dx, dy = np.maximum(np.maximum(x0 - x.max(), 0.0), x.min() - x1), np.maximum(np.maximum(y0 - y.max(), 0.0), y.min() - y1)
+    return np.sqrt(dx * dx + dy * dy)
+
+
+def _distance(x: np.ndarray, y: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """As ``_segment_distance``."""
+    x1, y1, x2, y2 = edges
+    dx, dy = x2 - x1, y2 - y1
+    len2 = dx * dx + dy * dy
+    t = np.where(len2 == 0, 0.0, ((x - x1) * dx + (y - y1) * dy) / len2)
+    t = np.minimum(np.maximum(t, 0.0), 1.0)
+    cx, cy = x1 + t * dx, y1 + t * dy
+    d = np.sqrt((x - cx) * (x - cx) + (y - cy) * (y - cy))
+    return np.where(np.isnan(d), np.inf, d)
+
 
-def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[_Held, pa.RecordBatch]]:
-    """Of rows in the order of node and part, regions before points: blocks of points with their regions."""
+def _tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[_Held, pa.RecordBatch]]:
+    """Of rows in the order of node and part, regions before points: tiles of points near each other, with their
+    regions; each run of ``BLOCK`` points of a tile are nearer still."""
     key, rows, held = None, [], None
     for b in batches:
         keys = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in ("__node", "__part", "__is_point")], axis=1)
@@ -325,64 +401,124 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[_Held, pa.Recor
                 rows.append(b.slice(i, j - i).select(["__name", "__edges", *_BOX]))
                 continue
             held = held or _Held.of(rows)
-            # points come by x: strips of them, each by y, make blocks of points near each other
-            strip = np.arange(j - i) // (BLOCK * math.ceil(math.sqrt((j - i) / BLOCK)))
+            # points come by x: strips of them, each by y, as many as make blocks about as wide as high
             points = b.slice(i, j - i)
-            points = points.take(pa.array(np.lexsort((_at(points)[1], strip))))
-            for at in range(0, j - i, BLOCK):
-                yield held, points.slice(at, BLOCK)
+            x, y = _at(points)
+            blocks = (j - i) / BLOCK
+            wide = (x.max() - x.min()) / max(y.max() - y.min(), 1e-300)
+            strips = min(max(math.sqrt(min(blocks * wide, blocks * blocks)), 1.0), blocks) if blocks > 1 else 1.0
+            strip = np.arange(j - i) // (BLOCK * math.ceil(blocks / strips))
+            points = points.take(pa.array(np.lexsort((y, strip))))
+            for at in range(0, j - i, TILE):
+                yield held, points.slice(at, TILE)
 
 
 def _at(points: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return points.column("__px").to_numpy(), points.column("__py").to_numpy()
 
 
+def _bound(box: np.ndarray, x: np.ndarray, y: np.ndarray) -> float:
+    """What the nearest contents of any of the boxes cannot exceed, for any of the points: what is near to one is near to all."""
+    return _far(box, x[:1], y[:1]).min() + np.hypot(x.max() - x.min(), y.max() - y.min())
+
+
+def _held_by_one(held: _Held, x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether all points are inside of a region."""
+    x0, y0, x1, y1 = held.box
+    holding = np.flatnonzero((x0 <= x.min()) & (x1 >= x.max()) & (y0 <= y.min()) & (y1 >= y.max()))
+    return any(held.part(holding[at:at + CHUNK]).meet(x, y, 0.0)[0].any() for at in range(0, len(holding), CHUNK))
+
+
 def _least(slack: Callable) -> Callable:
     """Least distance of each point to the regions of its node."""
 
+    def of_block(held: _Held, runs: np.ndarray, box: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        bound = _bound(box, x, y)
+        some = np.flatnonzero(_gap(box, x, y) <= bound + slack(bound))
+        runs, box = runs[some], box[:, some]
+        most = _far(box, x, y).min(axis=1)  # of each point: a block of far points may be wide
+        held = held.of_runs(runs[(_near(box, x, y) <= (most + slack(most))[:, None]).any(axis=0)])
+        gap = _gap(held.box, x, y)
+        if _held_by_one(held, x, y):
+            return np.zeros(len(x))
+        best = np.full(len(x), np.inf)
+        order = np.argsort(gap, kind="stable")
+        held, gap = held.part(order), gap[order]
+        for at in range(0, len(gap), CHUNK):
+            left = np.flatnonzero((best > 0) & (gap[at] <= most + slack(most)))
+            if not len(left):
+                break
+            some, px, py = held.part(slice(at, at + CHUNK)), x[left], y[left]
+            in_one = some.inside(px, py).any(axis=1)
+            best[left[in_one]] = most[left[in_one]] = 0.0
+            left, px, py = left[~in_one], px[~in_one], py[~in_one]
+            if len(left):
+                most[left] = np.minimum(most[left], _far(some.box, px, py).min(axis=1))
+                for p, _, d in some.edge_distances(px, py, most[left] + slack(most[left])):
+                    np.minimum.at(best, left[p], d)
+                most[left] = np.minimum(most[left], best[left])
+        return best
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, box = None, np.zeros((4, 0))
         with np.errstate(all="ignore"):
-            for held, points in _blocks(batches):
+            for held, points in _tiles(batches):
+                if held is not of:
+                    of, box = held, held.runs()
                 x, y = _at(points)
-                best = np.full(len(x), np.inf)
-                bound = held.far(x[:1], y[:1]).min() + np.hypot(x.max() - x.min(), y.max() - y.min())  # what is near to one point is near to all
-                near_ones, gap = held.around(x, y, bound + slack(bound))
-                for at in range(0, len(near_ones), CHUNK):
-                    left = np.flatnonzero((best > 0) & (gap[at] <= best + slack(best)))
-                    if not len(left):
-                        break
-                    some = held.part(near_ones[at:at + CHUNK])
-                    px, py = x[left], y[left]
-                    most = np.minimum(best[left], some.far(px, py).min(axis=1))
-                    p, r = np.nonzero(some.near(px, py) <= (most + slack(most))[:, None])
-                    np.minimum.at(best, left[p], some.distance(px[p], py[p], r))
-                yield pa.record_batch({"__pid": points.column("__pid"), "__d": pa.array(best)})
+                bound = _bound(box, x, y)
+                runs = np.flatnonzero(_gap(box, x, y) <= bound + slack(bound))
+                best = [of_block(held, runs, box[:, runs], x[at:at + BLOCK], y[at:at + BLOCK]) for at in range(0, len(x), BLOCK)]
+                yield pa.record_batch({"__pid": points.column("__pid"), "__d": pa.array(np.concatenate(best))})
 
     return run
 
 
 def _at_least_distance(slack: Callable, tie_tolerance: float) -> Callable:
-    """Per point and node: the names of the regions within ``tie_tolerance`` of the point's least distance."""
+    """Points and names of regions that belong to each other, each with each: the regions within ``tie_tolerance``
+    of the points' least distance. Regions that hold a whole block of points come once for the block."""
+
+    def of_block(held: _Held, runs: np.ndarray, box: np.ndarray, x: np.ndarray, y: np.ndarray, least: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Points and how many of them make a row, names and how many of them."""
+        most = least + slack(least)
+        some = np.flatnonzero(_gap(box, x, y) <= most.max())
+        # by point, as a block of far points may be wide
+        held = held.of_runs(runs[some[(_near(box[:, some], x, y) <= most[:, None]).any(axis=0)]]).around(x, y, most.max())
+        whole, mixed = held.meet(x, y, most.max())
+        if whole.any():
+            yield np.arange(len(x)), np.array([len(x)]), held.name[whole], np.array([whole.sum()])
+        some = held.part(np.flatnonzero(mixed))
+        if not len(some.first):
+            return
+        fits = some.inside(x, y)
+        for p, r, d in some.edge_distances(x, y, most):
+            ok = d <= least[p] + tie_tolerance
+            fits[p[ok], r[ok]] = True
+        n = fits.sum(axis=1)
+        who = np.flatnonzero(n)
+        yield who, np.ones(len(who), np.int64), some.name[np.nonzero(fits)[1]], n[who]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, box = None, np.zeros((4, 0))
         with np.errstate(all="ignore"):
-            for held, points in _blocks(batches):
+            for held, points in _tiles(batches):
+                if held is not of:
+                    of, box = held, held.runs()
                 x, y = _at(points)
                 least = points.column("__min").to_numpy()
-                most = least + slack(least)
-                near_ones, _ = held.around(x, y, most.max())
-                found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-                for at in range(0, len(near_ones), CHUNK):
-                    some = held.part(near_ones[at:at + CHUNK])
-                    p, r = np.nonzero(some.near(x, y) <= most[:, None])
-                    fits = some.distance(x[p], y[p], r) <= least[p] + tie_tolerance
-                    found.append((p[fits], near_ones[at + r[fits]]))
-                p, r = (np.concatenate(v) for v in zip(*found, strict=True))
-                p, r = p[order := np.argsort(p, kind="stable")], r[order]
-                who, n = np.unique(p, return_counts=True)
-                ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
-                yield pa.record_batch({"__row": points.column("__row").take(pa.array(who)),
-                                       "__names": pa.ListArray.from_arrays(ends, held.names.take(pa.array(r)))})
+                runs = np.flatnonzero(_gap(box, x, y) <= (least + slack(least)).max())
+                found, n = [], 0
+                for at in range(0, len(x), BLOCK):
+                    to = at + BLOCK
+                    for who, many, names, count in of_block(held, runs, box[:, runs], x[at:to], y[at:to], least[at:to]):
+                        found.append((who + at, many, names, count))
+                        n += len(names)
+                    if found and (n > NAMES or to >= len(x)):
+                        who, many, names, count = (np.concatenate(v) for v in zip(*found, strict=True))
+                        lists = lambda n, v: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), v)
+                        yield pa.record_batch({"__rows": lists(many, points.column("__row").take(pa.array(who))),
+                                               "__names": lists(count, held.names.take(pa.array(names)))})
+                        found, n = [], 0
 
     return run
 
@@ -414,8 +550,10 @@ def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude",
     if pts.rdd.getNumPartitions() < cores:
         open_ = open_.repartition(cores, "__pid")
     above, below = [], []  # levels down to that of the groups, and those between it and the regions
+    last = max(len(levels) - round(math.log(GROUP, NODE)), 0)
+    last -= last > 0 and counts[last] > GROUPS  # the fewer nodes, the fewer of them a point meets
     for k, level in enumerate(levels):
-        (above if k <= max(len(levels) - round(math.log(GROUP, NODE)), 0) else below).append(level)
+        (above if k <= last else below).append(level)
     small = sum(c <= INLINE for c in counts[:len(above)])
     alive = F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0.0).alias("near")))
     for entries in _inlined(above[:small]):
@@ -454,6 +592,7 @@ def nearest_region(points: DataFrame, regions: DataFrame, x: str = "longitude",
     least = dealt(met.drop("__near")).mapInArrow(_least(slack), "__pid long, __d double").groupBy("__pid").agg(F.min("__d").alias("__min"))
     near_enough = met.join(least, "__pid").where(F.col("__near") <= F.col("__min") + slack(F.col("__min"))).drop("__near")
     rows = near_enough.join(pts.select("__pid", F.struct(*points.columns).alias("__row")), "__pid")
-    found = StructType([StructField("__row", points.schema), StructField("__names", ArrayType(kind))])
-    best = dealt(rows).mapInArrow(_at_least_distance(slack, tie_tolerance), found).select("__row.*", F.explode("__names").alias(out))
+    found = StructType([StructField("__rows", ArrayType(points.schema)), StructField("__names", ArrayType(kind))])
+    best = dealt(rows).mapInArrow(_at_least_distance(slack, tie_tolerance), found).select(F.explode("__rows").alias("__row"), "__names")
+    best = best.select("__row.*", F.explode("__names").alias(out))
     return best.unionByName(pts.where(~placed).select(*points.columns, F.lit(None).cast(kind).alias(out)))

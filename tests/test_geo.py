@@ -210,3 +210,67 @@ def test_columns_of_points_and_names_of_any_type_come_back(spark):
     want = pts.withColumn("region", F.explode(F.expr("CASE id WHEN 1 THEN array(7, null) WHEN 2 THEN array(7, 8, null) ELSE array(cast(null AS int)) END")))
     assert got.dtypes == want.dtypes
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def _pair_batches(regions, points, least=None):
+    import numpy as np
+    import pyarrow as pa
+
+    flat = lambda rings: [v for ring in rings for a, b in zip(ring, ring[1:] + ring[:1]) for v in (*a, *b)]
+    xs, ys = [[[v[k] for ring in r for v in ring] for r in regions] for k in (0, 1)]
+    key = lambda n, point: {"__node": pa.array([0] * n, pa.int64()), "__part": pa.array([0] * n, pa.int64()), "__is_point": pa.array([point] * n, pa.int64())}
+    box = {"__x0": [min(v) for v in xs], "__y0": [min(v) for v in ys], "__x1": [max(v) for v in xs], "__y1": [max(v) for v in ys]}
+    yield pa.record_batch({**key(len(regions), 0), "__name": [f"r{i}" for i in range(len(regions))], "__edges": pa.array([flat(r) for r in regions], pa.list_(pa.float64())), **box})
+    order = sorted(range(len(points)), key=lambda i: points[i][0])
+    more = {} if least is None else {"__min": pa.array(np.array(least)[order]), "__row": pa.array([{"k": i} for i in order])}
+    yield pa.record_batch({**key(len(points), 1), "__pid": pa.array(order, pa.int64()), "__px": [points[i][0] for i in order], "__py": [points[i][1] for i in order], **more})
+
+
+def test_blocks_of_points_meet_regions_as_each_point_does(monkeypatch):
+    import math
+
+    rnd = random.Random(3)
+    square = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w)]
+    regions = [[square(rnd.uniform(-1, 1), rnd.uniform(-1, 1), rnd.uniform(0.1, 2))] for _ in range(60)]
+    regions += [[square(-3, -3, w), square(-1, -1, w / 3)] for w in (4.0, 5.0, 6.0)]  # a hole
+    regions += [[square(-5, -5, 1.0), square(5, 5, 1.0)], [[(-9.0, 0.0), (9.0, 1.0), (0.0, 9.0)]], [[(0.25, 0.25)]], [[(0.0, 7.0), (1.0, 7.0)]]]
+    points = [(rnd.uniform(-1, 1), rnd.uniform(-1, 1)) for _ in range(400)] + [(rnd.uniform(-9, 9), rnd.uniform(-9, 9)) for _ in range(60)]
+    points += [(rnd.uniform(-9e4, 9e4), rnd.uniform(-9e4, 9e4)) for _ in range(40)] + [(-3.0, -3.0), (0.25, 0.25), (-1.0, 0.0)]
+
+    def distance(p, rings):
+        edges = [(a, b) for ring in rings for a, b in zip(ring, ring[1:] + ring[:1])]
+        if sum((a[1] > p[1]) != (b[1] > p[1]) and p[0] < (b[0] - a[0]) * (p[1] - a[1]) / (b[1] - a[1]) + a[0] for a, b in edges) % 2:
+            return 0.0
+        out = []
+        for a, b in edges:
+            dx, dy = b[0] - a[0], b[1] - a[1]
+            t = min(max(((p[0] - a[0]) * dx + (p[1] - a[1]) * dy) / (dx * dx + dy * dy), 0.0), 1.0) if dx or dy else 0.0
+            out.append(math.hypot(p[0] - a[0] - t * dx, p[1] - a[1] - t * dy))
+        return min(out)
+
+    all_ = [[distance(p, r) for r in regions] for p in points]
+    want = {(i, f"r{j}") for i, ds in enumerate(all_) for j, d in enumerate(ds) if d <= min(ds) + 1e-9}
+    slack = lambda bound: 1e-9 + bound * 1e-12
+    for small in ({}, {"BLOCK": 8, "TILE": 32, "CHUNK": 5, "EDGES": 7, "RUN": 4, "NAMES": 10}):
+        for name, value in small.items():
+            monkeypatch.setattr(geo, name, value)
+        least = {p: d for b in geo._least(slack)(_pair_batches(regions, points)) for p, d in zip(b["__pid"].to_pylist(), b["__d"].to_pylist(), strict=True)}
+        assert all(math.isclose(least[i], min(ds), rel_tol=1e-12, abs_tol=1e-12) for i, ds in enumerate(all_))
+        found = [r for b in geo._at_least_distance(slack, 1e-9)(_pair_batches(regions, points, [least[i] for i in range(len(points))])) for r in b.to_pylist()]
+        pairs = [(row["k"], name) for r in found for row in r["__rows"] for name in r["__names"]]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == want
+        # a region around a block comes once for all of its points
+        assert sum(len(r["__rows"]) > 1 for r in found)
+
+
+def test_many_nodes_make_larger_ones(spark, tmp_path, monkeypatch):
+    rnd = random.Random(5)
+    rows = [(f"r{i}", x := rnd.uniform(0, 9), y := rnd.uniform(0, 9), x + rnd.random(), y + rnd.random()) for i in range(700)]
+    regions = geo.boxes(spark, rows)
+    pts = spark.createDataFrame([(i, rnd.uniform(-1, 11), rnd.uniform(-1, 11)) for i in range(300)], "id int, x double, y double")
+    run = lambda: sorted(map(tuple, geo.nearest_region(pts, regions, x="x", y="y").select("id", "region").collect()))
+    want = run()
+    monkeypatch.setattr(geo, "GROUP", geo.NODE)
+    few = run()
+    monkeypatch.setattr(geo, "GROUPS", 3)
+    assert run() == few == want
